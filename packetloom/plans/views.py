@@ -105,13 +105,13 @@ tracked AS (
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 rows_ AS (
   SELECT device, event_id, row_end, rows_total, row_end - 4 + c AS row_idx, FALSE AS is_gap,
-         list_transform(range(24), i -> (event_id * 31 + (c * 24 + (i % 6) * 4 + i // 6) * 17)
-                                        % 1000 - 100) AS cells
+         [(event_id * 31 + (c * 24 + (i % 6) * 4 + i // 6) * 17) % 1000 - 100
+          for i in range(24)] AS cells
   FROM tracked, (SELECT unnest(range(4)) AS c)
   UNION ALL
   SELECT device, event_id, row_end, rows_total,
          unnest(range(CAST(row_end - 4 - 4 * greatest(lost, 0) AS BIGINT), CAST(row_end - 4 AS BIGINT))),
-         TRUE, list_transform(range(24), i -> -1000) FROM tracked WHERE lost > 0),
+         TRUE, [-1000 for i in range(24)] FROM tracked WHERE lost > 0),
 frames AS (
   SELECT device, row_idx // 15 AS frame_id, count(*) FILTER (is_gap) AS gap_rows,
          string_agg(array_to_string(cells, ', '), ', ' ORDER BY row_idx) AS samples

@@ -16,6 +16,7 @@ def local_session(app="packetloom", cpus="8", shuffle_partitions="8", **conf):
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
