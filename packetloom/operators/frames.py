@@ -50,9 +50,9 @@ def released(frame_id="frame_id", rows_total="rows_total"):
 
 def join_pieces(pieces: DataFrame, keys=("device", "session")) -> DataFrame:
     """Pieces to frames; a group never exceeds the 15 rows of one frame."""
-    parts = F.array_sort(F.collect_list(F.struct("first_row", "rows")))
+    parts = F.sort_array(F.collect_list(F.struct("first_row", "rows")))
     return pieces.groupBy(*keys, "frame_id").agg(
-        F.flatten(F.transform(parts, lambda p: p["rows"])).alias("frame")
+        F.flatten(parts["rows"]).alias("frame")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.binary import byte_at, int16_list, uint16_at
-from packetloom.operators.ordered import CHUNK, whole_steps
+from packetloom.operators.ordered import CHUNK
 
 # Scan order of the trigger lines, frame shape, marker of a lost row.
 TRIGGER_ORDER = [0, 4, 8, 12, 1, 5, 9, 13, 2, 6, 10, 14, 3, 7, 11, 15]
@@ -253,16 +253,15 @@ def start_gate(packets: DataFrame, keys=("device", "session"), order: str = "seq
 
 
 def deinterleaved(samples="pressure"):
-    """Four rows of 24: within a row, every fourth sample follows the one before."""
-    a = F.col(samples)
+    """Four rows of 24: within a row, every fourth sample follows the one before.
+
+    The places are a literal array; 96 spelled-out elements would make one
+    generated method too long for the JVM to compile.
+    """
 
     def row(c):
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(ROW_WIDTH - 1)),
-            lambda i: F.get(
-                a, (c * ROW_WIDTH + (i % 6) * COLUMNS_PER_PACKET + whole_steps(i, 6)).cast("int")
-            ),
-        )
+        places = [c * ROW_WIDTH + (i % 6) * COLUMNS_PER_PACKET + i // 6 for i in range(ROW_WIDTH)]
+        return F.transform(F.array(*[F.lit(p) for p in places]), lambda p: F.get(samples, p))
 
     return F.array(*[row(c) for c in range(COLUMNS_PER_PACKET)])
 

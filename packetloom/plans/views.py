@@ -56,8 +56,8 @@ def packets(spark, sf_dir, width=1 << 20):
         {
             "trig": F.get(order, (F.col("seq") % 15).cast("int")),
             "pressure": F.transform(
-                F.sequence(F.lit(0), F.lit(95)),
-                lambda j: ((F.col("event_id") * 31 + j * 17) % 1000 - 100).cast("int"),
+                F.array(*[F.lit(j * 17) for j in range(96)]),
+                lambda step: ((F.col("event_id") * 31 + step) % 1000 - 100).cast("int"),
             ),
         }
     )
