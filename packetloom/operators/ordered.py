@@ -33,10 +33,12 @@ def with_chunk(df: DataFrame, order: str, width: int = CHUNK_ROWS) -> DataFrame:
     return df.withColumn(CHUNK, whole_steps(F.col(order), int(width)))
 
 
-def running_number(df: DataFrame, keys, order, name: str, total: str | None = None) -> DataFrame:
+def running_number(df: DataFrame, keys, order, name: str, total: str | None = None,
+                   start: DataFrame | None = None) -> DataFrame:
     """0-based position of each row in its key's order, and the key's row count.
 
     ``df`` needs a ``chunk`` column that never falls as ``order`` rises.
+    ``start`` (keys, n) holds how many rows each key had before.
     """
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     along = Window.partitionBy(*keys).orderBy(CHUNK)
@@ -52,6 +54,11 @@ def running_number(df: DataFrame, keys, order, name: str, total: str | None = No
             F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
         )
     )
+    if start is not None:
+        earlier = F.coalesce("n", F.lit(0))
+        before = before.join(start.select(*keys, "n"), keys, "left").withColumns(
+            {"_before": F.col("_before") + earlier, "_total": F.col("_total") + earlier}
+        ).drop("n")
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     out = (
         df.withColumn("_inside", F.row_number().over(inside) - 1)

@@ -1,6 +1,6 @@
 """All registered queries: importing the modules registers them."""
 
-from packetloom.plans import replication, reports, sensor  # noqa: F401
+from packetloom.plans import io, replication, reports, sensor  # noqa: F401
 from packetloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
