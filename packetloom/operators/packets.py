@@ -80,33 +80,41 @@ def _known(packets, mode):
     return out if mode == "off" else out.where(F.col("pos").isNotNull())
 
 
+def _inside(packets, keys, order, mode):
+    """Steps within a chunk: previous place, loss, running loss and gap rows.
+
+    Counts from the chunk's start and ignores the start gate; ``_carry`` holds
+    what has to be added or taken off per chunk.
+    """
+    along = Window.partitionBy(*keys, CHUNK).orderBy(order)
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    step = F.coalesce(_lost(F.col("pos"), F.col("prev"), mode), F.lit(0))
+    return (
+        _known(packets, mode)
+        .withColumns({"prev": F.lag("pos").over(along), "i": F.row_number().over(along)})
+        .withColumn("step", step)
+        .withColumns(
+            {"run_lost": F.sum("step").over(so_far), "run_gap": F.sum(_gap(F.col("step"))).over(so_far)}
+        )
+    )
+
+
 def _chunk_summary(packets, keys, order, mode):
-    """One row per (keys, chunk), both from the chunk's start and from its first
-    trigger 0, so the start gate needs no pass of its own."""
-    chunk = Window.partitionBy(*keys, CHUNK)
-    along = chunk.orderBy(order)
-    narrow = _known(packets.select(*keys, CHUNK, order, "trig"), mode)
-    rows = narrow.select(
-        *keys,
-        CHUNK,
-        order,
-        "pos",
-        F.lag("pos").over(along).alias("prev"),
-        F.row_number().over(along).alias("i"),
-        F.min(F.when(F.col("trig") == 0, F.col(order))).over(chunk).alias("zero"),
-    ).withColumn("lost", F.coalesce(_lost(F.col("pos"), F.col("prev"), mode), F.lit(0)))
-    opened = F.col(order) >= F.col("zero")
-    after = F.col(order) > F.col("zero")
+    """One row per (keys, chunk): totals, and the same totals before the chunk's
+    first trigger 0, so the start gate needs no pass of its own."""
+    rows = _inside(packets.select(*keys, CHUNK, order, "trig"), keys, order, mode)
+    # values at the first trigger 0; the running values never depend on later rows
+    zero = F.when(F.col("trig") == 0, F.col("i"))
     return rows.groupBy(*keys, CHUNK).agg(
-        F.min("zero").alias("zero"),
+        F.min(F.when(F.col("trig") == 0, F.col(order))).alias("zero"),
         F.max(F.when(F.col("i") == 1, F.col("pos"))).alias("first_pos"),
         F.max_by("pos", "i").alias("last_pos"),
-        F.count(F.lit(1)).alias("n_all"),
-        F.sum("lost").alias("lost_all"),
-        F.sum(_gap(F.col("lost"))).alias("gap_all"),
-        F.count_if(opened).alias("n_gate"),
-        F.sum(F.when(after, F.col("lost")).otherwise(0)).alias("lost_gate"),
-        F.sum(F.when(after, _gap(F.col("lost"))).otherwise(0)).alias("gap_gate"),
+        F.max("i").cast("bigint").alias("n"),
+        F.max_by("run_lost", "i").alias("lost"),
+        F.max_by("run_gap", "i").alias("gap"),
+        (F.min(zero) - 1).cast("bigint").alias("n_shut"),
+        F.min_by("run_lost", zero).alias("lost_shut"),
+        F.min_by("run_gap", zero).alias("gap_shut"),
     )
 
 
@@ -119,56 +127,67 @@ def _carry(packets, keys, order, mode, start=None):
     session = Window.partitionBy(*keys)
     past = session.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     chunks = _chunk_summary(packets, keys, order, mode)
+    totals = {"s_lost": "loss_total", "s_rows": "rows_total", "s_packets": "packets_total"}
     if start is None:
         chunks = chunks.withColumns(
             {
                 "s_open": F.lit(False), "s_pos": F.lit(None).cast("int"),
-                "s_lost": F.lit(0).cast("bigint"), "s_rows": F.lit(0).cast("bigint"),
-                "s_packets": F.lit(0).cast("bigint"),
+                **{name: F.lit(0).cast("bigint") for name in totals},
             }
         )
     else:
         known = start.select(
             *keys, F.lit(True).alias("s_open"), F.col("last_pos").alias("s_pos"),
-            F.col("loss_total").alias("s_lost"), F.col("rows_total").alias("s_rows"),
-            F.col("packets_total").alias("s_packets"),
+            *[F.col(state).alias(name) for name, state in totals.items()],
         )
         chunks = chunks.join(known, keys, "left").fillna(
-            {"s_open": False, "s_lost": 0, "s_rows": 0, "s_packets": 0}
+            {"s_open": False, **{name: 0 for name in totals}}
         )
     chunks = chunks.withColumns(
         {
             "gate": F.min("zero").over(session),
-            "open_before": F.col("s_open") | F.min("zero").over(past).isNotNull(),
-            "prev_pos": F.coalesce(F.last("last_pos", ignorenulls=True).over(past), F.col("s_pos")),
+            "opened": F.col("s_open") | F.min("zero").over(past).isNotNull(),
+            "before": F.coalesce(F.last("last_pos", ignorenulls=True).over(past), F.col("s_pos")),
         }
     )
-    whole = F.col("open_before")
-    edge = F.when(whole, F.coalesce(_lost(F.col("first_pos"), F.col("prev_pos"), mode), F.lit(0)))
+    opened = F.col("opened")
+    edge = F.coalesce(_lost(F.col("first_pos"), F.col("before"), mode), F.lit(0))
+    chunks = chunks.withColumn("edge", F.when(opened, edge).otherwise(0))
+
+    def counted(whole, shut, extra):
+        """Total of the chunk's part behind the gate; 0 while the session is shut."""
+        return F.when(opened, F.col(whole) + extra).otherwise(
+            F.coalesce(F.col(whole) - F.col(shut), F.lit(0))
+        )
+
     chunks = chunks.withColumns(
         {
-            "c_packets": F.when(whole, F.col("n_all")).otherwise(F.col("n_gate")),
-            "c_lost": F.when(whole, F.col("lost_all") + edge).otherwise(F.col("lost_gate")),
-            "c_gap": F.when(whole, F.col("gap_all") + _gap(edge)).otherwise(F.col("gap_gate")),
+            "c_packets": counted("n", "n_shut", F.lit(0)),
+            "c_lost": counted("lost", "lost_shut", F.col("edge")),
+            "c_gap": counted("gap", "gap_shut", _gap(F.col("edge"))),
         }
     ).withColumn("c_rows", COLUMNS_PER_PACKET * F.col("c_packets") + F.col("c_gap"))
 
-    def before(what, first):
-        return F.col(first) + F.coalesce(F.sum(what).over(past), F.lit(0))
+    def base(what, first, extra, shut):
+        """What to add to the running value within the chunk."""
+        earlier = F.col(first) + F.coalesce(F.sum(what).over(past), F.lit(0))
+        return earlier + F.when(opened, extra).otherwise(-F.coalesce(shut, F.lit(0)))
 
+    n_shut, gap_shut = F.col("n_shut"), F.col("gap_shut")
     return chunks.select(
         *keys,
         CHUNK,
-        F.when(F.col("s_open"), F.lit(None)).otherwise(F.col("gate")).alias("gate"),
+        F.when(~F.col("s_open"), F.col("gate")).alias("gate"),
         (F.col("s_open") | F.col("gate").isNotNull()).alias("ever_open"),
-        F.when(whole, F.col("prev_pos")).alias("carry_pos"),
+        "edge",
         "last_pos",
-        before("c_lost", "s_lost").alias("carry_lost"),
-        before("c_rows", "s_rows").alias("carry_rows"),
-        before("c_packets", "s_packets").alias("carry_packets"),
-        (F.col("s_lost") + F.sum("c_lost").over(session)).alias("loss_total"),
-        (F.col("s_rows") + F.sum("c_rows").over(session)).alias("rows_total"),
-        (F.col("s_packets") + F.sum("c_packets").over(session)).alias("packets_total"),
+        base("c_lost", "s_lost", F.col("edge"), F.col("lost_shut")).alias("add_lost"),
+        base("c_rows", "s_rows", _gap(F.col("edge")), COLUMNS_PER_PACKET * n_shut + gap_shut).alias("add_rows"),
+        base("c_packets", "s_packets", F.lit(0), n_shut).alias("add_packets"),
+        *[
+            (F.col(name) + F.sum(c).over(session)).alias(state)
+            for c, (name, state) in zip(("c_lost", "c_rows", "c_packets"), totals.items())
+        ],
     )
 
 
@@ -188,6 +207,8 @@ def track(packets: DataFrame, keys=("device", "session"), order: str = "seq",
 
     ``mode`` is ``reference`` (distance in the scan order), ``modular``
     (true distance over a cycle) or ``off`` (no loss, any trigger).
+
+    Packets are shuffled and sorted once, by (keys, chunk, order).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -195,35 +216,25 @@ def track(packets: DataFrame, keys=("device", "session"), order: str = "seq",
     carry = _carry(packets, keys, order, mode, start).drop(
         "last_pos", "loss_total", "packets_total"
     )
-    along = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
-    rows = (
-        _known(packets, mode)
-        # merge: the windows below need the same shuffle and sort; the size estimate
-        # of array columns is too low to let the planner broadcast packets
-        .join(carry.hint("merge"), [*keys, CHUNK], "left")
-        .where(F.col("ever_open") & (F.col("gate").isNull() | (F.col(order) >= F.col("gate"))))
-        .withColumns(
-            {
-                "prev": F.coalesce(F.lag("pos").over(along), F.col("carry_pos")),
-                "i": F.row_number().over(along),
-            }
-        )
-        .withColumn("lost", F.coalesce(_lost(F.col("pos"), F.col("prev"), mode), F.lit(0)))
+    gate = F.col("gate")
+    lost = (
+        F.when(F.col(order) == gate, 0).when(F.col("i") == 1, F.col("edge")).otherwise(F.col("step"))
     )
+    row_end = F.col("add_rows") + COLUMNS_PER_PACKET * F.col("i") + F.col("run_gap")
     return (
-        rows.withColumns(
-            {
-                "packet_no": F.col("carry_packets") + F.col("i") - 1,
-                "loss_total": F.col("carry_lost") + F.sum("lost").over(so_far),
-                "row_end": F.col("carry_rows")
-                + F.sum(_gap(F.col("lost")) + COLUMNS_PER_PACKET).over(so_far),
-            }
-        )
-        .withColumn("row_start", F.col("row_end") - COLUMNS_PER_PACKET - _gap(F.col("lost")))
+        _inside(packets, keys, order, mode)
+        # merge: the rows are already shuffled and sorted by (keys, chunk); the size
+        # estimate of array columns is too low to let the planner broadcast packets
+        .join(carry.hint("merge"), [*keys, CHUNK], "left")
+        .where(F.col("ever_open") & (gate.isNull() | (F.col(order) >= gate)))
         .select(
-            *[c for c in packets.columns],
-            "packet_no", "lost", "loss_total", "row_start", "row_end", "rows_total",
+            *packets.columns,
+            (F.col("add_packets") + F.col("i") - 1).alias("packet_no"),
+            lost.alias("lost"),
+            (F.col("add_lost") + F.col("run_lost")).alias("loss_total"),
+            (row_end - COLUMNS_PER_PACKET - _gap(lost)).alias("row_start"),
+            row_end.alias("row_end"),
+            "rows_total",
         )
     )
 

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from packetloom.functions.ids import business_key, message_key
+from packetloom.functions.patterns import route
 from packetloom.operators import frames, keyvalues, streamlog
 from packetloom.plans import replication, sensor, views
 from packetloom.plans.registry import query
 from packetloom.plans.replication import CONFLICT, CONFLICT_COLUMNS, ENTRY, FROM_MS, KV, LOG, REPLAY, TO_MS
+from packetloom.plans.reports import KEPT, messages
 from packetloom.plans.views import table, with_sql
 from packetloom.session import shared_folder
 from packetloom.sources import exports, stores, topics
 from packetloom.streaming import runs, sinks, stateful
 
+# Workers get the writers below with the plan and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _conflict_table(spark, sf_dir, overwrite):
     path = shared_folder(spark, "stream-table")
@@ -124,9 +133,6 @@ def binary_files(spark, sf_dir):
 @query(LOG + """ SELECT CASE WHEN characteristic = 'click' THEN 'clicks' ELSE 'rest' END AS topic,
   stream_key || ':' || message_id AS key, value_cents || '' AS value FROM stream_log""")
 def topic_messages(spark, sf_dir):
-    from packetloom.functions.ids import message_key
-    from packetloom.functions.patterns import route
-
     log = views.stream_log(spark, sf_dir).select(
         route("stream_key", [("stream:click:*", "clicks")], "rest").alias("topic"),
         message_key("stream_key", "message_id").alias("key"), F.col("value_cents").cast("string").alias("value"),
@@ -229,8 +235,6 @@ def stream_outbox(spark, sf_dir):
               WHEN json_extract_string(props, '$.k') NOT IN ('7', '11', '13', '42', '77') THEN 'filtered'
               WHEN event_id % 10 = 7 THEN 'failed' ELSE 'published' END AS outcome FROM events) GROUP BY ALL""")
 def stream_publish(spark, sf_dir):
-    from packetloom.plans.reports import KEPT, messages
-
     folder = shared_folder(spark, "publish")
     rows = messages(spark, sf_dir).withColumn("stamp", F.lit("t"))
     _run(spark, rows, "arrival", sinks.publish_sink(folder, _flaky_writer, "base", "k", KEPT))
@@ -246,17 +250,15 @@ def _mark_processed(value: bytes) -> bytes:
 @query("""SELECT event_type || ':' || (epoch_us(ts) // 1000) || ':' || printf('%04d', event_id) AS key,
   CASE WHEN event_type = 'error' THEN 'cannot process' ELSE 'PROCESSED:' || event_type END AS value FROM events""")
 def stream_transform(spark, sf_dir):
-    from packetloom.functions.ids import business_key
-
     folder = shared_folder(spark, "transform")
     e = table(spark, sf_dir, "events").select(
         "event_id", "event_type", views.epoch_ms("ts").alias("ms"), F.col("event_type").cast("binary").alias("value")
     )
     rows = e.withColumn("new_key", business_key("event_type", "ms", "event_id")).withColumn("key", F.col("new_key"))
     _run(spark, rows, "event_id", sinks.transform_sink(folder, _mark_processed, "output-topic"))
-    good = spark.read.parquet(f"{folder}/produced").select("key", F.decode("value", "UTF-8").alias("value"))
-    bad = spark.read.parquet(f"{folder}/failed").select("key", F.col("error").alias("value"))
-    return good.unionByName(bad)
+    done = spark.read.parquet(folder)
+    text = F.coalesce("error", F.decode("value", "UTF-8"))
+    return done.select("key", text.alias("value"))
 
 
 @query(LOG + """ SELECT stream_key, CASE WHEN min(arrival) <= (SELECT max(arrival) // 2 FROM stream_log) THEN 0 ELSE 1 END AS batch_id

@@ -88,30 +88,23 @@ def write_stream_table(rows: DataFrame, path: str, overwrite: bool = False) -> N
     readable until the write commits. Only the dates of the batch are read.
     """
     spark = rows.sparkSession
-    rows = rows.persist()
-    try:
-        held = None
-        if exists(spark, path):
-            low, high = _dates(rows)
-            if low is None:
-                return
-            held = spark.read.parquet(path).where(F.col("streaming_date").between(low, high))
-        if not overwrite:
-            fresh = keep_first(rows, CONFLICT_KEY, held)
-            _spread(fresh, "streaming_date").write.mode("append").partitionBy("streaming_date").parquet(path)
+    held = None
+    if exists(spark, path):
+        low, high = _dates(rows)
+        if low is None:
             return
-        if held is not None:
-            days = rows.select("streaming_date").distinct()
-            rows_now = rows.unionByName(
-                held.join(days, "streaming_date", "left_semi").select(*rows.columns)
-            )
-        else:
-            rows_now = rows
-        _spread(keep_last(rows_now, CONFLICT_KEY), "streaming_date").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("streaming_date").parquet(path)
-    finally:
-        rows.unpersist()
+        held = spark.read.parquet(path).where(F.col("streaming_date").between(low, high))
+    if not overwrite:
+        fresh = keep_first(rows, CONFLICT_KEY, held)
+        _spread(fresh, "streaming_date").write.mode("append").partitionBy("streaming_date").parquet(path)
+        return
+    if held is not None:
+        days = rows.select("streaming_date").distinct()
+        touched = held.join(days, "streaming_date", "left_semi").select(*rows.columns)
+        rows = rows.unionByName(touched)
+    _spread(keep_last(rows, CONFLICT_KEY), "streaming_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("streaming_date").parquet(path)
 
 
 def write_kv_table(changes: DataFrame, path: str) -> None:

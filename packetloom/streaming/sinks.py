@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from packetloom.functions.ids import prefixed
 from packetloom.operators import outbox, routing, streamlog
 from packetloom.sources import stores, topics
 
@@ -36,20 +37,15 @@ def replica_sink(path: str, prefix: str = ""):
 
     def run(batch, batch_id):
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            rows = batch.dropDuplicates(["stream_key", "message_id"])
-            if stores.exists(spark, path):
-                low, high = batch.agg(F.min("id_ms"), F.max("id_ms")).first()
-                if low is None:
-                    return
-                target = stores.read_log(spark, path, low, high)
-                rows = streamlog.replicate(rows, target, prefix)
-            else:
-                rows = rows.withColumn("stream_key", streamlog.prefixed("stream_key", prefix))
-            stores.append_log(rows, path)
-        finally:
-            batch.unpersist()
+        rows = batch.dropDuplicates(["stream_key", "message_id"])
+        if stores.exists(spark, path):
+            low, high = batch.agg(F.min("id_ms"), F.max("id_ms")).first()
+            if low is None:
+                return
+            rows = streamlog.replicate(rows, stores.read_log(spark, path, low, high), prefix)
+        else:
+            rows = rows.withColumn("stream_key", prefixed("stream_key", prefix))
+        stores.append_log(rows, path)
 
     return run
 
@@ -118,18 +114,18 @@ def publish_sink(folder: str, open_writer, base: str, field=None, values=(), sta
 
 
 def transform_sink(folder: str, fn, topic: str):
-    """Consume, transform, produce: results with a new key, failures kept apart."""
+    """Consume, transform, produce: results under their new key, failures apart.
+
+    Input: key, new_key, value. The function runs once per message; results and
+    failures are two partitions (``failed``) of one write.
+    """
 
     def run(batch, batch_id):
-        done = topics.transform_messages(batch, fn).persist()
-        try:
-            good = done.where("error IS NULL").select(
-                F.lit(topic).alias("topic"), "new_key", F.col("result").alias("value")
-            )
-            _write_batch(good.withColumnRenamed("new_key", "key"), f"{folder}/produced", batch_id)
-            _write_batch(done.where("error IS NOT NULL").select("key", "error"), f"{folder}/failed", batch_id)
-        finally:
-            done.unpersist()
+        done = topics.transform_messages(batch, fn).select(
+            F.lit(topic).alias("topic"), F.coalesce("new_key", "key").alias("key"),
+            F.col("result").alias("value"), "error", F.col("error").isNotNull().alias("failed"),
+        )
+        done.write.mode("overwrite").partitionBy("failed").parquet(f"{folder}/batch_id={batch_id}")
 
     return run
 

@@ -63,9 +63,11 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
                 pieces = pieces.unionByName(
                     waiting.join(sessions.select(*keys, "rows_total"), keys, "left")
                 )
+            pieces = pieces.persist()
             frames = join_pieces(pieces.where(released()), keys)
             frames.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             _store(pieces.where(~released()).drop("rows_total"), state, "pieces", batch_id)
+            pieces.unpersist()
         finally:
             packets.unpersist()
 
