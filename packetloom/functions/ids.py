@@ -101,13 +101,12 @@ def business_key_iso(device, ts, seq):
 def parse_business_key(key):
     """Struct (device_id, timestamp, sequence), or null when the key is not one."""
     k = _name(key)
-    parts = f"split({k}, ':', -1)"
+    device, ms, seq = (f"split_part({k}, ':', {n})" for n in (1, 2, 3))
     return F.expr(
-        f"CASE WHEN size({parts}) = 3 AND {parts}[0] <> '' AND {parts}[2] <> ''"
-        f" AND {parts}[1] RLIKE '^[+-]?[0-9]+$'"
-        f" AND try_cast({parts}[1] AS BIGINT) IS NOT NULL THEN named_struct("
-        f"'device_id', {parts}[0], 'timestamp', try_cast({parts}[1] AS BIGINT),"
-        f" 'sequence', {parts}[2]) END"
+        f"CASE WHEN size(split({k}, ':', -1)) = 3 AND {device} <> '' AND {seq} <> ''"
+        f" AND {ms} RLIKE '^[+-]?[0-9]+$' AND try_cast({ms} AS BIGINT) IS NOT NULL"
+        f" THEN named_struct('device_id', {device}, 'timestamp', try_cast({ms} AS BIGINT),"
+        f" 'sequence', {seq}) END"
     )
 
 

@@ -222,24 +222,20 @@ def _le16_hex(v):
 
 
 @query(
-    """SELECT event_id, user_id % 24 AS read_line, event_id % 16 AS trig,
-       array_to_string(
-         [(event_id * 31 + j * 7919) % 65536 - 32768 for j in range(96)], ', ') AS samples FROM events"""
+    """WITH bytes AS (SELECT event_id, user_id,
+  sha256('0:' || event_id) || sha256('1:' || event_id) || sha256('2:' || event_id)
+  || sha256('3:' || event_id) || sha256('4:' || event_id) || sha256('5:' || event_id) AS h FROM events),
+numbers AS (SELECT event_id, user_id, [CAST('0x' || substr(h, 4 * j + 3, 2) || substr(h, 4 * j + 1, 2) AS INT)
+  for j in range(96)] AS u FROM bytes)
+SELECT event_id, user_id % 24 AS read_line, event_id % 16 AS trig,
+       array_to_string([CASE WHEN v >= 32768 THEN v - 65536 ELSE v END for v in u], ', ') AS samples FROM numbers"""
 )
 def packet_decode(spark, sf_dir):
-    numbers = F.transform(
-        F.sequence(F.lit(0), F.lit(95)),
-        lambda j: _le16_hex((F.col("event_id") * 31 + j * 7919) % 65536 - 32768),
-    )
+    """Raw packets of two header bytes and 192 hashed bytes."""
+    body = [F.sha2(F.concat(F.lit(f"{k}:"), F.col("event_id").cast("string")), 256) for k in range(6)]
+    head = [F.lpad(F.hex(F.col(c) % n), 2, "0") for c, n in (("user_id", 24), ("event_id", 16))]
     raw = table(spark, sf_dir, "events").select(
-        "event_id",
-        F.unhex(
-            F.concat(
-                F.lpad(F.hex(F.col("user_id") % 24), 2, "0"),
-                F.lpad(F.hex(F.col("event_id") % 16), 2, "0"),
-                F.array_join(numbers, ""),
-            )
-        ).alias("packet"),
+        "event_id", F.unhex(F.concat(*head, *body)).alias("packet")
     )
     return packets.decode_packets(raw).select(
         "event_id", F.col("read_line").cast("bigint"), F.col("trig").cast("bigint"),
