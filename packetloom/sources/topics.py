@@ -81,13 +81,13 @@ def transform_messages(messages: DataFrame, fn, value: str = "value") -> DataFra
 def read_files(spark, path: str, limit: int = MAX_MESSAGE_BYTES) -> DataFrame:
     """Files as (path, name, length, verdict); the contents are not read.
 
-    Use ``file_messages`` for the contents of the accepted ones.
+    The verdict is ``ok`` or ``too_large``; empty files are skipped, Spark's file
+    source does not list them. ``file_messages`` reads the accepted ones.
     """
     files = spark.read.format("binaryFile").load(path)
     return files.select(
         "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length",
-        F.when(F.col("length") == 0, "empty")
-        .when(F.col("length") > limit, "too_large").otherwise("ok").alias("verdict"),
+        F.when(F.col("length") > limit, "too_large").otherwise("ok").alias("verdict"),
     )
 
 
