@@ -111,12 +111,15 @@ def parse_business_key(key):
 
 
 def parse_display_name(name, default_db=0):
-    """Struct (db, key) from ``db{n}:{key}``; otherwise (default_db, name)."""
+    """Struct (db, key) from ``db{n}:{key}``; otherwise (default_db, name).
+
+    The key is one line; a line break at the very end is not part of it.
+    """
     n = _name(name)
-    prefix = f"regexp_extract({n}, '^db([0-9]+):.', 1)"
+    db, key = (f"regexp_extract({n}, '^db([0-9]+):([^\\\\n]+)\\\\n?$', {g})" for g in (1, 2))
     return F.expr(
-        f"CASE WHEN {prefix} <> '' THEN named_struct('db', CAST({prefix} AS INT),"
-        f" 'key', substr({n}, length({prefix}) + 4))"
+        f"CASE WHEN try_cast({db} AS INT) IS NOT NULL"
+        f" THEN named_struct('db', try_cast({db} AS INT), 'key', {key})"
         f" ELSE named_struct('db', {int(default_db)}, 'key', {n}) END"
     )
 

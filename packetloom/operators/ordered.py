@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 CHUNK = "chunk"
 CHUNK_ROWS = 1 << 20
-# Largest limit for which Spark pre-filters each map task's rows (its default).
-GROUP_LIMIT = 1000
+# Up to this many rows per key are cut in the map tasks. One task then takes what
+# every map task keeps of a key, so the limit stays well under Spark's own (1000).
+GROUP_LIMIT = 256
 
 
 def whole_steps(value, width):
@@ -77,10 +78,11 @@ def first_n(df: DataFrame, keys, order, n: int, newest: bool = False) -> DataFra
     """The first (or newest) ``n`` rows of every key.
 
     For small ``n`` each map task keeps ``n`` rows per key before the shuffle.
-    A larger ``n`` goes through chunked numbering and needs a ``chunk`` column.
+    A larger ``n`` goes through chunked numbering and needs a ``chunk`` column
+    that never falls as ``order`` rises.
     """
     order = [order] if isinstance(order, str) else list(order)
-    if n < GROUP_LIMIT:
+    if n <= GROUP_LIMIT:
         ends = [F.col(c).desc() if newest else F.col(c) for c in order]
         w = Window.partitionBy(*keys).orderBy(*ends)
         return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

@@ -6,6 +6,8 @@ A packet row has the session keys, a unique whole-number arrival column, its
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,11 +55,14 @@ def trigger_pos(trig):
     return F.when(place > 0, place.cast("int") - 1)
 
 
-def reject_unknown(packets: DataFrame) -> DataFrame:
-    """Packets whose trigger line is not in the scan order, with a reason."""
-    return packets.where(trigger_pos("trig").isNull()).withColumn(
-        "reason", F.lit("unknown trigger line")
+def reject_unknown(packets: DataFrame, keys=("device", "session"), order: str = "seq") -> DataFrame:
+    """Packets ``track`` cannot place, with a reason: a missing session key or
+    arrival number, or a trigger line that is not in the scan order."""
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in (*keys, order)])
+    reason = F.when(missing, "missing session key or order").when(
+        trigger_pos("trig").isNull(), "unknown trigger line"
     )
+    return packets.withColumn("reason", reason).where("reason IS NOT NULL")
 
 
 def _lost(pos, prev, mode):

@@ -21,11 +21,12 @@ from packetloom.functions.ids import (
     second_to_local,
     stream_key,
 )
-from packetloom.operators.ordered import first_n, running_number
+from packetloom.operators.ordered import first_n, running_number, with_chunk
 
 # Default read window and poll size.
 DEFAULT_WINDOW_MS = 8_640_000
 POLL_COUNT = 100
+HOUR_MS = 3_600_000
 ID = ["id_ms", "id_seq"]
 
 
@@ -112,14 +113,20 @@ def log_records(values: DataFrame, device="device", device_id="device_id", char=
     )
 
 
+def _first_ids(log, count, newest):
+    # entries of one stream within an hour make a chunk
+    out = first_n(with_chunk(log, "id_ms", HOUR_MS), ["stream_key"], ID, count, newest)
+    return out.drop("chunk")
+
+
 def bounded_batch(log: DataFrame, count: int = POLL_COUNT) -> DataFrame:
     """The first ``count`` entries of every stream in id order."""
-    return first_n(log, ["stream_key"], ID, count)
+    return _first_ids(log, count, newest=False)
 
 
 def trim_newest(log: DataFrame, count: int) -> DataFrame:
     """The newest ``count`` entries of every stream."""
-    return first_n(log, ["stream_key"], ID, count, newest=True)
+    return _first_ids(log, count, newest=True)
 
 
 def group_read(log: DataFrame, deliveries: DataFrame, group: str, count: int = POLL_COUNT) -> DataFrame:
@@ -184,10 +191,13 @@ def replicate_outcomes(source: DataFrame, target: DataFrame, prefix: str = "") -
     """Every source entry tagged ``synced`` (new), ``skipped`` (held) or ``failed`` (no id)."""
     rows = source.withColumn("stream_key", prefixed("stream_key", prefix))
     held = target.select("stream_key", "message_id").distinct().withColumn("held", F.lit(True))
-    return rows.join(held, ["stream_key", "message_id"], "left").withColumn(
-        "outcome",
-        F.when(F.col("message_id").isNull(), "failed").when(F.col("held"), "skipped").otherwise("synced"),
-    ).drop("held")
+    # rows without an id match nothing and would all meet in one task of the join
+    whole = rows.where(F.col("message_id").isNotNull()).join(
+        held, ["stream_key", "message_id"], "left"
+    )
+    tagged = whole.withColumn("outcome", F.when(F.col("held"), "skipped").otherwise("synced"))
+    lost = rows.where(F.col("message_id").isNull()).withColumn("outcome", F.lit("failed"))
+    return tagged.drop("held").unionByName(lost)
 
 
 def replication_counts(outcomes: DataFrame, by=("stream_key",)) -> DataFrame:

@@ -45,7 +45,8 @@ def test_iso_key(spark):
 @pytest.mark.parametrize(
     "name, want",
     [("db3:a:b", (3, "a:b")), ("db12:x", (12, "x")), ("plain", (0, "plain")), ("db:x", (0, "db:x")),
-     ("db3:", (0, "db3:")), ("xdb3:y", (0, "xdb3:y"))],
+     ("db3:", (0, "db3:")), ("xdb3:y", (0, "xdb3:y")), ("db1:a\nb", (0, "db1:a\nb")), ("db1:a\n", (1, "a")),
+     ("db99999999999:k", (0, "db99999999999:k"))],
 )
 def test_display_name_parse(spark, name, want):
     assert tuple(one(spark, name, "string", ids.parse_display_name("x"))) == want

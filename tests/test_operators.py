@@ -98,6 +98,14 @@ def test_tail_and_group_read(spark):
     assert values(streamlog.group_read(df, seen, "other", 1)) == ["a", "c"]
 
 
+def test_large_batches_go_through_chunks(spark):
+    rows = [("s", f"{i * 1_000_000}-{i % 3}", i, str(i)) for i in range(300)]
+    df = log(spark, rows + [("t", "5-0", 999, "t")])
+    got = {int(r.value) for r in streamlog.trim_newest(df, 290).where("stream_key = 's'").collect()}
+    assert got == set(range(10, 300))
+    assert streamlog.bounded_batch(df, 290).where("stream_key = 't'").count() == 1
+
+
 def test_replication(spark):
     df = log(spark, [("s", "1-0", 1, "a"), ("s", "2-0", 2, "b"), ("s", None, 3, "c")])
     target = log(spark, [("p:s", "1-0", 1, "a"), ("p:s", "1-0", 9, "a")])

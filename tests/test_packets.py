@@ -80,8 +80,9 @@ def test_gap_rows_come_before_the_packet(spark):
 
 
 def test_unknown_triggers_go_to_a_side_frame(spark):
-    df = make(spark, session([0, 99, 4]))
-    assert [r.seq for r in packets.reject_unknown(df).collect()] == [1]
+    df = make(spark, session([0, 99, 4]) + [(None, "s", 7, 0)])
+    got = {r.seq: r.reason for r in packets.reject_unknown(df).collect()}
+    assert got == {1: "unknown trigger line", 7: "missing session key or order"}
 
 
 def test_deinterleave_order(spark):
