@@ -20,27 +20,37 @@ BATCH_SAMPLES = 375
 DUMP_SAMPLES = 64
 
 
-def frame_pieces(tracked: DataFrame, keys=("device", "session")) -> DataFrame:
-    """Each packet's rows cut at frame edges: (keys, frame_id, first_row, rows).
-
-    A packet touches one or two frames, more only when it closes a gap, so far
-    fewer records are shuffled than with one record per row.
-    """
+def _placed_rows(tracked, keep):
+    """Each packet with its gap and real rows and the frames they touch, one
+    record per frame plus, when ``keep`` holds, one record for the packet itself."""
     n_gap = (F.col("row_end") - F.col("row_start") - COLUMNS_PER_PACKET).cast("int")
-    rows = F.concat(F.array_repeat(lost_row(), n_gap), deinterleaved())
     first = whole_steps(F.col("row_start"), FRAME_ROWS)
     last = whole_steps(F.col("row_end") - 1, FRAME_ROWS)
-    cut = tracked.select(
-        *keys, "row_start", "rows_total", rows.alias("rows"),
-        F.explode(F.sequence(first, last)).alias("frame_id"),
+    others = [c for c in tracked.columns if c != "pressure"]
+    return tracked.select(
+        *others,
+        last.alias("last_frame"),
+        F.concat(F.array_repeat(lost_row(), n_gap), deinterleaved()).alias("all_rows"),
+        F.explode(F.sequence(first, F.when(keep, last + 1).otherwise(last))).alias("frame_id"),
     )
+
+
+def _piece():
+    """First row and rows of the part of a packet that lies in ``frame_id``."""
     begin = F.greatest(F.col("frame_id") * FRAME_ROWS, F.col("row_start"))
     skip = (begin - F.col("row_start")).cast("int")
     room = ((F.col("frame_id") + 1) * FRAME_ROWS - begin).cast("int")
-    return cut.select(
-        *keys, "frame_id", "rows_total", begin.alias("first_row"),
-        F.slice("rows", skip + 1, room).alias("rows"),
-    )
+    return begin.alias("first_row"), F.slice("all_rows", skip + 1, room).alias("rows")
+
+
+def frame_pieces(tracked: DataFrame, keys=("device", "session")) -> DataFrame:
+    """Each packet's rows cut at frame edges: (keys, frame_id, first_row, rows).
+
+    A packet touches one or two frames, more only when it closes a gap, so far
+    fewer records are shuffled than with one record per row.
+    """
+    cut = _placed_rows(tracked, F.lit(False))
+    return cut.select(*keys, "frame_id", "rows_total", *_piece())
 
 
 def released(frame_id="frame_id", rows_total="rows_total"):
@@ -48,12 +58,15 @@ def released(frame_id="frame_id", rows_total="rows_total"):
     return F.col(frame_id) < whole_steps(F.col(rows_total) - 1, FRAME_ROWS)
 
 
+def _whole(pieces):
+    """One frame from its collected pieces."""
+    return F.flatten(F.sort_array(pieces)["rows"])
+
+
 def join_pieces(pieces: DataFrame, keys=("device", "session")) -> DataFrame:
     """Pieces to frames; a group never exceeds the 15 rows of one frame."""
-    parts = F.sort_array(F.collect_list(F.struct("first_row", "rows")))
-    return pieces.groupBy(*keys, "frame_id").agg(
-        F.flatten(parts["rows"]).alias("frame")
-    )
+    parts = F.collect_list(F.struct("first_row", "rows"))
+    return pieces.groupBy(*keys, "frame_id").agg(_whole(parts).alias("frame"))
 
 
 def assemble(tracked: DataFrame, keys=("device", "session")) -> DataFrame:
@@ -67,23 +80,38 @@ def shown_frame(rows):
     return F.greatest(whole_steps(F.col(rows) - 1, FRAME_ROWS) - 1, F.lit(-1).cast("bigint"))
 
 
-def frame_per_packet(tracked: DataFrame, frames: DataFrame, keys=("device", "session")) -> DataFrame:
+def _shown_with(tracked, keys, keep):
+    keys = list(keys)
+    others = [c for c in tracked.columns if c not in ("pressure", *keys)]
+    cut = _placed_rows(tracked, keep)
+    is_packet = F.col("frame_id") > F.col("last_frame")
+    records = cut.where(is_packet | released()).select(
+        *keys,
+        F.when(is_packet, shown_frame("row_end")).otherwise(F.col("frame_id")).alias("frame_id"),
+        F.when(~is_packet, F.struct(*_piece())).alias("piece"),
+        F.when(is_packet, F.struct(*others)).alias("packet"),
+    )
+    frames = records.groupBy(*keys, "frame_id").agg(
+        _whole(F.collect_list("piece")).alias("frame"), F.collect_list("packet").alias("packets")
+    )
+    return frames.select(*keys, "frame_id", "frame", F.explode("packets").alias("p")).select(
+        *keys, *[f"p.{c}" for c in others], "frame_id", "frame"
+    )
+
+
+def frame_per_packet(tracked: DataFrame, keys=("device", "session")) -> DataFrame:
     """Every packet with the newest frame it could see; an empty frame before the first.
 
-    Row counts give the frame number directly, so this is a plain equality join
-    on (keys, frame_id) and no key of it repeats more than a few times.
+    Row counts give the frame's number directly, so the packets travel to their
+    frame in the same shuffle as the frame's pieces: no join and no second pass
+    over the packets. At most four packets show the same frame.
     """
-    packets = tracked.drop("pressure").withColumn("frame_id", shown_frame("row_end"))
-    empty = F.array().cast("array<array<int>>")
-    return packets.join(frames, [*keys, "frame_id"], "left").withColumn(
-        "frame", F.coalesce("frame", empty)
-    )
+    return _shown_with(tracked, keys, F.lit(True))
 
 
-def new_frames(tracked: DataFrame, frames: DataFrame, keys=("device", "session")) -> DataFrame:
+def new_frames(tracked: DataFrame, keys=("device", "session")) -> DataFrame:
     """Only the packets that release a frame they are the first to show."""
-    fresh = tracked.where(shown_frame("row_end") > shown_frame("row_start"))
-    return frame_per_packet(fresh, frames, keys)
+    return _shown_with(tracked, keys, shown_frame("row_end") > shown_frame("row_start"))
 
 
 def frame_text(frame="frame"):

@@ -25,7 +25,10 @@ def point_lookup(kv: DataFrame, key: str, db: int | None = None) -> DataFrame:
 
 
 def lookup(requests: DataFrame, kv: DataFrame, on=KEY) -> DataFrame:
-    """Bulk lookup: every request, with a null value where the key is absent."""
+    """Bulk lookup: every request, with a null value where the key is absent.
+
+    ``kv`` holds one row per key (``latest_per_key``).
+    """
     return requests.join(kv.select(*on, "redis_value"), list(on), "left")
 
 

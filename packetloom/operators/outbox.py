@@ -65,14 +65,20 @@ def position_index(sent: DataFrame) -> DataFrame:
 
 
 def position_lookup(requests: DataFrame, index: DataFrame, content: DataFrame) -> DataFrame:
-    """(topic, partition, offset) → key → cached value; null where one is missing."""
+    """(topic, partition, offset) → key → cached value; null where one is missing.
+
+    ``index`` holds one row per position and ``content`` one per key.
+    """
     at = ["topic", "partition", "offset"]
     found = requests.join(index.select(*at, F.col("content_key").alias("key")), at, "left")
     return found.join(content.select("key", "value"), "key", "left")
 
 
 def cached_or_own(messages: DataFrame, cache: DataFrame) -> DataFrame:
-    """The cached value of each message's key, else the message's own value."""
+    """The cached value of each message's key, else the message's own value.
+
+    ``cache`` holds one row per key.
+    """
     c = cache.select("key", F.col("value").alias("cached"), F.lit(True).alias("found"))
     out = messages.join(c, "key", "left")
     return out.withColumns(

@@ -88,7 +88,7 @@ def _known(packets, mode):
 def _inside(packets, keys, order, mode):
     """Steps within a chunk: previous place, loss, running loss and gap rows.
 
-    Counts from the chunk's start and ignores the start gate; ``_carry`` holds
+    Counts from the chunk's start and ignores the start gate; ``chunk_carry`` holds
     what has to be added or taken off per chunk.
     """
     along = Window.partitionBy(*keys, CHUNK).orderBy(order)
@@ -123,7 +123,8 @@ def _chunk_summary(packets, keys, order, mode):
     )
 
 
-def _carry(packets, keys, order, mode, start=None):
+def chunk_carry(packets: DataFrame, keys, order: str, mode: str = "reference",
+                start: DataFrame | None = None) -> DataFrame:
     """What each chunk inherits from the chunks before it, and session totals.
 
     ``start`` holds the state of sessions that began in an earlier batch (the
@@ -197,7 +198,8 @@ def _carry(packets, keys, order, mode, start=None):
 
 
 def track(packets: DataFrame, keys=("device", "session"), order: str = "seq",
-          mode: str = "reference", start: DataFrame | None = None) -> DataFrame:
+          mode: str = "reference", start: DataFrame | None = None,
+          carry: DataFrame | None = None) -> DataFrame:
     """Start gate, packet loss and row positions of every packet.
 
     Packets before a session's first trigger 0 and packets with an unknown
@@ -213,14 +215,15 @@ def track(packets: DataFrame, keys=("device", "session"), order: str = "seq",
     ``mode`` is ``reference`` (distance in the scan order), ``modular``
     (true distance over a cycle) or ``off`` (no loss, any trigger).
 
-    Packets are shuffled and sorted once, by (keys, chunk, order).
+    Packets are shuffled and sorted once, by (keys, chunk, order). ``carry`` is
+    the ``chunk_carry`` of the same packets, for a caller that has it already.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     keys = list(keys)
-    carry = _carry(packets, keys, order, mode, start).drop(
-        "last_pos", "loss_total", "packets_total"
-    )
+    if carry is None:
+        carry = chunk_carry(packets, keys, order, mode, start)
+    carry = carry.drop("last_pos", "loss_total", "packets_total")
     gate = F.col("gate")
     lost = (
         F.when(F.col(order) == gate, 0).when(F.col("i") == 1, F.col("edge")).otherwise(F.col("step"))
@@ -244,13 +247,10 @@ def track(packets: DataFrame, keys=("device", "session"), order: str = "seq",
     )
 
 
-def end_state(packets: DataFrame, keys=("device", "session"), order: str = "seq",
-              mode: str = "reference", start: DataFrame | None = None) -> DataFrame:
-    """State of every opened session after its last packet: one row per session
-    with ``last_pos, loss_total, rows_total, packets_total``."""
-    keys = list(keys)
-    carry = _carry(packets, keys, order, mode, start).where("ever_open")
-    return carry.groupBy(*keys).agg(
+def end_state(carry: DataFrame, keys=("device", "session")) -> DataFrame:
+    """State of every opened session after its last packet, from ``chunk_carry``:
+    one row per session with ``last_pos, loss_total, rows_total, packets_total``."""
+    return carry.where("ever_open").groupBy(*keys).agg(
         F.max_by("last_pos", CHUNK).cast("int").alias("last_pos"),
         F.max("loss_total").alias("loss_total"),
         F.max("rows_total").alias("rows_total"),

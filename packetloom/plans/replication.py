@@ -288,12 +288,12 @@ def kv_latest(spark, sf_dir):
 
 
 @query(KV + """ SELECT redis_db, redis_key, coalesce(redis_value, '') AS redis_value FROM kv
-WHERE arrival % 3 <> 0 AND (redis_db, redis_key) NOT IN (SELECT (redis_db, redis_key) FROM kv WHERE arrival % 97 = 0)
+WHERE (redis_db, redis_key) NOT IN (SELECT (redis_db, redis_key) FROM kv WHERE arrival % 97 = 0)
 QUALIFY row_number() OVER (PARTITION BY redis_db, redis_key ORDER BY arrival) = 1""")
 def kv_once(spark, sf_dir):
     pairs = kv(spark, sf_dir)
     done = pairs.where("arrival % 97 = 0")
-    return keyvalues.copy_once(pairs.where("arrival % 3 <> 0"), done).select(*PAIR)
+    return keyvalues.copy_once(pairs, done).select(*PAIR)
 
 
 @query(KV + """ SELECT redis_db, redis_key, coalesce(redis_value, '') AS redis_value FROM kv

@@ -104,8 +104,7 @@ def _with_sum(shown):
   LEFT JOIN sums s ON s.device = t.device AND s.frame_id = t.frame_id"""
 )
 def frame_per_packet(spark, sf_dir):
-    t = tracked(spark, sf_dir)
-    return _with_sum(frames.frame_per_packet(t, frames.assemble(t, KEYS), KEYS))
+    return _with_sum(frames.frame_per_packet(tracked(spark, sf_dir), KEYS))
 
 
 @query(
@@ -118,8 +117,7 @@ def frame_per_packet(spark, sf_dir):
   WHERE t.frame_id > coalesce(t.before, -1)"""
 )
 def new_frames(spark, sf_dir):
-    t = tracked(spark, sf_dir)
-    return _with_sum(frames.new_frames(t, frames.assemble(t, KEYS), KEYS))
+    return _with_sum(frames.new_frames(tracked(spark, sf_dir), KEYS))
 
 
 @query(

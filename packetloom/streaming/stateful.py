@@ -22,7 +22,7 @@ from packetloom.operators.frames import (
     released,
 )
 from packetloom.operators.ordered import CHUNK_ROWS, running_number, whole_steps, with_chunk
-from packetloom.operators.packets import end_state, track
+from packetloom.operators.packets import chunk_carry, end_state, track
 
 
 def _slot(folder, batch_id):
@@ -48,18 +48,18 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
 
     def run(batch, batch_id):
         spark = batch.sparkSession
-        packets = with_chunk(batch, order, chunk_rows).persist()
+        packets = with_chunk(batch, order, chunk_rows)
+        before = _load(spark, state, "sessions", batch_id)
+        waiting = _load(spark, state, "pieces", batch_id)
+        carry = chunk_carry(packets, keys, order, mode, before).persist()
+        pieces = frame_pieces(track(packets, keys, order, mode, carry=carry), keys)
         try:
-            before = _load(spark, state, "sessions", batch_id)
-            waiting = _load(spark, state, "pieces", batch_id)
-            now = end_state(packets, keys, order, mode, before)
+            now = end_state(carry, keys)
             if before is not None:
                 now = now.unionByName(before.join(now.select(*keys), keys, "left_anti"))
             _store(now, state, "sessions", batch_id)
-            sessions = spark.read.parquet(f"{_slot(state, batch_id)}/sessions")
-
-            pieces = frame_pieces(track(packets, keys, order, mode, before), keys)
             if waiting is not None:
+                sessions = spark.read.parquet(f"{_slot(state, batch_id)}/sessions")
                 pieces = pieces.unionByName(
                     waiting.join(sessions.select(*keys, "rows_total"), keys, "left")
                 )
@@ -67,9 +67,9 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
             frames = join_pieces(pieces.where(released()), keys)
             frames.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             _store(pieces.where(~released()).drop("rows_total"), state, "pieces", batch_id)
-            pieces.unpersist()
         finally:
-            packets.unpersist()
+            pieces.unpersist()
+            carry.unpersist()
 
     return run
 

@@ -135,7 +135,7 @@ def test_matches_the_procedure(spark, mode, seed, width):
         made.setdefault((r.device, r.session), []).append([list(x) for x in r.frame])
     assert made == {k: m.frames for k, m in machines.items() if m.frames}
 
-    shown = frames.frame_per_packet(t, frames.assemble(t, KEYS), KEYS).collect()
+    shown = frames.frame_per_packet(t, KEYS).collect()
     by_packet = {(r.device, r.session, r.seq): [list(x) for x in r.frame] for r in shown}
     assert by_packet == {(*k, s): f for k, m in machines.items() for s, _, _, f in m.seen}
     t.unpersist()
@@ -144,7 +144,7 @@ def test_matches_the_procedure(spark, mode, seed, width):
 def test_new_frames_only_when_the_shown_frame_changes(spark):
     rows = random_sessions(5)
     t = packets.track(make(spark, rows, 9), KEYS, "seq")
-    got = {(r.device, r.session, r.seq) for r in frames.new_frames(t, frames.assemble(t, KEYS), KEYS).collect()}
+    got = {(r.device, r.session, r.seq) for r in frames.new_frames(t, KEYS).collect()}
     want = set()
     for key, m in brute(rows, "reference").items():
         last = []
@@ -174,7 +174,7 @@ def test_end_state_continues_in_a_second_batch(spark):
     whole = packets.track(make(spark, rows, 11), KEYS, "seq")
     first = make(spark, [r for r in rows if r[2] <= 40], 11)
     second = make(spark, [r for r in rows if r[2] > 40], 11)
-    state = packets.end_state(first, KEYS, "seq")
+    state = packets.end_state(packets.chunk_carry(first, KEYS, "seq"), KEYS)
     rest = packets.track(second, KEYS, "seq", start=state)
     cols = ["device", "session", "seq", "packet_no", "lost", "loss_total", "row_start", "row_end"]
     want = {tuple(r) for r in whole.where("seq > 40").select(*cols).collect()}

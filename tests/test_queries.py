@@ -44,3 +44,12 @@ def test_entry(spark):
 
 def test_only_known_queries_lack_sql():
     assert set(entry.queries()) - set(entry.oracle_sql()) == {"binary_files"}
+
+
+@pytest.mark.parametrize("name", ["event_time", "key_build", "session_path", "range_scan", "ttl_live", "stored_log_scan"])
+def test_session_zone_does_not_matter(spark, db, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        test_query(spark, db, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
