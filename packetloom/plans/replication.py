@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from packetloom.functions import ids
 from packetloom.operators import keyvalues, outbox, streamlog
-from packetloom.operators.ordered import first_n, with_chunk
+from packetloom.operators.ordered import first_n, with_chunk, with_hot_chunks
 from packetloom.plans import views
 from packetloom.plans.registry import query
 from packetloom.plans.views import table, with_sql
@@ -98,7 +98,8 @@ def trim_newest(spark, sf_dir):
   row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS rn FROM events)
 WHERE rn <= 1500""")
 def trim_newest_many(spark, sf_dir):
-    e = with_chunk(table(spark, sf_dir, "events").select("event_type", "event_id"), "event_id")
+    e = table(spark, sf_dir, "events").select("event_type", "event_id")
+    e = with_hot_chunks(e, ["event_type"], "event_id")
     return first_n(e, ["event_type"], "event_id", 1500, newest=True).drop("chunk")
 
 
@@ -123,7 +124,9 @@ FROM (SELECT event_id, event_type, epoch_us(ts) // 1000 AS ms,
              row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events)""")
 def seq_per_device(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "event_type", views.epoch_ms("ts").alias("ms"))
-    out = streamlog.with_business_key(with_chunk(e, "event_id"), "event_type", "ms", "event_id")
+    out = streamlog.with_business_key(
+        with_hot_chunks(e, ["event_type"], "event_id"), "event_type", "ms", "event_id"
+    )
     return out.select("event_id", "sequence", "business_key")
 
 

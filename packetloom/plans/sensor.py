@@ -8,7 +8,7 @@ from packetloom.functions.binary import float32_at
 from packetloom.functions.filters import filter_frame, reshape_frame
 from packetloom.functions.payloads import join_samples, split_samples
 from packetloom.operators import devices, frames, packets
-from packetloom.operators.ordered import with_chunk
+from packetloom.operators.ordered import with_hot_chunks
 from packetloom.plans import views
 from packetloom.plans.registry import query
 from packetloom.plans.views import table, with_sql
@@ -146,7 +146,7 @@ def _samples(spark, sf_dir, device):
     e = table(spark, sf_dir, "events").select(
         F.col(device).alias("device"), "event_id", views.cents("value").alias("v")
     )
-    return with_chunk(e, "event_id")
+    return with_hot_chunks(e, ["device"], "event_id")
 
 
 def _batch_summary(batches):

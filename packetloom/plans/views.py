@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from packetloom.functions.ids import epoch_ms, make_id
-from packetloom.operators.ordered import running_number, with_chunk
+from packetloom.operators.ordered import running_number, with_hot_chunks
 from packetloom.operators.packets import TRIGGER_ORDER
 
 
@@ -50,7 +50,9 @@ def replayed_log(spark, sf_dir):
 def packets(spark, sf_dir, width=1 << 20):
     """Events as pressure packets of one device per user, one in seven lost."""
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("device"), "event_id")
-    numbered = running_number(with_chunk(e, "event_id", width), ["device"], "event_id", "seq")
+    numbered = running_number(
+        with_hot_chunks(e, ["device"], "event_id", width), ["device"], "event_id", "seq"
+    )
     order = F.array(*[F.lit(t) for t in TRIGGER_ORDER[:15]])
     return numbered.where("event_id % 7 <> 3").withColumns(
         {

@@ -16,11 +16,19 @@ def values(df, col="value"):
     return sorted(r[col] for r in df.collect())
 
 
-@pytest.mark.parametrize("width", [1, 3, 1 << 20])
-def test_numbering_with_a_hot_key(spark, width):
+@pytest.mark.parametrize("width", [1, 3, 100, 1 << 20])
+@pytest.mark.parametrize("hot_only", [False, True])
+def test_numbering_with_a_hot_key(spark, width, hot_only):
     rng = random.Random(width)
     rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(5)}", n) for n in rng.sample(range(-300, 2000), 500)]
-    df = ordered.with_chunk(spark.createDataFrame(rows, "k string, n bigint").repartition(5), "n", width)
+    df = spark.createDataFrame(rows, "k string, n bigint").repartition(5)
+    if hot_only:
+        df = ordered.with_hot_chunks(df, ["k"], "n", width)
+        most = df.groupBy("k").agg(F.countDistinct("chunk").alias("c"))
+        cut = {r.k for r in most.where("c > 1").collect()}
+        assert cut <= {k for k in {k for k, _ in rows} if sum(k == x for x, _ in rows) > width}
+    else:
+        df = ordered.with_chunk(df, "n", width)
     got = {(r.k, r.n): (r.i, r.total) for r in ordered.running_number(df, ["k"], "n", "i", "total").collect()}
     for key in {k for k, _ in rows}:
         mine = sorted(n for k, n in rows if k == key)
