@@ -51,8 +51,9 @@ def decode_packets(raw: DataFrame, col: str = "packet") -> DataFrame:
 
 def trigger_pos(trig):
     """0-based place in the scan order; null for an unknown trigger line."""
-    place = F.array_position(F.array(*[F.lit(t) for t in TRIGGER_ORDER]), F.col(trig).cast("int"))
-    return F.when(place > 0, place.cast("int") - 1)
+    order = ", ".join(map(str, TRIGGER_ORDER))
+    place = f"CAST(array_position(array({order}), CAST(`{trig}` AS INT)) AS INT)"
+    return F.expr(f"CASE WHEN {place} > 0 THEN {place} - 1 END")
 
 
 def reject_unknown(packets: DataFrame, keys=("device", "session"), order: str = "seq") -> DataFrame:
@@ -277,9 +278,9 @@ def deinterleaved(samples="pressure"):
 
     def row(c):
         places = [c * ROW_WIDTH + (i % 6) * COLUMNS_PER_PACKET + i // 6 for i in range(ROW_WIDTH)]
-        return F.transform(F.array(*[F.lit(p) for p in places]), lambda p: F.get(samples, p))
+        return f"transform(array({', '.join(map(str, places))}), p -> get(`{samples}`, p))"
 
-    return F.array(*[row(c) for c in range(COLUMNS_PER_PACKET)])
+    return F.expr(f"array({', '.join(row(c) for c in range(COLUMNS_PER_PACKET))})")
 
 
 def packet_rows(packets: DataFrame, keep=("device", "session", "seq")) -> DataFrame:

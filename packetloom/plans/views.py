@@ -53,12 +53,12 @@ def packets(spark, sf_dir, width=1 << 20):
     numbered = running_number(
         with_hot_chunks(e, ["device"], "event_id", width), ["device"], "event_id", "seq"
     )
-    order = F.array(*[F.lit(t) for t in TRIGGER_ORDER[:15]])
+    order = F.expr(f"array({', '.join(map(str, TRIGGER_ORDER[:15]))})")
     return numbered.where("event_id % 7 <> 3").withColumns(
         {
             "trig": F.get(order, (F.col("seq") % 15).cast("int")),
             "pressure": F.transform(
-                F.array(*[F.lit(j * 17) for j in range(96)]),
+                F.expr(f"array({', '.join(str(j * 17) for j in range(96))})"),
                 lambda step: ((F.col("event_id") * 31 + step) % 1000 - 100).cast("int"),
             ),
         }

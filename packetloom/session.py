@@ -21,6 +21,8 @@ def local_session(app="packetloom", cpus="8", shuffle_partitions="8", **conf):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
+        # no call-site capture for every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # small test tables: keep all cores busy after a shuffle
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
