@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 
 from packetloom.functions.ids import id_rank, rank_to_id
 
-# Fixed value: more pending entries than this degrade a stream.
+# More pending entries than this degrade a stream; texts of the reports.
 PENDING_LIMIT = 100
+ABSENT = "Stream does not exist"
+EMPTY = "Stream is empty"
+NO_CONSUMERS = "Consumer group '%s' has no consumers"
+HIGH_PENDING = "Consumer group '%s' has high pending count: %d"
+VALID_EMPTY = "Stream exists but is empty"
+VALID = "Stream is valid"
 GROUP = ["stream_key", "grp"]
 
 
@@ -61,13 +67,11 @@ def group_stats(deliveries: DataFrame) -> DataFrame:
 
 def group_issues(groups: DataFrame) -> DataFrame:
     """One row per problem of a group: (stream_key, grp, issue)."""
-    name = F.concat(F.lit("Consumer group '"), "grp")
     problems = F.array_compact(
         F.array(
-            F.when(F.col("consumers") == 0, F.concat(name, F.lit("' has no consumers"))),
+            F.when(F.col("consumers") == 0, F.format_string(NO_CONSUMERS, "grp")),
             F.when(
-                F.col("pending") > PENDING_LIMIT,
-                F.concat(name, F.lit("' has high pending count: "), F.col("pending").cast("string")),
+                F.col("pending") > PENDING_LIMIT, F.format_string(HIGH_PENDING, "grp", "pending")
             ),
         )
     )
@@ -115,8 +119,8 @@ def stream_issues(configured: DataFrame, stats: DataFrame, groups: DataFrame) ->
     )
     own = known.select(
         "stream_key", F.lit(None).cast("string").alias("grp"),
-        F.when(F.col("length").isNull(), "Stream does not exist")
-        .when(F.col("length") == 0, "Stream is empty").alias("issue"),
+        F.when(F.col("length").isNull(), ABSENT)
+        .when(F.col("length") == 0, EMPTY).alias("issue"),
     ).where("issue IS NOT NULL")
     found = known.where("length IS NOT NULL").select("stream_key")
     return own.unionByName(group_issues(groups).join(found, "stream_key", "left_semi"))
@@ -156,9 +160,7 @@ def validate_streams(requested: DataFrame, stats: DataFrame, groups: DataFrame)
     return joined.select(
         "stream_key",
         (~missing).alias("is_valid"),
-        F.when(missing, "Stream does not exist")
-        .when(empty, "Stream exists but is empty")
-        .otherwise("Stream is valid").alias("reason"),
+        F.when(missing, ABSENT).when(empty, VALID_EMPTY).otherwise(VALID).alias("reason"),
         "length",
         F.when(filled, F.col("first_id")).alias("first_id"),
         F.when(filled, F.col("last_id")).alias("last_id"),

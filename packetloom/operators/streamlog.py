@@ -27,6 +27,8 @@ from packetloom.operators.ordered import first_n, running_number, with_chunk
 DEFAULT_WINDOW_MS = 8_640_000
 POLL_COUNT = 100
 HOUR_MS = 3_600_000
+# What stands in for missing parts of a record.
+NO_DEVICE, NO_DEVICE_ID, UNKNOWN = "undefined", "0000", "unknown"
 ID = ["id_ms", "id_seq"]
 
 
@@ -66,7 +68,10 @@ def positions(log: DataFrame) -> DataFrame:
 
 
 def tail_from(log: DataFrame, at: DataFrame, char: str | None = None) -> DataFrame:
-    """Entries strictly after each stream's position; new streams from their start."""
+    """Entries strictly after each stream's position; new streams from their start.
+
+    ``log`` may be a stream; ``streaming.runs.start_positions`` gives its ``at``.
+    """
     rows = char_filter(log, char).join(at, "stream_key", "left")
     return rows.where(F.col("at").isNull() | (id_rank() > F.col("at"))).drop("at")
 
@@ -95,11 +100,11 @@ def log_records(values: DataFrame, device="device", device_id="device_id", char=
     """The six log fields of a value plus its stream key; missing parts get defaults."""
     full = values.withColumns(
         {
-            device: F.coalesce(F.col(device), F.lit("undefined")),
-            device_id: F.coalesce(F.col(device_id), F.lit("0000")),
-            char: F.coalesce(F.col(char), F.lit("unknown")),
-            "uid": F.coalesce(F.col("uid"), F.lit("unknown")),
-            "nn": F.coalesce(F.col("nn"), F.lit("unknown")),
+            device: F.coalesce(F.col(device), F.lit(NO_DEVICE)),
+            device_id: F.coalesce(F.col(device_id), F.lit(NO_DEVICE_ID)),
+            char: F.coalesce(F.col(char), F.lit(UNKNOWN)),
+            "uid": F.coalesce(F.col("uid"), F.lit(UNKNOWN)),
+            "nn": F.coalesce(F.col("nn"), F.lit(UNKNOWN)),
         }
     )
     return full.select(

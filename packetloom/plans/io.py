@@ -172,6 +172,24 @@ def stream_replica(spark, sf_dir):
     return stores.read_log(spark, path).select(*ENTRY)
 
 
+@query(LOG + """ SELECT stream_key, message_id, value_cents FROM stream_log
+WHERE arrival > (SELECT max(arrival) // 2 FROM stream_log)""")
+def stream_tail(spark, sf_dir):
+    """Positions are taken when the first half is there; the tail is the other half."""
+    folder, out = shared_folder(spark, "positions"), shared_folder(spark, "tail")
+    parts = _two_parts(spark, views.stream_log(spark, sf_dir), "arrival")
+    path = next(parts)
+    at = runs.start_positions(spark.read.parquet(path), folder)
+    next(parts)
+    log = runs.read_stream(spark, path, spark.read.parquet(path).schema)
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    runs.start(streamlog.tail_from(log, at), keep, shared_folder(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select(*ENTRY)
+
+
 @query(REPLAY + CONFLICT.format(pick="arg_max"))
 def stream_table_stream(spark, sf_dir):
     path = shared_folder(spark, "stream-table")

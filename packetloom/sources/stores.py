@@ -15,20 +15,40 @@ STREAM_TABLE_SCHEMA = (
 KEY_VALUE_SCHEMA = "redis_key STRING, redis_value STRING, arrival BIGINT"
 
 
-def provision(spark, database: str, stream_table: str = "stream_messages", kv_table: str = "key_values"):
-    """Create both tables when absent and check that they can be read."""
+def provision(spark, database: str, stream_table: str = "stream_messages",
+              kv_table: str = "key_values", folder: str | None = None):
+    """Create both tables when absent and check that they can be read.
+
+    With ``folder`` the tables lie in ``{folder}/{table}``, the paths to give to
+    the writers here; ``refresh`` then shows new partitions to the catalog.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{stream_table}"
-        f" ({STREAM_TABLE_SCHEMA}, streaming_date DATE) USING parquet PARTITIONED BY (streaming_date)"
+    wanted = (
+        (stream_table, STREAM_TABLE_SCHEMA, "streaming_date DATE"),
+        (kv_table, KEY_VALUE_SCHEMA, "redis_db INT"),
     )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{kv_table}"
-        f" ({KEY_VALUE_SCHEMA}, redis_db INT) USING parquet PARTITIONED BY (redis_db)"
-    )
-    for name in (stream_table, kv_table):
+    for name, schema, part in wanted:
+        place = f" LOCATION '{folder}/{name}'" if folder else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}, {part}) USING parquet"
+            f" PARTITIONED BY ({part.split()[0]}){place}"
+        )
         spark.table(f"{database}.{name}").limit(0).count()
-    return [f"{database}.{name}" for name in (stream_table, kv_table)]
+    return [f"{database}.{name}" for name, *_ in wanted]
+
+
+def refresh(spark, table: str) -> None:
+    """Make partitions written by path known to the catalog."""
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
+def table_rows(rows: DataFrame) -> DataFrame:
+    """The stream table's columns, with the field map as JSON text."""
+    return rows.select(
+        "stream_key", "message_id", F.to_json("data").alias("data"),
+        "unix_timestamp", "arrival", "streaming_date",
+    )
 
 
 def exists(spark, path: str) -> bool:

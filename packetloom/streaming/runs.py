@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from packetloom.operators.streamlog import positions
+from packetloom.sources.stores import exists
+
 # Seconds between micro-batches.
 SYNC_SECONDS = 5
 DISCOVERY_SECONDS = 10
@@ -27,6 +30,18 @@ def read_stream(spark, path: str, schema, max_files: int | None = None, clean: s
     return reader.parquet(path)
 
 
+def start_positions(log: DataFrame, folder: str) -> DataFrame:
+    """Newest position of every stream of a stored log, written down once.
+
+    With ``streamlog.tail_from`` a stream starts from here; a restarted query
+    finds the same positions.
+    """
+    spark = log.sparkSession
+    if not exists(spark, folder):
+        positions(log).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def read_topic(spark, servers: str, pattern: str, start: str = "earliest", max_offsets: int | None = None) -> DataFrame:
     """Kafka topics by pattern as a stream; needs the Kafka connector.
 

@@ -1,4 +1,5 @@
 import gzip
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,20 @@ def test_provision(spark):
     assert all(spark.catalog.tableExists(n) for n in names)
 
 
+def test_written_rows_show_in_the_catalog(spark):
+    base = folder(spark, "warehouse")
+    name, _ = stores.provision(spark, "telemetry2", folder=base)
+    raw = spark.createDataFrame(
+        [("s", "1640995200000-0", {"value": "7", "uid": "u"}, 1)],
+        "stream_key string, message_id string, data map<string,string>, arrival bigint",
+    ).withColumn("ingest_second", F.lit(0).cast("bigint"))
+    stores.write_stream_table(stores.table_rows(streamlog.stream_table_rows(raw)), f"{base}/stream_messages")
+    stores.refresh(spark, name)
+    row = spark.table(name).first()
+    assert json.loads(row.data) == {"value": "7", "uid": "u"}
+    assert (row.stream_key, str(row.streaming_date)) == ("s", "2022-01-01")
+
+
 def test_pressure_csv(spark):
     path = folder(spark, "csv")
     df = spark.createDataFrame(

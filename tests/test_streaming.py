@@ -3,6 +3,7 @@ from model import Assembler
 from pyspark.sql import functions as F
 from test_packets import SCHEMA, random_sessions, samples
 
+from packetloom.operators import streamlog
 from packetloom.session import shared_folder
 from packetloom.streaming import runs, sinks, stateful
 
@@ -81,6 +82,18 @@ def test_replica_twice_and_restart(spark):
     assert got == [("copy:s", "1-0"), ("copy:s", "2-0"), ("copy:s", "3-0")]
 
 
+def test_tail_from_now(spark):
+    src, out = shared_folder(spark, "src"), shared_folder(spark, "out")
+    put(spark, [("s", "1-0", 1, 0, "old")], LOG, src)
+    folder, checkpoint = shared_folder(spark, "at"), shared_folder(spark, "cp")
+    for part in ([("s", "1-1", 1, 1, "new")], [("t", "1-0", 1, 0, "other")]):
+        at = runs.start_positions(spark.read.schema(LOG).parquet(src), folder)
+        put(spark, part, LOG, src)
+        tail = streamlog.tail_from(runs.read_stream(spark, src, LOG), at)
+        drain(tail, lambda df, i: df.write.mode("append").parquet(out), checkpoint)
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == ["new", "other"]
+
+
 def test_failed_batch_is_not_acknowledged(spark):
     src, target, checkpoint = (shared_folder(spark, n) for n in ("src", "target", "cp"))
     put(spark, [("s", "1-0", 1, 0, "a")], LOG, src)
