@@ -52,10 +52,12 @@ def table_rows(rows: DataFrame) -> DataFrame:
 
 
 def exists(spark, path: str) -> bool:
-    """A finished write is there (its success mark or at least one file)."""
+    """The folder holds data; what a failed job left behind does not count."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop) and len(fs.listStatus(hadoop)) > 0
+    if not fs.exists(hadoop):
+        return False
+    return any(f.getPath().getName()[0] not in "_." for f in fs.listStatus(hadoop))
 
 
 def _spread(rows: DataFrame, *by: str) -> DataFrame:

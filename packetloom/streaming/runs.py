@@ -38,7 +38,7 @@ def start_positions(log: DataFrame, folder: str) -> DataFrame:
     """
     spark = log.sparkSession
     if not exists(spark, folder):
-        positions(log).write.parquet(folder)
+        positions(log).write.mode("overwrite").parquet(folder)
     return spark.read.parquet(folder)
 
 

@@ -34,6 +34,14 @@ def test_stream_table(spark, overwrite, want):
     assert {str(r.streaming_date) for r in got.collect()} == {"2022-01-01", "2022-01-02"}
 
 
+def test_left_overs_are_not_a_table(spark, tmp_path):
+    path = tmp_path / "table"
+    (path / "_temporary" / "0").mkdir(parents=True)
+    assert not stores.exists(spark, str(path)) and not stores.exists(spark, str(tmp_path / "none"))
+    stores.write_stream_table(rows(spark, [("s", "1640995200000-0", "v1", 1)]), str(path))
+    assert stores.exists(spark, str(path)) and spark.read.parquet(str(path)).count() == 1
+
+
 def test_kv_table(spark):
     path = folder(spark, "kv")
     schema = "redis_db int, redis_key string, redis_value string, arrival bigint"
