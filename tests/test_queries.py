@@ -11,6 +11,7 @@ sys.path.insert(0, str(ROOT / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 from check import TABLES, canonical  # noqa: E402
+from packetloom.plans import catalog  # noqa: E402
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables")
@@ -24,7 +25,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, str(SF))
     mine = canonical(df.collect(), df.columns)
@@ -43,7 +44,7 @@ def test_entry(spark):
 
 
 def test_only_known_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"binary_files"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"binary_files"}
 
 
 @pytest.mark.parametrize("name", ["event_time", "key_build", "session_path", "range_scan", "ttl_live", "stored_log_scan"])
