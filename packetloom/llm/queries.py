@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import dedup, mixing, sharding
+from packetloom.llm import bpe, dedup, mixing, sharding
 from packetloom.llm.common import documents
 
 
@@ -27,9 +28,22 @@ def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def byte_bpe():
+    """Rank file content and pre-token pattern of the public vocabulary."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+def op9_byte_bpe(spark, sf_dir):
+    """Every document encoded and decoded again, as digests."""
+    vocabulary = byte_bpe()
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), *vocabulary), *vocabulary))
+
+
 QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_sharding": op7_sharding,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES = {"op4_mixing": mixing.ORACLE, "op5_exact_dedup": dedup.ORACLE}
