@@ -38,3 +38,39 @@ def id_fold(name, folds):
     """crc32 of the id written as text, modulo ``folds``; a null id counts as ''."""
     written = F.coalesce(F.col(name).cast("string"), F.lit(""))
     return F.crc32(written.cast("binary")) % folds
+
+
+def labelled_sample(docs, labels, column, folds, held, per_class, id_col="doc_id", text_col="text"):
+    """Labelled training texts as (id, text, label), at most ``per_class`` of each label.
+
+    Rows whose id fold is ``held`` stay out. The sample is the same on every run: ids in
+    the order of their hash. An id with two labels counts with the larger one, an id with
+    several texts with one of them. Null ids and labels are left out.
+    """
+    known = (
+        labels.filter(F.col(id_col).isNotNull() & F.col(column).isNotNull())
+        .filter(id_fold(id_col, folds) != held)
+        .groupBy(F.col(id_col).alias("id")).agg(F.max(column).cast("int").alias("label"))
+    )
+    order = [F.xxhash64("id"), F.col("id")]
+    picked = known.filter("label = 0").orderBy(*order).limit(per_class).union(
+        known.filter("label = 1").orderBy(*order).limit(per_class)
+    )
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    # 2 * per_class rows at most
+    return texts.join(F.broadcast(picked), "id").dropDuplicates(["id"])
+
+
+def label_shares(labels, column, folds, held, id_col="doc_id"):
+    """Number of training rows with label 0 and 1."""
+    row = (
+        labels.filter(F.col(column).isNotNull() & (id_fold(id_col, folds) != held))
+        .agg(F.count_if(F.col(column) == 0), F.count_if(F.col(column) == 1)).first()
+    )
+    return int(row[0]), int(row[1])
+
+
+def same_columns(docs, id_col, **more):
+    """Schema text of an id column named ``id`` with the given further columns."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    return ", ".join([f"id {kind}", *(f"{name} {of}" for name, of in more.items())])

@@ -5,8 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, dedup, mixing, sharding
-from packetloom.llm.common import documents
+from packetloom.llm import bpe, dedup, mixing, sharding, subwords
+from packetloom.llm.common import documents, labels
+
+
+def op1_quality(spark, sf_dir):
+    """Every document with the probability that its quality label is 1."""
+    docs = documents(spark, sf_dir)
+    return subwords.verdicts(subwords.scored(docs, subwords.train(docs, labels(spark, sf_dir))))
 
 
 def op4_mixing(spark, sf_dir):
@@ -41,6 +47,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_sharding": op7_sharding,
