@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, dedup, mixing, sharding, subwords
+from packetloom.llm import bpe, dedup, mixing, sharding, subwords, toxicity
 from packetloom.llm.common import documents, labels
 
 
@@ -29,6 +29,12 @@ def op5_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark, sf_dir):
+    """Every document with the probability that its toxic label is 1."""
+    docs = documents(spark, sf_dir)
+    return toxicity.verdicts(toxicity.scored(docs, toxicity.train(docs, labels(spark, sf_dir))))
+
+
 def op7_sharding(spark, sf_dir):
     """Every document with its shard and slot."""
     return sharding.shard_documents(documents(spark, sf_dir))
@@ -50,6 +56,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
     "op9_byte_bpe": op9_byte_bpe,
 }
