@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, dedup, mixing, sharding, subwords, toxicity
+from packetloom.llm import bpe, dedup, mixing, quality_rules, sharding, subwords, toxicity
 from packetloom.llm.common import documents, labels
 
 
@@ -40,6 +40,11 @@ def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op8_quality_rules(spark, sf_dir):
+    """Every document with its counts, distances and verdict."""
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 def byte_bpe():
     """Rank file content and pre-token pattern of the public vocabulary."""
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
@@ -58,6 +63,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
+    "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES = {"op4_mixing": mixing.ORACLE, "op5_exact_dedup": dedup.ORACLE}
