@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, dedup, mixing, quality_rules, secrets, sharding, subwords, toxicity
+from packetloom.llm import bpe, dedup, mixing, near, quality_rules, secrets, sharding, subwords, toxicity
 from packetloom.llm.common import documents, labels
 
 
@@ -15,6 +15,11 @@ def op1_quality(spark, sf_dir):
     return subwords.verdicts(subwords.scored(docs, subwords.train(docs, labels(spark, sf_dir))))
 
 
+def op2_jaccard_join(spark, sf_dir):
+    """Every document with its class of near duplicates and its number of links."""
+    return near.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_secret_scan(spark, sf_dir):
     """Every document with the secrets found in it."""
     return secrets.digests(secrets.secret_spans(documents(spark, sf_dir)))
@@ -64,6 +69,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
