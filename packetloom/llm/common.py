@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from packetloom.session import shared_folder
@@ -74,3 +75,10 @@ def same_columns(docs, id_col, **more):
     """Schema text of an id column named ``id`` with the given further columns."""
     kind = docs.schema[id_col].dataType.simpleString()
     return ", ".join([f"id {kind}", *(f"{name} {of}" for name, of in more.items())])
+
+
+def byte_views(column):
+    """The texts of an Arrow string column as arrays of bytes, without copying."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, dedup, mixing, near, quality_rules, secrets, sharding, subwords, toxicity
+from packetloom.llm import bpe, dedup, lm, mixing, near, quality_rules, secrets, sharding, subwords, toxicity
 from packetloom.llm.common import documents, labels
 
 
@@ -67,6 +67,11 @@ def op9_byte_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), *vocabulary), *vocabulary))
 
 
+def op10_lm_score(spark, sf_dir):
+    """Every document with its log probabilities under token counts and under the model."""
+    return lm.scored(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -77,5 +82,6 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_lm_score": op10_lm_score,
 }
 ORACLES = {"op4_mixing": mixing.ORACLE, "op5_exact_dedup": dedup.ORACLE}
