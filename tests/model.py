@@ -1,59 +1,62 @@
-"""The packet procedure one packet at a time, as plain Python: the brute-force check."""
+"""The packet rules taken one packet at a time, as plain Python: the brute-force check.
 
-ORDER = [0, 4, 8, 12, 1, 5, 9, 13, 2, 6, 10, 14, 3, 7, 11, 15]
+Written from the blueprint's rules: the place of a sample by its index formula, a loss
+from the places of two triggers in the scan cycle, frames of fifteen rows.
+"""
+
+from packetloom.operators.packets import CYCLE, LOST_VALUE, ROW_WIDTH, TRIGGER_ORDER
+
+PLACE = {trig: place for place, trig in enumerate(TRIGGER_ORDER)}
+FRAME_ROWS = 15
 
 
 def lost_between(prev, trig, mode):
-    a, b = ORDER.index(prev), ORDER.index(trig)
+    """Packets missing between two triggers; negative when the scan went back or stood."""
     if mode == "off":
         return 0
+    came_from, now = PLACE[prev], PLACE[trig]
     if mode == "modular":
-        return 0 if a == b else (b - a - 1) % 15
-    follows = {14: 3, 13: 2, 12: 1, 11: 0}
-    if trig == follows.get(prev, prev + 4):
-        return 0
-    return abs(b - a) - 1
+        return (now - came_from - 1) % CYCLE if now != came_from else 0
+    in_turn = came_from < CYCLE and now == (came_from + 1) % CYCLE
+    return 0 if in_turn else abs(now - came_from) - 1
 
 
 def columns(samples):
-    out = []
-    for c in range(4):
-        part = samples[c * 24: c * 24 + 24]
-        out.append(part[0::4] + part[1::4] + part[2::4] + part[3::4])
-    return out
+    """Sample i of column c stands at c * 24 + (i mod 6) * 4 + i div 6."""
+    return [
+        [samples[c * ROW_WIDTH + i % 6 * 4 + i // 6] for i in range(ROW_WIDTH)]
+        for c in range(len(samples) // ROW_WIDTH)
+    ]
 
 
 class Assembler:
-    """State of one session."""
+    """One session: packets go in, ``frames`` and what each packet showed come out."""
 
     def __init__(self, mode="reference"):
-        self.mode, self.ready, self.prev, self.total = mode, False, None, 0
-        self.buffer, self.shown, self.frames, self.seen = [], [], [], []
+        self.mode, self.last, self.total = mode, None, 0
+        self.rows, self.frames, self.seen = [], [], []
 
-    def _add(self, row):
-        self.buffer.append(row)
+    def _put(self, row):
+        self.rows.append(row)
 
-    def _release(self):
-        if len(self.buffer) > 15:
-            self.shown, self.buffer = self.buffer[:15], self.buffer[15:]
-            self.frames.append(self.shown)
+    def _cut(self):
+        # a frame is let go when a row beyond it has come
+        if len(self.rows) > FRAME_ROWS:
+            self.frames.append(self.rows[:FRAME_ROWS])
+            del self.rows[:FRAME_ROWS]
 
     def feed(self, seq, trig, samples):
-        if trig not in ORDER and self.mode != "off":
+        known = trig in PLACE or self.mode == "off"
+        opened = self.last is not None or trig == 0
+        if not (known and opened):
             return
-        if not self.ready:
-            if trig != 0:
-                return
-            self.ready = True
-        lost = 0
-        if self.prev is not None and self.mode != "off":
-            lost = lost_between(self.prev, trig, self.mode)
-        self.prev = trig
+        lost = 0 if self.last is None else lost_between(self.last, trig, self.mode)
+        self.last = trig
         self.total += lost
-        for _ in range(4 * max(lost, 0)):
-            self._add([-1000] * 24)
-            self._release()
+        for _ in range(4 * lost):
+            self._put([LOST_VALUE] * ROW_WIDTH)
+            self._cut()
         for row in columns(samples):
-            self._add(row)
-        self._release()
-        self.seen.append((seq, lost, self.total, self.shown))
+            self._put(row)
+        self._cut()
+        self.seen.append((seq, lost, self.total, self.frames[-1] if self.frames else []))
