@@ -46,12 +46,30 @@ def consumer_stats(deliveries: DataFrame) -> DataFrame:
     )
 
 
-def group_stats(deliveries: DataFrame) -> DataFrame:
+def group_stats(deliveries: DataFrame, groups: DataFrame | None = None,
+                consumers: DataFrame | None = None) -> DataFrame:
     """Pending, consumer count and last delivered id per group.
 
+    ``groups`` (stream_key, grp) are the registered groups: each gets a row, also
+    one that nothing was delivered to, and no other group does. ``consumers``
+    (stream_key, grp, consumer) are the registered consumers, which are then
+    counted. Without them, groups and consumers are those seen in deliveries.
     Built on ``consumer_stats``: one shuffle brings at most one row per consumer
     and map task, and the distinct count needs no pass of its own.
     """
+    seen = _seen_groups(deliveries)
+    if groups is not None:
+        seen = groups.select(*GROUP).distinct().join(seen, GROUP, "left")
+    if consumers is not None:
+        listed = consumers.select(*GROUP, "consumer").distinct().groupBy(*GROUP)
+        listed = listed.agg(F.count(F.lit(1)).alias("listed"))
+        seen = seen.join(listed, GROUP, "left").withColumn("consumers", F.col("listed"))
+    return seen.fillna(0, ["pending", "consumers"]).select(
+        *GROUP, "pending", "consumers", "last_delivered_id"
+    )
+
+
+def _seen_groups(deliveries):
     return (
         consumer_stats(deliveries)
         .groupBy(*GROUP)

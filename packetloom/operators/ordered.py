@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 CHUNK = "chunk"
 CHUNK_ROWS = 1 << 20
-# Up to this many rows per key are cut in the map tasks. One task then takes what
-# every map task keeps of a key, so the limit stays well under Spark's own (1000).
-GROUP_LIMIT = 256
 
 
 def whole_steps(value, width):
@@ -40,15 +37,16 @@ def with_hot_chunks(df: DataFrame, keys, order: str, width: int = CHUNK_ROWS) ->
     """Add the ``chunk`` column, cutting only keys with more than ``width`` rows.
 
     A key of ordinary size is one chunk, so the per-chunk totals stay as few as
-    the keys. The counts combine in the map tasks. The broadcast side is bounded:
-    of n rows at most n / width keys can be larger than ``width``.
+    the keys. A layout choice: it costs one count of the input, combined in the map
+    tasks, and the results are the same as with ``with_chunk``. Of n rows at most
+    n / width keys are hot, so the planner sees a small side and may broadcast it.
     """
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > width)
         .select(*keys, F.lit(True).alias("_hot"))
     )
     steps = F.when(F.col("_hot"), whole_steps(F.col(order), int(width))).otherwise(F.lit(0))
-    return df.join(F.broadcast(hot), list(keys), "left").select(
+    return df.join(hot, list(keys), "left").select(
         *[F.col(c) for c in df.columns], steps.cast("bigint").alias(CHUNK)
     )
 
@@ -93,18 +91,23 @@ def running_number(df: DataFrame, keys, order, name: str, total: str | None = No
     )
 
 
-def first_n(df: DataFrame, keys, order, n: int, newest: bool = False) -> DataFrame:
-    """The first (or newest) ``n`` rows of every key.
+def first_n(df: DataFrame, keys, order, n: int, newest: bool = False, width: int = CHUNK_ROWS) -> DataFrame:
+    """The first (or newest) ``n`` rows of every key, for any ``n``.
 
-    For small ``n`` each map task keeps ``n`` rows per key before the shuffle.
-    A larger ``n`` goes through chunked numbering and needs a ``chunk`` column
-    that never falls as ``order`` rises.
+    ``order`` starts with a whole-number column. Ranges of it, ``width`` wide, are
+    counted per key with map-side sums; only the ranges that the first ``n`` rows
+    reach into are kept, and ranks are taken inside a range. So a task holds one
+    range of a key, never the key. Choose ``width`` for ranges of bounded size.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    if n <= GROUP_LIMIT:
-        ends = [F.col(c).desc() if newest else F.col(c) for c in order]
-        w = Window.partitionBy(*keys).orderBy(*ends)
-        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
-    numbered = running_number(df, keys, order, "_i", total="_n")
-    keep = F.col("_i") >= F.col("_n") - n if newest else F.col("_i") < n
-    return numbered.where(keep).drop("_i", "_n")
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    step = F.col(order[0])
+    df = df.withColumn("_step", whole_steps(step, int(width)))
+    along = Window.partitionBy(*keys).orderBy(F.col("_step").desc() if newest else F.col("_step"))
+    needed = (
+        df.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.sum("_n").over(along) - F.col("_n"))
+        .where(F.col("_before") < n).drop("_n")
+    )
+    inside = Window.partitionBy(*keys, "_step").orderBy(*[F.col(c).desc() if newest else F.col(c) for c in order])
+    ranked = df.join(needed, [*keys, "_step"]).withColumn("_rn", F.row_number().over(inside))
+    return ranked.where(F.col("_before") + F.col("_rn") <= n).drop("_step", "_before", "_rn")

@@ -21,12 +21,12 @@ from packetloom.functions.ids import (
     second_to_local,
     stream_key,
 )
-from packetloom.operators.ordered import first_n, running_number, with_chunk
+from packetloom.operators.ordered import first_n, running_number
 
 # Default read window and poll size.
 DEFAULT_WINDOW_MS = 8_640_000
 POLL_COUNT = 100
-HOUR_MS = 3_600_000
+MINUTE_MS = 60_000
 # What stands in for missing parts of a record.
 NO_DEVICE, NO_DEVICE_ID, UNKNOWN = "undefined", "0000", "unknown"
 ID = ["id_ms", "id_seq"]
@@ -118,20 +118,14 @@ def log_records(values: DataFrame, device="device", device_id="device_id", char=
     )
 
 
-def _first_ids(log, count, newest):
-    # entries of one stream within an hour make a chunk
-    out = first_n(with_chunk(log, "id_ms", HOUR_MS), ["stream_key"], ID, count, newest)
-    return out.drop("chunk")
-
-
 def bounded_batch(log: DataFrame, count: int = POLL_COUNT) -> DataFrame:
     """The first ``count`` entries of every stream in id order."""
-    return _first_ids(log, count, newest=False)
+    return first_n(log, ["stream_key"], ID, count, width=MINUTE_MS)
 
 
 def trim_newest(log: DataFrame, count: int) -> DataFrame:
     """The newest ``count`` entries of every stream."""
-    return _first_ids(log, count, newest=True)
+    return first_n(log, ["stream_key"], ID, count, newest=True, width=MINUTE_MS)
 
 
 def group_read(log: DataFrame, deliveries: DataFrame, group: str, count: int = POLL_COUNT) -> DataFrame:
@@ -140,6 +134,19 @@ def group_read(log: DataFrame, deliveries: DataFrame, group: str, count: int = P
     return bounded_batch(log.join(seen, ["stream_key", "message_id"], "left_anti"), count)
 
 
+def group_read_position(log: DataFrame, last: DataFrame, group: str, count: int = POLL_COUNT) -> DataFrame:
+    """Entries after the group's last delivered id, at most ``count`` per stream.
+
+    ``last`` has one row per (stream_key, grp) with ``last_delivered_id``, as
+    ``health.group_stats`` gives; a stream without one is read from its start. No
+    delivery history is read or joined.
+    """
+    at = with_id_parts(last.where(F.col("grp") == group), "last_delivered_id").select(
+        "stream_key", id_rank().alias("at")
+    )
+    return bounded_batch(tail_from(log, at), count)
+
+
 def latest_id(log: DataFrame) -> DataFrame:
     """Newest message id per stream, by number and not by text."""
     return positions(log).select("stream_key", rank_to_id("at").alias("message_id"))
@@ -186,8 +193,12 @@ def keep_last(rows: DataFrame, keys=tuple(CONFLICT_KEY), arrival: str = "arrival
 
 
 def replicate(source: DataFrame, target: DataFrame, prefix: str = "") -> DataFrame:
-    """Source entries missing in the target, under the target key and the same id."""
-    rows = source.withColumn("stream_key", prefixed("stream_key", prefix))
+    """Source entries missing in the target, under the target key and the same id.
+
+    Entries without an id cannot be found again and are left out;
+    ``replicate_outcomes`` lists them as failed.
+    """
+    rows = source.where(F.col("message_id").isNotNull()).withColumn("stream_key", prefixed("stream_key", prefix))
     held = target.select("stream_key", "message_id").distinct()
     return rows.join(held, ["stream_key", "message_id"], "left_anti")
 
@@ -244,6 +255,11 @@ def stream_stats(log: DataFrame) -> DataFrame:
     )
 
 
+def with_empty(stats: DataFrame, existing: DataFrame) -> DataFrame:
+    """Statistics of every existing stream; one without entries has length 0."""
+    return existing.select("stream_key").distinct().join(stats, "stream_key", "left").fillna(0, ["length"])
+
+
 def remaining(log: DataFrame, processed: DataFrame) -> DataFrame:
     """Entries not yet processed: what stays once processed entries are deleted."""
     done = processed.select("stream_key", "message_id").distinct()

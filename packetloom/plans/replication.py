@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from packetloom.functions import ids
-from packetloom.operators import keyvalues, outbox, streamlog
+from packetloom.operators import health, keyvalues, outbox, streamlog
 from packetloom.operators.ordered import first_n, with_chunk, with_hot_chunks
 from packetloom.plans import views
 from packetloom.plans.registry import query
@@ -99,8 +99,7 @@ def trim_newest(spark, sf_dir):
 WHERE rn <= 1500""")
 def trim_newest_many(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_type", "event_id")
-    e = with_hot_chunks(e, ["event_type"], "event_id")
-    return first_n(e, ["event_type"], "event_id", 1500, newest=True).drop("chunk")
+    return first_n(e, ["event_type"], "event_id", 1500, newest=True, width=4096)
 
 
 @query(LOG + """, seen AS (SELECT stream_key, message_id FROM stream_log WHERE arrival % 3 = 0)
@@ -113,6 +112,22 @@ def group_read_batch(spark, sf_dir):
     return streamlog.group_read(log, delivered, "sync", 10).select(*ENTRY)
 
 
+@query(LOG + """, last AS (SELECT stream_key, max(CAST(id_ms AS HUGEINT) * 1000000000000 + id_seq) AS reached
+  FROM stream_log WHERE arrival % 3 = 0 AND user_id % 4 > 0 GROUP BY ALL)
+SELECT stream_key, message_id, value_cents FROM (SELECT l.*, row_number() OVER (PARTITION BY l.stream_key ORDER BY id_ms, id_seq) AS rn
+  FROM stream_log l LEFT JOIN last USING (stream_key) WHERE reached IS NULL OR CAST(id_ms AS HUGEINT) * 1000000000000 + id_seq > reached)
+WHERE rn <= 300""")
+def group_read_position(spark, sf_dir):
+    """Streams of every fourth user were never read by the group."""
+    log = views.stream_log(spark, sf_dir)
+    delivered = log.where("arrival % 3 = 0 AND user_id % 4 > 0").select(
+        "stream_key", F.lit("sync").alias("grp"), F.lit("c").alias("consumer"), "id_ms", "id_seq", F.lit(True).alias("acked")
+    )
+    other = delivered.withColumn("grp", F.lit("other")).withColumn("id_ms", F.col("id_ms") * 2)
+    last = health.group_stats(delivered.unionByName(other))
+    return streamlog.group_read_position(log, last, "sync", 300).select(*ENTRY)
+
+
 @query(LOG + """ SELECT stream_key, arg_max(message_id, CAST(id_ms AS HUGEINT) * 1000000000000 + id_seq) AS message_id
 FROM stream_log GROUP BY ALL""")
 def latest_id(spark, sf_dir):
@@ -239,11 +254,15 @@ def replicate_missing(spark, sf_dir):
     return streamlog.replicate(log, _target(log), "copy:").select(*ENTRY)
 
 
-@query(LOG + """ SELECT 'copy:' || stream_key AS stream_key, count(*) FILTER (arrival % 4 <> 0) AS synced,
-  0 AS failed, count(*) FILTER (arrival % 4 = 0) AS skipped FROM stream_log GROUP BY ALL""")
+@query(LOG + """ SELECT 'copy:' || stream_key AS stream_key, count(*) FILTER (arrival % 4 <> 0 AND arrival % 7 <> 0) AS synced,
+  count(*) FILTER (arrival % 7 = 0) AS failed, count(*) FILTER (arrival % 4 = 0 AND arrival % 7 <> 0) AS skipped
+FROM stream_log GROUP BY ALL""")
 def replicate_counts(spark, sf_dir):
+    """Every seventh entry has lost its id."""
     log = views.stream_log(spark, sf_dir)
-    return streamlog.replication_counts(streamlog.replicate_outcomes(log, _target(log), "copy:"))
+    held = _target(log)
+    log = log.withColumn("message_id", F.when(F.col("arrival") % 7 != 0, F.col("message_id")))
+    return streamlog.replication_counts(streamlog.replicate_outcomes(log, held, "copy:"))
 
 
 @query(LOG + """ SELECT stream_key, message_id, value_cents FROM stream_log WHERE user_id % 5 <> 2""")

@@ -81,6 +81,20 @@ def stream_diff(spark, sf_dir):
     )
 
 
+@query(KEYSPACE + """ SELECT DISTINCT 'file' AS dialect, key FROM streams
+  WHERE regexp_full_match(key, 'biosignal-[^1-3].*') OR regexp_full_match(key, 'Brand#[\\^1].*')
+UNION ALL SELECT DISTINCT 'server', key FROM streams
+  WHERE regexp_full_match(key, 'biosignal-[2-4].*') OR regexp_full_match(key, 'Brand#[^1].*') OR key = 'other:7'""")
+def glob_dialects(spark, sf_dir):
+    """The same signs read by file globs and by the server's."""
+    keys = keyspace(spark, sf_dir)
+    file = discovery.match_streams(keys, ["biosignal-[!1-3]*", "Brand#[^1]*", "[z-a]*", "other\\:7"])
+    server = discovery.match_streams(keys, ["biosignal-[4-2]*", "Brand#[^1]*", "other\\:7"], dialect="server")
+    return file.select(F.lit("file").alias("dialect"), "key").distinct().unionByName(
+        server.select(F.lit("server").alias("dialect"), "key").distinct()
+    )
+
+
 @query(KEYSPACE + " SELECT n, CASE WHEN n % 2 = 0 THEN db ELSE 9 END AS db, key FROM keyspace")
 def display_parse(spark, sf_dir):
     keys = keyspace(spark, sf_dir)
@@ -174,9 +188,9 @@ def publish_messages(spark, sf_dir):
     )
 
 
-@query(LOG + """ SELECT message_id, stream_key || ':' || message_id AS key,
-  CASE WHEN characteristic = 'click' THEN 'clicks' ELSE 'rest' END AS topic,
-  stream_key AS stream, message_id AS id, '' || (id_ms + 5) AS stamp, characteristic AS char, '' || value_cents AS v FROM stream_log""")
+@query(LOG + """ SELECT stream_key || ':' || message_id AS key, CASE WHEN characteristic = 'click' THEN 'clicks' ELSE 'rest' END AS topic,
+  '{"char":"' || characteristic || '","v":"' || value_cents || '","_stream":"' || stream_key || '","_id":"' || message_id
+  || '","_timestamp":' || (id_ms + 5) || '}' AS value FROM stream_log""")
 def keyed_envelopes(spark, sf_dir):
     log = views.stream_log(spark, sf_dir)
     data = F.create_map(
@@ -184,14 +198,7 @@ def keyed_envelopes(spark, sf_dir):
         F.lit("_id"), F.lit("overwritten"),
     )
     entries = log.withColumn("data", data).withColumn("stamp", F.col("id_ms") + 5)
-    out = routing.keyed_messages(entries, [("stream:click:*", "clicks")], "rest", "stamp")
-    back = out.withColumn("m", F.from_json("value", "map<string,string>"))
-    return back.select(
-        F.element_at("m", "_id").alias("message_id"), "key", "topic",
-        F.element_at("m", "_stream").alias("stream"), F.element_at("m", "_id").alias("id"),
-        F.element_at("m", "_timestamp").alias("stamp"), F.element_at("m", "char").alias("char"),
-        F.element_at("m", "v").alias("v"),
-    )
+    return routing.keyed_messages(entries, [("stream:click:*", "clicks")], "rest", "stamp")
 
 
 def binary_entries(spark, sf_dir):
@@ -215,6 +222,21 @@ def byte_decode(spark, sf_dir):
     return good.select("n", F.explode("data").alias("field", "value"))
 
 
+@query("""SELECT event_id AS n, 'field_fffe' AS field, CASE WHEN event_id % 2 = 0 THEN 'by name' ELSE 'by bytes' END AS value FROM events
+UNION ALL SELECT event_id, 'other', event_type FROM events""")
+def field_clash(spark, sf_dir):
+    """A field whose bytes are no text, and one that has the name it gets: the later stays."""
+    k = F.col("event_id")
+    raw, name = F.unhex(F.lit("FFFE")), F.lit("field_fffe").cast("binary")
+    first, second = F.when(k % 2 == 0, raw).otherwise(name), F.when(k % 2 == 0, name).otherwise(raw)
+    value = F.when(k % 2 == 0, "by name").otherwise("by bytes").cast("binary")
+    data = F.create_map(
+        first, F.lit("lost").cast("binary"), F.lit("other").cast("binary"), F.col("event_type").cast("binary"), second, value
+    )
+    rows = table(spark, sf_dir, "events").select(k.alias("n"), data.alias("data"))
+    return routing.deliverable(routing.decode_entries(rows)).select("n", F.explode("data").alias("field", "value"))
+
+
 @query("""SELECT event_id || '' AS message_id, CASE WHEN event_id % 7 = 0 THEN 'field_fffe' ELSE 'type' END AS field,
   'value is not UTF-8' AS reason, base64('\\xFF\\xFE'::BLOB || encode(event_type)) AS value_base64 FROM events WHERE event_id % 11 = 0""")
 def dead_letters(spark, sf_dir):
@@ -267,7 +289,7 @@ def deliveries(spark, sf_dir):
         F.col("l_returnflag").alias("grp"), F.col("l_linenumber").alias("consumer"),
         F.col("l_orderkey").alias("id_ms"), F.col("l_linenumber").cast("bigint").alias("id_seq"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("message_id"),
-        (F.col("l_linestatus") == "F").alias("acked"),
+        (F.col("l_linestatus") == "F").alias("acked"), F.col("l_quantity").alias("quantity"),
     )
 
 
@@ -310,31 +332,34 @@ def stream_stats(spark, sf_dir):
 
 
 def _health_inputs(spark, sf_dir):
-    """Suppliers as streams (every seventh empty, every ninth absent) with their groups."""
+    """Suppliers as streams (every ninth absent, every seventh trimmed to nothing).
+
+    Each existing stream has four registered groups, of which 'X' was never
+    delivered anything; the registered consumers are those with certain lines.
+    """
     k = F.col("s_suppkey")
     name = F.concat(F.lit("s:"), k.cast("string")).alias("stream_key")
     s = table(spark, sf_dir, "supplier")
-    configured = s.select(name)
-    lengths = deliveries(spark, sf_dir).groupBy("stream_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("message_id").alias("first_id"), F.max("message_id").alias("last_id")
-    )
-    stats = (
-        s.where(k % 9 > 0).select(name, (k % 7 == 0).alias("emptied"))
-        .join(lengths, "stream_key", "left")
-        .select("stream_key", F.when(F.col("emptied"), 0).otherwise(F.coalesce("n", F.lit(0))).alias("length"),
-                "first_id", "last_id")
-    )
-    groups = health.group_stats(deliveries(spark, sf_dir)).withColumn(
-        "consumers", F.when((F.col("grp") == "R") & (F.col("pending") % 5 == 0), 0).otherwise(F.col("consumers"))
-    )
-    return configured, stats, groups
-
-
-HEALTH = DELIVERED + """, shown AS (SELECT stream_key, grp, pending, last_delivered_id,
-  CASE WHEN grp = 'R' AND pending % 5 = 0 THEN 0 ELSE consumers END AS consumers FROM groups),
-sizes AS (SELECT stream_key, count(*) AS n, min(message_id) AS first_id, max(message_id) AS last_id FROM deliveries GROUP BY ALL),
-stats AS (SELECT 's:' || s_suppkey AS stream_key, CASE WHEN s_suppkey % 7 = 0 THEN 0 ELSE coalesce(n, 0) END AS length,
-  first_id, last_id FROM supplier LEFT JOIN sizes ON stream_key = 's:' || s_suppkey WHERE s_suppkey % 9 > 0),
+    existing = s.where(k % 9 > 0).select(name)
+    d = deliveries(spark, sf_dir)
+    entries = d.where(F.substring("stream_key", 3, 20).cast("bigint") % 7 > 0)
+    stats = streamlog.with_empty(streamlog.stream_stats(entries), existing)
+    names = F.array(*[F.lit(g) for g in "ANRX"])
+    groups = existing.select("stream_key", F.explode(names).alias("grp"))
+    consumers = d.where("quantity = 50 AND consumer <= 3")
+    return s.select(name), stats, health.group_stats(d, groups, consumers)
+
+
+HEALTH = DELIVERED + """, listed AS (SELECT 's:' || l_suppkey AS stream_key, l_returnflag AS grp, count(DISTINCT l_linenumber) AS n
+  FROM lineitem WHERE l_quantity = 50 AND l_linenumber <= 3 GROUP BY ALL),
+registered AS (SELECT 's:' || s_suppkey AS stream_key, unnest(['A', 'N', 'R', 'X']) AS grp FROM supplier WHERE s_suppkey % 9 > 0),
+shown AS (SELECT r.stream_key, r.grp, coalesce(g.pending, 0) AS pending, coalesce(l.n, 0) AS consumers
+  FROM registered r LEFT JOIN groups g ON g.stream_key = r.stream_key AND g.grp = r.grp
+  LEFT JOIN listed l ON l.stream_key = r.stream_key AND l.grp = r.grp),
+sizes AS (SELECT stream_key, count(*) AS n, arg_min(message_id, rank) AS first_id, arg_max(message_id, rank) AS last_id
+  FROM deliveries WHERE CAST(substr(stream_key, 3) AS BIGINT) % 7 > 0 GROUP BY ALL),
+stats AS (SELECT 's:' || s_suppkey AS stream_key, coalesce(n, 0) AS length, first_id, last_id
+  FROM supplier LEFT JOIN sizes ON stream_key = 's:' || s_suppkey WHERE s_suppkey % 9 > 0),
 flags AS (SELECT stream_key, count(*) AS groups, count(*) FILTER (consumers = 0) AS idle, count(*) FILTER (pending > 100) AS late
   FROM shown GROUP BY ALL),
 health AS (SELECT c.stream_key, length, coalesce(groups, 0) AS groups,

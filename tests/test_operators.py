@@ -39,12 +39,12 @@ def test_numbering_with_a_hot_key(spark, width, hot_only):
     assert later.where("k = 'k1'").agg(F.min("i")).first()[0] == 0
 
 
-@pytest.mark.parametrize("n", [3, 5000])
+@pytest.mark.parametrize("n", [1, 256, 257, 5000])
 @pytest.mark.parametrize("newest", [False, True])
-def test_first_n_both_ways(spark, n, newest):
-    rows = [(f"k{i % 3}", i) for i in range(30)]
-    df = ordered.with_chunk(spark.createDataFrame(rows, "k string, n bigint"), "n", 4)
-    got = sorted((r.k, r.n) for r in ordered.first_n(df, ["k"], "n", n, newest).collect())
+def test_first_n_is_one_call_for_any_n(spark, n, newest):
+    rows = [(f"k{i % 3}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    got = sorted((r.k, r.n) for r in ordered.first_n(df, ["k"], "n", n, newest, width=40).collect())
     want = []
     for key in ("k0", "k1", "k2"):
         mine = sorted(x for k, x in rows if k == key)
@@ -275,3 +275,19 @@ def test_registry(spark):
     got = {r.device: r.device_db for r in devices.with_registry(df).collect()}
     assert got == {"insole": 3, "toaster": None}
     assert devices.unregistered(df).count() == 1
+
+
+def test_group_without_consumers_is_reported(spark):
+    columns = "stream_key string, grp string, consumer string, id_ms bigint, id_seq bigint, acked boolean"
+    d = spark.createDataFrame([("s", "a", "c", 9, 0, True), ("s", "a", "c", 10, 0, False)], columns)
+    groups = spark.createDataFrame([("s", "a"), ("s", "b")], "stream_key string, grp string")
+    consumers = spark.createDataFrame([("s", "a", "c")], "stream_key string, grp string, consumer string")
+    found = health.group_stats(d, groups, consumers)
+    assert sorted(map(tuple, found.collect())) == [("s", "a", 1, 1, "10-0"), ("s", "b", 0, 0, None)]
+    assert health.group_stats(d.limit(0), groups, consumers.limit(0)).count() == 2
+    stats = streamlog.with_empty(
+        streamlog.stream_stats(d), spark.createDataFrame([("s",), ("t",)], "stream_key string")
+    )
+    assert {(r.stream_key, r.length, r.first_id, r.last_id) for r in stats.collect()} == {("s", 2, "9-0", "10-0"), ("t", 0, None, None)}
+    status = health.stream_health(stats.select("stream_key"), stats, found).collect()
+    assert {(r.stream_key, r.status) for r in status} == {("s", "WARNING"), ("t", "WARNING")}
