@@ -18,8 +18,11 @@ STATUS_TEXT = {
     6: " command failed, reason: invalid state",
 }
 STATUS_OTHER = "Invalid Status"
-# Keys that belong to the store itself, by prefix.
+# Keys that belong to the store itself, by prefix.
 INTERNAL_PREFIXES = ("kafka_sync:", "__", "_:", "stream:", "unsynced_keys_set")
+# Default sampling rate by firmware version, and of all others.
+RATE_BY_FIRMWARE = {"0.0.0": 100, "0.1.0": 100, "0.2.0": 100, "0.2.100": 100, "0.2.1": 1802, "0.3.0": 6250}
+RATE_OTHER = 9091
 
 
 def _c(col):
@@ -34,12 +37,17 @@ def decode_text(raw):
 def decode_fields(data):
     """``map<binary,binary>`` to ``map<string,binary>`` with readable names.
 
-    A name that is not UTF-8 becomes ``field_<hex>``; values stay as they are.
+    A name that is not UTF-8 becomes ``field_<hex>``; values stay as they are. Where
+    two fields get the same name, the later one stays.
     """
-    return F.transform_keys(
-        _c(data),
-        lambda k, _: F.coalesce(decode_text(k), F.concat(F.lit("field_"), F.lower(F.hex(k)))),
-    )
+
+    def add(found, entry):
+        k = entry["key"]
+        name = F.coalesce(decode_text(k), F.concat(F.lit("field_"), F.lower(F.hex(k))))
+        return F.map_concat(F.map_filter(found, lambda n, _: n != name), F.create_map(name, entry["value"]))
+
+    none = F.expr("CAST(map() AS MAP<STRING, BINARY>)")
+    return F.when(_c(data).isNotNull(), F.aggregate(F.map_entries(_c(data)), none, add))
 
 
 def undecodable_fields(data):
@@ -55,15 +63,15 @@ def decode_values(data):
 def keyed_envelope(data, stream, message_id, stamp_ms):
     """Fields plus ``_stream``, ``_id`` and ``_timestamp``; the metadata wins.
 
-    ``to_json`` renders every map value as text.
+    Fields and names are texts, the time stamp is a number.
     """
     meta = F.create_map(
-        F.lit("_stream"), _c(stream),
-        F.lit("_id"), _c(message_id),
-        F.lit("_timestamp"), _c(stamp_ms).cast("string"),
+        F.lit("_stream"), _c(stream).cast("variant"),
+        F.lit("_id"), _c(message_id).cast("variant"),
+        F.lit("_timestamp"), _c(stamp_ms).cast("bigint").cast("variant"),
     )
     own = F.map_filter(_c(data), lambda k, _: ~k.isin("_stream", "_id", "_timestamp"))
-    return F.to_json(F.map_concat(own, meta))
+    return F.to_json(F.map_concat(F.transform_values(own, lambda _, v: v.cast("variant")), meta))
 
 
 def publish_envelope(stream, message_id, data, stamp):
@@ -137,10 +145,7 @@ def status_text(code):
 
 def sampling_rate(firmware):
     """Default sampling rate of a firmware version."""
-    f = _c(firmware)
-    return (
-        F.when(f.isin("0.0.0", "0.1.0", "0.2.0", "0.2.100"), 100)
-        .when(f == "0.2.1", 1802)
-        .when(f == "0.3.0", 6250)
-        .otherwise(9091)
-    )
+    out = F.lit(RATE_OTHER)
+    for version, rate in RATE_BY_FIRMWARE.items():
+        out = F.when(_c(firmware) == version, rate).otherwise(out)
+    return out

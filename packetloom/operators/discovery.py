@@ -10,12 +10,13 @@ from packetloom.functions.patterns import glob_any, glob_match
 
 
 def match_streams(keys: DataFrame, patterns=("*",), dbs=None, default_db=None,
-                  per_pattern: bool = False) -> DataFrame:
+                  per_pattern: bool = False, dialect: str = "file") -> DataFrame:
     """Stream-typed keys that match: (display_name, db, key).
 
     ``default_db`` leaves the prefix off for that db and lists a display name
     once; ``per_pattern`` lists a key once for each pattern it matches.
-    ``patterns=None`` takes every stream.
+    ``patterns=None`` takes every stream. ``dialect`` is that of ``glob_regex``: the
+    stores themselves match in the ``server`` dialect.
     """
     out = keys.where(F.col("key_type") == "stream")
     if dbs is not None:
@@ -23,11 +24,11 @@ def match_streams(keys: DataFrame, patterns=("*",), dbs=None, default_db=None,
     named = ["db", "key", display_name("db", "key", default_db).alias("display_name")]
     if per_pattern:
         hits = F.array_compact(
-            F.array(*[F.when(glob_match("key", p), F.lit(p)) for p in patterns])
+            F.array(*[F.when(glob_match("key", p, dialect), F.lit(p)) for p in patterns])
         )
         return out.select(*named, F.explode(hits).alias("pattern"))
     if patterns is not None:
-        out = out.where(glob_any("key", patterns))
+        out = out.where(glob_any("key", patterns, dialect))
     return out.select(*named).distinct()
 
 

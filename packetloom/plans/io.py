@@ -49,8 +49,8 @@ def kv_table(spark, sf_dir):
     path = shared_folder(spark, "kv-table")
     pairs = replication.kv(spark, sf_dir).drop("key_type")
     half = F.expr("arrival % 2 = 0")
-    stores.write_kv_table(pairs.where(half), path)
-    stores.write_kv_table(pairs.where(~half), path)
+    stores.write_kv_table(pairs.where(half), path, buckets=4)
+    stores.write_kv_table(pairs.where(~half), path, buckets=4)
     return spark.read.parquet(path).select("redis_db", "redis_key", "redis_value")
 
 
@@ -124,10 +124,30 @@ def json_export(spark, sf_dir):
     return back.select("doc_id", F.md5("text").alias("digest"), "lang")
 
 
-@query()
+def _document_files(spark, sf_dir):
+    """Every document as a file of its own, with a line end behind the text."""
+    path = shared_folder(spark, "document-files")
+    d = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    d.select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    return f"{path}/*/*.txt"
+
+
+@query("""SELECT octet_length(encode(text)) + 1 AS length, md5(text || chr(10)) AS digest, 'bed:file:7' AS key FROM documents
+WHERE octet_length(encode(text)) < 4000""")
 def binary_files(spark, sf_dir):
-    """The table files themselves as messages (rows only: SQL does not see files)."""
-    return topics.read_files(spark, f"{sf_dir}/*.parquet", limit=1_000_000).select("name", "length", "verdict")
+    """Documents as files, read back as messages up to a size."""
+    out = topics.file_messages(spark, _document_files(spark, sf_dir), "files", 7, device="bed", limit=4000)
+    name = F.split("key", ":")[1]
+    key = F.when(name.rlike("^part-.*[.]txt$"), F.replace("key", name, F.lit("file")))
+    return out.select(
+        F.octet_length("value").alias("length"), F.md5("value").alias("digest"), key.alias("key")
+    )
+
+
+@query("""SELECT CASE WHEN octet_length(encode(text)) < 4000 THEN 'ok' ELSE 'too_large' END AS verdict,
+  CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents""")
+def file_verdicts(spark, sf_dir):
+    return topics.read_files(spark, _document_files(spark, sf_dir), limit=4000).select("verdict", "length")
 
 
 @query(LOG + """ SELECT CASE WHEN characteristic = 'click' THEN 'clicks' ELSE 'rest' END AS topic,
@@ -161,15 +181,48 @@ def _run(spark, df, order, sink, copies=1):
             runs.start(stream, sink, checkpoint).awaitTermination()
 
 
-@query(LOG + " SELECT 'copy:' || stream_key AS stream_key, message_id, value_cents FROM stream_log")
-def stream_replica(spark, sf_dir):
-    """Entries arrive, some of them twice; the replica holds each once."""
+def _replicated(spark, sf_dir):
+    """Every entry arrives, every third again with another value, every eleventh without
+    its id; the source is replicated twice over. Gives the folder."""
     path = shared_folder(spark, "replica")
-    log = views.replayed_log(spark, sf_dir)
-    again = log.where("arrival >= 1000000000").withColumn("value_cents", F.col("value_cents") - 1)
-    rows = log.where("arrival < 1000000000").unionByName(again)
-    _run(spark, rows, "arrival", sinks.replica_sink(path, "copy:"))
-    return stores.read_log(spark, path).select(*ENTRY)
+    log = views.stream_log(spark, sf_dir)
+    log = log.withColumn("message_id", F.when(F.col("arrival") % 11 != 0, F.col("message_id")))
+    again = log.where("arrival % 3 = 0").withColumns(
+        {"value_cents": F.col("value_cents") + 7, "arrival": F.col("arrival") * 2 + 1}
+    )
+    rows = log.withColumn("arrival", F.col("arrival") * 2).unionByName(again)
+    for _ in range(2):
+        _run(spark, rows, "arrival", sinks.replica_sink(path, "copy:"))
+    return path
+
+
+@query(LOG + " SELECT 'copy:' || stream_key AS stream_key, message_id, value_cents FROM stream_log WHERE arrival % 11 <> 0")
+def stream_replica(spark, sf_dir):
+    """The replica holds each entry once, the copy that came first."""
+    return stores.read_log(spark, _replicated(spark, sf_dir)).select(*ENTRY)
+
+
+@query(LOG + """ SELECT stream_key, value_cents, 'no message id' AS reason FROM stream_log WHERE arrival % 11 = 0
+UNION ALL SELECT stream_key, value_cents + 7, 'no message id' FROM stream_log WHERE arrival % 33 = 0""")
+def stream_rejects(spark, sf_dir):
+    """Entries without an id, kept apart."""
+    path = _replicated(spark, sf_dir)
+    return spark.read.parquet(f"{path}-rejects").select("stream_key", "value_cents", "reason")
+
+
+def _odd_ones_fail():
+    """Takes up to a hundred messages at once; fails on odd numbers."""
+    return lambda rows: [ValueError("odd") if r["n"] % 2 else True for r in rows]
+
+
+@query("""SELECT CASE WHEN event_id % 13 > 0 THEN 9007199254740993 + event_id END AS message_id,
+  event_id % 2 = 0 AS success, CASE WHEN event_id % 2 = 1 THEN 'odd' END AS error FROM events""")
+def delivered_ids(spark, sf_dir):
+    """Large and missing ids come back from the writer as they went in."""
+    k = F.col("event_id")
+    big = F.when(k % 13 > 0, k + F.lit(9_007_199_254_740_993))
+    rows = table(spark, sf_dir, "events").select(big.alias("message_id"), k.alias("n"))
+    return topics.deliver(rows, _odd_ones_fail, ids=["message_id"], in_flight=100)
 
 
 @query(LOG + """ SELECT stream_key, message_id, value_cents FROM stream_log
@@ -243,7 +296,7 @@ def stream_outbox(spark, sf_dir):
         F.lit("first").alias("step"), F.count(F.lit(1)).alias("attempted"), F.count_if("success").alias("synced")
     )
     first.write.parquet(f"{folder}/report/step=1")
-    again = sinks.resync(spark, folder, "1000001", _steady_writer, as_of=1_500)
+    again = sinks.resync(spark, folder, "first", _steady_writer, as_of=1_500)
     again.select(F.lit("again").alias("step"), "attempted", "synced").write.parquet(f"{folder}/report/step=2")
     return spark.read.parquet(f"{folder}/report/step=1", f"{folder}/report/step=2")
 

@@ -25,13 +25,13 @@ def provision(spark, database: str, stream_table: str = "stream_messages",
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     wanted = (
         (stream_table, STREAM_TABLE_SCHEMA, "streaming_date DATE"),
-        (kv_table, KEY_VALUE_SCHEMA, "redis_db INT"),
+        (kv_table, KEY_VALUE_SCHEMA, "redis_db INT, key_bucket INT"),
     )
     for name, schema, part in wanted:
         place = f" LOCATION '{folder}/{name}'" if folder else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}, {part}) USING parquet"
-            f" PARTITIONED BY ({part.split()[0]}){place}"
+            f" PARTITIONED BY ({', '.join(p.split()[0] for p in part.split(', '))}){place}"
         )
         spark.table(f"{database}.{name}").limit(0).count()
     return [f"{database}.{name}" for name, *_ in wanted]
@@ -98,8 +98,13 @@ def keyed_rows(values: DataFrame, device="device", device_id="device_id", char="
     )
 
 
-def _dates(rows: DataFrame):
-    return rows.agg(F.min("streaming_date"), F.max("streaming_date")).first()
+def on_dates(held: DataFrame, rows: DataFrame, date: str) -> DataFrame:
+    """The rows of a table partitioned by ``date`` on the dates that ``rows`` has.
+
+    A join with the distinct dates, so that one stray date reads one more partition
+    and not all between.
+    """
+    return held.join(rows.select(date).distinct(), date, "left_semi")
 
 
 def write_stream_table(rows: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -110,36 +115,38 @@ def write_stream_table(rows: DataFrame, path: str, overwrite: bool = False) -> N
     readable until the write commits. Only the dates of the batch are read.
     """
     spark = rows.sparkSession
-    held = None
-    if exists(spark, path):
-        low, high = _dates(rows)
-        if low is None:
-            return
-        held = spark.read.parquet(path).where(F.col("streaming_date").between(low, high))
+    held = on_dates(spark.read.parquet(path), rows, "streaming_date") if exists(spark, path) else None
     if not overwrite:
         fresh = keep_first(rows, CONFLICT_KEY, held)
         _spread(fresh, "streaming_date").write.mode("append").partitionBy("streaming_date").parquet(path)
         return
     if held is not None:
-        days = rows.select("streaming_date").distinct()
-        touched = held.join(days, "streaming_date", "left_semi").select(*rows.columns)
-        rows = rows.unionByName(touched)
+        rows = rows.unionByName(held.select(*rows.columns))
     _spread(keep_last(rows, CONFLICT_KEY), "streaming_date").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("streaming_date").parquet(path)
 
 
-def write_kv_table(changes: DataFrame, path: str) -> None:
-    """Upsert key-values: last arrival per (db, key); rewrites only changed databases."""
+KV_BUCKETS = 256
+
+
+def write_kv_table(changes: DataFrame, path: str, buckets: int = KV_BUCKETS) -> None:
+    """Upsert key-values: last arrival per (db, key).
+
+    The table is partitioned by database and by a hash of the key; only buckets with a
+    changed key are read and written. Choose ``buckets`` once per table, so that a
+    batch of the usual size touches a small part of them.
+    """
     spark = changes.sparkSession
-    now = changes
+    parts = ["redis_db", "key_bucket"]
+    now = changes.withColumn("key_bucket", F.pmod(F.xxhash64("redis_key"), F.lit(buckets)).cast("int"))
     if exists(spark, path):
-        dbs = changes.select("redis_db").distinct()
-        held = spark.read.parquet(path).join(dbs, "redis_db", "left_semi")
-        now = held.select(*changes.columns).unionByName(changes)
-    _spread(latest_per_key(now, KEY), "redis_db").write.mode("overwrite").option(
+        touched = now.select(*parts).distinct()
+        held = spark.read.parquet(path).join(touched, parts, "left_semi")
+        now = held.select(*now.columns).unionByName(now)
+    _spread(latest_per_key(now, KEY), *parts).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy("redis_db").parquet(path)
+    ).partitionBy(*parts).parquet(path)
 
 
 def read_with_ids(spark, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,34 +29,57 @@ def write_topic(messages: DataFrame, servers: str, **options) -> None:
     writer.option("kafka.max.request.size", str(MAX_MESSAGE_BYTES)).options(**options).save()
 
 
-def deliver(messages: DataFrame, open_writer, ids=("stream_key", "message_id"), tasks: int | None = None) -> DataFrame:
+def deliver(messages: DataFrame, open_writer, ids=("stream_key", "message_id"), tasks: int | None = None,
+            in_flight: int | None = None) -> DataFrame:
     """Hand every message to a user writer, inside the tasks.
 
     ``open_writer()`` is called once per task and returns ``send(row) -> bool``
-    where ``row`` is a dict. Gives (ids, success, error). Sending is
-    at-least-once: a task that runs again sends again, so write the result down
-    once before using it. ``tasks`` bounds how many writers are open.
+    where ``row`` is a dict. With ``in_flight`` it returns ``send_many(rows)``
+    instead: it gets that many rows at a time, may have them all under way at once,
+    and gives one outcome per row, True, False or an exception. Gives (ids,
+    success, error), the ids as they came. Sending is at-least-once: a task that
+    runs again sends again, so write the result down once before using it.
+    ``tasks`` bounds how many writers are open.
     """
     ids = list(ids)
     fields = dict(messages.dtypes)
     schema = ", ".join([f"`{c}` {fields[c]}" for c in ids] + ["success boolean", "error string"])
 
+    def outcomes(send, rows):
+        if in_flight is None:
+            for row in rows:
+                try:
+                    yield send(row)
+                except Exception as error:  # a failed message stays for a later attempt
+                    yield error
+            return
+        try:
+            found = list(send(rows))
+            if len(found) != len(rows):
+                raise ValueError(f"{len(found)} outcomes for {len(rows)} messages")
+        except Exception as error:
+            found = [error] * len(rows)
+        yield from found
+
     def run(batches):
         send = open_writer()
         for batch in batches:
-            results = []
-            for row in batch.to_dict("records"):
-                try:
-                    results.append((bool(send(row)), None))
-                except Exception as error:  # a failed message stays for a later attempt
-                    results.append((False, str(error)))
-            out = batch[ids].copy()
-            out["success"] = [r[0] for r in results]
-            out["error"] = pd.Series([r[1] for r in results], index=out.index, dtype="object")
-            yield out
+            size = in_flight or max(1, batch.num_rows)
+            for k in range(0, batch.num_rows, size):
+                part = batch.slice(k, size)
+                done = list(outcomes(send, part.to_pylist()))
+                failed = [isinstance(d, Exception) for d in done]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(part.schema.names.index(c)) for c in ids),
+                        pa.array([not f and bool(d) for f, d in zip(failed, done)], pa.bool_()),
+                        pa.array([str(d) if f else None for f, d in zip(failed, done)], pa.string()),
+                    ],
+                    names=[*ids, "success", "error"],
+                )
 
     spread = messages if tasks is None else messages.repartition(tasks)
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)
 
 
 def transform_messages(messages: DataFrame, fn, value: str = "value") -> DataFrame:

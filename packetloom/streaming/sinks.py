@@ -29,20 +29,28 @@ def table_sink(path: str, overwrite: bool = False, zone: str = "UTC"):
     return run
 
 
-def replica_sink(path: str, prefix: str = ""):
+ENTRY_KEY = ["stream_key", "message_id"]
+
+
+def replica_sink(path: str, prefix: str = "", rejects: str | None = None, arrival: str = "arrival"):
     """Append entries under the target key, those already there left out.
 
-    Only the target's dates between the batch's first and last are read.
+    Of entries with the same id in one batch the first by ``arrival`` stays. Entries
+    without an id cannot be told apart; they go to ``rejects`` (``{path}-rejects``),
+    a folder per batch. Only the target's dates that the batch has are read.
     """
+    apart = rejects or f"{path.rstrip('/')}-rejects"
 
     def run(batch, batch_id):
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(["stream_key", "message_id"])
+        whole = batch.where(F.col("message_id").isNotNull() & F.col("id_ms").isNotNull())
+        lost = batch.where(F.col("message_id").isNull() | F.col("id_ms").isNull())
+        if not lost.isEmpty():
+            _write_batch(lost.withColumn("reason", F.lit("no message id")), apart, batch_id)
+        rows = streamlog.keep_first(whole, ENTRY_KEY, arrival=arrival)
         if stores.exists(spark, path):
-            low, high = batch.agg(F.min("id_ms"), F.max("id_ms")).first()
-            if low is None:
-                return
-            rows = streamlog.replicate(rows, stores.read_log(spark, path, low, high), prefix)
+            held = stores.on_dates(spark.read.parquet(path), whole.withColumn("log_date", stores.log_date()), "log_date")
+            rows = streamlog.replicate(rows, held, prefix)
         else:
             rows = rows.withColumn("stream_key", prefixed("stream_key", prefix))
         stores.append_log(rows, path)
@@ -84,16 +92,26 @@ def _send(spark, content, folder, label, open_writer, ttl_s):
 def resync(spark, folder: str, label: str, open_writer, as_of: int, ttl_s: int = outbox.DEFAULT_TTL_S):
     """Send live content without a live marker again; gives attempted and synced counts.
 
-    ``label`` names this run and must not be a batch id of the stream.
+    ``label`` names this run. Its attempts and markers lie under ``resync/``, apart from
+    those of the stream's batches, and a run with the same label replaces them.
     """
-    content = outbox.unsynced(
-        _read(spark, f"{folder}/content"), _read(spark, f"{folder}/markers"), as_of
-    )
+    content = outbox.unsynced(_read(spark, f"{folder}/content"), _markers(spark, folder, label), as_of)
     return outbox.sync_counts(
-        _send(spark, content.select("topic", "key", "value", "written_at"), folder, label, open_writer, ttl_s)
+        _send(spark, content.select("topic", "key", "value", "written_at"), f"{folder}/resync", label, open_writer, ttl_s)
     )
 
 
+def _markers(spark, folder, label):
+    """Markers of the stream and of the other resync runs."""
+    marks = _read(spark, f"{folder}/markers")
+    again = f"{folder}/resync/markers"
+    if stores.exists(spark, again):
+        others = _read(spark, again).where(F.col("batch_id").cast("string") != label)
+        columns = ["key", "marked_at", "ttl_s"]
+        marks = marks.select(*columns).unionByName(others.select(*columns))
+    return marks
+
+
 def publish_sink(folder: str, open_writer, base: str, field=None, values=(), stamp: str = "stamp"):
     """Validate, filter, publish; settled outcomes per batch under ``folder``.
 

@@ -226,3 +226,23 @@ def test_reshape(spark):
     df = spark.createDataFrame([(list(range(360)),), (list(range(359)),)], "v array<int>")
     rows = [r.f for r in df.select(filters.reshape_frame("v").alias("f")).collect()]
     assert np.array_equal(np.array(rows[0]), np.arange(360).reshape(15, 24)) and rows[1] is None
+
+
+@pytest.mark.parametrize(
+    "pattern, value, hit",
+    [
+        ("key[^a]", "keyb", True), ("key[^a]", "keya", False), (r"a\*b", "a*b", True), (r"a\*b", "axb", False),
+        ("[z-a]x", "mx", True), ("[]x", "x", False), ("k[a-c", "kb", True), (r"[\]]", "]", True), ("h?llo*", "hello!", True),
+        ("plain", "plain", True), (r"pl\ain", "plain", True),
+    ],
+)
+def test_server_globs(spark, pattern, value, hit):
+    assert one(spark, value, "string", patterns.glob_match("x", pattern, "server")) is hit
+
+
+@pytest.mark.parametrize(
+    "pattern, value, hit",
+    [("[z-a]x", "mx", False), ("[!z-a]x", "mx", True), ("[z-ab]", "b", True), ("[]]", "]", True), ("a[b", "a[b", True), (r"a\*", r"a\b", True)],
+)
+def test_file_globs_with_odd_classes(spark, pattern, value, hit):
+    assert one(spark, value, "string", patterns.glob_match("x", pattern)) is hit

@@ -44,7 +44,7 @@ def test_entry(spark):
 
 
 def test_only_known_queries_lack_sql():
-    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"binary_files"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == set()
 
 
 @pytest.mark.parametrize("name", ["event_time", "key_build", "session_path", "range_scan", "ttl_live", "stored_log_scan"])

@@ -164,3 +164,39 @@ def test_transform_messages(spark):
 
     got = {r.key: (None if r.result is None else bytes(r.result), r.error) for r in topics.transform_messages(df, work).collect()}
     assert got == {"k": (b"PROCESSED:test-message", None), "bad": (None, "no"), "none": (None, None)}
+
+
+def test_many_at_once_keeps_ids_and_order(spark):
+    rows = [(9007199254740993, 1), (None, 2), (3, 3), (4, 4), (5, 5)]
+    df = spark.createDataFrame(rows, "message_id bigint, n int").coalesce(1)
+    asked = spark.sparkContext.accumulator(0)
+
+    def open_writer():
+        def send_many(batch):
+            asked.add(len(batch) > 2)
+            return [ValueError("no") if r["n"] == 3 else r["n"] != 4 for r in batch]
+
+        return send_many
+
+    got = [tuple(r) for r in topics.deliver(df, open_writer, ids=["message_id"], in_flight=2).collect()]
+    assert got == [(9007199254740993, True, None), (None, True, None), (3, False, "no"), (4, False, None), (5, True, None)]
+    assert asked.value == 0
+    short = topics.deliver(df, lambda: lambda batch: [], ids=["message_id"], in_flight=2)
+    assert {r.success for r in short.collect()} == {False}
+
+
+def test_one_changed_key_rewrites_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "kv")
+    rows = [(db, f"k{k}", "v", 1) for db in (0, 1) for k in range(50)]
+    schema = "redis_db int, redis_key string, redis_value string, arrival bigint"
+    stores.write_kv_table(spark.createDataFrame(rows, schema), path, buckets=8)
+
+    def files():
+        return {str(p) for p in (tmp_path / "kv").rglob("*.parquet")}
+
+    before = files()
+    stores.write_kv_table(spark.createDataFrame([(0, "k7", "new", 2)], schema), path, buckets=8)
+    gone = before - files()
+    assert len({p.rsplit("/", 1)[0] for p in gone}) == 1
+    found = {(r.redis_db, r.redis_key): r.redis_value for r in spark.read.parquet(path).collect()}
+    assert len(found) == 100 and found[0, "k7"] == "new" and found[1, "k7"] == "v"

@@ -72,7 +72,7 @@ LOG = "stream_key string, message_id string, id_ms bigint, id_seq bigint, value
 def test_replica_twice_and_restart(spark):
     src, target, checkpoint = (shared_folder(spark, n) for n in ("src", "target", "cp"))
     put(spark, [("s", "1-0", 1, 0, "a"), ("s", "2-0", 2, 0, "b")], LOG, src)
-    sink = sinks.replica_sink(target, "copy:")
+    sink = sinks.replica_sink(target, "copy:", arrival="id_seq")
     drain(runs.read_stream(spark, src, LOG), sink, checkpoint)
     put(spark, [("s", "2-0", 2, 0, "b"), ("s", "3-0", 3, 0, "c"), ("s", "3-0", 3, 0, "c")], LOG, src)
     drain(runs.read_stream(spark, src, LOG), sink, checkpoint)
@@ -104,7 +104,7 @@ def test_failed_batch_is_not_acknowledged(spark):
     query = runs.start(runs.read_stream(spark, src, LOG), broken, checkpoint)
     with pytest.raises(Exception, match="sink away"):
         query.awaitTermination()
-    drain(runs.read_stream(spark, src, LOG), sinks.replica_sink(target), checkpoint)
+    drain(runs.read_stream(spark, src, LOG), sinks.replica_sink(target, arrival="id_seq"), checkpoint)
     assert spark.read.parquet(target).count() == 1
 
 
@@ -120,9 +120,9 @@ def test_outbox_recovers_what_failed(spark):
         sink(df, 0)
     markers = spark.read.parquet(f"{folder}/markers")
     assert markers.count() == 8
-    counts = sinks.resync(spark, folder, "1000001", lambda: (lambda row: True), as_of=1100).first()
+    counts = sinks.resync(spark, folder, "one", lambda: (lambda row: True), as_of=1100).first()
     assert (counts.attempted, counts.synced) == (2, 2)
-    left = sinks.resync(spark, folder, "1000002", lambda: (lambda row: True), as_of=1100).first()
+    left = sinks.resync(spark, folder, "two", lambda: (lambda row: True), as_of=1100).first()
     assert left.attempted == 0
 
 
@@ -146,7 +146,7 @@ def test_fan_out_discovery_and_limits(spark):
     stream = runs.read_stream(spark, f"{src}/*", LOG, max_files=1)
     queries = runs.fan_out(
         stream,
-        {"replica": sinks.replica_sink(f"{base}/replica"), "discovery": sinks.discovery_sink(f"{base}/streams")},
+        {"replica": sinks.replica_sink(f"{base}/replica", arrival="id_seq"), "discovery": sinks.discovery_sink(f"{base}/streams")},
         f"{base}/checkpoints",
     )
     for q in queries.values():
