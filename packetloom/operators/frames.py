@@ -123,13 +123,23 @@ def channel_series(tracked: DataFrame, keys=("device", "session")) -> DataFrame:
     """Four series per session: channel = sample position modulo 4.
 
     A packet adds exactly 24 samples to each channel, so the place in the
-    series follows from the packet number and no sample is sorted.
+    series follows from the packet number and no sample is sorted. One row per
+    packet and channel: ``t_idx`` of the first of its ``samples``;
+    ``channel_samples`` makes a row of each.
     """
-    return tracked.select(*keys, "packet_no", F.posexplode("pressure").alias("j", "v")).select(
-        *keys,
-        (F.col("j") % COLUMNS_PER_PACKET).alias("channel"),
-        (F.col("packet_no") * ROW_WIDTH + whole_steps(F.col("j"), COLUMNS_PER_PACKET)).alias("t_idx"),
-        "v",
+    every = ", ".join(
+        f"transform(array({', '.join(str(c + 4 * i) for i in range(ROW_WIDTH))}), p -> get(pressure, p))"
+        for c in range(COLUMNS_PER_PACKET)
+    )
+    return tracked.select(*keys, "packet_no", F.posexplode(F.expr(f"array({every})")).alias("channel", "samples")).select(
+        *keys, "channel", (F.col("packet_no") * ROW_WIDTH).alias("t_idx"), "samples"
+    )
+
+
+def channel_samples(series: DataFrame, keys=("device", "session")) -> DataFrame:
+    """One row per sample of ``channel_series``: ``t_idx`` and ``v``."""
+    return series.select(*keys, "channel", "t_idx", F.posexplode("samples").alias("i", "v")).select(
+        *keys, "channel", (F.col("t_idx") + F.col("i")).alias("t_idx"), "v"
     )
 
 

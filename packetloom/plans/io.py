@@ -74,18 +74,18 @@ def keyed_write(spark, sf_dir):
     return keyvalues.latest_per_key(stores.keyed_rows(values)).select("redis_key", "redis_value")
 
 
-@query(with_sql("packets", "gated") + """ SELECT device || '' AS device, event_id || '' AS timestamp_python, seq || '' AS counter,
+@query(with_sql("all_packets", "gated") + """ SELECT device || '' AS device, event_id || '' AS timestamp_python, (event_id * 3) || '' AS timestamp, seq || '' AS counter, (event_id % 15) || '' AS read,
   trig || '' AS trigger, array_to_string([(event_id * 31 + j * 17) % 1000 - 100 for j in range(96)], ', ') AS pressure_data FROM gated""")
 def pressure_csv(spark, sf_dir):
     path = shared_folder(spark, "pressure-csv")
     rows = sensor.tracked(spark, sf_dir, "off").select(
         F.col("device").cast("string"), F.col("event_id").alias("timestamp_python"),
-        F.lit(0).alias("timestamp"), F.col("seq").alias("counter"), F.lit(0).alias("read"),
+        (F.col("event_id") * 3).alias("timestamp"), F.col("seq").alias("counter"), (F.col("event_id") % 15).alias("read"),
         F.col("trig").alias("trigger"), "pressure",
     ).withColumn("bucket", F.col("device").cast("int") % 16)
     exports.write_session_csv(exports.pressure_csv_rows(rows), path, ["device", *exports.PRESSURE_HEADER], ["bucket"])
     back = exports.read_session_csv(spark, path, ["device", *exports.PRESSURE_HEADER], ["bucket"])
-    return back.select("device", "timestamp_python", "counter", "trigger", "pressure_data")
+    return back.select("device", "timestamp_python", "timestamp", "counter", "read", "trigger", "pressure_data")
 
 
 @query("""SELECT (epoch_us(ts) // 1000) || '' AS timestamp_python, event_id || '' AS packet_counter,
@@ -257,7 +257,7 @@ def stream_frames(spark, sf_dir):
     """Frames over two micro-batches: the same frames as ``frames_assembled``."""
     out, state = shared_folder(spark, "frames"), shared_folder(spark, "state")
     packets = views.packets(spark, sf_dir).select("device", "event_id", "seq", "trig", "pressure")
-    _run(spark, packets, "event_id", stateful.frames_sink(out, state, ["device"], "event_id"))
+    _run(spark, packets, "event_id", stateful.frames_sink(out, state, ["device"], "seq"))
     gaps = F.size(F.filter("frame", lambda row: row[0] == -1000)).cast("bigint")
     return spark.read.parquet(out).select(
         "device", "frame_id", gaps.alias("gap_rows"), frames.frame_text().alias("samples")

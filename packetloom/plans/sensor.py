@@ -18,23 +18,24 @@ TRACKED = ("packets", "gated", "losses")
 
 
 def tracked(spark, sf_dir, mode="reference"):
-    return packets.track(views.packets(spark, sf_dir), KEYS, "event_id", mode)
+    """Packets with their losses; all packets where losses are not looked for."""
+    return packets.track(views.packets(spark, sf_dir, lossy=mode != "off"), KEYS, "event_id", mode)
 
 
-@query(with_sql("packets", "gated") + " SELECT device, seq, trig FROM gated")
+@query(with_sql("all_packets", "gated") + " SELECT device, seq, trig FROM gated")
 def start_gate(spark, sf_dir):
-    gated = packets.start_gate(views.packets(spark, sf_dir), KEYS, "event_id")
+    gated = packets.start_gate(views.packets(spark, sf_dir, lossy=False), KEYS, "event_id")
     return gated.select("device", "seq", "trig")
 
 
 @query(
-    with_sql("packets", "gated")
+    with_sql("all_packets", "gated")
     + """ SELECT device, seq, c, array_to_string(
          [(event_id * 31 + (c * 24 + (i % 6) * 4 + i // 6) * 17) % 1000 - 100 for i in range(24)], ', ') AS samples
   FROM gated, (SELECT unnest(range(4)) AS c)"""
 )
 def rows_deinterleaved(spark, sf_dir):
-    gated = packets.start_gate(views.packets(spark, sf_dir), KEYS, "event_id")
+    gated = packets.start_gate(views.packets(spark, sf_dir, lossy=False), KEYS, "event_id")
     rows = packets.packet_rows(gated, ["device", "seq"])
     return rows.select("device", "seq", F.col("c").cast("bigint"), join_samples("row").alias("samples"))
 
@@ -121,7 +122,7 @@ def new_frames(spark, sf_dir):
 
 
 @query(
-    with_sql("packets", "gated")
+    with_sql("all_packets", "gated")
     + """, numbered AS (
   SELECT device, event_id, row_number() OVER (PARTITION BY device ORDER BY event_id) - 1 AS n FROM gated),
 series AS (
@@ -135,13 +136,36 @@ FROM series GROUP BY ALL"""
 )
 def channel_series(spark, sf_dir):
     s = frames.channel_series(tracked(spark, sf_dir, "off"), KEYS)
+    zero = F.lit(0).cast("bigint")
+    at = F.transform("samples", lambda v, i: v * ((F.col("t_idx") + i) % 1009))
     return s.groupBy("device", F.col("channel").cast("bigint").alias("channel")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("t_idx").alias("last_t"),
-        F.sum(F.col("v").cast("bigint")).alias("total"),
-        F.sum(F.col("v") * (F.col("t_idx") % 1009)).alias("weighted"),
+        F.sum(F.size("samples")).alias("n"),
+        F.max(F.col("t_idx") + F.size("samples") - 1).alias("last_t"),
+        F.sum(F.aggregate("samples", zero, lambda a, v: a + v)).alias("total"),
+        F.sum(F.aggregate(at, zero, lambda a, v: a + v)).alias("weighted"),
     )
 
 
+@query(
+    with_sql("odd_packets", "gated", "losses")
+    + """ SELECT device, CAST(frame_id AS BIGINT) AS frame_id, gap_rows, samples FROM frames"""
+)
+def frames_per_session(spark, sf_dir):
+    """Frames where sessions end and triggers repeat, are unknown or out of the cycle."""
+    keys = ["device", "session"]
+    out = frames.assemble(packets.track(views.odd_packets(spark, sf_dir), keys, "event_id"), keys)
+    gaps = F.size(F.filter("frame", lambda row: row[0] == packets.LOST_VALUE)).cast("bigint")
+    name = F.concat_ws("/", F.col("device").cast("string"), F.col("session").cast("string"))
+    return out.select(name.alias("device"), "frame_id", gaps.alias("gap_rows"), frames.frame_text().alias("samples"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 97 = 8 THEN 'missing session key or order' ELSE 'unknown trigger line' END AS reason
+FROM events WHERE event_id % 11 <> 4 AND (event_id % 97 = 8 OR event_id % 41 = 7)""")
+def packet_rejects(spark, sf_dir):
+    out = packets.reject_unknown(views.odd_packets(spark, sf_dir), ["device", "session"], "event_id")
+    return out.select("event_id", "reason")
+
+
 def _samples(spark, sf_dir, device):
     e = table(spark, sf_dir, "events").select(
         F.col(device).alias("device"), "event_id", views.cents("value").alias("v")

@@ -1,7 +1,6 @@
 """The given tables seen as logs, packets, key-values and the like.
 
-Every view is narrow (no shuffle) but ``packets``, whose per-device counter
-uses the chunked numbering. The same definitions as SQL text are in ``SQL``.
+Every view is narrow (no shuffle). The same definitions as SQL text are in ``SQL``.
 """
 
 from __future__ import annotations
@@ -9,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from packetloom.functions.ids import epoch_ms, make_id
-from packetloom.operators.ordered import running_number, with_hot_chunks
+from packetloom.operators.ordered import whole_steps, with_chunk
 from packetloom.operators.packets import TRIGGER_ORDER
 
 
@@ -47,24 +46,59 @@ def replayed_log(spark, sf_dir):
     return log.unionByName(again)
 
 
-def packets(spark, sf_dir, width=1 << 20):
-    """Events as pressure packets of one device per user, one in seven lost."""
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("device"), "event_id")
-    numbered = running_number(
-        with_hot_chunks(e, ["device"], "event_id", width), ["device"], "event_id", "seq"
+DEVICES = 50
+
+
+def _as_packets(e, trig, width):
+    """Events as packets: a counter per device, no window needed to number them."""
+    return with_chunk(
+        e.withColumns(
+            {
+                "trig": trig,
+                "pressure": F.transform(
+                    F.expr(f"array({', '.join(str(j * 17) for j in range(96))})"),
+                    lambda step: ((F.col("event_id") * 31 + step) % 1000 - 100).cast("int"),
+                ),
+            }
+        ),
+        "seq", width,
     )
+
+
+def _in_turn(step):
     order = F.expr(f"array({', '.join(map(str, TRIGGER_ORDER[:15]))})")
-    return numbered.where("event_id % 7 <> 3").withColumns(
-        {
-            "trig": F.get(order, (F.col("seq") % 15).cast("int")),
-            "pressure": F.transform(
-                F.expr(f"array({', '.join(str(j * 17) for j in range(96))})"),
-                lambda step: ((F.col("event_id") * 31 + step) % 1000 - 100).cast("int"),
-            ),
-        }
+    return F.get(order, (step % 15).cast("int"))
+
+
+def _dealt(spark, sf_dir):
+    k = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        (k % DEVICES).alias("device"), k, whole_steps(k, DEVICES).alias("seq")
+    )
+
+
+def packets(spark, sf_dir, width=1 << 20, lossy=True):
+    """Events as pressure packets of 50 devices; with ``lossy`` one in seven is lost."""
+    e = _dealt(spark, sf_dir)
+    if lossy:
+        e = e.where("event_id % 7 <> 3")
+    return _as_packets(e, _in_turn(F.col("seq") + F.col("device")), width)
+
+
+def odd_packets(spark, sf_dir, width=1 << 20):
+    """Packets in sessions of 50 per device, with repeated and unknown triggers, the
+    sixteenth one, losses and missing devices."""
+    k = F.col("event_id")
+    turn = F.col("seq") + F.col("device")
+    trig = (
+        F.when(k % 41 == 7, 99).when(k % 31 == 5, 15).when(k % 37 == 6, _in_turn(turn + 14)).otherwise(_in_turn(turn))
     )
+    e = _dealt(spark, sf_dir).where("event_id % 11 <> 4").withColumn("session", whole_steps(F.col("seq"), 50))
+    out = _as_packets(e, trig, width)
+    return out.withColumn("device", F.when(k % 97 != 8, F.col("device")))
 
 
+TURN = str(TRIGGER_ORDER[:15])
 SQL = {
     "stream_log": """stream_log AS (
   SELECT CAST(user_id % 16 AS INT) AS db_num,
@@ -79,20 +113,26 @@ SQL = {
   SELECT db_num, stream_key, id_ms, id_seq, characteristic, value_cents + 1, user_id,
          arrival + 1000000000, message_id
   FROM stream_log WHERE arrival % 10 = 0)""",
-    "packets": """packets AS (
-  SELECT device, event_id, seq, [0,4,8,12,1,5,9,13,2,6,10,14,3,7,11][1 + seq % 15] AS trig
-  FROM (SELECT user_id AS device, event_id,
-               row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS seq
-        FROM events)
-  WHERE event_id % 7 <> 3)""",
-    # scan place is seq % 15 for these packets
+    "packets": f"""packets AS (
+  SELECT event_id % 50 AS device, event_id, event_id // 50 AS seq,
+         {TURN}[1 + (event_id // 50 + event_id % 50) % 15] AS trig
+  FROM events WHERE event_id % 7 <> 3)""",
+    "all_packets": f"""packets AS (
+  SELECT event_id % 50 AS device, event_id, event_id // 50 AS seq,
+         {TURN}[1 + (event_id // 50 + event_id % 50) % 15] AS trig FROM events)""",
+    # device and session in one text
+    "odd_packets": f"""packets AS (
+  SELECT (event_id % 50) || '/' || (event_id // 2500) AS device, event_id, event_id // 50 AS seq,
+         CASE WHEN event_id % 31 = 5 THEN 15
+              ELSE {TURN}[1 + (event_id // 50 + event_id % 50 + CASE WHEN event_id % 37 = 6 THEN 14 ELSE 0 END) % 15] END AS trig
+  FROM events WHERE event_id % 11 <> 4 AND event_id % 41 <> 7 AND event_id % 97 <> 8)""",
     "gated": """gated AS (
   SELECT * FROM (
     SELECT *, max(CASE WHEN trig = 0 THEN 1 ELSE 0 END)
                 OVER (PARTITION BY device ORDER BY event_id) AS opened FROM packets)
   WHERE opened = 1)""",
-    "losses": """placed AS (
-  SELECT *, list_position([0,4,8,12,1,5,9,13,2,6,10,14,3,7,11,15], trig) - 1 AS pos FROM gated),
+    "losses": f"""placed AS (
+  SELECT *, list_position({TRIGGER_ORDER}, trig) - 1 AS pos FROM gated),
 steps AS (
   SELECT *, lag(pos) OVER (PARTITION BY device ORDER BY event_id) AS prev,
          row_number() OVER (PARTITION BY device ORDER BY event_id) - 1 AS packet_no

@@ -22,7 +22,7 @@ from packetloom.operators.frames import (
     released,
 )
 from packetloom.operators.ordered import CHUNK_ROWS, running_number, whole_steps, with_chunk
-from packetloom.operators.packets import chunk_carry, end_state, track
+from packetloom.operators.packets import chunk_carry, end_state, reject_unknown, track
 
 
 def _slot(folder, batch_id):
@@ -41,6 +41,7 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
                 mode: str = "reference", chunk_rows: int = CHUNK_ROWS):
     """Assemble frames; released frames of a batch go to ``out/batch_id=N``.
 
+    Packets that cannot be placed (no key, unknown trigger) go to ``{out}-rejects``.
     State per session: last scan place, loss, row and packet totals, and the
     rows of the frame that is not released yet.
     """
@@ -48,7 +49,8 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
 
     def run(batch, batch_id):
         spark = batch.sparkSession
-        packets = with_chunk(batch, order, chunk_rows)
+        reject_unknown(batch, keys, order).write.mode("overwrite").parquet(f"{out}-rejects/batch_id={batch_id}")
+        packets = with_chunk(batch.dropna(subset=[*keys, order]), order, chunk_rows)
         before = _load(spark, state, "sessions", batch_id)
         waiting = _load(spark, state, "pieces", batch_id)
         carry = chunk_carry(packets, keys, order, mode, before).persist()

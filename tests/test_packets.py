@@ -159,7 +159,7 @@ def test_channel_series(spark):
     rows = random_sessions(6)
     t = packets.track(make(spark, rows, 5), KEYS, "seq", "off")
     got = {}
-    for r in frames.channel_series(t, KEYS).orderBy("channel", "t_idx").collect():
+    for r in frames.channel_samples(frames.channel_series(t, KEYS), KEYS).orderBy("channel", "t_idx").collect():
         got.setdefault((r.device, r.session, r.channel), []).append(r.v)
     want = {}
     for key, m in brute(rows, "off").items():
