@@ -312,6 +312,26 @@ def stream_publish(spark, sf_dir):
     return spark.read.parquet(f"{folder}/outcomes").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _picky_writer():
+    """Refuses messages whose id ends in 17."""
+    return lambda row: not row["message_id"].endswith("17")
+
+
+@query("""SELECT (epoch_us(ts) // 1000) || '-' || event_id AS message_id, event_id % 100 <> 17 AS published FROM events
+WHERE event_id % 23 > 0 AND event_id % 29 > 0 AND json_extract_string(props, '$.k') IN ('7', '11', '13', '42', '77') AND event_id % 10 = 7""")
+def publish_backlog(spark, sf_dir):
+    """What the first attempt failed to publish, and whether the second one did."""
+    folder = shared_folder(spark, "publish")
+    rows = messages(spark, sf_dir).withColumn("stamp", F.lit("t"))
+    _run(spark, rows, "arrival", sinks.publish_sink(folder, _flaky_writer, "base", "k", KEPT))
+    waiting = sinks.backlog(spark, folder)
+    waiting.select("message_id").write.parquet(f"{folder}/first")
+    for _ in range(2):
+        sinks.republish(spark, folder, "again", _picky_writer)
+    left = sinks.backlog(spark, folder).select("message_id", F.lit(False).alias("published"))
+    return spark.read.parquet(f"{folder}/first").join(left, "message_id", "left").fillna(True, ["published"])
+
+
 def _mark_processed(value: bytes) -> bytes:
     if value.startswith(b"err"):
         raise ValueError("cannot process")

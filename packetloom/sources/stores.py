@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,12 +53,13 @@ def table_rows(rows: DataFrame) -> DataFrame:
 
 
 def exists(spark, path: str) -> bool:
-    """The folder holds data; what a failed job left behind does not count."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        return False
-    return any(f.getPath().getName()[0] not in "_." for f in fs.listStatus(hadoop))
+    """The folder holds a table; what a failed job left behind does not count."""
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def _spread(rows: DataFrame, *by: str) -> DataFrame:

@@ -115,13 +115,16 @@ def _markers(spark, folder, label):
 def publish_sink(folder: str, open_writer, base: str, field=None, values=(), stamp: str = "stamp"):
     """Validate, filter, publish; settled outcomes per batch under ``folder``.
 
-    Input: stream_key, message_id, raw and a stamp column.
+    Input: stream_key, message_id, raw and a stamp column. What was to be sent is kept
+    under ``outgoing``; ``backlog`` lists what failed, ``republish`` sends it again.
     """
 
     def run(batch, batch_id):
         spark = batch.sparkSession
         planned = routing.plan_outcomes(routing.parse_messages(batch), field, values)
         out = routing.publish_messages(planned.where("outcome = 'publish'"), base, stamp)
+        _write_batch(out, f"{folder}/outgoing", batch_id)
+        out = _read(spark, f"{folder}/outgoing", batch_id)
         _write_batch(topics.deliver(out, open_writer), f"{folder}/sent", batch_id)
         settled = routing.settle_outcomes(planned, _read(spark, f"{folder}/sent", batch_id))
         _write_batch(
@@ -131,6 +134,32 @@ def publish_sink(folder: str, open_writer, base: str, field=None, values=(), sta
     return run
 
 
+def backlog(spark, folder: str, since: int = 0, leave_out: str | None = None):
+    """Messages that no attempt has published yet, of batches from ``since`` on."""
+    out = _read(spark, f"{folder}/outgoing").where(F.col("batch_id") >= since)
+    done = _read(spark, f"{folder}/sent").where(F.col("batch_id") >= since).where("success").select(*ENTRY_KEY)
+    again = f"{folder}/retried"
+    if stores.exists(spark, again):
+        retried = spark.read.parquet(again).where("success")
+        if leave_out is not None:
+            retried = retried.where(F.col("run").cast("string") != leave_out)
+        done = done.unionByName(retried.select(*ENTRY_KEY))
+    return out.join(done.distinct(), ENTRY_KEY, "left_anti")
+
+
+def republish(spark, folder: str, label: str, open_writer, since: int = 0):
+    """Send the backlog again; gives attempted and published counts.
+
+    ``label`` names this run; a run with the same label starts it over.
+    """
+    place = f"{folder}/retried/run={label}"
+    waiting = backlog(spark, folder, since, leave_out=label).drop("batch_id")
+    topics.deliver(waiting, open_writer).write.mode("overwrite").parquet(place)
+    return spark.read.parquet(place).agg(
+        F.count(F.lit(1)).alias("attempted"), F.count_if("success").alias("published")
+    )
+
+
 def transform_sink(folder: str, fn, topic: str):
     """Consume, transform, produce: results under their new key, failures apart.
 
@@ -149,7 +178,11 @@ def transform_sink(folder: str, fn, topic: str):
 
 
 def discovery_sink(folder: str):
-    """Record streams seen for the first time, with the batch that showed them."""
+    """Record streams seen for the first time, with the batch that showed them.
+
+    A batch without a new stream writes nothing, so the folder grows with the streams
+    and not with the batches.
+    """
 
     def run(batch, batch_id):
         spark = batch.sparkSession
@@ -159,6 +192,7 @@ def discovery_sink(folder: str):
             seen = seen.join(
                 known.where(F.col("batch_id") < batch_id).select("stream_key"), "stream_key", "left_anti"
             )
-        _write_batch(seen, folder, batch_id)
+        if not seen.isEmpty():
+            _write_batch(seen, folder, batch_id)
 
     return run
