@@ -115,7 +115,7 @@ def slot_odds(texts, counts):
     partial = texts.mapInArrow(_slot_counts(counts), "range int, counts binary")
     summed = partial.repartition("range").mapInArrow(_sum_ranges, "range int, counts binary")
     table = np.zeros((model.SLOTS // RANGE, 2 * RANGE), np.int64)
-    for row in summed.toLocalIterator():
+    for row in summed.collect():
         table[row["range"]] = np.frombuffer(row["counts"], np.int64)
     return model.log_odds(table)
 
