@@ -257,7 +257,7 @@ def stream_frames(spark, sf_dir):
     """Frames over two micro-batches: the same frames as ``frames_assembled``."""
     out, state = shared_folder(spark, "frames"), shared_folder(spark, "state")
     packets = views.packets(spark, sf_dir).select("device", "event_id", "seq", "trig", "pressure")
-    _run(spark, packets, "event_id", stateful.frames_sink(out, state, ["device"], "seq"))
+    _run(spark, packets, "event_id", stateful.frames_sink(out, state, ["device"], "seq", buckets=4))
     gaps = F.size(F.filter("frame", lambda row: row[0] == -1000)).cast("bigint")
     return spark.read.parquet(out).select(
         "device", "frame_id", gaps.alias("gap_rows"), frames.frame_text().alias("samples")
@@ -270,7 +270,7 @@ def stream_batches(spark, sf_dir):
     samples = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("device"), "event_id", views.cents("value").alias("v")
     )
-    _run(spark, samples, "event_id", stateful.batches_sink(out, state, ["device"], "event_id"))
+    _run(spark, samples, "event_id", stateful.batches_sink(out, state, ["device"], "event_id", buckets=4))
     return sensor._batch_summary(spark.read.parquet(out))
 
 

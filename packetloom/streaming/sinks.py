@@ -10,8 +10,18 @@ from packetloom.operators import outbox, routing, streamlog
 from packetloom.sources import stores, topics
 
 
-def _write_batch(rows, folder, batch_id):
-    rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+def _write_batch(rows, folder, batch_id, *parts):
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{folder}/batch_id={batch_id}")
+
+
+def _hour(written_at, ttl_s="ttl_s"):
+    """Partition of a row that expires: its hour; -1 for one that never does."""
+    return F.when(F.col(ttl_s).isNull(), -1).otherwise(F.floor(F.col(written_at) / 3600)).cast("bigint")
+
+
+def _not_over(rows, as_of, ttl_s):
+    """The partitions that can hold a live row at ``as_of``."""
+    return rows.where((F.col("hour") == -1) | (F.col("hour") >= (as_of - ttl_s) // 3600))
 
 
 def _read(spark, folder, batch_id=None):
@@ -72,7 +82,7 @@ def outbox_sink(folder: str, open_writer, stamp_s: str = "stamp_s", ttl_s: int =
             "topic", "key", "value", F.col(stamp_s).alias("written_at"),
             F.lit(ttl_s).cast("bigint").alias("ttl_s"),
         )
-        _write_batch(content, f"{folder}/content", batch_id)
+        _write_batch(content.withColumn("hour", _hour("written_at")), f"{folder}/content", batch_id, "hour")
         _send(spark, _read(spark, f"{folder}/content", batch_id), folder, str(batch_id), open_writer, ttl_s)
 
     return run
@@ -85,7 +95,7 @@ def _send(spark, content, folder, label, open_writer, ttl_s):
     marks = acked.where("acked").select(
         "key", F.col("written_at").alias("marked_at"), F.lit(ttl_s).cast("bigint").alias("ttl_s")
     )
-    _write_batch(marks, f"{folder}/markers", label)
+    _write_batch(marks.withColumn("hour", _hour("marked_at")), f"{folder}/markers", label, "hour")
     return acked
 
 
@@ -94,8 +104,12 @@ def resync(spark, folder: str, label: str, open_writer, as_of: int, ttl_s: int =
 
     ``label`` names this run. Its attempts and markers lie under ``resync/``, apart from
     those of the stream's batches, and a run with the same label replaces them.
+    ``ttl_s`` is the longest life of content and markers: hours before that are not read.
     """
-    content = outbox.unsynced(_read(spark, f"{folder}/content"), _markers(spark, folder, label), as_of)
+    content = outbox.unsynced(
+        _not_over(_read(spark, f"{folder}/content"), as_of, ttl_s),
+        _not_over(_markers(spark, folder, label), as_of, ttl_s), as_of,
+    )
     return outbox.sync_counts(
         _send(spark, content.select("topic", "key", "value", "written_at"), f"{folder}/resync", label, open_writer, ttl_s)
     )
@@ -107,7 +121,7 @@ def _markers(spark, folder, label):
     again = f"{folder}/resync/markers"
     if stores.exists(spark, again):
         others = _read(spark, again).where(F.col("batch_id").cast("string") != label)
-        columns = ["key", "marked_at", "ttl_s"]
+        columns = ["key", "marked_at", "ttl_s", "hour"]
         marks = marks.select(*columns).unionByName(others.select(*columns))
     return marks
 

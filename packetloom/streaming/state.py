@@ -1,0 +1,55 @@
+"""State between micro-batches, in hash buckets of its keys.
+
+A batch reads and writes only the buckets that its keys fall into. Every write of a
+bucket is a version of its own, named by the batch; a batch starts from the newest
+version before its own, so one that runs again reads and leaves the same.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from packetloom.sources.stores import exists
+
+BUCKETS = 64
+
+
+class BucketedState:
+    """Tables of state under ``folder``, each with the columns ``keys``.
+
+    ``buckets`` is chosen once: many enough that a batch touches a small part.
+    """
+
+    def __init__(self, folder, keys, buckets=BUCKETS):
+        self.folder, self.keys, self.buckets = folder, list(keys), buckets
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def touched(self, rows):
+        """The buckets that the keys of some rows fall into."""
+        return rows.select(self._bucket()).distinct()
+
+    def load(self, spark, what, batch_id, touched=None):
+        """Rows of the touched buckets (or of all) as a batch finds them; None at first."""
+        path = f"{self.folder}/{what}"
+        if not exists(spark, path):
+            return None
+        rows = spark.read.parquet(path).where(F.col("version") < batch_id)
+        # partition columns only: no data is read for the newest versions
+        newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))
+        if touched is not None:
+            newest = newest.join(touched, "bucket", "left_semi")
+        return rows.join(newest, ["bucket", "version"], "left_semi").where("alive").drop("bucket", "version", "alive")
+
+    def store(self, rows, what, batch_id, touched):
+        """Writes all rows of the touched buckets as the batch's version.
+
+        A row that is not alive stands for each bucket, so that one without rows is
+        known to be empty.
+        """
+        empty = touched.withColumn("alive", F.lit(False))
+        alive = rows.withColumns({"bucket": self._bucket(), "alive": F.lit(True)})
+        alive.unionByName(empty, allowMissingColumns=True).repartition("bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{self.folder}/{what}/version={batch_id}")

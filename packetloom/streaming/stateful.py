@@ -1,10 +1,10 @@
 """Frames and count batches over a stream, with state carried between micro-batches.
 
 The batch operators do the work: a micro-batch starts from the state the one
-before left. The state is two small tables in one of two slots that alternate
-by batch id, so a batch that runs again reads the same state and writes the
-same result. A device with most of a micro-batch is split into chunks as in a
-batch job, which one keyed state handler per device could not do.
+before left, two small tables in hash buckets of the keys, of which it reads and
+writes those that it touches. A batch that runs again reads the same state and
+writes the same result. A device with most of a micro-batch is split into chunks
+as in a batch job, which one keyed state handler per device could not do.
 
 Packets are ordered inside a micro-batch; one that comes after later packets
 were processed counts as lost. The session belongs to the keys: a new session
@@ -23,22 +23,11 @@ from packetloom.operators.frames import (
 )
 from packetloom.operators.ordered import CHUNK_ROWS, running_number, whole_steps, with_chunk
 from packetloom.operators.packets import chunk_carry, end_state, reject_unknown, track
-
-
-def _slot(folder, batch_id):
-    return f"{folder}/slot={batch_id % 2}"
-
-
-def _load(spark, folder, what, batch_id):
-    return spark.read.parquet(f"{_slot(folder, batch_id - 1)}/{what}") if batch_id > 0 else None
-
-
-def _store(rows, folder, what, batch_id):
-    rows.write.mode("overwrite").parquet(f"{_slot(folder, batch_id)}/{what}")
+from packetloom.streaming.state import BUCKETS, BucketedState
 
 
 def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "seq",
-                mode: str = "reference", chunk_rows: int = CHUNK_ROWS):
+                mode: str = "reference", chunk_rows: int = CHUNK_ROWS, buckets: int = BUCKETS):
     """Assemble frames; released frames of a batch go to ``out/batch_id=N``.
 
     Packets that cannot be placed (no key, unknown trigger) go to ``{out}-rejects``.
@@ -46,30 +35,33 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
     rows of the frame that is not released yet.
     """
     keys = list(keys)
+    kept = BucketedState(state, keys, buckets)
 
     def run(batch, batch_id):
         spark = batch.sparkSession
         reject_unknown(batch, keys, order).write.mode("overwrite").parquet(f"{out}-rejects/batch_id={batch_id}")
         packets = with_chunk(batch.dropna(subset=[*keys, order]), order, chunk_rows)
-        before = _load(spark, state, "sessions", batch_id)
-        waiting = _load(spark, state, "pieces", batch_id)
+        touched = kept.touched(packets).persist()
+        before = kept.load(spark, "sessions", batch_id, touched)
+        waiting = kept.load(spark, "pieces", batch_id, touched)
         carry = chunk_carry(packets, keys, order, mode, before).persist()
         pieces = frame_pieces(track(packets, keys, order, mode, carry=carry), keys)
         try:
             now = end_state(carry, keys)
             if before is not None:
                 now = now.unionByName(before.join(now.select(*keys), keys, "left_anti"))
-            _store(now, state, "sessions", batch_id)
+            kept.store(now, "sessions", batch_id, touched)
             if waiting is not None:
-                sessions = spark.read.parquet(f"{_slot(state, batch_id)}/sessions")
+                sessions = kept.load(spark, "sessions", batch_id + 1, touched)
                 pieces = pieces.unionByName(
                     waiting.join(sessions.select(*keys, "rows_total"), keys, "left")
                 )
             pieces = pieces.persist()
             frames = join_pieces(pieces.where(released()), keys)
             frames.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            _store(pieces.where(~released()).drop("rows_total"), state, "pieces", batch_id)
+            kept.store(pieces.where(~released()).drop("rows_total"), "pieces", batch_id, touched)
         finally:
+            touched.unpersist()
             pieces.unpersist()
             carry.unpersist()
 
@@ -77,33 +69,35 @@ def frames_sink(out: str, state: str, keys=("device", "session"), order: str = "
 
 
 def batches_sink(out: str, state: str, keys=("device",), order: str = "seq",
-                 size: int = BATCH_SAMPLES, chunk_rows: int = CHUNK_ROWS):
+                 size: int = BATCH_SAMPLES, chunk_rows: int = CHUNK_ROWS, buckets: int = BUCKETS):
     """Release every ``size`` samples per key; the rest waits (fewer than ``size``)."""
     keys = list(keys)
+    kept = BucketedState(state, keys, buckets)
 
     def run(batch, batch_id):
         spark = batch.sparkSession
-        totals = _load(spark, state, "totals", batch_id)
-        waiting = _load(spark, state, "waiting", batch_id)
+        touched = kept.touched(batch).persist()
+        totals = kept.load(spark, "totals", batch_id, touched)
+        waiting = kept.load(spark, "waiting", batch_id, touched)
         chunked = with_chunk(batch, order, chunk_rows)
         rows = running_number(chunked, keys, order, "_i", "_n", start=totals).drop("chunk").persist()
         try:
             now = rows.groupBy(*keys).agg(F.max("_n").alias("n"))
             if totals is not None:
                 now = now.unionByName(totals.join(now.select(*keys), keys, "left_anti"))
-            _store(now, state, "totals", batch_id)
+            kept.store(now, "totals", batch_id, touched)
             full = rows
             if waiting is not None:
-                sizes = spark.read.parquet(f"{_slot(state, batch_id)}/totals")
-                sizes = sizes.withColumnRenamed("n", "_n")
+                sizes = kept.load(spark, "totals", batch_id + 1, touched).withColumnRenamed("n", "_n")
                 full = rows.unionByName(waiting.join(sizes, keys, "left"))
             full = full.withColumn("batch_no", whole_steps(F.col("_i"), size))
             done = F.col("batch_no") < whole_steps(F.col("_n"), size)
             full.where(done).withColumn("batch_pos", (F.col("_i") % size).cast("int")).drop(
                 "_i", "_n"
             ).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            _store(full.where(~done).drop("_n", "batch_no"), state, "waiting", batch_id)
+            kept.store(full.where(~done).drop("_n", "batch_no"), "waiting", batch_id, touched)
         finally:
+            touched.unpersist()
             rows.unpersist()
 
     return run
@@ -111,4 +105,4 @@ def batches_sink(out: str, state: str, keys=("device",), order: str = "seq",
 
 def flush_waiting(spark, state: str, last_batch_id: int):
     """Samples still waiting after the last batch: what a forced save writes out."""
-    return spark.read.parquet(f"{_slot(state, last_batch_id)}/waiting").drop("_i")
+    return BucketedState(state, []).load(spark, "waiting", last_batch_id + 1).drop("_i")

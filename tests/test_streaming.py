@@ -178,3 +178,22 @@ def test_observed_counts(spark):
     df = spark.range(10).select((F.col("id") > 2).alias("ok"))
     observed(df, seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "errors": 3}
+
+
+def test_state_writes_touched_buckets_only(spark, tmp_path):
+    from packetloom.streaming.state import BucketedState
+
+    state = BucketedState(str(tmp_path), ["k"], buckets=8)
+    every = spark.createDataFrame([(f"k{i}", i) for i in range(60)], "k string, n int")
+    state.store(every, "t", 0, state.touched(every))
+    one = spark.createDataFrame([("k7", 700)], "k string, n int")
+    touched = state.touched(one)
+    held = state.load(spark, "t", 1, touched)
+    assert 0 < held.count() < 60
+    state.store(held.where("k <> 'k7'").unionByName(one), "t", 1, touched)
+    assert len([p for p in (tmp_path / "t" / "version=1").iterdir() if p.name.startswith("bucket=")]) == 1
+    now = {r.k: r.n for r in state.load(spark, "t", 2).collect()}
+    assert len(now) == 60 and now["k7"] == 700 and now["k8"] == 8
+    assert {r.k: r.n for r in state.load(spark, "t", 1).collect()}["k7"] == 7
+    state.store(every.limit(0), "t", 2, touched)
+    assert 0 < state.load(spark, "t", 3).count() < 60
