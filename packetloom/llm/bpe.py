@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from packetloom.llm.common import saved, text_of
 
-CHUNK = 16384
+CHUNK = 32768
 OVERLAP = 1024
+# Rows that a worker holds encoded or decoded at a time.
+SLICE = 512
 
 
 @functools.lru_cache(2)
@@ -45,12 +47,18 @@ def _id_lists(encoding, texts):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _sliced(batches):
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            yield batch.slice(k, SLICE)
+
+
 def _encoder(ranks, pattern):
     """Arrow batches (name, text) -> (name, ids)."""
 
     def run(batches):
         encoding, _ = _codec(ranks.value, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             ids = _id_lists(encoding, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[batch.schema.names[0], "ids"])
 
@@ -106,31 +114,31 @@ def _scan(pattern, chunk, overlap):
 
 
 def _encode_long(texts, encoder, pattern, chunk, overlap):
-    """(key, text) with unique keys -> (key, ids)."""
+    """(key, text), rows with one key alike -> (key, ids), one row per key."""
     cut = texts.mapInArrow(_cut(chunk, overlap), "key binary, i int, last boolean, chunk string")
     scanned = saved(
-        cut.repartition("key", "i").mapInArrow(
+        cut.dropDuplicates(["key", "i"]).mapInArrow(
             _scan(pattern, chunk, overlap),
             "key binary, i int, last boolean, chunk string, heads array<int>, tails array<int>",
         ),
         "bpe-chunks",
     )
+    # What follows has a few numbers per chunk; the chunks themselves are joined once.
     before = scanned.filter("not last").select("key", (F.col("i") + 1).alias("i"), "tails")
     stitches = scanned.select("key", "i", "heads").join(before, ["key", "i"]).select(
         "key", "i", F.array_min(F.array_intersect("heads", "tails")).alias("start")
     )
-    broken = stitches.filter("start is null").select("key").distinct()
+    broken = stitches.groupBy("key").agg(F.bool_or(F.col("start").isNull()).alias("broken"))
     ends = stitches.select("key", (F.col("i") - 1).alias("i"), (F.col("start") + chunk).alias("end"))
+    # chunk 0 has an end only, the last one a start only
+    plan = saved(stitches.join(ends, ["key", "i"], "full").join(broken, "key"), "bpe-plan")
     start, end = F.coalesce("start", F.lit(0)), F.coalesce("end", F.length("chunk"))
-    pieces = (
-        scanned.select("key", "i", "chunk")
-        .join(broken, "key", "left_anti")
-        .join(stitches, ["key", "i"], "left")
-        .join(ends, ["key", "i"], "left")
-        .select(F.struct("key", "i").alias("at"), F.col("chunk").substr(start + 1, end - start).alias("text"))
+    planned = scanned.select("key", "i", "chunk").join(plan, ["key", "i"])
+    pieces = planned.filter("not broken").select(
+        F.struct("key", "i").alias("at"), F.col("chunk").substr(start + 1, end - start).alias("text")
     )
     whole = (
-        scanned.join(broken, "key", "left_semi")
+        planned.filter("broken")
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("i", F.substring("chunk", 1, chunk).alias("part")))).alias("parts"))
         .select(F.struct("key", F.lit(0).alias("i")).alias("at"), F.array_join("parts.part", "").alias("text"))
@@ -158,7 +166,7 @@ def encode(docs, ranks, pattern, id_col="doc_id", text_col="text", chunk=CHUNK,
     long = rows.filter(F.length("text") > chunk).select(
         "id", "text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key")
     )
-    by_key = _encode_long(long.select("key", "text").dropDuplicates(["key"]), encoder, pattern, chunk, overlap)
+    by_key = _encode_long(long.select("key", "text"), encoder, pattern, chunk, overlap)
     return short.union(long.select("id", "key").join(by_key, "key").select("id", "ids")).withColumnRenamed("id", id_col)
 
 
@@ -168,7 +176,7 @@ def decode(encoded, ranks, pattern):
 
     def run(batches):
         _, by_id = _codec(shared.value, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             lists = batch.column(batch.schema.names.index("ids"))
             joined = by_id.take(lists.flatten())
             ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
