@@ -43,6 +43,23 @@ def stream_table_last(spark, sf_dir):
     return _conflict_table(spark, sf_dir, overwrite=True)
 
 
+@query(REPLAY + CONFLICT.format(pick="arg_min"))
+def catalog_tables(spark, sf_dir):
+    """The stream table by its catalog name: provisioned, written, refreshed, read."""
+    folder = shared_folder(spark, "catalog")
+    stream, _ = stores.provision(spark, f"telemetry_{folder[-12:]}", folder=folder)
+    log = views.replayed_log(spark, sf_dir).withColumn("ingest_second", F.lit(0).cast("bigint"))
+    fields = F.create_map(F.lit("v"), F.col("value_cents").cast("string"))
+    rows = stores.table_rows(streamlog.stream_table_rows(log.withColumn("data", fields)))
+    for _ in range(2):
+        stores.write_stream_table(rows, f"{folder}/stream_messages")
+    stores.refresh(spark, stream)
+    return spark.table(stream).select(
+        "stream_key", "message_id", F.col("streaming_date").cast("string").alias("streaming_date"),
+        F.get_json_object("data", "$.v").cast("bigint").alias("value_cents"),
+    )
+
+
 @query(KV + """ SELECT redis_db, redis_key, coalesce(redis_value, '') AS redis_value FROM kv
 QUALIFY row_number() OVER (PARTITION BY redis_db, redis_key ORDER BY arrival DESC) = 1""")
 def kv_table(spark, sf_dir):

@@ -159,6 +159,32 @@ def frames_per_session(spark, sf_dir):
     return out.select(name.alias("device"), "frame_id", gaps.alias("gap_rows"), frames.frame_text().alias("samples"))
 
 
+@query(
+    with_sql(*TRACKED)
+    + """ SELECT 'frames' AS handled_by, device, count(*) AS n FROM frames WHERE device % 3 = 0 GROUP BY ALL
+UNION ALL SELECT 'batches', device, count(*) // 64 FROM packets WHERE device % 3 = 1 GROUP BY ALL HAVING count(*) >= 64
+UNION ALL SELECT 'generic', device, count(*) FROM packets WHERE device % 3 = 2 GROUP BY ALL"""
+)
+def dispatch_by_modality(spark, sf_dir):
+    """Beds get frames, insoles batches of samples, all others are counted."""
+
+    def beds(rows):
+        made = frames.assemble(packets.track(rows, KEYS, "event_id"), KEYS)
+        return made.groupBy("device").agg(F.count(F.lit(1)).alias("n")).withColumn("handled_by", F.lit("frames"))
+
+    def insoles(rows):
+        made = frames.count_batches(rows, KEYS, "event_id", 64)
+        return made.groupBy("device").agg((F.max("batch_no") + 1).alias("n")).withColumn("handled_by", F.lit("batches"))
+
+    def others(rows):
+        return rows.groupBy("device").agg(F.count(F.lit(1)).alias("n")).withColumn("handled_by", F.lit("generic"))
+
+    kinds = F.array(*[F.lit(n) for n in ("pressure_bed", "insole", "toaster")])
+    rows = views.packets(spark, sf_dir).withColumn("modality", F.get(kinds, (F.col("device") % 3).cast("int")))
+    out = devices.dispatch(rows, {"pressure_bed": beds, "insole": insoles}, others)
+    return out.select("handled_by", "device", "n")
+
+
 @query("""SELECT event_id, CASE WHEN event_id % 97 = 8 THEN 'missing session key or order' ELSE 'unknown trigger line' END AS reason
 FROM events WHERE event_id % 11 <> 4 AND (event_id % 97 = 8 OR event_id % 41 = 7)""")
 def packet_rejects(spark, sf_dir):
