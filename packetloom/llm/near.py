@@ -7,7 +7,7 @@ is missed with probability below 1e-7). Within a bucket the MinHash values of a
 compared sixteen at a time, and the pair is dropped as soon as the posterior probability
 of reaching the threshold falls below ``TOLERANCE``; the rest is verified on the whole
 sets. A pair is looked at in the first band it shares only. A bucket gives link counts
-and the edges of a spanning forest, never its pairs; a bucket of more than ``BLOCK``
+and one edge per linked node, to the first of its group, never its pairs; a bucket of more than ``BLOCK``
 nodes is compared block by block in tasks of their own.
 """
 
@@ -171,7 +171,7 @@ def _compare(similar):
         _, flat = np.unique(np.concatenate(sets), return_inverse=True)
         local = np.split(flat, np.cumsum(sizes)[:-1])
         mark = np.zeros(int(flat.max()) + 1, np.int32)
-        links, parent, edges = np.zeros(n, np.int64), list(range(n)), []
+        links, parent = np.zeros(n, np.int64), list(range(n))
 
         def root(k):
             while parent[k] != k:
@@ -204,7 +204,8 @@ def _compare(similar):
                 x, y = root(a), root(b)
                 if x != y:
                     parent[max(x, y)] = min(x, y)
-                    edges.append((a, b))
+        # a star for each group of linked nodes, around its first node
+        edges = [(root(k), k) for k in range(n) if root(k) != k]
         counted = np.flatnonzero(links)
         return pa.table(
             {
