@@ -21,7 +21,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import saved, text_of
+from packetloom.llm.common import saved, small_batches, text_of
 
 CHUNK = 32768
 OVERLAP = 1024
@@ -158,6 +158,7 @@ def encode(docs, ranks, pattern, id_col="doc_id", text_col="text", chunk=CHUNK,
     table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     encoder = _encoder(spark.sparkContext.broadcast(ranks), pattern)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))

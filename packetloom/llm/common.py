@@ -11,6 +11,8 @@ from packetloom.session import shared_folder
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_ROWS = 1000
+
 
 def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -30,6 +32,17 @@ def saved(df, label):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark):
+    """Lets the session's Arrow batches hold ``BATCH_ROWS`` rows at most.
+
+    Rows are whole documents here; the usual ten thousand make batches that a worker
+    holds several times over. A session that asks for fewer keeps its setting.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_of(name):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import SPACES, saved, text_of
+from packetloom.llm.common import SPACES, saved, small_batches, text_of
 
 HEAD = 32
 _RUNS = (
@@ -30,6 +30,7 @@ def normalised(name):
 
 def _sorted(docs, id_col, payload, norm):
     """``docs`` as (id, digest, payload) in content order, cut into ranges."""
+    small_batches(docs.sparkSession)
     keyed = docs.select(
         F.col(id_col).alias("id"),
         payload.alias("payload"),

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import saved, text_of
+from packetloom.llm.common import byte_views, saved, small_batches, text_of
 from packetloom.llm.components import components
 
 WORDS = 5
@@ -125,18 +125,11 @@ def buckets(values):
     return ((np.arange(BANDS, dtype=np.uint64) << np.uint64(58)) | (h >> np.uint64(6))).astype(np.int64)
 
 
-def _texts(column):
-    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-    for begin, end in zip(at[:-1].tolist(), at[1:].tolist()):
-        yield data[begin:end]
-
-
 def _sketch(batches):
     """(id, hash, text) -> (id, hash, node, buckets); no node for texts without words."""
     for batch in batches:
         nodes, found = [], []
-        for data in _texts(batch.column("text")):
+        for data in byte_views(batch.column("text")):
             s = shingles(data)
             nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             found.append(buckets(signature(s)) if len(s) else None)
@@ -150,7 +143,7 @@ def _sets(batches):
     """(text) -> (node, values, shingles)."""
     for batch in batches:
         rows = [(xxhash.xxh3_128_digest(s.tobytes()), signature(s).tobytes(), s.tobytes())
-                for s in map(shingles, _texts(batch.column("text"))) if len(s)]
+                for s in map(shingles, byte_views(batch.column("text"))) if len(s)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], pa.binary()) for k in range(3)], names=["node", "values", "shingles"]
         )
@@ -241,6 +234,7 @@ def _members(nodes):
 
 def _joined(docs, similar, id_col, text_col):
     """The rows of ``docs`` as (id, hash, node), and what is known of the nodes."""
+    small_batches(docs.sparkSession)
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import id_fold, label_shares, labelled_sample, same_columns, text_of
+from packetloom.llm.common import id_fold, label_shares, labelled_sample, same_columns, small_batches, text_of
 
 BITS = 16
 DIM = 8
@@ -166,6 +166,7 @@ def train(docs, labels, column="quality", folds=FOLDS, held=HELD, per_class=PER_
     The sample holds both labels alike; the bias is moved to their true shares. Without
     examples every margin is 0 and the bias 0.
     """
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, column, folds, held, per_class, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
     counted = sample.mapInArrow(_counted, f"id {kind}, label int, buckets array<int>, counts array<int>")
@@ -185,6 +186,7 @@ def scored(docs, model, id_col="doc_id", text_col="text"):
     n-gram and without a word) scores by the bias alone. Null ids and repeated rows are
     rows like others; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     margin, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(margin)
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import id_fold, labelled_sample, same_columns, text_of
+from packetloom.llm.common import id_fold, labelled_sample, same_columns, small_batches, text_of
 
 FOLDS, HELD = 3, 1
 PER_CLASS = 3000
@@ -193,6 +193,7 @@ def curve(x, y, ridge=0.05, steps=100):
 def train(docs, labels, column="toxic", folds=FOLDS, held=HELD, per_class=PER_CLASS, id_col="doc_id", text_col="text", exceptions=EXCEPTIONS):
     """A model (lexicon, exceptions, intercept, slope) from at most ``per_class`` texts of
     each label; without labelled texts the general list and a fixed curve remain."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, column, folds, held, per_class, id_col, text_col)
     counted = (
         sample.select("text", "label").mapInArrow(_count_forms, "form string, toxic long, other long")
@@ -226,6 +227,7 @@ def scored(docs, model, id_col="doc_id", text_col="text"):
     Whole texts are read. A null or empty text has no match. Null ids and repeated rows
     are rows like others; an empty table gives no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     lexicon, exceptions, intercept, slope = model
     shared = docs.sparkSession.sparkContext.broadcast(automaton(lexicon, exceptions))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
@@ -248,6 +250,7 @@ def verdicts(scores, folds=FOLDS, held=HELD, id_col="doc_id"):
 
 def clean(docs, model, id_col="doc_id", text_col="text"):
     """The rows of ``docs`` whose text is not flagged, with all their columns."""
+    small_batches(docs.sparkSession)
     lexicon, exceptions, intercept, slope = model
     shared = docs.sparkSession.sparkContext.broadcast(automaton(lexicon, exceptions))
     at = docs.columns.index(text_col)
