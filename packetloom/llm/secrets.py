@@ -4,8 +4,8 @@ From every rule's pattern a Boolean trigram query is derived: an OR of sets of t
 one set for each literal that a match must hold. A pass over the documents makes
 postings (trigram, document) for the trigrams that the rules ask for; intersecting them
 gives the candidates of each rule, and only those are searched with the pattern. Rules
-without a mandatory trigram are searched in every text, in the pass that makes the
-postings. The index is on lower-cased text, so it serves patterns in either case.
+without a mandatory trigram are searched in every text, in the same pass that finds the
+trigrams. The index is on lower-cased text, so it serves patterns in either case.
 """
 
 from __future__ import annotations
@@ -130,13 +130,21 @@ def find(text, rule, order):
     return F.when(text.rlike(rule.pattern), F.aggregate(parts, start, step, lambda acc: acc["found"])).otherwise(none)
 
 
-def postings(rows, trigrams):
-    """(trigram, id, hash) of the trigrams that stand in the lower-cased texts, in ranges
-    of the trigram; the hash in the range key splits frequent trigrams."""
-    low = F.lower("text")
-    held = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams)))
-    listed = rows.select(F.explode(held).alias("trigram"), "id", "hash")
-    return saved(listed.repartitionByRange("trigram", "hash").sortWithinPartitions("trigram"), "trigram-postings")
+def trigrams_in(text, trigrams):
+    """Those of the trigrams that stand in a lower-cased text, which is made once."""
+
+    def held(low):
+        return F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams)))
+
+    return F.transform(F.array(F.lower(text)), held)[0]
+
+
+def postings(scanned):
+    """(trigram, id, hash) rows of the trigrams found, in ranges of the trigram; hash and
+    id in the range key split frequent trigrams and groups of copies."""
+    listed = scanned.select(F.explode("trigrams").alias("trigram"), "id", "hash")
+    order = ["trigram", "hash", "id"]
+    return saved(listed.repartitionByRange(*order).sortWithinPartitions(*order), "trigram-postings")
 
 
 def candidates(index, queries):
@@ -174,10 +182,13 @@ def secret_spans(docs, rules=RULES, id_col="doc_id", text_col="text"):
     numbered = list(enumerate(rules))
     none = F.array().cast("array<struct<begin:int,order:int,end:int>>")
     open_rules = [find(F.col("text"), r, k) for k, r in numbered if not queries[r.kind]]
-    scanned = saved(rows.select("id", "hash", F.concat(none, *open_rules).alias("scanned")), "secret-scans")
     asked = {kind: q for kind, q in queries.items() if q}
     trigrams = sorted({t for q in asked.values() for one in q for t in one})
-    picked = candidates(postings(rows, trigrams), asked)
+    held = trigrams_in(F.col("text"), trigrams) if trigrams else F.array().cast("array<string>")
+    scanned = saved(
+        rows.select("id", "hash", held.alias("trigrams"), F.concat(none, *open_rules).alias("scanned")), "secret-scans"
+    )
+    picked = candidates(postings(scanned), asked)
     same = F.col("c.id").eqNullSafe(F.col("r.id")) & (F.col("c.hash") == F.col("r.hash"))
     searched = [
         F.when(F.array_contains("kinds", r.kind), find(F.col("text"), r, k)).otherwise(none)
