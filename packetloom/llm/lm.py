@@ -43,40 +43,61 @@ def words_of(data):
 
 
 def _corpus_counts(batches):
-    """(text) -> (symbol, word, n): tokens (the end mark as the empty word) and symbols."""
-    symbols, words = np.zeros(model.SYMBOLS, np.int64), Counter()
+    """(text) -> (pair, word, n): tokens (the end mark as the empty word), pairs of symbols."""
+    pairs, words = np.zeros(model.SYMBOLS**2, np.int64), Counter()
 
     def out():
         return pa.RecordBatch.from_arrays(
             [pa.array([-1] * len(words), pa.int32()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())],
-            names=["symbol", "word", "n"],
+            names=["pair", "word", "n"],
         )
 
     for batch in _sliced(batches):
-        for data in byte_views(batch.column("text")):
+        texts = byte_views(batch.column("text"))
+        for data in texts:
             words.update(words_of(data))
             words[b""] += 1
-            symbols += np.bincount(model.symbols_of(data), minlength=model.SYMBOLS)
+        pairs += model.pair_counts(texts)
         if len(words) > MOST_WORDS:
             yield out()
             words.clear()
     yield out()
-    found = np.flatnonzero(symbols)
+    found = np.flatnonzero(pairs)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(found, pa.int32()), pa.array([b""] * len(found), pa.binary()), pa.array(symbols[found], pa.int64())],
-        names=["symbol", "word", "n"],
+        [pa.array(found, pa.int32()), pa.array([b""] * len(found), pa.binary()), pa.array(pairs[found], pa.int64())],
+        names=["pair", "word", "n"],
     )
 
 
 def token_counts(texts):
-    """(symbol, word, n) over all texts; words have symbol -1."""
-    counted = texts.mapInArrow(_corpus_counts, "symbol int, word binary, n long")
-    return saved(counted.groupBy("symbol", "word").agg(F.sum("n").alias("n")), "lm-counts")
+    """(pair, word, n) over all texts; words have pair -1."""
+    counted = texts.mapInArrow(_corpus_counts, "pair int, word binary, n long")
+    return saved(counted.groupBy("pair", "word").agg(F.sum("n").alias("n")), "lm-counts")
+
+
+def dictionary(words):
+    """log10(n + 1) of the most frequent words, at most ``DICTIONARY`` of them.
+
+    Counts fall into steps of a sixteenth of a doubling; the steps that fit are taken
+    whole, from the top. So the driver gets some hundred sums and then the words.
+    """
+    words = words.withColumn("step", F.floor(F.log2("n") * 16).cast("int"))
+    room, least = DICTIONARY, None
+    for step, size in sorted(map(tuple, words.groupBy("step").count().collect()), reverse=True):
+        room -= size
+        if room < 0:
+            break
+        least = step
+    if least is None:
+        return {}
+    table = words.filter(F.col("step") >= least).select("word", "n").toArrow()
+    logs = np.log10(table["n"].to_numpy() + 1.0)
+    return dict(zip(table["word"].to_pylist(), logs.tolist()))
 
 
 @functools.lru_cache(2)
 def _code(counts):
-    return model.Code(counts)
+    return model.Code(np.frombuffer(counts, np.int64))
 
 
 def _slot_counts(counts):
@@ -198,15 +219,13 @@ def scored(docs, id_col="doc_id", text_col="text", folds=FOLDS, held=HELD, for_w
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), fold.alias("fold"))
     training = rows.filter(F.col("fold") != held)
     tokens = token_counts(training.select("text"))
-    symbols = tokens.filter("symbol >= 0").collect()
-    counts = [0] * model.SYMBOLS
-    for r in symbols:
-        counts[r.symbol] = r.n
-    counts = tuple(counts)
-    words = tokens.filter("symbol < 0")
+    pairs = np.zeros(model.SYMBOLS**2, np.int64)
+    for r in tokens.filter("pair >= 0").collect():
+        pairs[r.pair] = r.n
+    counts = pairs.tobytes()
+    words = tokens.filter("pair < 0")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = words.orderBy(F.desc("n"), "word").limit(DICTIONARY).select("word", "n").collect()
-    known = {bytes(r.word): math.log10(r.n + 1) for r in frequent}
+    known = dictionary(words)
     odds = slot_odds(training.filter(F.col("fold") != for_weights).select("text"), counts)
     shared = spark.sparkContext.broadcast(odds)
     weights = mixing_weights(training.filter(F.col("fold") == for_weights).select("text"), counts, shared)

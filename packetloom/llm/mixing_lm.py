@@ -1,7 +1,7 @@
 """Language-model scores by online logistic context mixing.
 
-A text is lower-cased (A-Z) and coded as bits: every byte, and an end mark, by a Huffman
-code of the corpus. Several predictors, each with its own hashed context (the last 2, 3
+A text is lower-cased (A-Z) and coded as bits: every byte, and an end mark, by the corpus'
+Huffman code after the byte before it. Several predictors, each with its own hashed context (the last 2, 3
 and 5 bytes, the word so far), give the log odds of the next bit from counts over the
 training texts. A gate (depth in the code, whether the longest context was ever seen)
 picks the weights that mix them; the weights are learned online on training texts that
@@ -28,19 +28,22 @@ SLOTS = sum(1 << b for b in SLOT_BITS)
 DEPTHS = 8
 GATES = DEPTHS * 2
 BLOCK = 256
-LANES = 48
+LANES = 64
 # Long texts go by in stretches; a stretch sees this many symbols before it.
 STRETCH, BEFORE = 65536, 4096
+# Symbols that are counted at a time.
+COUNTED = 1 << 18
 PRIOR = 0.4
+# Log odds are kept as small whole numbers, so that the tables stay near the processor.
+STEPS = 14
 START_WEIGHT = 0.3
 RATE, OWN_RATE = 0.02, 0.01
 LIMIT = 11.5
 
 _BASE = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 _ODD = np.uint32(0x9E3779B1)
+_SALT = np.uint32(0x85EBCA6B)
 _WORD = np.uint64(0xD6E8FEB86659FD93)
-_rng = np.random.default_rng(10)
-_NODE_SALT = _rng.integers(1 << 32, size=SYMBOLS, dtype=np.uint32)
 _MOST = 1 << 20
 _UP = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(_MOST, _WORD)]), dtype=np.uint64)
 _DOWN = np.cumprod(
@@ -49,43 +52,62 @@ _DOWN = np.cumprod(
 
 
 class Code:
-    """A Huffman code for the 257 symbols: per symbol its bits and the nodes they leave."""
+    """A Huffman code of the symbols for every symbol before them.
+
+    ``counts`` holds how often each pair (symbol before * SYMBOLS + symbol) occurs; the
+    counts of single symbols fill in where pairs are rare, so every symbol has a code
+    everywhere. Per pair there are the bits and the salts of the nodes they leave.
+    """
 
     def __init__(self, counts):
-        heap = [(int(c) + 1, k, k) for k, c in enumerate(counts)]
-        heapq.heapify(heap)
-        inner, made = {}, SYMBOLS
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            inner[made] = a[2], b[2]
-            heapq.heappush(heap, (a[0] + b[0], made, made))
-            made += 1
-        paths = {}
-        stack = [(made - 1, ())]
-        while stack:
-            at, path = stack.pop()
-            if at < SYMBOLS:
-                paths[at] = path
-            else:
-                stack += [(inner[at][bit], (*path, (at - SYMBOLS, bit))) for bit in (0, 1)]
-        most = max(map(len, paths.values()))
-        self.length = np.array([len(paths[s]) for s in range(SYMBOLS)], np.int32)
-        self.node = np.zeros((SYMBOLS, most), np.uint32)
-        self.sign = np.zeros((SYMBOLS, most), np.float32)
-        for s, path in paths.items():
-            for k, (node, bit) in enumerate(path):
-                self.node[s, k], self.sign[s, k] = _NODE_SALT[node], 2 * bit - 1
-        self.width = most
-        self.node, self.sign = self.node.ravel(), self.sign.ravel()
-
-    def bits(self, symbols):
-        """(symbol of each bit, salt of its node, -1 or 1, depth) of a run of symbols."""
-        length = self.length[symbols]
+        pairs = np.asarray(counts, float).reshape(SYMBOLS, SYMBOLS)
+        single = pairs.sum(axis=0) + 1
+        weight = pairs + single / single.sum() + 1e-4
+        trees = [_tree(w.tolist()) for w in weight]
+        self.width = max(len(path) for tree in trees for path in tree)
+        self.length = np.array([[len(path) for path in tree] for tree in trees], np.int32).ravel()
+        node = np.zeros((SYMBOLS, SYMBOLS, self.width), np.uint32)
+        sign = np.zeros((SYMBOLS, SYMBOLS, self.width), np.float32)
+        for before, tree in enumerate(trees):
+            for s, path in enumerate(tree):
+                n = len(path)
+                node[before, s, :n] = [2 * (before * SYMBOLS + k) + 1 for k, _ in path]
+                sign[before, s, :n] = [bit for _, bit in path]
+        self.node, self.sign = (node * _SALT).ravel(), sign.ravel()
+
+    def bits(self, pairs):
+        """(symbol of each bit, salt of its node, -1 or 1, depth) of a run of pairs."""
+        length = self.length.take(pairs)
         ends = np.cumsum(length)
-        of = np.repeat(np.arange(len(symbols)), length)
-        depth = np.arange(int(ends[-1]), dtype=np.int32) - np.repeat((ends - length).astype(np.int32), length)
-        at = np.repeat(symbols.astype(np.int32) * self.width, length) + depth
-        return of, self.node[at], self.sign[at], depth
+        of = np.repeat(np.arange(len(pairs)), length)
+        depth = np.arange(int(ends[-1]), dtype=np.int32) - (ends - length).astype(np.int32).take(of)
+        at = (pairs * self.width).take(of) + depth
+        return of, self.node.take(at), self.sign.take(at), depth
+
+
+def _tree(weights):
+    """Per symbol the (inner node, -1 or 1) steps of a Huffman code."""
+    heap = [(w, k) for k, w in enumerate(weights)]
+    heapq.heapify(heap)
+    parent, made = {}, SYMBOLS
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        parent[a[1]], parent[b[1]] = (made, -1), (made, 1)
+        heapq.heappush(heap, (a[0] + b[0], made))
+        made += 1
+    steps = {made - 1: []}
+    for inner in range(made - 2, -1, -1):
+        above, bit = parent[inner]
+        steps[inner] = [*steps[above], (above - SYMBOLS, bit)]
+    return [steps[k] for k in range(SYMBOLS)]
+
+
+def pairs_of(symbols, place):
+    """Symbol before * SYMBOLS + symbol, for texts that stand one after the other."""
+    before = np.full(len(symbols), END, np.int64)
+    before[1:] = symbols[:-1]
+    before[place == 0] = END
+    return before * SYMBOLS + symbols
 
 
 def symbols_of(data):
@@ -136,6 +158,15 @@ def stretches(symbols):
         yield symbols[first : begin + STRETCH], begin - first
 
 
+def pair_counts(texts):
+    """How often each pair of symbols occurs in the texts."""
+    runs = [symbols_of(t) for t in texts]
+    if not runs:
+        return np.zeros(SYMBOLS**2, np.int64)
+    place = places(np.array([len(r) for r in runs]))
+    return np.bincount(pairs_of(np.concatenate(runs), place), minlength=SYMBOLS**2)
+
+
 def places(lengths):
     """Positions 0, 1, ... in each of several runs."""
     ends = np.cumsum(lengths)
@@ -146,7 +177,7 @@ def _add(table, code, group):
     stream = np.concatenate([part for part, _ in group])
     place = places(np.array([len(part) for part, _ in group]))
     new = np.flatnonzero(place >= np.repeat([skip for _, skip in group], [len(part) for part, _ in group]))
-    of, salt, sign, _ = code.bits(stream[new])
+    of, salt, sign, _ = code.bits(pairs_of(stream, place)[new])
     one = sign > 0
     for k, key in enumerate(contexts(stream, place)):
         at = (slots(key[new], of, salt, SLOT_BITS[k]) << 1) + one
@@ -158,7 +189,7 @@ def add_counts(table, code, texts):
     group, size = [], 0
     for text in texts:
         for part, skip in stretches(symbols_of(text)):
-            if size + len(part) > _MOST:
+            if size + len(part) > COUNTED:
                 _add(table, code, group)
                 group, size = [], 0
             group.append((part, skip))
@@ -168,9 +199,10 @@ def add_counts(table, code, texts):
 
 
 def log_odds(table):
-    """Log odds of a 1 for each slot, 0 where nothing was counted."""
+    """Log odds of a 1 for each slot in steps of 1 / STEPS, 0 where nothing was counted."""
     pair = table.reshape(-1, 2).astype(np.float32)
-    return np.log((pair[:, 1] + PRIOR) / (pair[:, 0] + PRIOR)).astype(np.float32)
+    odds = np.log((pair[:, 1] + PRIOR) / (pair[:, 0] + PRIOR))
+    return np.clip(np.rint(odds * STEPS), -127, 127).astype(np.int8)
 
 
 class Mixer:
@@ -209,22 +241,24 @@ class Mixer:
             skip = np.array([runs[k][nth][1] for k in live])
             lengths = np.array([len(p) for p in parts])
             stream = np.concatenate(parts)
-            keys = contexts(stream, places(lengths))
+            place = places(lengths)
+            pairs, keys = pairs_of(stream, place), contexts(stream, place)
             starts = np.cumsum(lengths) - lengths + skip
             for block in range(0, int((lengths - skip).max()), BLOCK):
                 here = np.flatnonzero(lengths - skip > block)
                 n = np.minimum((lengths - skip)[here] - block, BLOCK)
                 pick = np.repeat(starts[here] + block, n) + places(n)
-                total[live[here]] += self._block(stream[pick], [key[pick] for key in keys], n, own, live[here], learn)
+                total[live[here]] += self._block(pairs[pick], [key[pick] for key in keys], n, own, live[here], learn)
         return total
 
-    def _block(self, symbols, keys, sizes, own, lanes, learn):
-        of, salt, sign, depth = self.code.bits(symbols)
-        per_symbol = np.concatenate([[0], np.cumsum(self.code.length[symbols])])
+    def _block(self, pairs, keys, sizes, own, lanes, learn):
+        of, salt, sign, depth = self.code.bits(pairs)
+        per_symbol = np.concatenate([[0], np.cumsum(self.code.length[pairs])])
         edges = per_symbol[np.concatenate([[0], np.cumsum(sizes)])]
         bits = np.diff(edges)
         inputs = [
-            self.odds[k].take(slots(keys[k], of, salt, SLOT_BITS[k]), mode="clip") for k in range(INPUTS)
+            self.odds[k].take(slots(keys[k], of, salt, SLOT_BITS[k]), mode="clip").astype(np.float32) / np.float32(STEPS)
+            for k in range(INPUTS)
         ]
         gate = np.minimum(depth, DEPTHS - 1) * 2 + (inputs[-2] != 0)
         weights = np.ascontiguousarray(self.weights.T)

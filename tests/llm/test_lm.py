@@ -57,8 +57,7 @@ def test_odd_rows(spark):
 
 
 def trained(texts):
-    counts = sum(np.bincount(model.symbols_of(t), minlength=model.SYMBOLS) for t in texts)
-    code = model.Code(counts)
+    code = model.Code(model.pair_counts(texts))
     table = np.zeros(2 * model.SLOTS, np.int64)
     model.add_counts(table, code, texts)
     return code, model.log_odds(table)
@@ -69,8 +68,9 @@ def as_bytes(text):
 
 
 def test_code_is_complete():
-    code = model.Code([5, 9] * 128 + [3])
-    assert abs(sum(2.0 ** -int(n) for n in code.length) - 1) < 1e-12
+    code = model.Code(model.pair_counts([as_bytes("some text, é")]))
+    kraft = (2.0 ** -code.length.reshape(model.SYMBOLS, -1)).sum(axis=1)
+    assert np.allclose(kraft, 1)
 
 
 def test_probabilities_of_the_next_symbol_add_up():
@@ -78,11 +78,12 @@ def test_probabilities_of_the_next_symbol_add_up():
     code, odds = trained(texts)
     mixer = model.Mixer(code, odds)
     start = model.symbols_of(as_bytes("the ca"))[:-1]
-    every = np.stack([np.append(start, s) for s in range(model.SYMBOLS)])
-    keys = [k for k in model.contexts(every.ravel().astype(np.int16), model.places(np.full(model.SYMBOLS, 7)))]
+    every = np.stack([np.append(start, s) for s in range(model.SYMBOLS)]).ravel().astype(np.int16)
+    place = model.places(np.full(model.SYMBOLS, 7))
+    keys, pairs = model.contexts(every, place), model.pairs_of(every, place)
     last = np.arange(model.SYMBOLS) * 7 + 6
     own = np.zeros((model.SYMBOLS, model.INPUTS), np.float32)
-    logs = mixer._block(every[:, 6].astype(np.int16), [k[last] for k in keys], np.ones(model.SYMBOLS, int), own, np.arange(model.SYMBOLS), False)
+    logs = mixer._block(pairs[last], [k[last] for k in keys], np.ones(model.SYMBOLS, int), own, np.arange(model.SYMBOLS), False)
     assert abs(np.exp(logs).sum() - 1) < 1e-4
 
 
@@ -100,13 +101,13 @@ def test_scores_do_not_depend_on_the_company():
 def test_adapting_and_training_help():
     texts = [as_bytes("the cat sat on the mat " * 30)] * 4
     code, odds = trained(texts)
-    blank = model.Mixer(code, np.zeros(model.SLOTS, np.float32)).score(texts[:1])[0]
+    blank = model.Mixer(code, np.zeros(model.SLOTS, np.int8)).score(texts[:1])[0]
     assert model.Mixer(code, odds).score(texts[:1])[0] > 0.2 * blank
 
 
 def test_counts_of_stretches(monkeypatch):
     text = as_bytes("some words and more " * 500)
-    code = model.Code(np.bincount(model.symbols_of(text), minlength=model.SYMBOLS))
+    code = model.Code(model.pair_counts([text]))
     whole, parts = np.zeros(2 * model.SLOTS, np.int64), np.zeros(2 * model.SLOTS, np.int64)
     model.add_counts(whole, code, [text])
     monkeypatch.setattr(model, "STRETCH", 1000)
