@@ -178,8 +178,9 @@ def _matches(machine):
 
 
 def curve(x, y, ridge=0.05, steps=100):
-    """Intercept and slope of a logistic regression with a light ridge on the slope."""
-    if not len(x):
+    """Intercept and slope of a logistic regression with a light ridge on the slope; a
+    fixed curve where only one label was seen."""
+    if len(set(y)) < 2:
         return -3.0, 3.0
     a = np.column_stack([np.ones(len(x)), x])
     w, penalty = np.zeros(2), np.diag([1e-6, ridge])
@@ -192,7 +193,7 @@ def curve(x, y, ridge=0.05, steps=100):
 
 def train(docs, labels, column="toxic", folds=FOLDS, held=HELD, per_class=PER_CLASS, id_col="doc_id", text_col="text", exceptions=EXCEPTIONS):
     """A model (lexicon, exceptions, intercept, slope) from at most ``per_class`` texts of
-    each label; without labelled texts the general list and a fixed curve remain."""
+    each label; without texts of both labels the general list and a fixed curve remain."""
     small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, column, folds, held, per_class, id_col, text_col)
     counted = (
