@@ -7,10 +7,12 @@ from packetloom.llm import queries, subwords
 
 
 def test_held_out_accuracy(spark, docs_dir):
+    # the smallest table has too few labelled texts of the rarer kind to learn from
+    docs_dir = docs_dir.replace("sf0.001", "sf0.01")
     scored = queries.op1_quality(spark, docs_dir)
     rows = scored.join(spark.read.parquet(f"{docs_dir}/labels.parquet"), "doc_id").filter("held_out").collect()
     assert len(rows) > 10
-    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.9
+    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.95
 
 
 def test_features_against_a_plain_loop():
