@@ -15,13 +15,14 @@ def _write_batch(rows, folder, batch_id, *parts):
 
 
 def _hour(written_at, ttl_s="ttl_s"):
-    """Partition of a row that expires: its hour; -1 for one that never does."""
-    return F.when(F.col(ttl_s).isNull(), -1).otherwise(F.floor(F.col(written_at) / 3600)).cast("bigint")
+    """Partition of a row that expires: the hour it does; -1 for one that never does."""
+    over = F.floor((F.col(written_at) + F.col(ttl_s)) / 3600)
+    return F.when(F.col(ttl_s).isNull(), -1).otherwise(F.greatest(over, F.lit(0))).cast("bigint")
 
 
-def _not_over(rows, as_of, ttl_s):
-    """The partitions that can hold a live row at ``as_of``."""
-    return rows.where((F.col("hour") == -1) | (F.col("hour") >= (as_of - ttl_s) // 3600))
+def _not_over(rows, as_of):
+    """The partitions that can hold a live row at ``as_of``, by the life of each row."""
+    return rows.where((F.col("expires") == -1) | (F.col("expires") >= max(as_of // 3600, 0)))
 
 
 def _read(spark, folder, batch_id=None):
@@ -82,7 +83,7 @@ def outbox_sink(folder: str, open_writer, stamp_s: str = "stamp_s", ttl_s: int =
             "topic", "key", "value", F.col(stamp_s).alias("written_at"),
             F.lit(ttl_s).cast("bigint").alias("ttl_s"),
         )
-        _write_batch(content.withColumn("hour", _hour("written_at")), f"{folder}/content", batch_id, "hour")
+        _write_batch(content.withColumn("expires", _hour("written_at")), f"{folder}/content", batch_id, "expires")
         _send(spark, _read(spark, f"{folder}/content", batch_id), folder, str(batch_id), open_writer, ttl_s)
 
     return run
@@ -95,7 +96,7 @@ def _send(spark, content, folder, label, open_writer, ttl_s):
     marks = acked.where("acked").select(
         "key", F.col("written_at").alias("marked_at"), F.lit(ttl_s).cast("bigint").alias("ttl_s")
     )
-    _write_batch(marks.withColumn("hour", _hour("marked_at")), f"{folder}/markers", label, "hour")
+    _write_batch(marks.withColumn("expires", _hour("marked_at")), f"{folder}/markers", label, "expires")
     return acked
 
 
@@ -104,11 +105,12 @@ def resync(spark, folder: str, label: str, open_writer, as_of: int, ttl_s: int =
 
     ``label`` names this run. Its attempts and markers lie under ``resync/``, apart from
     those of the stream's batches, and a run with the same label replaces them.
-    ``ttl_s`` is the longest life of content and markers: hours before that are not read.
+    ``ttl_s`` is the life of the markers it writes. Content and markers lie by the hour
+    they expire, so only hours that are over at ``as_of`` are not read.
     """
     content = outbox.unsynced(
-        _not_over(_read(spark, f"{folder}/content"), as_of, ttl_s),
-        _not_over(_markers(spark, folder, label), as_of, ttl_s), as_of,
+        _not_over(_read(spark, f"{folder}/content"), as_of),
+        _not_over(_markers(spark, folder, label), as_of), as_of,
     )
     return outbox.sync_counts(
         _send(spark, content.select("topic", "key", "value", "written_at"), f"{folder}/resync", label, open_writer, ttl_s)
@@ -121,7 +123,7 @@ def _markers(spark, folder, label):
     again = f"{folder}/resync/markers"
     if stores.exists(spark, again):
         others = _read(spark, again).where(F.col("batch_id").cast("string") != label)
-        columns = ["key", "marked_at", "ttl_s", "hour"]
+        columns = ["key", "marked_at", "ttl_s", "expires"]
         marks = marks.select(*columns).unionByName(others.select(*columns))
     return marks
 

@@ -126,6 +126,27 @@ def test_outbox_recovers_what_failed(spark):
     assert left.attempted == 0
 
 
+def test_resync_sees_content_and_markers_that_live_longer_than_its_default(spark):
+    folder = shared_folder(spark, "outbox")
+    df = spark.createDataFrame([("t", f"k{i}", bytearray(b"v"), 1000) for i in range(10)], "topic string, key string, value binary, stamp_s bigint")
+    sinks.outbox_sink(folder, lambda: (lambda row: row["key"] not in ("k3", "k4")), ttl_s=86_400)(df, 0)
+    sinks.outbox_sink(folder, lambda: (lambda row: False), ttl_s=None)(df.limit(1).withColumn("key", F.lit("ever")), 1)
+    as_of = 1000 + 20 * 3600
+    counts = sinks.resync(spark, folder, "one", lambda: (lambda row: True), as_of=as_of, ttl_s=86_400).first()
+    assert (counts.attempted, counts.synced) == (3, 3)
+    assert sinks.resync(spark, folder, "two", lambda: (lambda row: True), as_of=as_of).first().attempted == 0
+    late = sinks.resync(spark, folder, "three", lambda: (lambda row: True), as_of=1000 + 86_400).first()
+    assert late.attempted == 1  # content that never ends, whose marker did
+
+
+def test_resync_default_sends_long_lived_content(spark):
+    folder = shared_folder(spark, "outbox")
+    df = spark.createDataFrame([("t", k, bytearray(b"v"), 1000) for k in "kl"], "topic string, key string, value binary, stamp_s bigint")
+    sinks.outbox_sink(folder, lambda: (lambda row: row["key"] == "l"), ttl_s=86_400)(df, 0)
+    counts = sinks.resync(spark, folder, "one", lambda: (lambda row: True), as_of=1000 + 20 * 3600).first()
+    assert (counts.attempted, counts.synced) == (1, 1)
+
+
 def test_publish_sink(spark):
     folder = shared_folder(spark, "publish")
     raw = ['{"type": "alert"}', '{"type": "info"}', "no", '{"type": "alert", "x": 1}']
