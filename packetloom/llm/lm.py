@@ -5,6 +5,10 @@ the tasks as a dictionary of at most ``DICTIONARY`` words; the others are joined
 which no longer has heavy keys. The model of :mod:`packetloom.llm.mixing_lm` is counted
 on most training documents, its weights are learned on the rest of them, and it scores
 every document in the pass that also counts the document's tokens.
+
+The counted pairs are a written table in ranges of their key, as many as the training
+bytes ask for. Documents go by in groups of about ``GROUP`` bytes: a group asks every range
+for the contexts that it has, and is scored with what comes back.
 """
 
 from __future__ import annotations
@@ -25,8 +29,12 @@ from packetloom.llm.common import byte_views, id_fold, saved, text_of
 FOLDS, HELD, FOR_WEIGHTS = 7, 2, 3
 DICTIONARY = 200_000
 SLICE = 512
-# Counts leave a task in ranges of this many slots.
-RANGE = 1024
+# Training bytes for each range of the pair table.
+RANGE_BYTES = 1 << 22
+# Pairs that a task sums before it hands them on.
+MOST_PAIRS = 1 << 22
+# Bytes of texts, and so much for each text, that are scored together.
+GROUP, EACH = 1 << 23, 16
 # Distinct words that a task counts before it hands them on.
 MOST_WORDS = 1_000_000
 
@@ -100,67 +108,192 @@ def _code(counts):
     return model.Code(np.frombuffer(counts, np.int64))
 
 
-def _slot_counts(counts):
-    """(text) -> (range, counts): the bits of a partition's texts, per range of slots."""
+def _packed(values):
+    return pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True)
+
+
+def _unpacked(data, n, kind=np.int64):
+    return np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), kind)
+
+
+def _packed_keys(keys):
+    return _packed(np.diff(keys, prepend=np.zeros(1, np.uint64)))
+
+
+def _unpacked_keys(data, n):
+    return np.cumsum(_unpacked(data, n, np.uint64), dtype=np.uint64)
+
+
+def _cuts(keys, bits, key_bits):
+    """(range, begin, end) of the ranges that sorted keys of ``key_bits`` bits reach."""
+    of = (keys >> np.uint64(key_bits - bits)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else []
+    return [(int(of[a]), a, b) for a, b in itertools.pairwise([*first, len(of)])]
+
+
+def _batch(names, kinds, rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+_PAIRS = "range int, n int, keys binary, counts binary"
+
+
+def _pair_rows(keys, counts, bits):
+    for k, a, b in _cuts(keys, bits, 64):
+        row = (k, b - a, _packed_keys(keys[a:b]), _packed(counts[a:b]))
+        yield _batch(["range", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()], [row])
+
+
+def _pair_counts(bits):
+    """(text) -> the sums of a partition's pairs, per range of the key."""
 
     def run(batches):
-        table, code, some = np.zeros(2 * model.SLOTS, np.int32), _code(counts), False
+        pairs = model.Pairs(MOST_PAIRS)
         for batch in _sliced(batches):
-            model.add_counts(table, code, byte_views(batch.column("text")))
-            some = True
-        parts = table.reshape(-1, 2 * RANGE)
-        full = np.flatnonzero(parts.any(axis=1)) if some else []
-        for k in full:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([parts[k].tobytes()], pa.binary())], names=["range", "counts"]
-            )
+            pairs.add_texts(byte_views(batch.column("text")))
+            if pairs.waiting > MOST_PAIRS // 2 and len(pairs.total()[0]) > MOST_PAIRS // 2:
+                yield from _pair_rows(*pairs.total(), bits)
+                pairs = model.Pairs(MOST_PAIRS)
+        yield from _pair_rows(*pairs.total(), bits)
 
     return run
 
 
-def _sum_ranges(batches):
-    """Adds up the rows of a range as they come by."""
-    sums = {}
+def _pairs_in(table):
+    """(keys, counts) of every row of a table of pairs."""
+    columns = [table.column(c).to_pylist() for c in ("n", "keys", "counts")]
+    return [(_unpacked_keys(keys, n), _unpacked(counts, n)) for n, keys, counts in zip(*columns)]
+
+
+def _merged(table):
+    """Adds up the rows of a range."""
+    keys, counts = map(np.concatenate, zip(*_pairs_in(table)))
+    keys, counts = model.summed(keys, counts)
+    row = (table.column("range")[0].as_py(), len(keys), _packed_keys(keys), _packed(counts))
+    return pa.Table.from_batches(
+        [_batch(["range", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()], [row])]
+    )
+
+
+def range_bits(texts):
+    """Ranges of the pair table as a power of two, from the bytes of the training texts."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    return max(4, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
+
+
+def pair_table(texts, bits):
+    """All (context, symbol) pairs of ``texts`` with their counts, one row per range."""
+    partial = texts.mapInArrow(_pair_counts(bits), _PAIRS)
+    return saved(partial.groupBy("range").applyInArrow(_merged, _PAIRS), "lm-pairs")
+
+
+def _grouped(batches):
+    """(id, text) -> (grp, docs): rows in groups of about ``GROUP`` bytes."""
+    part, nth, held, size = TaskContext.get().partitionId(), itertools.count(), [], 0
+
+    def out():
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
+            for one in held:
+                file.write_batch(one)
+        row = (part << 20 | next(nth), sink.getvalue().to_pybytes())
+        return _batch(["grp", "docs"], [pa.int64(), pa.binary()], [row])
+
     for batch in batches:
-        for k, data in zip(batch.column("range").to_pylist(), batch.column("counts").to_pylist()):
-            part = np.frombuffer(data, np.int32)
-            sums[k] = sums[k] + part if k in sums else part.astype(np.int64)
-    for k, total in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["range", "counts"]
-        )
+        sizes = np.array([len(t) for t in byte_views(batch.column("text"))], np.int64) + EACH
+        begin = 0
+        for k, n in enumerate(sizes.tolist()):
+            if size and size + n > GROUP:
+                if k > begin:
+                    held.append(batch.slice(begin, k - begin))
+                yield out()
+                begin, held, size = k, [], 0
+            size += n
+        if len(sizes) > begin:
+            held.append(batch.slice(begin))
+    if held:
+        yield out()
+
 
+def grouped(rows):
+    """Rows (id, text) as a written table of groups, the same whenever it is read."""
+    return saved(rows.select("id", "text").mapInArrow(_grouped, "grp long, docs binary"), "lm-groups")
 
-def slot_odds(texts, counts):
-    """Log odds of all slots, counted over ``texts``. The driver gets one fixed table."""
-    partial = texts.mapInArrow(_slot_counts(counts), "range int, counts binary")
-    summed = partial.repartition("range").mapInArrow(_sum_ranges, "range int, counts binary")
-    table = np.zeros((model.SLOTS // RANGE, 2 * RANGE), np.int64)
-    for row in summed.collect():
-        table[row["range"]] = np.frombuffer(row["counts"], np.int64)
-    return model.log_odds(table)
 
+def _texts(docs):
+    """The record batches of a group, cut small."""
+    return _sliced(pa.ipc.open_stream(docs))
 
-def _learned(counts, odds):
+
+def _requests(bits):
     def run(batches):
-        mixer, bits = model.Mixer(_code(counts), odds.value), 0
-        for batch in _sliced(batches):
+        for batch in batches:
+            for grp, docs in zip(batch.column("grp").to_pylist(), batch.column("docs")):
+                texts = (t for part in _texts(docs.as_buffer()) for t in byte_views(part.column("text")))
+                found = model.contexts_of(texts)
+                for k, a, b in _cuts(found, bits, 55):
+                    row = (k, grp, b - a, _packed_keys(found[a:b]))
+                    yield _batch(["range", "grp", "n", "contexts"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()], [row])
+
+    return run
+
+
+def _answers(asked, table):
+    """The pairs of a range in the contexts that groups ask for, a row per group."""
+    rows, names, kinds = [], ["grp", "n", "keys", "counts"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    if asked.num_rows and table.num_rows:
+        [(keys, counts)] = _pairs_in(table)
+        contexts = keys >> np.uint64(9)
+        for grp, n, data in zip(*(asked.column(c).to_pylist() for c in ("grp", "n", "contexts"))):
+            want = _unpacked_keys(data, n)
+            first, last = (np.searchsorted(contexts, want, side) for side in ("left", "right"))
+            has = last > first
+            first, many = first[has], (last - first)[has]
+            if len(first):
+                at = np.repeat(first, many) + model.places(many)
+                rows.append((grp, len(at), _packed_keys(keys[at]), _packed(counts[at])))
+    if not rows:
+        return pa.schema(list(zip(names, kinds))).empty_table()
+    return pa.Table.from_batches([_batch(names, kinds, rows)])
+
+
+def with_known(groups, table, bits, run, schema):
+    """``run(group's record batches, Known's keys and counts)`` for every group."""
+    asked = groups.mapInArrow(_requests(bits), "range int, grp long, n int, contexts binary")
+    found = asked.groupBy("range").cogroup(table.groupBy("range")).applyInArrow(
+        _answers, "grp long, n int, keys binary, counts binary"
+    )
+
+    def each(docs, answers):
+        keys, counts = map(np.concatenate, zip((np.zeros(0, np.uint64), np.zeros(0, np.int64)), *_pairs_in(answers)))
+        keys, counts = model.summed(keys, counts)
+        grp, data = docs.column("grp")[0].as_py(), docs.column("docs")[0].as_buffer()
+        return pa.Table.from_batches(run(grp, _texts(data), keys, counts))
+
+    return groups.groupBy("grp").cogroup(found.groupBy("grp")).applyInArrow(each, schema)
+
+
+def _learned(counts):
+    def run(grp, batches, keys, known):
+        mixer, bits = model.Mixer(_code(counts), model.Known(_code(counts), keys, known)), 0
+        for batch in batches:
             texts = byte_views(batch.column("text"))
             mixer.score(texts, learn=True)
             bits += sum(map(len, texts)) + len(texts)
-        if bits:
-            flat = mixer.weights.ravel().astype(float)
-            yield pa.RecordBatch.from_arrays(
+        flat = mixer.weights.ravel().astype(float)
+        return [
+            pa.RecordBatch.from_arrays(
                 [pa.array(range(len(flat)), pa.int32()), pa.array(flat * bits), pa.array([float(bits)] * len(flat))],
                 names=["place", "weighted", "bits"],
             )
+        ]
 
     return run
 
 
-def mixing_weights(texts, counts, odds):
-    """Weights learned in every partition of ``texts``, averaged by the bytes seen."""
-    learned = texts.mapInArrow(_learned(counts, odds), "place int, weighted double, bits double")
+def mixing_weights(rows, table, bits, counts):
+    """Weights learned in every group of ``rows``, averaged by the bytes seen."""
+    learned = with_known(grouped(rows), table, bits, _learned(counts), "place int, weighted double, bits double")
     rows = learned.groupBy("place").agg((F.sum("weighted") / F.sum("bits")).alias("weight")).collect()
     out = np.full(model.GATES * model.INPUTS, model.START_WEIGHT)
     for r in rows:
@@ -169,10 +302,10 @@ def mixing_weights(texts, counts, odds):
 
 
 def _scores(counts, shared):
-    def run(batches):
-        odds, weights, known = shared.value
-        mixer, part, row = model.Mixer(_code(counts), odds, weights), TaskContext.get().partitionId(), itertools.count()
-        for batch in _sliced(batches):
+    def run(grp, batches, keys, pair_counts):
+        weights, known = shared.value
+        mixer, row = model.Mixer(_code(counts), model.Known(_code(counts), keys, pair_counts), weights), itertools.count()
+        for batch in batches:
             texts = byte_views(batch.column("text"))
             score = mixer.score(texts) / math.log(10)
             tokens, in_corpus, base, rare = [], [], [], []
@@ -194,7 +327,7 @@ def _scores(counts, shared):
             kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([part << 40 | next(row) for _ in texts], pa.int64()), batch.column("id"),
+                    pa.array([grp << 20 | next(row) for _ in texts], pa.int64()), batch.column("id"),
                     pa.array(tokens, pa.int64()), pa.array(in_corpus, pa.int64()), pa.array(base), pa.array(score),
                     pa.array([[{"word": w, "n": n} for w, n in other] for other in rare], kind),
                 ],
@@ -226,13 +359,13 @@ def scored(docs, id_col="doc_id", text_col="text", folds=FOLDS, held=HELD, for_w
     words = tokens.filter("pair < 0")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known = dictionary(words)
-    odds = slot_odds(training.filter(F.col("fold") != for_weights).select("text"), counts)
-    shared = spark.sparkContext.broadcast(odds)
-    weights = mixing_weights(training.filter(F.col("fold") == for_weights).select("text"), counts, shared)
+    bits = range_bits(training)
+    table = pair_table(training.filter(F.col("fold") != for_weights).select("text"), bits)
+    weights = mixing_weights(training.filter(F.col("fold") == for_weights), table, bits, counts)
     kind = docs.schema[id_col].dataType.simpleString()
     passed = saved(
-        rows.select("id", "text").mapInArrow(
-            _scores(counts, spark.sparkContext.broadcast((odds, weights, known))),
+        with_known(
+            grouped(rows), table, bits, _scores(counts, spark.sparkContext.broadcast((weights, known))),
             f"row long, id {kind}, n_tokens long, n_known long, logs double, score double, rare array<struct<word:binary,n:long>>",
         ),
         "lm-scores",

@@ -8,8 +8,10 @@ picks the weights that mix them; the weights are learned online on training text
 are not in the counts, and go on adapting from block to block inside every text that is
 scored. The bits add up to the log probability of the text.
 
-Counts have a fixed number of slots. They are summed over the whole corpus as short
-ranges of slots, so neither a task nor the driver holds more than the table.
+What is counted over a corpus are (context, symbol) pairs with 64-bit keys, so their
+number follows the corpus; they are kept in ranges of the key. Texts are scored in groups,
+each with the pairs of its own contexts (``Known``). The arrays of ``SLOTS`` counts are the
+form of the model for a few texts in memory.
 """
 
 from __future__ import annotations
@@ -67,13 +69,23 @@ class Code:
         self.width = max(len(path) for tree in trees for path in tree)
         self.length = np.array([[len(path) for path in tree] for tree in trees], np.int32).ravel()
         node = np.zeros((SYMBOLS, SYMBOLS, self.width), np.uint32)
+        inner = np.zeros((SYMBOLS, SYMBOLS, self.width), np.uint8)
         sign = np.zeros((SYMBOLS, SYMBOLS, self.width), np.float32)
         for before, tree in enumerate(trees):
             for s, path in enumerate(tree):
                 n = len(path)
                 node[before, s, :n] = [2 * (before * SYMBOLS + k) + 1 for k, _ in path]
+                inner[before, s, :n] = [k for k, _ in path]
                 sign[before, s, :n] = [bit for _, bit in path]
-        self.node, self.sign = (node * _SALT).ravel(), sign.ravel()
+        self.node, self.inner, self.sign = (node * _SALT).ravel(), inner.ravel(), sign.ravel()
+
+    def steps(self, pairs):
+        """(pair of each bit, place of the bit in the code's arrays) of a run of pairs."""
+        length = self.length.take(pairs)
+        ends = np.cumsum(length, dtype=np.int64)
+        of = np.repeat(np.arange(len(pairs)), length)
+        depth = np.arange(len(of)) - (ends - length).take(of)
+        return of, (pairs * self.width).take(of) + depth
 
     def bits(self, pairs):
         """(symbol of each bit, salt of its node, -1 or 1, depth) of a run of pairs."""
@@ -137,16 +149,140 @@ def contexts(symbols, place):
             h = (h + s) * _ODD
             h ^= h >> np.uint32(15)
         out.append(h * _ODD)
+    word = _words(symbols)
+    out.append(((word ^ (word >> np.uint64(31))) >> np.uint64(8)).astype(np.uint32) * _ODD)
+    return out
+
+
+def _words(symbols):
+    """A 64-bit number of the word before every symbol, as far as it stands there."""
+    n = len(symbols)
     plain = symbols.astype(np.uint64) + np.uint64(1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(plain * _UP[:n], dtype=np.uint64)])
     space = (symbols == 32) | ((symbols >= 9) & (symbols <= 13)) | (symbols == END)
     index = np.arange(n, dtype=np.int64)
     begin = np.maximum.accumulate(np.where(np.concatenate([[True], space[:-1]]), index, 0))
-    word = (total[:-1] - total[begin]) * _DOWN[begin]
-    out.append(((word ^ (word >> np.uint64(31))) >> np.uint64(8)).astype(np.uint32) * _ODD)
+    return (total[:-1] - total[begin]) * _DOWN[begin]
+
+
+def pair_keys(symbols, place):
+    """Per predictor a 64-bit key of (context, symbol): 46 bits of a hash of the context,
+    the symbol before, the symbol. The symbol before is part of every context, so contexts
+    are told apart by 55 bits; a context's keys stand together when sorted."""
+    pairs = pairs_of(symbols, place)
+    before, low = pairs // SYMBOLS, pairs % SYMBOLS
+    low = (before << 9 | low).astype(np.uint64)
+    back, packed = [], np.zeros(len(symbols), np.uint64)
+    for k in range(1, max(ORDERS) + 1):
+        s = np.zeros(len(symbols), np.uint64)
+        s[k:] = symbols[: len(symbols) - min(k, len(symbols))].astype(np.uint64) + np.uint64(1)
+        s[place < k] = 0
+        packed = packed | s << np.uint64(9 * (k - 1))
+        if k in ORDERS:
+            back.append(packed)
+    out = []
+    for k, x in enumerate([*back, _words(symbols)]):
+        x = x + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        x = (x ^ x >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
+        x = (x ^ x >> np.uint64(29)) * np.uint64(0xC4CEB9FE1A85EC53)
+        out.append((x ^ x >> np.uint64(32)) & ~np.uint64(0x3FFFF) | low)
     return out
 
 
+def summed(keys, counts):
+    """Sorted keys without repeats, and the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+class Pairs:
+    """Sums the pair keys of texts, some at a time."""
+
+    def __init__(self, most):
+        self.most, self.waiting, self.parts = most, 0, []
+
+    def add(self, keys, counts):
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > self.most:
+            self.total()
+
+    def total(self):
+        keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in self.parts)])
+        counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in self.parts)])
+        keys, counts = summed(keys, counts)
+        self.parts, self.waiting = [(keys, counts)], 0
+        return keys, counts
+
+    def add_texts(self, texts):
+        for group in _groups(texts):
+            stream = np.concatenate([part for part, _ in group])
+            sizes = [len(part) for part, _ in group]
+            place = places(np.array(sizes))
+            new = place >= np.repeat([skip for _, skip in group], sizes)
+            for key in pair_keys(stream, place):
+                self.add(*np.unique(key[new], return_counts=True))
+
+
+def contexts_of(texts):
+    """The distinct contexts of texts, sorted: pair keys without the symbol."""
+    parts, waiting = [], 0
+    for group in _groups(texts):
+        stream = np.concatenate([part for part, _ in group])
+        place = places(np.array([len(part) for part, _ in group]))
+        parts += [np.unique(key >> np.uint64(9)) for key in pair_keys(stream, place)]
+        waiting += sum(map(len, parts[-INPUTS:]))
+        if waiting > COUNTED * 8:
+            parts, waiting = [np.unique(np.concatenate(parts))], 0
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]))
+
+
+class Known:
+    """Log odds of the nodes that the pairs of a group's contexts have passed.
+
+    ``keys`` and ``counts`` are all pairs of the corpus in those contexts, sorted.
+    """
+
+    def __init__(self, code, keys, counts):
+        self.code = code
+        context = keys >> np.uint64(9)
+        self.contexts, rank = np.unique(context, return_inverse=True)
+        of, at = code.steps(_pair(keys))
+        node, order = np.unique(rank[of] << 8 | code.inner[at], return_inverse=True)
+        n, one = counts.astype(np.float64)[of], code.sign[at] > 0
+        ones = np.bincount(order, weights=n * one, minlength=len(node))
+        every = np.bincount(order, weights=n, minlength=len(node))
+        self.nodes, self.odds = node, log_odds(np.stack([every - ones, ones], axis=1).ravel())
+
+    def places(self, keys):
+        """(odds, start): a pair's odds along its code begin at ``start`` of ``odds``."""
+        found, back = np.unique(keys, return_inverse=True)
+        context = found >> np.uint64(9)
+        rank = np.searchsorted(self.contexts, context)
+        pairs = _pair(found)
+        length = self.code.length.take(pairs).astype(np.int64)
+        start = np.cumsum(length) - length
+        odds = np.zeros(int(length.sum()), np.int8)
+        if len(self.contexts):
+            rank = np.minimum(rank, len(self.contexts) - 1)
+            seen = self.contexts[rank] == context
+            of, at = self.code.steps(pairs)
+            want = np.flatnonzero(seen[of])
+            node = rank[of[want]] << 8 | self.code.inner[at[want]]
+            where = np.minimum(np.searchsorted(self.nodes, node), len(self.nodes) - 1)
+            odds[want] = np.where(self.nodes[where] == node, self.odds[where], 0)
+        return odds, start[back]
+
+
+def _pair(keys):
+    """Symbol before * SYMBOLS + symbol of pair keys."""
+    return ((keys >> np.uint64(9) & np.uint64(511)) * np.uint64(SYMBOLS) + (keys & np.uint64(511))).astype(np.int64)
+
+
 def slots(key, of, salt, bits):
     return ((key.take(of) + salt) >> np.uint32(32 - bits)).astype(np.int64)
 
@@ -186,16 +322,22 @@ def _add(table, code, group):
 
 def add_counts(table, code, texts):
     """Adds the bits of texts (arrays of bytes) to the counts, a flat (slots, 2) table."""
+    for group in _groups(texts):
+        _add(table, code, group)
+
+
+def _groups(texts):
+    """The stretches of texts, some ``COUNTED`` symbols at a time."""
     group, size = [], 0
     for text in texts:
         for part, skip in stretches(symbols_of(text)):
             if size + len(part) > COUNTED:
-                _add(table, code, group)
+                yield group
                 group, size = [], 0
             group.append((part, skip))
             size += len(part)
     if group:
-        _add(table, code, group)
+        yield group
 
 
 def log_odds(table):
@@ -211,7 +353,8 @@ class Mixer:
 
     def __init__(self, code, odds, weights=None):
         self.code = code
-        self.odds = [odds[_BASE[k] : _BASE[k + 1]] for k in range(INPUTS)]
+        self.known = odds if isinstance(odds, Known) else None
+        self.odds = None if self.known else [odds[_BASE[k] : _BASE[k + 1]] for k in range(INPUTS)]
         self.weights = np.full((GATES, INPUTS), START_WEIGHT, np.float32) if weights is None else weights.astype(np.float32)
         self.squared = np.full((GATES, INPUTS), 1e-4, np.float64)
 
@@ -242,7 +385,11 @@ class Mixer:
             lengths = np.array([len(p) for p in parts])
             stream = np.concatenate(parts)
             place = places(lengths)
-            pairs, keys = pairs_of(stream, place), contexts(stream, place)
+            pairs = pairs_of(stream, place)
+            if self.known:
+                self.odds, keys = zip(*map(self.known.places, pair_keys(stream, place)))
+            else:
+                keys = contexts(stream, place)
             starts = np.cumsum(lengths) - lengths + skip
             for block in range(0, int((lengths - skip).max()), BLOCK):
                 here = np.flatnonzero(lengths - skip > block)
@@ -257,7 +404,9 @@ class Mixer:
         edges = per_symbol[np.concatenate([[0], np.cumsum(sizes)])]
         bits = np.diff(edges)
         inputs = [
-            self.odds[k].take(slots(keys[k], of, salt, SLOT_BITS[k]), mode="clip").astype(np.float32) / np.float32(STEPS)
+            self.odds[k].take(
+                keys[k].take(of) + depth if self.known else slots(keys[k], of, salt, SLOT_BITS[k]), mode="clip"
+            ).astype(np.float32) / np.float32(STEPS)
             for k in range(INPUTS)
         ]
         gate = np.minimum(depth, DEPTHS - 1) * 2 + (inputs[-2] != 0)

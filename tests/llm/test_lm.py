@@ -114,3 +114,38 @@ def test_counts_of_stretches(monkeypatch):
     monkeypatch.setattr(model, "BEFORE", 64)
     model.add_counts(parts, code, [text])
     assert (whole == parts).all()
+
+
+def test_pairs_are_counted_exactly_however_many(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MOST_PAIRS", 5000)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rnd.randrange(3000))) for _ in range(40)] + ["", "\x00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    table = lm.pair_table(rows, 5).toArrow()
+    assert table.num_rows == 32 and len(set(table["range"].to_pylist())) == 32
+    keys, counts = map(np.concatenate, zip(*lm._pairs_in(table)))
+    want = Counter()
+    for t in texts:
+        s = [*t.encode(), model.END]
+        start = 0
+        for i, c in enumerate(s):
+            before = s[i - 1] if i else model.END
+            want.update([(n, tuple(s[max(0, i - n) : i]) if i < n else tuple(s[i - n : i]), c) for n in model.ORDERS])
+            want[("word", before, tuple(s[start:i]), c)] += 1
+            start = i + 1 if c == 32 else start
+    assert len(set(keys.tolist())) == len(keys) == len(want)
+    assert sorted(counts.tolist()) == sorted(want.values())
+
+
+def test_no_two_contexts_share_a_count():
+    rnd = random.Random(4)
+    many = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(200_000)) for _ in range(3)]
+    pairs = model.Pairs(1 << 20)
+    pairs.add_texts([as_bytes(t) for t in many])
+    keys, counts = pairs.total()
+    code = model.Code(model.pair_counts([as_bytes(t) for t in many]))
+    # a context that the texts do not have gives no odds, however full the table is
+    contexts = model.contexts_of([as_bytes("QQ##QQ##QQ")])
+    assert not np.isin(contexts, model.Known(code, keys, counts).contexts).all()
+    odds, _ = model.Known(code, keys, counts).places(model.pair_keys(model.symbols_of(as_bytes("##@@##@@")), np.arange(9))[2][5:])
+    assert not odds.any()
