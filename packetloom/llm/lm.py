@@ -3,8 +3,8 @@
 The base score asks for the corpus count of every token. The most frequent words go to
 the tasks as a dictionary of at most ``DICTIONARY`` words; the others are joined by word,
 which no longer has heavy keys. The model of :mod:`packetloom.llm.mixing_lm` is counted
-on most training documents, its weights are learned on the rest of them, and it scores
-every document in the pass that also counts the document's tokens.
+on most training documents, its weights are learned on the rest of them, whose counts are
+then added, and it scores every document in the pass that also counts the document's tokens.
 
 The counted pairs are a written table in ranges of their key, as many as the training
 bytes ask for. Documents go by in groups of about ``GROUP`` bytes: a group asks every range
@@ -181,9 +181,12 @@ def range_bits(texts):
     return max(4, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
 
 
-def pair_table(texts, bits):
-    """All (context, symbol) pairs of ``texts`` with their counts, one row per range."""
+def pair_table(texts, bits, more=None):
+    """All (context, symbol) pairs of ``texts`` with their counts, one row per range;
+    those of the pair table ``more`` are added."""
     partial = texts.mapInArrow(_pair_counts(bits), _PAIRS)
+    if more is not None:
+        partial = partial.unionByName(more)
     return saved(partial.groupBy("range").applyInArrow(_merged, _PAIRS), "lm-pairs")
 
 
@@ -292,8 +295,13 @@ def _learned(counts):
 
 
 def mixing_weights(rows, table, bits, counts):
-    """Weights learned in every group of ``rows``, averaged by the bytes seen."""
-    learned = with_known(grouped(rows), table, bits, _learned(counts), "place int, weighted double, bits double")
+    """Weights learned in every group of ``rows``, averaged by the bytes seen.
+
+    Rows are dealt and ordered by a hash of id and text, so the groups, and with them the
+    weights, do not depend on how the input is split.
+    """
+    dealt = rows.withColumn("hash", F.xxhash64("id", "text")).repartition(1 << max(0, bits - 4), "hash")
+    learned = with_known(grouped(dealt.sortWithinPartitions("hash", "id", "text")), table, bits, _learned(counts), "place int, weighted double, bits double")
     rows = learned.groupBy("place").agg((F.sum("weighted") / F.sum("bits")).alias("weight")).collect()
     out = np.full(model.GATES * model.INPUTS, model.START_WEIGHT)
     for r in rows:
@@ -361,7 +369,9 @@ def scored(docs, id_col="doc_id", text_col="text", folds=FOLDS, held=HELD, for_w
     known = dictionary(words)
     bits = range_bits(training)
     table = pair_table(training.filter(F.col("fold") != for_weights).select("text"), bits)
-    weights = mixing_weights(training.filter(F.col("fold") == for_weights), table, bits, counts)
+    last = training.filter(F.col("fold") == for_weights)
+    weights = mixing_weights(last, table, bits, counts)
+    table = pair_table(last.select("text"), bits, table)
     kind = docs.schema[id_col].dataType.simpleString()
     passed = saved(
         with_known(

@@ -149,3 +149,17 @@ def test_no_two_contexts_share_a_count():
     assert not np.isin(contexts, model.Known(code, keys, counts).contexts).all()
     odds, _ = model.Known(code, keys, counts).places(model.pair_keys(model.symbols_of(as_bytes("##@@##@@")), np.arange(9))[2][5:])
     assert not odds.any()
+
+
+def test_all_training_folds_are_counted_and_splits_do_not_matter(spark):
+    rnd = random.Random(6)
+    of = {f: [i for i in range(400) if fold(i) == f] for f in range(7)}
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(2, 9)))
+    passage = {f: " ".join(word() for _ in range(300)) for f in (0, 3)}
+    rows = [(i, " ".join(word() for _ in range(60))) for f in range(7) for i in of[f][2:20]]
+    rows += [(of[f][0], passage[f]) for f in passage] + [(of[2][k], passage[f]) for k, f in enumerate(passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = ({r.doc_id: r.score for r in lm.scored(docs.repartition(n)).collect()} for n in (1, 5))
+    assert all(abs(one[i] - many[i]) < 1e-6 * abs(one[i]) for i in one)
+    per_byte = [one[of[2][k]] / len(passage[f]) for k, f in enumerate(passage)]
+    assert per_byte[1] > 1.25 * per_byte[0]  # logs are below 0
