@@ -6,11 +6,14 @@ order column with a bounded number of rows. Windows run inside
 (key, chunk); one summary row per (key, chunk) carries what the chunks before
 it add up to. The wide rows are shuffled once, by (key, chunk).
 
-Keys, order column and chunk must not be null.
+Keys, order column and chunk must not be null; ``first_n`` takes null keys and orders.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,6 +101,10 @@ def first_n(df: DataFrame, keys, order, n: int, newest: bool = False, width: int
     counted per key with map-side sums; only the ranges that the first ``n`` rows
     reach into are kept, and ranks are taken inside a range. So a task holds one
     range of a key, never the key. Choose ``width`` for ranges of bounded size.
+
+    A null key is a key like others. A row whose first order column is null comes before
+    all others of its key, so it is among the first and the last of the newest; such rows
+    of a key are one range. Nulls in later order columns come before other values too.
     """
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     step = F.col(order[0])
@@ -109,5 +116,8 @@ def first_n(df: DataFrame, keys, order, n: int, newest: bool = False, width: int
         .where(F.col("_before") < n).drop("_n")
     )
     inside = Window.partitionBy(*keys, "_step").orderBy(*[F.col(c).desc() if newest else F.col(c) for c in order])
-    ranked = df.join(needed, [*keys, "_step"]).withColumn("_rn", F.row_number().over(inside))
-    return ranked.where(F.col("_before") + F.col("_rn") <= n).drop("_step", "_before", "_rn")
+    at = [*keys, "_step"]
+    needed = needed.select(*[F.col(c).alias(f"_at{i}") for i, c in enumerate(at)], "_before")
+    same = functools.reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_at{i}")) for i, c in enumerate(at)])
+    ranked = df.join(needed, same).withColumn("_rn", F.row_number().over(inside))
+    return ranked.where(F.col("_before") + F.col("_rn") <= n).select(*[c for c in df.columns if c != "_step"])

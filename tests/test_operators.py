@@ -52,6 +52,16 @@ def test_first_n_is_one_call_for_any_n(spark, n, newest):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("newest", [False, True])
+def test_first_n_keeps_null_keys_and_orders(spark, newest):
+    rows = [(k, x) for k in ("a", None) for x in (None, 1, 50, 99)]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    for n in (1, 2, 4):
+        got = {(r.k, r.n) for r in ordered.first_n(df, ["k"], "n", n, newest, width=40).collect()}
+        order = [99, 50, 1, None] if newest else [None, 1, 50, 99]
+        assert got == {(k, x) for k in ("a", None) for x in order[:n]}
+
+
 def test_range_scan_bounds(spark):
     df = log(spark, [("s", f"{ms}-{q}", i, f"{ms}-{q}") for i, (ms, q) in enumerate([(99, 0), (100, 0), (200, 7), (201, 0)])])
     assert values(streamlog.range_scan(df, "s", 100, 200)) == ["100-0", "200-7"]
