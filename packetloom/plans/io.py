@@ -161,6 +161,14 @@ def binary_files(spark, sf_dir):
     )
 
 
+@query("""SELECT octet_length(encode(text)) + 1 AS length, md5(text || chr(10)) AS digest FROM documents
+WHERE octet_length(encode(text)) < 20971520""")
+def binary_files_whole(spark, sf_dir):
+    """Documents as files, read back as messages up to the operator's own size limit."""
+    out = topics.file_messages(spark, _document_files(spark, sf_dir), "files", 7)
+    return out.select(F.octet_length("value").alias("length"), F.md5("value").alias("digest"))
+
+
 @query("""SELECT CASE WHEN octet_length(encode(text)) < 4000 THEN 'ok' ELSE 'too_large' END AS verdict,
   CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents""")
 def file_verdicts(spark, sf_dir):
