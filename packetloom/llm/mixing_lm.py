@@ -17,6 +17,7 @@ form of the model for a few texts in memory.
 from __future__ import annotations
 
 import heapq
+import itertools
 
 import numpy as np
 
@@ -35,6 +36,8 @@ LANES = 64
 STRETCH, BEFORE = 65536, 4096
 # Symbols that are counted at a time.
 COUNTED = 1 << 18
+# Pairs whose bits are held at a time.
+TOGETHER = 1 << 16
 PRIOR = 0.4
 # Log odds are kept as small whole numbers, so that the tables stay near the processor.
 STEPS = 14
@@ -199,6 +202,13 @@ def summed(keys, counts):
     return keys[first], np.add.reduceat(counts[order], first)
 
 
+def distinct(keys):
+    """Sorted keys without repeats, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
+
+
 class Pairs:
     """Sums the pair keys of texts, some at a time."""
 
@@ -225,7 +235,7 @@ class Pairs:
             place = places(np.array(sizes))
             new = place >= np.repeat([skip for _, skip in group], sizes)
             for key in pair_keys(stream, place):
-                self.add(*np.unique(key[new], return_counts=True))
+                self.add(*distinct(key[new]))
 
 
 def contexts_of(texts):
@@ -234,11 +244,11 @@ def contexts_of(texts):
     for group in _groups(texts):
         stream = np.concatenate([part for part, _ in group])
         place = places(np.array([len(part) for part, _ in group]))
-        parts += [np.unique(key >> np.uint64(9)) for key in pair_keys(stream, place)]
+        parts += [distinct(key >> np.uint64(9))[0] for key in pair_keys(stream, place)]
         waiting += sum(map(len, parts[-INPUTS:]))
         if waiting > COUNTED * 8:
-            parts, waiting = [np.unique(np.concatenate(parts))], 0
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]))
+            parts, waiting = [distinct(np.concatenate(parts))[0]], 0
+    return distinct(np.concatenate([np.zeros(0, np.uint64), *parts]))[0]
 
 
 class Known:
@@ -250,13 +260,21 @@ class Known:
     def __init__(self, code, keys, counts):
         self.code = code
         context = keys >> np.uint64(9)
-        self.contexts, rank = np.unique(context, return_inverse=True)
-        of, at = code.steps(_pair(keys))
-        node, order = np.unique(rank[of] << 8 | code.inner[at], return_inverse=True)
-        n, one = counts.astype(np.float64)[of], code.sign[at] > 0
-        ones = np.bincount(order, weights=n * one, minlength=len(node))
-        every = np.bincount(order, weights=n, minlength=len(node))
-        self.nodes, self.odds = node, log_odds(np.stack([every - ones, ones], axis=1).ravel())
+        begins = np.concatenate([[True], context[1:] != context[:-1]]) if len(keys) else np.zeros(0, bool)
+        self.contexts, rank = context[begins], np.cumsum(begins) - 1
+        nodes, odds = [np.zeros(0, np.int64)], [np.zeros(0, np.int8)]
+        # some contexts at a time, so that the bits of all pairs are never held at once
+        starts = np.flatnonzero(begins)
+        cuts = [*starts[np.searchsorted(starts, np.arange(0, len(keys), TOGETHER), 'right') - 1].tolist(), len(keys)] if len(keys) else []
+        for a, b in itertools.pairwise(dict.fromkeys(cuts)):
+            of, at = code.steps(_pair(keys[a:b]))
+            node, order = np.unique(rank[a:b][of] << 8 | code.inner[at], return_inverse=True)
+            n, one = counts[a:b].astype(np.float64)[of], code.sign[at] > 0
+            ones = np.bincount(order, weights=n * one, minlength=len(node))
+            every = np.bincount(order, weights=n, minlength=len(node))
+            nodes.append(node)
+            odds.append(log_odds(np.stack([every - ones, ones], axis=1).ravel()))
+        self.nodes, self.odds = np.concatenate(nodes), np.concatenate(odds)
 
     def places(self, keys):
         """(odds, start): a pair's odds along its code begin at ``start`` of ``odds``."""
