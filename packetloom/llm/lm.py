@@ -34,7 +34,7 @@ RANGE_BYTES = 1 << 22
 # Pairs that a task sums before it hands them on.
 MOST_PAIRS = 1 << 21
 # Bytes of texts, and so much for each text, that are scored together.
-GROUP, EACH = 1 << 22, 16
+GROUP, EACH = 1 << 24, 16
 # Distinct words that a task counts before it hands them on.
 MOST_WORDS = 1_000_000
 
