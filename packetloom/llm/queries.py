@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, dedup, lm, mixing, near, quality_rules, secrets, sharding, subwords, toxicity
+from packetloom.llm import (
+    bpe, covertree, dedup, lm, mixing, near, prefix_trie, quality_rules, secrets, sharding, subwords, toxicity, voronoi,
+)
 from packetloom.llm.common import documents, labels
 
 
@@ -72,6 +74,25 @@ def op10_lm_score(spark, sf_dir):
     return lm.scored(documents(spark, sf_dir))
 
 
+def embeddings(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_hard_negatives(spark, sf_dir):
+    """Every anchor's positives, each with its hard negatives."""
+    return covertree.hard_negatives(covertree.shifted_labels(embeddings(spark, sf_dir)))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    """Every node of the trie of all conversations."""
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_top_k(spark, sf_dir):
+    """Every query's nearest vectors by inner product."""
+    return voronoi.top_k(embeddings(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -83,5 +104,14 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_score": op10_lm_score,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_top_k": op13_top_k,
+}
+ORACLES = {
+    "op4_mixing": mixing.ORACLE,
+    "op5_exact_dedup": dedup.ORACLE,
+    "op11_hard_negatives": covertree.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_top_k": voronoi.ORACLE,
 }
-ORACLES = {"op4_mixing": mixing.ORACLE, "op5_exact_dedup": dedup.ORACLE}
