@@ -20,7 +20,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import saved
-from packetloom.llm.vectors import Space, best, coordinates, cut, ids_of, lengths, packed, scores, space_of, stacked, unpacked, whole
+from packetloom.llm.vectors import (
+    LONG, Space, best, coordinates, cut, ids_of, lengths, packed, scores, space_of, stacked, unpacked, whole,
+)
 
 TOP, SCALE, EVERY = 20, 64, 20
 # Candidates in a ring, queries in a block.
@@ -89,7 +91,7 @@ def least_scores(space, x, most):
     """The ``most``-th largest score of each row among the sample; without so many, the least long."""
     found = scores(x, space.sample)
     if found.shape[1] < most:
-        return np.full(len(x), np.iinfo(np.int64).min)
+        return np.full(len(x), LONG[0])
     return np.partition(found, found.shape[1] - most, axis=1)[:, found.shape[1] - most]
 
 
@@ -98,7 +100,9 @@ def reach(space, x, cell, floor):
     ``cell``) can have a candidate that scores ``floor``; from > to where there is none."""
     long = lengths(x)
     slack = SLACK * (long.max(initial=0) + space.longest + 1)
-    within = np.sqrt(np.maximum(long**2 + space.longest**2 - 2 * floor.astype(float), 0)) + slack
+    # the least long also stands for all scores below it
+    floor = np.where(floor == LONG[0], -np.inf, floor.astype(float))
+    within = np.sqrt(np.maximum(long**2 + space.longest**2 - 2 * floor, 0)) + slack
     away = _to_pivots(space, x)
     first, last = away - within[:, None], away + within[:, None]
     raised = space.raised(space.centres)
