@@ -111,16 +111,17 @@ class Space(NamedTuple):
         return cell, np.clip(top / max(self.longest, 1e-300) ** 2, -1, 1)
 
 
-def space_of(rows, scale, label=False):
+def space_of(rows, scale, label=False, per_cell=None):
     """The ``Space`` of rows (vec, and label). The driver gets ``SAMPLE`` rows at most, the
-    same on every run: the first in the order of a hash."""
+    same on every run: the first in the order of a hash. Cells: one for ``per_cell`` rows, or
+    as many as make cells and their rows grow alike."""
     x = F.transform(F.col("vec").cast("array<double>"), lambda v: F.greatest(F.least(F.floor(v * scale).cast("double"), F.lit(MOST)), F.lit(-MOST)))
     n, square = rows.agg(F.count("*"), F.max(F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v))).first()
     picked = rows.orderBy(F.xxhash64("vec", "id"), "id").limit(SAMPLE).toArrow()
     lists = picked["vec"].combine_chunks()
     sample = coordinates(lists, scale) if n else np.zeros((0, 0))
     labels = picked["label"].to_numpy() if label else None
-    cells = min(MOST_CELLS, max(16, round(math.sqrt(n) / 4)))
+    cells = min(MOST_CELLS, -(-n // per_cell) if per_cell else max(16, round(math.sqrt(n) / 4)))
     centres = sample[np.sort(np.unique(sample, axis=0, return_index=True)[1])][:cells] if n else sample
     return Space(scale, math.sqrt(square or 0.0) * (1 + 1e-9), sample, labels, centres)
 
