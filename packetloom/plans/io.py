@@ -16,7 +16,7 @@ from packetloom.plans.replication import CONFLICT, CONFLICT_COLUMNS, ENTRY, FROM
 from packetloom.plans.reports import KEPT, messages
 from packetloom.plans.views import table, with_sql
 from packetloom.session import shared_folder
-from packetloom.sources import exports, stores, topics
+from packetloom.sources import exports, kvruns, stores, topics
 from packetloom.streaming import runs, sinks, stateful
 
 # Workers get the writers below with the plan and need no installed package.
@@ -71,6 +71,24 @@ def kv_table(spark, sf_dir):
     return spark.read.parquet(path).select("redis_db", "redis_key", "redis_value")
 
 
+def _kv_changes(spark, sf_dir):
+    """Changes of keys, some of them deletions."""
+    pairs = replication.kv(spark, sf_dir).drop("key_type")
+    return pairs.withColumn("deleted", F.col("arrival") % 17 == 3)
+
+
+@query(KV + """ SELECT redis_db, redis_key, redis_value FROM (
+  SELECT * FROM kv QUALIFY row_number() OVER (PARTITION BY redis_db, redis_key ORDER BY arrival DESC) = 1)
+WHERE arrival % 17 <> 3""")
+def kv_runs(spark, sf_dir):
+    """Six batches of changes as runs, four of them merged."""
+    path = shared_folder(spark, "kv-runs")
+    changes = _kv_changes(spark, sf_dir)
+    for batch in range(6):
+        kvruns.write(changes.where(F.col("arrival") % 6 == batch), path, batch)
+    return kvruns.read(spark, path).select("redis_db", "redis_key", "redis_value")
+
+
 @query(LOG + f""" SELECT stream_key, message_id, value_cents FROM stream_log
 WHERE id_ms BETWEEN {FROM_MS} AND {TO_MS} AND characteristic = 'click'""")
 def stored_log_scan(spark, sf_dir):
@@ -198,12 +216,12 @@ def _two_parts(spark, df, order):
         yield path
 
 
-def _run(spark, df, order, sink, copies=1):
+def _run(spark, df, order, sink, over=None):
+    """Streams both parts through ``over`` into ``sink``, with a restart in between."""
     checkpoint = shared_folder(spark, "checkpoint")
     for path in _two_parts(spark, df, order):
-        for _ in range(copies):
-            stream = runs.read_stream(spark, path, df.schema)
-            runs.start(stream, sink, checkpoint).awaitTermination()
+        stream = runs.read_stream(spark, path, df.schema)
+        runs.start(over(stream) if over else stream, sink, checkpoint).awaitTermination()
 
 
 def _replicated(spark, sf_dir):
@@ -280,9 +298,9 @@ def stream_table_stream(spark, sf_dir):
 @query(with_sql(*sensor.TRACKED) + " SELECT device, CAST(frame_id AS BIGINT) AS frame_id, gap_rows, samples FROM frames")
 def stream_frames(spark, sf_dir):
     """Frames over two micro-batches: the same frames as ``frames_assembled``."""
-    out, state = shared_folder(spark, "frames"), shared_folder(spark, "state")
+    out = shared_folder(spark, "frames")
     packets = views.packets(spark, sf_dir).select("device", "event_id", "seq", "trig", "pressure")
-    _run(spark, packets, "event_id", stateful.frames_sink(out, state, ["device"], "seq", buckets=4))
+    _run(spark, packets, "event_id", stateful.to_folder(out), lambda stream: stateful.session_frames(stream, ["device"]))
     gaps = F.size(F.filter("frame", lambda row: row[0] == -1000)).cast("bigint")
     return spark.read.parquet(out).select(
         "device", "frame_id", gaps.alias("gap_rows"), frames.frame_text().alias("samples")
@@ -291,14 +309,102 @@ def stream_frames(spark, sf_dir):
 
 @query(sensor.BATCH_SQL.format(device="event_type", size=375, keep="batch_no < total_n // 375"))
 def stream_batches(spark, sf_dir):
-    out, state = shared_folder(spark, "batches"), shared_folder(spark, "state")
+    out = shared_folder(spark, "batches")
     samples = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("device"), "event_id", views.cents("value").alias("v")
     )
-    _run(spark, samples, "event_id", stateful.batches_sink(out, state, ["device"], "event_id", buckets=4))
+    _run(spark, samples, "event_id", stateful.to_folder(out), lambda stream: stateful.batches(stream, ["device"], "event_id"))
     return sensor._batch_summary(spark.read.parquet(out))
 
 
+# A packet a second of 50 devices, each with pauses of 1000 seconds; three kinds of control rows.
+IDLE_S = 300
+_CONTROL = "CASE WHEN event_id % 101 = 50 THEN 'stop' WHEN event_id % 103 = 51 THEN 'reset' WHEN event_id % 107 = 52 THEN 'start' END"
+SESSIONS = f"""WITH rows_in AS (
+  SELECT event_id, event_id % 50 AS device, {views.TURN}[1 + (event_id // 50 + event_id % 50) % 15] AS trig, {_CONTROL} AS event
+  FROM events WHERE event_id % 7 <> 3 AND event_id // 1000 % 5 <> event_id % 5),
+lives AS (
+  SELECT *, sum(CASE WHEN event_id - prev_id > {IDLE_S} THEN 1 ELSE 0 END) OVER (PARTITION BY device ORDER BY event_id) AS life
+  FROM (SELECT *, lag(event_id) OVER (PARTITION BY device ORDER BY event_id) AS prev_id FROM rows_in)),
+parts AS (
+  SELECT *, min(event_id) OVER (PARTITION BY device, life) AS begun,
+         count(*) FILTER (event IN ('stop', 'reset')) OVER w AS segment, count(*) FILTER (event = 'reset') OVER w AS gate,
+         count(*) FILTER (event = 'start') OVER w AS run
+  FROM lives WINDOW w AS (PARTITION BY device, life ORDER BY event_id)),
+gated AS (
+  SELECT * FROM (
+    SELECT *, max(CASE WHEN trig = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY device, life, gate ORDER BY event_id) AS opened
+    FROM parts WHERE event IS NULL) WHERE opened = 1),
+placed AS (SELECT *, list_position({views.TRIGGER_ORDER}, trig) - 1 AS pos FROM gated),
+steps AS (SELECT *, lag(pos) OVER (PARTITION BY device, life, run ORDER BY event_id) AS prev FROM placed),
+losses AS (
+  SELECT *, CASE WHEN prev IS NULL OR (prev < 15 AND pos = (prev + 1) % 15) THEN 0 ELSE abs(pos - prev) - 1 END AS lost FROM steps),
+tracked AS (
+  SELECT *, sum(4 + 4 * greatest(lost, 0)) OVER (PARTITION BY device, life, segment ORDER BY event_id) AS row_end,
+         sum(4 + 4 * greatest(lost, 0)) OVER (PARTITION BY device, life, segment) AS rows_total FROM losses)"""
+
+
+def _session_rows(spark, sf_dir):
+    return table(spark, sf_dir, "events").where("event_id % 7 <> 3 AND event_id DIV 1000 % 5 <> event_id % 5").select(
+        (F.col("event_id") % views.DEVICES).alias("device"), "event_id", F.timestamp_seconds("event_id").alias("ts"),
+        F.expr(_CONTROL).alias("event"),
+        views._in_turn(views.whole_steps(F.col("event_id"), views.DEVICES) + F.col("event_id") % views.DEVICES).alias("trig"),
+        views.event_samples().alias("pressure"),
+    )
+
+
+def _sessions(spark, sf_dir):
+    out = shared_folder(spark, "sessions")
+    rows = _session_rows(spark, sf_dir)
+
+    def over(stream):
+        return stateful.session_frames(stream, ["device"], "event_id", ts="ts", event="event", idle_s=IDLE_S)
+
+    _run(spark, rows, "event_id", stateful.to_folder(out), over)
+    return spark.read.parquet(out)
+
+
+@query(SESSIONS + """,
+rows_ AS (
+  SELECT device, begun, segment, rows_total, row_end - 4 + c AS row_idx, FALSE AS is_gap,
+         [(event_id * 31 + (c * 24 + (i % 6) * 4 + i // 6) * 17) % 1000 - 100 for i in range(24)] AS cells
+  FROM tracked, (SELECT unnest(range(4)) AS c)
+  UNION ALL
+  SELECT device, begun, segment, rows_total,
+         unnest(range(CAST(row_end - 4 - 4 * greatest(lost, 0) AS BIGINT), CAST(row_end - 4 AS BIGINT))),
+         TRUE, [-1000 for i in range(24)] FROM tracked WHERE lost > 0)
+SELECT device, begun, segment, CAST(row_idx // 15 AS BIGINT) AS frame_id, count(*) FILTER (is_gap) AS gap_rows,
+       string_agg(array_to_string(cells, ', '), ', ' ORDER BY row_idx) AS samples
+FROM rows_ WHERE row_idx // 15 < (rows_total - 1) // 15 GROUP BY ALL""")
+def stream_sessions(spark, sf_dir):
+    """Frames of sessions with stops, resets, starts and pauses, over two micro-batches."""
+    gaps = F.size(F.filter("frame", lambda row: row[0] == -1000)).cast("bigint")
+    return _sessions(spark, sf_dir).where("kind = 'frame'").select(
+        "device", "begun", "segment", "frame_id", gaps.alias("gap_rows"), frames.frame_text().alias("samples")
+    )
+
+
+@query(SESSIONS + f""",
+ends AS (
+  SELECT device, life, begun, event_id AS ended, segment - 1 AS segment, run, event AS reason FROM parts WHERE event IN ('stop', 'reset')
+  UNION ALL
+  SELECT device, life, begun, max(event_id) + 1, max(segment), max(run), 'idle' FROM parts GROUP BY device, life, begun
+  HAVING max(event_id) + {IDLE_S} <= (SELECT max(event_id) FROM rows_in)),
+sums AS (SELECT device, life, segment, count(*) AS packets, max(rows_total) AS rows_total FROM tracked GROUP BY ALL),
+lost_by AS (
+  SELECT e.device, e.life, e.ended, sum(t.lost) AS lost FROM ends e JOIN tracked t
+  ON t.device = e.device AND t.life = e.life AND t.run = e.run AND t.event_id < e.ended GROUP BY ALL)
+SELECT device, begun, segment, reason, coalesce(packets, 0) AS packets, CAST(coalesce(lost, 0) AS BIGINT) AS lost,
+       CAST(coalesce((rows_total - 1) // 15, 0) AS BIGINT) AS frames,
+       CAST(coalesce(rows_total - 15 * ((rows_total - 1) // 15), 0) AS BIGINT) AS rows_left
+FROM ends LEFT JOIN sums USING (device, life, segment) LEFT JOIN lost_by USING (device, life, ended)""")
+def session_ends(spark, sf_dir):
+    """Why and with what sessions ended; the last pause is found by a timer."""
+    return _sessions(spark, sf_dir).where("kind = 'end'").select(
+        "device", "begun", "segment", "reason", "packets", "lost", "frames", "rows_left"
+    )
+
+
 def _flaky_writer():
     """Accepts a message unless its key ends in 7."""
     return lambda row: not str(row.get("key", row.get("message_id"))).endswith("7")

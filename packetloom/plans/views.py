@@ -49,20 +49,15 @@ def replayed_log(spark, sf_dir):
 DEVICES = 50
 
 
+def event_samples():
+    """The 96 samples of an event's packet."""
+    steps = F.expr(f"array({', '.join(str(j * 17) for j in range(96))})")
+    return F.transform(steps, lambda step: ((F.col("event_id") * 31 + step) % 1000 - 100).cast("int"))
+
+
 def _as_packets(e, trig, width):
     """Events as packets: a counter per device, no window needed to number them."""
-    return with_chunk(
-        e.withColumns(
-            {
-                "trig": trig,
-                "pressure": F.transform(
-                    F.expr(f"array({', '.join(str(j * 17) for j in range(96))})"),
-                    lambda step: ((F.col("event_id") * 31 + step) % 1000 - 100).cast("int"),
-                ),
-            }
-        ),
-        "seq", width,
-    )
+    return with_chunk(e.withColumns({"trig": trig, "pressure": event_samples()}), "seq", width)
 
 
 def _in_turn(step):

@@ -1,9 +1,12 @@
+from datetime import datetime, timezone
+
 import pytest
 from model import Assembler
 from pyspark.sql import functions as F
 from test_packets import SCHEMA, random_sessions, samples
 
 from packetloom.operators import streamlog
+from packetloom.operators.packets import TRIGGER_ORDER
 from packetloom.session import shared_folder
 from packetloom.streaming import runs, sinks, stateful
 
@@ -18,52 +21,114 @@ def drain(stream, fn, checkpoint):
     runs.start(stream, fn, checkpoint).awaitTermination()
 
 
+def in_parts(spark, parts, schema, over, checkpoint=None, limit=None):
+    """Streams the parts one after the other, a restart between them, and gives the rows."""
+    src, out, checkpoint = shared_folder(spark, "src"), shared_folder(spark, "out"), checkpoint or shared_folder(spark, "cp")
+    queries = []
+    for part in parts:
+        put(spark, part, schema, src)
+        query = runs.start(over(runs.read_stream(spark, src, spark.createDataFrame([], schema).schema, limit)), stateful.to_folder(out), checkpoint)
+        query.awaitTermination()
+        queries.append(query)
+    return spark.read.parquet(out), queries
+
+
 @pytest.mark.parametrize("mode", ["reference", "modular"])
 def test_frames_over_batches(spark, mode):
-    """Three batches, each also run a second time, give the frames of the procedure."""
+    """Three batches with restarts give the frames of the procedure."""
     rows = random_sessions(21, hot=True)
-    out, state = shared_folder(spark, "frames"), shared_folder(spark, "state")
-    sink = stateful.frames_sink(out, state, KEYS, "seq", mode, chunk_rows=16)
-    for n, (low, high) in enumerate([(-1, 30), (30, 60), (60, 10_000)]):
-        part = [(d, s, q, 0, t, samples(q)) for d, s, q, t in rows if low < q <= high]
-        df = spark.createDataFrame(part, SCHEMA)
-        sink(df, n)
-        sink(df, n)
+    parts = [[(d, s, q, 0, t, samples(q)) for d, s, q, t in rows if low < q <= high] for low, high in [(-1, 30), (30, 60), (60, 10_000)]]
+    out, _ = in_parts(spark, parts, SCHEMA, lambda stream: stateful.session_frames(stream, KEYS, "seq", mode=mode))
     machines = {}
     for d, s, q, t in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         machines.setdefault((d, s), Assembler(mode)).feed(q, t, samples(q))
     got = {}
-    for r in spark.read.parquet(out).orderBy("frame_id").collect():
+    for r in out.orderBy("frame_id").collect():
         got.setdefault((r.device, r.session), []).append([list(x) for x in r.frame])
     assert got == {k: m.frames for k, m in machines.items() if m.frames}
 
 
 def test_new_session_starts_fresh(spark):
-    out, state = shared_folder(spark, "frames"), shared_folder(spark, "state")
-    sink = stateful.frames_sink(out, state, KEYS, "seq")
     first = [("d", "s1", i, 0, t, samples(i)) for i, t in enumerate([0, 4, 8])]
     second = [("d", "s2", i, 0, t, samples(i)) for i, t in enumerate([12, 0, 4, 8, 12], 10)]
-    sink(spark.createDataFrame(first, SCHEMA), 0)
-    sink(spark.createDataFrame(second, SCHEMA), 1)
-    rows = spark.read.parquet(out).collect()
+    out, _ = in_parts(spark, [first, second], SCHEMA, lambda stream: stateful.session_frames(stream, KEYS))
     # 12 rows of s1 release nothing; s2 drops its first packet and releases one frame of 16 rows
-    assert [(r.session, r.frame_id) for r in rows] == [("s2", 0)]
+    assert [(r.session, r.frame_id) for r in out.collect()] == [("s2", 0)]
+
+
+TIMED = "device string, session string, seq bigint, trig int, pressure array<int>, ts timestamp, event string"
+
+
+def _timed(device, seq, trig, second, event=None, pressure=None):
+    return (device, "s", seq, trig, pressure or samples(seq), datetime.fromtimestamp(1_700_000_000 + second, timezone.utc), event)
+
+
+def _turn(k):
+    return TRIGGER_ORDER[k % 15]
+
+
+def test_control_rows_and_pauses(spark):
+    """A stop drops waiting rows, a reset shuts the gate, a start forgets losses, a pause ends the session."""
+    rows = [_timed("d", k, _turn(k), k) for k in range(6)] + [_timed("d", 6, None, 6, "stop")]
+    rows += [_timed("d", 7, _turn(8), 7), _timed("d", 8, None, 8, "reset"), _timed("d", 9, _turn(3), 9)]
+    rows += [_timed("d", 10, 0, 10), _timed("d", 11, None, 11, "start"), _timed("d", 12, _turn(5), 12)]
+    rows += [_timed("d", 13, 0, 500), _timed("d", 14, _turn(1), 501, pressure=[1, None, 3]), _timed(None, 15, 0, 502)]
+
+    def over(stream):
+        return stateful.session_frames(stream, KEYS, "seq", ts="ts", event="event", idle_s=60)
+
+    later = [_timed("later", 99, 0, 2000)]
+    _, alone = in_parts(spark, [later], TIMED, over)
+    for parts in ([rows], [rows[:3], rows[3:7], rows[7:14], rows[14:]]):
+        parts = [*parts, later]
+        out, queries = in_parts(spark, parts, TIMED, over)
+        ends = [tuple(r) for r in out.where("kind = 'end'").orderBy("begun", "segment").select(
+            "begun", "segment", "reason", "packets", "lost", "frames", "rows_left").collect()]
+        assert ends == [
+            (0, 0, "stop", 6, 0, 1, 9), (0, 1, "reset", 1, 2, 0, 12), (0, 2, "idle", 2, 0, 2, 6), (13, 0, "idle", 2, 0, 0, 8)
+        ]
+        assert out.where("kind = 'frame'").count() == 3
+        # only the session that has not paused yet is kept
+        left = [q.lastProgress["stateOperators"][0]["numRowsTotal"] for q in (queries[-1], alone[0])]
+        assert left[0] == left[1]
+
+
+def test_state_stays_flat(spark):
+    """Sessions that end leave the state, over many micro-batches."""
+    src, out = shared_folder(spark, "src"), shared_folder(spark, "out")
+    for n in range(24):
+        put(spark, [_timed(f"d{n}", k, _turn(k), n * 100 + k) for k in range(5)], TIMED, src)
+    stream = runs.read_stream(spark, src, spark.read.parquet(src).schema, max_files=2)
+    # files may come in any order of their times
+    query = runs.start(
+        stateful.session_frames(stream, KEYS, "seq", ts="ts", idle_s=20, delay="1 day"), stateful.to_folder(out), shared_folder(spark, "cp")
+    )
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(kept) >= 24 and spark.read.parquet(out).where("kind = 'frame'").count() == 24
+    again = runs.start(
+        stateful.session_frames(stream, KEYS, "seq", ts="ts", idle_s=20), stateful.to_folder(shared_folder(spark, "out")), shared_folder(spark, "cp")
+    )
+    again.awaitTermination()
+    flat = [p["stateOperators"][0]["numRowsTotal"] for p in again.recentProgress if p["stateOperators"]]
+    assert max(flat) < max(kept) / 3
 
 
 def test_count_batches_over_batches(spark):
-    out, state = shared_folder(spark, "batches"), shared_folder(spark, "state")
-    sink = stateful.batches_sink(out, state, ["k"], "n", size=4, chunk_rows=2)
-    schema = "k string, n bigint"
+    schema = "k string, n bigint, _more string, ts timestamp"
     parts = [[("a", i) for i in range(6)] + [("b", 0)], [("c", 1)], [("a", i) for i in range(6, 13)] + [("b", 2)]]
-    for batch_id, part in enumerate(parts):
-        for _ in range(2):
-            sink(spark.createDataFrame(part, schema), batch_id)
+    parts = [[(*r, None, datetime.fromtimestamp(1_700_000_000 + n, timezone.utc)) for r in part] for n, part in enumerate(parts)]
+    out, _ = in_parts(spark, parts, schema, lambda stream: stateful.batches(stream, ["k"], "n", size=4))
     got = {}
-    for r in spark.read.parquet(out).orderBy("n").collect():
+    for r in out.orderBy("n").collect():
         got.setdefault((r.k, r.batch_no), []).append(r.n)
+        assert r.batch_pos == r.n % 4
     assert got == {("a", 0): [0, 1, 2, 3], ("a", 1): [4, 5, 6, 7], ("a", 2): [8, 9, 10, 11]}
-    rest = {(r.k, r.n) for r in stateful.flush_waiting(spark, state, 2).collect()}
-    assert rest == {("a", 12), ("b", 0), ("b", 2), ("c", 1)}
+    # what waits is released once the watermark has passed it
+    parts.append([("z", 1, None, datetime.fromtimestamp(1_700_009_000, timezone.utc))])
+    out, _ = in_parts(spark, parts, schema, lambda stream: stateful.batches(stream, ["k"], "n", size=4, ts="ts", idle_s=5))
+    rest = {(r.k, r.n) for r in out.collect()}
+    assert {("a", 12), ("b", 0), ("b", 2), ("c", 1)} <= rest and ("z", 1) not in rest
 
 
 LOG = "stream_key string, message_id string, id_ms bigint, id_seq bigint, value string"
@@ -199,22 +264,3 @@ def test_observed_counts(spark):
     df = spark.range(10).select((F.col("id") > 2).alias("ok"))
     observed(df, seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "errors": 3}
-
-
-def test_state_writes_touched_buckets_only(spark, tmp_path):
-    from packetloom.streaming.state import BucketedState
-
-    state = BucketedState(str(tmp_path), ["k"], buckets=8)
-    every = spark.createDataFrame([(f"k{i}", i) for i in range(60)], "k string, n int")
-    state.store(every, "t", 0, state.touched(every))
-    one = spark.createDataFrame([("k7", 700)], "k string, n int")
-    touched = state.touched(one)
-    held = state.load(spark, "t", 1, touched)
-    assert 0 < held.count() < 60
-    state.store(held.where("k <> 'k7'").unionByName(one), "t", 1, touched)
-    assert len([p for p in (tmp_path / "t" / "version=1").iterdir() if p.name.startswith("bucket=")]) == 1
-    now = {r.k: r.n for r in state.load(spark, "t", 2).collect()}
-    assert len(now) == 60 and now["k7"] == 700 and now["k8"] == 8
-    assert {r.k: r.n for r in state.load(spark, "t", 1).collect()}["k7"] == 7
-    state.store(every.limit(0), "t", 2, touched)
-    assert 0 < state.load(spark, "t", 3).count() < 60
