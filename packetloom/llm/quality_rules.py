@@ -1,13 +1,17 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A document's histogram of character classes and its histogram of common words are
-compared with those of each known language (summed over all documents of that language)
-by the Jensen-Shannon distance. The nearest language counts, so the language column is
-not needed to judge a document. A histogram of few words strays by chance, so that much
-is taken off its distance, and very short ones are not judged at all. A few counts (words, symbols, repeated lines, repeated word windows) come before that.
+compared with those of each language by the Jensen-Shannon distance. The languages and
+their references come from the table: the words that stand in the most documents of a
+language, and the histograms summed over all of them. The nearest language counts, whatever
+the document's own. A histogram of few words strays by chance, so that much is taken off its
+distance, and very short ones are not judged at all; nor are documents of a language that the
+table has too little of. A few counts (words, symbols, repeated lines, repeated word windows)
+come before that.
 
 Every count is worked out inside the row: windows of three words are hashed, sorted and
-compared with their neighbours, so nothing is shuffled but a few sums per language.
+compared with their neighbours. What is shuffled are the words of each language, counted in
+the map tasks first, and a few sums per language.
 """
 
 from __future__ import annotations
@@ -15,20 +19,19 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import SPACES, WORD, saved, text_of
 
-# Frequent function words.
-COMMON_WORDS = {
-    "en": "the of and to in is that for it with as was on be by are this at or".split(),
-    "de": "der die das und in zu den von mit ist des im für nicht ein eine dem auf".split(),
-    "fr": "le la les de des et un une que qui dans pour du en est il au sur".split(),
-    "es": "el la los de que y en un una del se las por con para es su al".split(),
-}
-VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
+# Common words that are taken of a language, and languages, those with the most documents.
+WORDS_EACH, MOST_LANGUAGES = 20, 32
+# Documents of ``LEAST_WORDS`` words or more that make a reference.
+LEAST_DOCS = 20
 SYMBOLS = "#*$%&|<>"
 MARKS = ".,;:!?"
+# A word without the marks behind it.
+BARE = r"[^\x20\x09-\x0D]*[^\x20\x09-\x0D" + MARKS + "]"
 FEWEST_WORDS = 50
 REPEAT_PERCENT = 50
 WINDOW = 3
@@ -60,62 +63,101 @@ def repeated_words(words):
         return F.aggregate(step, F.lit(0), lambda a, b: a + b).cast("long")
 
     def twice(windows):
-        same = F.filter(
-            windows,
-            lambda w, k: F.coalesce(F.get(windows, k - 1)["h"] == w["h"], F.lit(False))
-            | F.coalesce(F.get(windows, k + 1)["h"] == w["h"], F.lit(False)),
-        )
-        return _let(F.array_sort(F.transform(same, lambda w: w["at"])), covered)
+        placed = F.sort_array(F.transform(windows, lambda w, k: F.struct(w.alias("h"), k.alias("at"))))
+        same = _let(placed, lambda found: F.filter(
+            found,
+            lambda w, k: F.coalesce(F.get(found, k - 1)["h"] == w["h"], F.lit(False))
+            | F.coalesce(F.get(found, k + 1)["h"] == w["h"], F.lit(False)),
+        ))
+        return _let(F.sort_array(F.transform(same, lambda w: w["at"])), covered)
+
+    def any_twice(windows):
+        # most texts repeat no window: no need to know where
+        none = F.size(F.array_distinct(windows)) == F.size(windows)
+        return F.when(none, F.lit(0).cast("long")).otherwise(twice(windows))
 
     def windows(hashes):
         at = F.sequence(F.lit(0), F.size(hashes) - WINDOW)
-        found = F.transform(
-            at,
-            lambda k: F.struct(
-                F.xxhash64(*(F.get(hashes, k + j) for j in range(WINDOW))).alias("h"), k.alias("at")
-            ),
-        )
-        return _let(F.sort_array(found), twice)
+        found = F.transform(at, lambda k: F.xxhash64(*(F.get(hashes, k + j) for j in range(WINDOW))))
+        return _let(found, any_twice)
 
     counted = _let(F.transform(words, lambda w: F.xxhash64(w)), windows)
     return F.when(F.size(words) < WINDOW + 1, F.lit(0).cast("long")).otherwise(counted)
 
 
-def _word_counts(words):
-    """How often each word of ``VOCABULARY`` stands in a list, marks behind it aside."""
-    bare = F.transform(words, lambda w: F.rtrim(F.lower(w), F.lit(MARKS)))
-    known = F.filter(bare, lambda w: w.isin(VOCABULARY))
+def _bare(words):
+    """Words in lower case without the marks behind them."""
+    return F.transform(words, lambda w: F.rtrim(F.lower(w), F.lit(MARKS)))
+
+
+def _word_counts(words, vocabulary):
+    """How often each word of ``vocabulary`` stands in a list, marks behind it aside."""
+    if not vocabulary:
+        return F.array().cast("array<bigint>")
+    known = F.filter(_bare(words), lambda w: w.isin(vocabulary))
     line = F.concat(F.lit(" "), F.array_join(known, "  "), F.lit(" "))
 
     def count(line):
         return F.array(
             *(
                 ((F.char_length(line) - F.char_length(F.replace(line, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long")
-                for w in VOCABULARY
+                for w in vocabulary
             )
         )
 
     return _let(line, count)
 
 
-def measured(docs, id_col="doc_id", text_col="text", lang_col="lang"):
+def common_words(docs, text_col="text", lang_col="lang"):
+    """{language: its ``WORDS_EACH`` words found in the most documents, ties by code point}.
+
+    Of the ``MOST_LANGUAGES`` languages with the most documents of ``LEAST_WORDS`` words or
+    more, those with at least ``LEAST_DOCS``; without a language column all documents are of
+    one. So the driver gets a bounded number of rows.
+    """
+    words = F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(BARE), F.lit(0))
+    rows = docs.select(_language(docs, lang_col).alias("lang"), words.alias("words"))
+    rows = rows.filter(F.col("lang").isNotNull() & (F.size("words") >= LEAST_WORDS))
+    # an empty word stands for the document itself
+    seen = F.explode(F.array_union(F.array(F.lit("")), F.array_distinct("words")))
+    counts = rows.select("lang", seen.alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    # the empty word is in every document, so it is always first
+    order = W.partitionBy("lang").orderBy(F.col("n").desc(), F.col("word"))
+    best = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= WORDS_EACH + 1)
+    best = saved(best, "common-words")
+    sizes = best.filter("word = ''").filter(F.col("n") >= LEAST_DOCS).orderBy(F.col("n").desc(), "lang").limit(MOST_LANGUAGES)
+    found = {r.lang: [] for r in sizes.select("lang").collect()}
+    for r in best.filter(F.col("lang").isin(list(found)) & (F.col("word") != "")).orderBy("lang", "place").collect():
+        found[r.lang].append(r.word)
+    return found
+
+
+def _language(docs, lang_col):
+    return F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit("")
+
+
+def measured(docs, vocabulary, id_col="doc_id", text_col="text", lang_col="lang"):
     """The counts of every document that rules and references are made of."""
     rows = docs.select(
-        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text")
+        F.col(id_col).alias("id"), _language(docs, lang_col).alias("lang"), text_of(text_col).alias("text")
     ).withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    # the whole text is gone through once for letters; what is left is small
+    rows = rows.withColumn("rest", F.regexp_replace("text", "[a-z]+", ""))
+    rows = rows.withColumn("solid", F.regexp_replace("rest", SPACES, ""))
     text, words = F.col("text"), F.col("words")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
     counted = rows.select(
         "id", "lang",
         F.size(words).cast("long").alias("n_words"),
         F.char_length(text).cast("long").alias("n_chars"),
-        F.char_length(F.regexp_replace(text, SPACES, "")).cast("long").alias("word_chars"),
-        _only(text, SYMBOLS).alias("n_symbols"),
+        (F.char_length(text) - F.char_length("rest") + F.char_length("solid")).cast("long").alias("word_chars"),
+        _only(F.col("solid"), SYMBOLS).alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(words).alias("n_repeat_words"),
-        _only(text, "a-z").alias("lower"), _only(text, "A-Z").alias("upper"),
-        _only(text, "0-9").alias("digits"), _only(text, MARKS).alias("marks"),
-        _word_counts(words).alias("common"),
+        (F.char_length(text) - F.char_length("rest")).cast("long").alias("lower"),
+        _only(F.col("solid"), "A-Z").alias("upper"), _only(F.col("solid"), "0-9").alias("digits"),
+        _only(F.col("solid"), MARKS).alias("marks"),
+        _word_counts(words, vocabulary).alias("common"),
     )
     others = F.col("word_chars") - F.col("lower") - F.col("upper") - F.col("digits") - F.col("marks") - F.col("n_symbols")
     classes = F.array(
@@ -127,29 +169,29 @@ def measured(docs, id_col="doc_id", text_col="text", lang_col="lang"):
 CLASSES = 7
 
 
-def references(counts):
-    """Summed histograms per known language: {lang: (classes, words, common counts)}.
+def references(counts, languages, vocabulary):
+    """Summed histograms per language: {lang: (classes, words, common counts)}.
 
-    One row per known language reaches the driver.
+    One row per language reaches the driver.
     """
     sums = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(CLASSES)]
-    sums += [F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(VOCABULARY))]
-    known = counts.filter(F.col("lang").isin(list(COMMON_WORDS)) & (F.col("n_words") >= LEAST_WORDS))
+    sums += [F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(vocabulary))]
+    known = counts.filter(F.col("lang").isin(list(languages)) & (F.col("n_words") >= LEAST_WORDS))
     rows = known.groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).collect()
     return {
-        r.lang: ([r[f"c{k}"] for k in range(CLASSES)], r.n, [r[f"w{k}"] for k in range(len(VOCABULARY))])
+        r.lang: ([r[f"c{k}"] for k in range(CLASSES)], r.n, [r[f"w{k}"] for k in range(len(vocabulary))])
         for r in rows
     }
 
 
-def word_bins(lang, counts, total):
+def word_bins(own_words, vocabulary, counts, total):
     """Counts of a language's own common words, then of all other words."""
-    own = [counts[VOCABULARY.index(w)] for w in COMMON_WORDS[lang]]
+    own = [counts[vocabulary.index(w)] for w in own_words]
     return [*own, total - reduce(lambda a, b: a + b, own)]
 
 
 def distance(bins, reference):
-    """Jensen-Shannon distance (0..1) of a histogram column and a fixed one."""
+    """Jensen-Shannon distance (0..1) of a histogram column and a fixed one; null if empty."""
     total = float(sum(reference))
     fixed = F.array(*(F.lit(x / total) for x in reference))
 
@@ -162,8 +204,8 @@ def distance(bins, reference):
 
     def compare(mine):
         size = F.aggregate(mine, F.lit(0).cast("long"), lambda a, b: a + b)
-        parts = F.zip_with(mine, fixed, lambda a, b: both(F.coalesce(a / size, F.lit(0.0)), b))
-        return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)))
+        parts = F.zip_with(mine, fixed, lambda a, b: both(F.try_divide(a.cast("double"), size), b))
+        return F.when(size > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, b: a + b))))
 
     return _let(bins, compare)
 
@@ -183,22 +225,27 @@ def judged(docs, id_col="doc_id", text_col="text", lang_col="lang"):
 
     Columns: id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``class_distance``, ``word_distance``, ``kept``.
-    A null text has no words and fails. Without any known language in the table the
-    distances are null and only the counts judge. Null ids and languages and repeated
-    rows are rows like others; an empty table gives no rows.
+    A null text has no words and fails. Where the table has too few documents of a document's
+    language for a reference (see ``common_words``), its distances are null and only the counts
+    judge; a null language is judged by the nearest. Texts without words have no distances.
+    Null ids and repeated rows are rows like others; an empty table gives no rows.
     """
-    counts = saved(measured(docs, id_col, text_col, lang_col), "rule-counts")
-    known = references(counts)
+    languages = common_words(docs, text_col, lang_col)
+    vocabulary = sorted({w for words in languages.values() for w in words})
+    counts = saved(measured(docs, vocabulary, id_col, text_col, lang_col), "rule-counts")
+    known = references(counts, languages, vocabulary)
     common = F.col("common")
     classes, words = [], []
     for lang, (by_class, total, by_word) in sorted(known.items()):
-        own = word_bins(lang, [common[k] for k in range(len(VOCABULARY))], F.col("n_words"))
+        own = word_bins(languages[lang], vocabulary, [common[k] for k in range(len(vocabulary))], F.col("n_words"))
         classes.append(distance(F.col("classes"), by_class))
-        far = distance(F.array(*own), word_bins(lang, by_word, total))
+        far = distance(F.array(*own), word_bins(languages[lang], vocabulary, by_word, total))
         words.append(without_chance(far, len(own), F.col("n_words")))
+    rated = F.col("lang").isNull() | F.col("lang").isin(list(known))
+    class_distance, word_distance = (F.when(rated, _nearest(found)) for found in (classes, words))
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
     rated = counts.select(
-        "*", failed.alias("base_failed"), _nearest(classes).alias("class_distance"), _nearest(words).alias("word_distance")
+        "*", failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance")
     )
     odd_classes = (F.col("n_chars") >= LEAST_CHARS) & (F.col("class_distance") > MOST_CLASS_DISTANCE)
     odd_words = (F.col("n_words") >= LEAST_WORDS) & (F.col("word_distance") > MOST_WORD_DISTANCE)
