@@ -21,7 +21,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import saved, small_batches, text_of
+from packetloom.llm.common import lean, saved, small_batches, text_of
 
 CHUNK = 32768
 OVERLAP = 1024
@@ -115,7 +115,7 @@ def _scan(pattern, chunk, overlap):
 
 def _encode_long(texts, encoder, pattern, chunk, overlap):
     """(key, text), rows with one key alike -> (key, ids), one row per key."""
-    cut = texts.mapInArrow(_cut(chunk, overlap), "key binary, i int, last boolean, chunk string")
+    cut = texts.mapInArrow(lean(_cut(chunk, overlap)), "key binary, i int, last boolean, chunk string")
     scanned = saved(
         cut.dropDuplicates(["key", "i"]).mapInArrow(
             _scan(pattern, chunk, overlap),
@@ -143,7 +143,7 @@ def _encode_long(texts, encoder, pattern, chunk, overlap):
         .agg(F.array_sort(F.collect_list(F.struct("i", F.substring("chunk", 1, chunk).alias("part")))).alias("parts"))
         .select(F.struct("key", F.lit(0).alias("i")).alias("at"), F.array_join("parts.part", "").alias("text"))
     )
-    encoded = pieces.union(whole).mapInArrow(encoder, "at struct<key:binary,i:int>, ids array<int>")
+    encoded = pieces.union(whole).mapInArrow(lean(encoder), "at struct<key:binary,i:int>, ids array<int>")
     return encoded.groupBy(F.col("at.key").alias("key")).agg(
         F.flatten(F.array_sort(F.collect_list(F.struct("at.i", "ids"))).getField("ids")).alias("ids")
     )
@@ -163,7 +163,7 @@ def encode(docs, ranks, pattern, id_col="doc_id", text_col="text", chunk=CHUNK,
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     schema = f"id {kind}, ids array<int>"
-    short = rows.filter(F.length("text") <= chunk).mapInArrow(encoder, schema)
+    short = rows.filter(F.length("text") <= chunk).mapInArrow(lean(encoder), schema)
     long = rows.filter(F.length("text") > chunk).select(
         "id", "text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key")
     )
@@ -188,7 +188,7 @@ def decode(encoded, ranks, pattern):
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], names=[*batch.schema.names, "raw"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{schema}, raw binary")
+    return encoded.mapInArrow(lean(run), f"{schema}, raw binary")
 
 
 def digests(decoded, id_col="doc_id"):

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from packetloom.session import shared_folder
@@ -11,7 +15,7 @@ from packetloom.session import shared_folder
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def documents(spark, sf_dir):
@@ -33,14 +37,58 @@ def saved(df, label):
 
 
 def small_batches(spark):
-    """Lets the session's Arrow batches hold ``BATCH_ROWS`` rows at most.
+    """Lets the session's Arrow batches hold ``BATCH_ROWS`` rows and ``BATCH_BYTES`` at most.
 
-    Rows are whole documents here; the usual ten thousand make batches that a worker
-    holds several times over. A session that asks for fewer keeps its setting.
+    Rows are whole documents here, and a worker holds a batch several times over. A session
+    that asks for less keeps its settings.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    value = spark.conf.get(name).removesuffix("b")
+    if not value.isdigit() or not 0 < int(value) <= BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
+def tidy():
+    """Gives freed memory back: Python workers live on after their task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """A function over an Arrow table or batches that tidies up behind itself.
+
+    Arrays of some megabytes are mapped one by one, so that they go when they are freed.
+    """
+
+    def begin():
+        # 3 is glibc's M_MMAP_THRESHOLD, counted down
+        option = getattr(ctypes.CDLL(None), "mallopt", None)
+        if option:
+            option(-3, 4 << 20)
+
+    def batches(given):
+        begin()
+        try:
+            yield from run(given)
+        finally:
+            tidy()
+
+    def done(*given):
+        begin()
+        try:
+            return run(*given)
+        finally:
+            tidy()
+
+    if inspect.isgeneratorfunction(run):
+        return batches
+    # Spark counts the arguments of a function over groups
+    return (lambda left, right: done(left, right)) if len(inspect.signature(run).parameters) == 2 else (lambda table: done(table))
 
 
 def text_of(name):

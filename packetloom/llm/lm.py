@@ -24,11 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from packetloom.llm import mixing_lm as model
-from packetloom.llm.common import byte_views, id_fold, saved, text_of
+from packetloom.llm.common import byte_views, id_fold, lean, saved, text_of
 
 FOLDS, HELD, FOR_WEIGHTS = 7, 2, 3
 DICTIONARY = 200_000
 SLICE = 512
+# Bytes of packed rows in an Arrow batch.
+TOGETHER = 4 << 20
 # Training bytes for each range of the pair table.
 RANGE_BYTES = 1 << 22
 # Pairs that a task sums before it hands them on.
@@ -79,7 +81,7 @@ def _corpus_counts(batches):
 
 def token_counts(texts):
     """(pair, word, n) over all texts; words have pair -1."""
-    counted = texts.mapInArrow(_corpus_counts, "pair int, word binary, n long")
+    counted = texts.mapInArrow(lean(_corpus_counts), "pair int, word binary, n long")
     return saved(counted.groupBy("pair", "word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
@@ -138,10 +140,22 @@ def _batch(names, kinds, rows):
 _PAIRS = "range int, n int, keys binary, counts binary"
 
 
+def _batches(names, kinds, rows):
+    """Rows as batches of some megabytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size > TOGETHER:
+            yield _batch(names, kinds, held)
+            held, size = [], 0
+    if held:
+        yield _batch(names, kinds, held)
+
+
 def _pair_rows(keys, counts, bits):
-    for k, a, b in _cuts(keys, bits, 64):
-        row = (k, b - a, _packed_keys(keys[a:b]), _packed(counts[a:b]))
-        yield _batch(["range", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()], [row])
+    rows = ((k, b - a, _packed_keys(keys[a:b]), _packed(counts[a:b])) for k, a, b in _cuts(keys, bits, 64))
+    yield from _batches(["range", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()], rows)
 
 
 def _pair_counts(bits):
@@ -184,10 +198,10 @@ def range_bits(texts):
 def pair_table(texts, bits, more=None):
     """All (context, symbol) pairs of ``texts`` with their counts, one row per range;
     those of the pair table ``more`` are added."""
-    partial = texts.mapInArrow(_pair_counts(bits), _PAIRS)
+    partial = texts.mapInArrow(lean(_pair_counts(bits)), _PAIRS)
     if more is not None:
         partial = partial.unionByName(more)
-    return saved(partial.groupBy("range").applyInArrow(_merged, _PAIRS), "lm-pairs")
+    return saved(partial.groupBy("range").applyInArrow(lean(_merged), _PAIRS), "lm-pairs")
 
 
 def _grouped(batches):
@@ -220,7 +234,7 @@ def _grouped(batches):
 
 def grouped(rows):
     """Rows (id, text) as a written table of groups, the same whenever it is read."""
-    return saved(rows.select("id", "text").mapInArrow(_grouped, "grp long, docs binary"), "lm-groups")
+    return saved(rows.select("id", "text").mapInArrow(lean(_grouped), "grp long, docs binary"), "lm-groups")
 
 
 def _texts(docs):
@@ -234,9 +248,8 @@ def _requests(bits):
             for grp, docs in zip(batch.column("grp").to_pylist(), batch.column("docs")):
                 texts = (t for part in _texts(docs.as_buffer()) for t in byte_views(part.column("text")))
                 found = model.contexts_of(texts)
-                for k, a, b in _cuts(found, bits, 55):
-                    row = (k, grp, b - a, _packed_keys(found[a:b]))
-                    yield _batch(["range", "grp", "n", "contexts"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()], [row])
+                rows = ((k, grp, b - a, _packed_keys(found[a:b])) for k, a, b in _cuts(found, bits, 55))
+                yield from _batches(["range", "grp", "n", "contexts"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()], rows)
 
     return run
 
@@ -262,9 +275,9 @@ def _answers(asked, table):
 
 def with_known(groups, table, bits, run, schema):
     """``run(group's record batches, Known's keys and counts)`` for every group."""
-    asked = groups.mapInArrow(_requests(bits), "range int, grp long, n int, contexts binary")
+    asked = groups.mapInArrow(lean(_requests(bits)), "range int, grp long, n int, contexts binary")
     found = asked.groupBy("range").cogroup(table.groupBy("range")).applyInArrow(
-        _answers, "grp long, n int, keys binary, counts binary"
+        lean(_answers), "grp long, n int, keys binary, counts binary"
     )
 
     def each(docs, answers):
@@ -273,7 +286,7 @@ def with_known(groups, table, bits, run, schema):
         grp, data = docs.column("grp")[0].as_py(), docs.column("docs")[0].as_buffer()
         return pa.Table.from_batches(run(grp, _texts(data), keys, counts))
 
-    return groups.groupBy("grp").cogroup(found.groupBy("grp")).applyInArrow(each, schema)
+    return groups.groupBy("grp").cogroup(found.groupBy("grp")).applyInArrow(lean(each), schema)
 
 
 def _learned(counts):

@@ -8,7 +8,7 @@ compared sixteen at a time, and the pair is dropped as soon as the posterior pro
 of reaching the threshold falls below ``TOLERANCE``; the rest is verified on the whole
 sets. A pair is looked at in the first band it shares only. A bucket gives link counts
 and one edge per linked node, to the first of its group, never its pairs; a bucket of more than ``BLOCK``
-nodes is compared block by block in tasks of their own.
+nodes or ``BLOCK_BYTES`` of shingles is compared block by block in tasks of their own.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import byte_views, saved, small_batches, text_of
+from packetloom.llm.common import byte_views, lean, saved, small_batches, text_of
 from packetloom.llm.components import components
 
 WORDS = 5
@@ -29,7 +29,8 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-9
-BLOCK = 256
+# Nodes, and bytes of their shingles, in a block on average.
+BLOCK, BLOCK_BYTES = 256, 4 << 20
 _PART = 1 << 20
 
 _rng = np.random.default_rng(20)
@@ -126,16 +127,17 @@ def buckets(values):
 
 
 def _sketch(batches):
-    """(id, hash, text) -> (id, hash, node, buckets); no node for texts without words."""
+    """(id, hash, text) -> (id, hash, node, buckets, bytes of shingles); no node for texts without words."""
     for batch in batches:
-        nodes, found = [], []
+        nodes, found, sizes = [], [], []
         for data in byte_views(batch.column("text")):
             s = shingles(data)
+            sizes.append(s.nbytes)
             nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             found.append(buckets(signature(s)) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("hash"), pa.array(nodes, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-            names=["id", "hash", "node", "buckets"],
+            [batch.column("id"), batch.column("hash"), pa.array(nodes, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+            names=["id", "hash", "node", "buckets", "size"],
         )
 
 
@@ -217,12 +219,12 @@ def _members(nodes):
     Buckets with the same nodes are met once, in their first band. Large ones are cut into
     blocks, and a row goes to every pair of blocks that its own is part of.
     """
-    listed = nodes.select("node", F.explode("buckets").alias("bucket"))
+    listed = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
     met = (
-        listed.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("mark"))
-        .filter("n > 1").groupBy("n", "mark").agg(F.min("bucket").alias("bucket"))
+        listed.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("mark"), F.sum("size").alias("size"))
+        .filter("n > 1").groupBy("n", "mark").agg(F.min("bucket").alias("bucket"), F.max("size").alias("size"))
     )
-    cut = F.ceil(F.col("n") / BLOCK).cast("int")
+    cut = F.least(F.col("n"), F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("size") / BLOCK_BYTES))).cast("int")
     rows = listed.join(met.select("bucket", cut.alias("cut")), "bucket").withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut")).cast("int")
     )
@@ -238,25 +240,25 @@ def _joined(docs, similar, id_col, text_col):
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    sketched = saved(rows.mapInArrow(_sketch, f"id {kind}, hash long, node binary, buckets array<long>"), "near-rows")
+    sketched = saved(rows.mapInArrow(lean(_sketch), f"id {kind}, hash long, node binary, buckets array<long>, size long"), "near-rows")
     nodes = saved(
         sketched.filter("node is not null").groupBy("node")
-        .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("buckets").alias("buckets")),
+        .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("buckets").alias("buckets"), F.first("size").alias("size")),
         "near-nodes",
     )
     members = saved(_members(nodes), "near-members")
     active = members.select("node").distinct().join(nodes.select("node", "first_id", "copies"), "node")
     wanted = active.select(F.col("first_id").alias("id")).distinct()
     texts = rows.alias("r").join(wanted.alias("w"), F.col("r.id").eqNullSafe(F.col("w.id")), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "node binary, values binary, shingles binary").dropDuplicates(["node"])
+    sets = texts.mapInArrow(lean(_sets), "node binary, values binary, shingles binary").dropDuplicates(["node"])
     compared = saved(
         members.join(sets.join(active.select("node", "copies"), "node"), "node")
-        .groupBy("bucket", "low", "high").applyInArrow(_compare(similar), "u binary, v binary, links long"),
+        .groupBy("bucket", "low", "high").applyInArrow(lean(_compare(similar)), "u binary, v binary, links long"),
         "near-links",
     )
     roots = components(compared.filter("v is not null").select("u", "v"))
     links = compared.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
-    linked = nodes.drop("buckets").join(roots, "node", "left").join(links, "node", "left")
+    linked = nodes.drop("buckets", "size").join(roots, "node", "left").join(links, "node", "left")
     return sketched.select("id", "hash", "node"), linked.filter("root is not null or copies > 1")
 
 

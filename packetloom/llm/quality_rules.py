@@ -213,7 +213,7 @@ def distance(bins, reference):
 def without_chance(found, bins, size):
     """A distance less what ``size`` draws over ``bins`` classes differ by on average."""
     by_chance = F.lit(CHANCE * bins / (8 * math.log(2))) / F.greatest(size, F.lit(1))
-    return F.sqrt(F.greatest(F.lit(0.0), found * found - by_chance))
+    return F.when(found.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), found * found - by_chance)))
 
 
 def _nearest(found):

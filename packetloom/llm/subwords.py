@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import id_fold, label_shares, labelled_sample, same_columns, small_batches, text_of
+from packetloom.llm.common import id_fold, label_shares, labelled_sample, lean, same_columns, small_batches, text_of
 
 BITS = 16
 DIM = 8
@@ -169,8 +169,8 @@ def train(docs, labels, column="quality", folds=FOLDS, held=HELD, per_class=PER_
     small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, column, folds, held, per_class, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
-    counted = sample.mapInArrow(_counted, f"id {kind}, label int, buckets array<int>, counts array<int>")
-    found = counted.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_trained, "margin binary, bias double").first()
+    counted = sample.mapInArrow(lean(_counted), f"id {kind}, label int, buckets array<int>, counts array<int>")
+    found = counted.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(lean(_trained), "margin binary, bias double").first()
     if found is None:
         return np.zeros(1 << BITS), 0.0
     no, yes = label_shares(labels, column, folds, held, id_col)
@@ -206,7 +206,7 @@ def scored(docs, model, id_col="doc_id", text_col="text"):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score)], names=["id", "score"])
 
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return texts.mapInArrow(run, same_columns(docs, id_col, score="double")).withColumnRenamed("id", id_col)
+    return texts.mapInArrow(lean(run), same_columns(docs, id_col, score="double")).withColumnRenamed("id", id_col)
 
 
 def verdicts(scores, folds=FOLDS, held=HELD, id_col="doc_id"):

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import id_fold, labelled_sample, same_columns, small_batches, text_of
+from packetloom.llm.common import id_fold, labelled_sample, lean, same_columns, small_batches, text_of
 
 FOLDS, HELD = 3, 1
 PER_CLASS = 3000
@@ -197,7 +197,7 @@ def train(docs, labels, column="toxic", folds=FOLDS, held=HELD, per_class=PER_CL
     small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, column, folds, held, per_class, id_col, text_col)
     counted = (
-        sample.select("text", "label").mapInArrow(_count_forms, "form string, toxic long, other long")
+        sample.select("text", "label").mapInArrow(lean(_count_forms), "form string, toxic long, other long")
         .groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     )
     n = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -217,7 +217,7 @@ def train(docs, labels, column="toxic", folds=FOLDS, held=HELD, per_class=PER_CL
     ).orderBy(F.col("form").isin(seeds).desc(), F.col("ratio").desc(), "form").limit(MOST_FORMS)
     lexicon = choose([tuple(r) for r in picked.collect()])
     shared = docs.sparkSession.sparkContext.broadcast(automaton(lexicon, exceptions))
-    seen = sample.select("label", "text").mapInArrow(_matches(shared), "label int, weight double, words long").collect()
+    seen = sample.select("label", "text").mapInArrow(lean(_matches(shared)), "label int, weight double, words long").collect()
     x = density([r.weight for r in seen], [r.words for r in seen])
     return lexicon, exceptions, *curve(x, np.array([r.label for r in seen], float))
 
@@ -232,7 +232,7 @@ def scored(docs, model, id_col="doc_id", text_col="text"):
     lexicon, exceptions, intercept, slope = model
     shared = docs.sparkSession.sparkContext.broadcast(automaton(lexicon, exceptions))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    found = texts.mapInArrow(_matches(shared), same_columns(docs, id_col, weight="double", words="long"))
+    found = texts.mapInArrow(lean(_matches(shared)), same_columns(docs, id_col, weight="double", words="long"))
     x = F.log1p(F.col("weight") / F.pow(1 + F.col("words") / 100, F.lit(LENGTH_POWER)))
     return found.select(
         F.col("id").alias(id_col), (1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * x)))).alias("score")
@@ -263,4 +263,4 @@ def clean(docs, model, id_col="doc_id", text_col="text"):
             x = density([p[0] for p in pairs], [p[1] for p in pairs])
             yield batch.filter(pa.array(intercept + slope * x < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
