@@ -12,9 +12,12 @@ from packetloom.operators.streamlog import keep_first, keep_last
 KEY = ("redis_db", "redis_key")
 
 
-def scan_keys(kv: DataFrame, patterns=("*",), dbs=None) -> DataFrame:
-    """String-typed pairs whose key matches any pattern; each pair once."""
-    out = kv.where((F.col("key_type") == "string") & glob_any("redis_key", patterns))
+def scan_keys(kv: DataFrame, patterns=("*",), dbs=None, dialect: str = "file") -> DataFrame:
+    """String-typed pairs whose key matches any pattern; each pair once.
+
+    ``dialect`` is that of ``patterns.glob_regex``: ``server`` as the store's own scan matches.
+    """
+    out = kv.where((F.col("key_type") == "string") & glob_any("redis_key", patterns, dialect))
     return out if dbs is None else out.where(F.col("redis_db").isin(*dbs))
 
 

@@ -16,8 +16,8 @@ from packetloom.plans.replication import CONFLICT, CONFLICT_COLUMNS, ENTRY, FROM
 from packetloom.plans.reports import KEPT, messages
 from packetloom.plans.views import table, with_sql
 from packetloom.session import shared_folder
-from packetloom.sources import exports, kvruns, stores, topics
-from packetloom.streaming import runs, sinks, stateful
+from packetloom.sources import exports, kvruns, sessionfiles, stores, topics
+from packetloom.streaming import fanout, metrics, runs, sinks, stateful
 
 # Workers get the writers below with the plan and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -99,11 +99,11 @@ def stored_log_scan(spark, sf_dir):
 
 @query("""SELECT event_type || '-' || user_id || '-press-' || ms AS redis_key,
   arg_max(event_id, event_id) || '' AS redis_value
-FROM (SELECT event_type, user_id, event_id, epoch_us(ts) // 60000000 AS ms FROM events) GROUP BY event_type, user_id, ms""")
+FROM (SELECT event_type, user_id, event_id, epoch_us(ts) // 60000000 * 60000 AS ms FROM events) GROUP BY event_type, user_id, ms""")
 def keyed_write(spark, sf_dir):
     values = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("device"), F.col("user_id").cast("string").alias("device_id"),
-        F.lit("press").alias("char"), F.expr("timestampdiff(MINUTE, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("timestamp_ms"),
+        F.lit("press").alias("char"), F.expr("timestampdiff(MINUTE, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) * 60000").alias("timestamp_ms"),
         F.lit(2).alias("redis_db"), F.col("event_id").cast("string").alias("value"), F.col("event_id").alias("arrival"),
     )
     return keyvalues.latest_per_key(stores.keyed_rows(values)).select("redis_key", "redis_value")
@@ -141,6 +141,33 @@ def imu_csv(spark, sf_dir):
     return back.select("timestamp_python", "packet_counter", "imu_data", "session_address")
 
 
+@query("""WITH lines AS (
+  SELECT event_id, user_id % 8 AS k, (epoch_us(ts) // 1000) || ',,' || event_id || ',"' || event_type || ', ' || user_id || '"' AS line FROM events),
+files AS (SELECT k, string_agg(line, chr(13) || chr(10) ORDER BY event_id) AS body, count(*) + 1 AS n FROM lines GROUP BY k)
+SELECT 'sessions/user' || k || '/2024-01-01_00-00-0' || k || '/IMU_user' || k || '_' || (1704067200000 + k * 1000) || '.csv' AS session_file,
+       md5('timestamp_python,ts_board,packet_counter,imu_data' || chr(13) || chr(10) || body || chr(13) || chr(10)) AS digest, n
+FROM files""")
+def session_files(spark, sf_dir):
+    """One file per session, written in two goes under one header."""
+    path = shared_folder(spark, "session-files")
+    k = F.col("user_id") % 8
+    e = table(spark, sf_dir, "events").select(
+        "event_id", views.epoch_ms("ts").alias("timestamp_python"), F.col("event_id").alias("packet_counter"),
+        F.concat_ws(", ", "event_type", F.col("user_id").cast("string")).alias("imu_data"),
+        F.concat(F.lit("us:er"), k.cast("string")).alias("address"), (k * 1000 + 1_704_067_200_000).alias("start_ms"),
+    )
+    named = exports.session_columns(e, "IMU", "address", "start_ms")
+    middle = e.agg(F.max("event_id")).first()[0] // 2
+    for half in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        sessionfiles.write_session_files(named.where(half), path, exports.IMU_HEADER, "event_id")
+    back = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
+    text = F.col("content").cast("string")
+    return back.select(
+        F.regexp_extract("path", "(sessions/.*)$", 1).alias("session_file"), F.md5("content").alias("digest"),
+        F.char_length(F.regexp_replace(text, "[^\n]", "")).cast("bigint").alias("n"),
+    )
+
+
 @query("""SELECT user_id, 'sessions/AA' || user_id || '/' || strftime(ts, '%Y-%m-%d_%H-%M-%S') || '/SFLP_AA' || user_id || '_'
   || (epoch_us(ts) // 1000) || '.csv' AS session_file FROM events""")
 def session_path(spark, sf_dir):
@@ -490,3 +517,53 @@ def stream_discovery(spark, sf_dir):
     log = views.stream_log(spark, sf_dir).select("stream_key", "arrival")
     _run(spark, log, "arrival", sinks.discovery_sink(folder))
     return spark.read.parquet(folder).select("stream_key", F.col("batch_id").cast("bigint"))
+
+
+def _flaky_sink(out, failures):
+    """Fails the first ``failures`` times it is called."""
+    left = [failures]
+
+    def run(batch, batch_id):
+        if left[0]:
+            left[0] -= 1
+            raise OSError("sink away")
+        batch.select("stream_key", "message_id").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return run
+
+
+@query(LOG + """ SELECT s.sink, stream_key, message_id FROM stream_log, (SELECT unnest(['replica', 'flaky', 'steady']) AS sink) s""")
+def fan_out(spark, sf_dir):
+    """Three sinks of one read; one of them fails twice and catches up alone."""
+    folder = shared_folder(spark, "fan-out")
+    all_sinks = {
+        "replica": sinks.replica_sink(f"{folder}/replica"), "flaky": _flaky_sink(f"{folder}/flaky", 2),
+        "steady": _flaky_sink(f"{folder}/steady", 0),
+    }
+    fan = fanout.FanOut(all_sinks, f"{folder}/log")
+    _run(spark, views.stream_log(spark, sf_dir), "arrival", fan)
+    fan.catch_up(spark)
+    read = [
+        spark.read.parquet(f"{folder}/{name}").select(F.lit(name).alias("sink"), "stream_key", "message_id") for name in all_sinks
+    ]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
+@query("""SELECT m.metric, CAST(m.value AS DOUBLE) AS value FROM (
+  SELECT count(*) AS rows_, count(*) FILTER (event_id % 13 <> 5) AS ok, count(*) FILTER (event_id % 13 = 5) AS bad,
+         max(epoch_us(ts) // 1000) AS newest FROM events),
+  LATERAL (SELECT unnest([{'metric': 'rows', 'value': rows_}, {'metric': 'messages_synced', 'value': ok},
+                          {'metric': 'errors', 'value': bad}, {'metric': 'last_sync_ms', 'value': newest}]) AS m)""")
+def stream_metrics(spark, sf_dir):
+    """Counters observed while a stream is written, over a restart."""
+    folder, out = shared_folder(spark, "metrics"), shared_folder(spark, "out")
+    rows = views.stream_log(spark, sf_dir).withColumn("ok", F.col("arrival") % 13 != 5)
+    listener = metrics.MetricsTable(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        _run(spark, rows, "arrival", stateful.to_folder(out), metrics.observed)
+        metrics.settle(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    found = metrics.totals(spark, folder).where("metric IN ('rows', 'messages_synced', 'errors', 'last_sync_ms')")
+    return found.select("metric", "value")

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from packetloom.functions import ids
-from packetloom.operators import health, keyvalues, outbox, streamlog
+from packetloom.operators import health, intervals, keyvalues, outbox, streamlog
 from packetloom.operators.ordered import first_n, with_chunk, with_hot_chunks
 from packetloom.plans import views
 from packetloom.plans.registry import query
 from packetloom.plans.views import table, with_sql
+from packetloom.session import shared_folder
+from packetloom.sources import keptstats, stores
 
 LOG = with_sql("stream_log")
 REPLAY = with_sql("stream_log", "replayed_log")
@@ -358,6 +360,14 @@ def kv_glob_scan(spark, sf_dir):
     return out.select("arrival", *PAIR)
 
 
+@query(KV + r""" SELECT arrival, redis_db, redis_key, redis_value FROM kv WHERE key_type = 'string'
+AND regexp_full_match(redis_key, 'cust:([^1-5].*|[2-4]7|1.5)')""")
+def kv_server_scan(spark, sf_dir):
+    """The same scan in the store's own dialect: negated by ^, ranges either way, escapes."""
+    out = keyvalues.scan_keys(kv(spark, sf_dir), ["cust:[^1-5]*", r"cust\:[4-2]7", "cust:1?[5]"], dialect="server")
+    return out.select("arrival", *PAIR)
+
+
 # --- outbox ---
 
 AS_OF = 946_684_800  # 2000-01-01 UTC
@@ -494,3 +504,51 @@ FROM own WHERE key NOT IN (SELECT key FROM marked) AND n % 5 > 0""")
 def new_markers(spark, sf_dir):
     todo = outbox.unsynced(content(spark, sf_dir), markers(spark, sf_dir), AS_OF)
     return outbox.new_markers(todo.withColumn("acked", F.col("n") % 5 > 0), AS_OF)
+
+
+# --- sets of entries, statistics that are kept ---
+
+_WAS_DELIVERED = "arrival DIV 50 % 3 <> 1"
+
+
+def _interval_inputs(spark, sf_dir):
+    """The numbered log, and what two batches of deliveries and acknowledgements came to."""
+    log = intervals.numbered(views.stream_log(spark, sf_dir))
+    keys = ["stream_key"]
+    sent = log.where(_WAS_DELIVERED)
+    halves = [intervals.of_positions(sent.where(half), keys) for half in ("arrival % 2 = 0", "arrival % 2 = 1")]
+    delivered = intervals.merged(halves[0].unionByName(halves[1]), keys)
+    return log, delivered, intervals.of_positions(sent.where("arrival % 7 < 5"), keys)
+
+
+@query(LOG + """ SELECT stream_key, message_id FROM stream_log WHERE arrival // 50 % 3 = 1
+QUALIFY row_number() OVER (PARTITION BY stream_key ORDER BY id_ms, id_seq) <= 20""")
+def delivered_intervals(spark, sf_dir):
+    """The next 20 entries of every stream that no interval of the history covers."""
+    log, delivered, _ = _interval_inputs(spark, sf_dir)
+    lengths = log.groupBy("stream_key").agg(F.count(F.lit(1)).alias("length"))
+    return intervals.group_read(log, lengths, delivered, 20).select("stream_key", "message_id")
+
+
+@query(LOG + """ SELECT stream_key, message_id FROM stream_log WHERE arrival // 50 % 3 <> 1 AND arrival % 7 >= 5""")
+def pending_intervals(spark, sf_dir):
+    """Delivered entries without an acknowledgement, from the difference of two sets."""
+    log, delivered, acked = _interval_inputs(spark, sf_dir)
+    open_ones = intervals.spread(intervals.pending(delivered, acked, ["stream_key"]), ["stream_key"])
+    return log.join(open_ones, ["stream_key", "pos"]).select("stream_key", "message_id")
+
+
+@query(LOG + """, q AS (SELECT *, arrival * 4 // (SELECT max(arrival) + 1 FROM stream_log) AS quarter FROM stream_log)
+SELECT stream_key, count(*) AS length, min_by(message_id, arrival) AS first_id, max_by(message_id, arrival) AS last_id
+FROM q WHERE NOT (quarter = 0 OR (quarter = 1 AND arrival % 3 = 0)) GROUP BY stream_key""")
+def kept_stats(spark, sf_dir):
+    """Statistics kept over four batches; the third also trims, and runs twice."""
+    log = views.stream_log(spark, sf_dir)
+    size = log.agg(F.max("arrival") + 1).first()[0]
+    log = log.withColumn("quarter", views.whole_steps(F.col("arrival") * 4, size)).withColumn("log_date", stores.log_date())
+    gone = F.expr("quarter = 0 OR (quarter = 1 AND arrival % 3 = 0)")
+    store = keptstats.stream_store(spark, shared_folder(spark, "kept-stats"), fanout=3)
+    for batch in (0, 1, 2, 2, 3):
+        trim = dict(trimmed=log.where(gone), log=log.where(~gone & (F.col("quarter") <= 2))) if batch == 2 else {}
+        keptstats.add_entries(store, batch, log.where(F.col("quarter") == batch), **trim)
+    return keptstats.stream_stats(store)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from packetloom.functions import ids
+from packetloom.functions import ids, records
 from packetloom.functions.payloads import sampling_rate, status_text
 from packetloom.operators import devices, discovery, health, routes, routing, streamlog
 from packetloom.plans import views
 from packetloom.plans.registry import query
 from packetloom.plans.views import table, with_sql
-from packetloom.sources import exports
+from packetloom.session import shared_folder
+from packetloom.sources import exports, keptstats
 
 LOG = with_sql("stream_log")
 
@@ -52,13 +53,13 @@ def discover_rr(spark, sf_dir):
   UNION ALL SELECT *, 'Brand*' FROM streams WHERE starts_with(key, 'Brand'))
 SELECT 'db' || db || ':' || key AS display_name, db, key, pattern FROM hits""")
 def discover_pg(spark, sf_dir):
-    out = discovery.match_streams(keyspace(spark, sf_dir), ["*-stream", "Brand*"], per_pattern=True)
+    out = discovery.match_streams(keyspace(spark, sf_dir), ["*-stream", "Brand*"], per_pattern=True, dialect="server")
     return out.select(*NAMED, "pattern")
 
 
 @query(KEYSPACE + " SELECT DISTINCT key FROM streams WHERE db = 3 AND ends_with(key, '-stream')")
 def discover_kf(spark, sf_dir):
-    return discovery.match_streams(keyspace(spark, sf_dir), ["*-stream"], dbs=[3]).select("key")
+    return discovery.match_streams(keyspace(spark, sf_dir), ["*-stream"], dbs=[3], dialect="server").select("key")
 
 
 @query(KEYSPACE + """, lengths AS (SELECT db, key, count(*) AS length FROM keyspace WHERE n % 3 > 0 GROUP BY ALL)
@@ -306,6 +307,36 @@ def json_body(spark, sf_dir):
     return back.select("page_id", F.md5("b.data").alias("digest"), F.length("b.data").alias("n"))
 
 
+@query("""SELECT conv_id, '{"data":[' || string_agg('"' || role || '"', ',' ORDER BY turn) || ']}' AS body
+FROM conversations GROUP BY conv_id""")
+def json_list_body(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    roles = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])
+    return c.groupBy("conv_id").agg(roles.alias("roles")).select("conv_id", exports.json_body("roles").alias("body"))
+
+
+@query("""SELECT event_id, CAST(0 AS INT) AS nth, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events""")
+def payload_records_scalar(spark, sf_dir):
+    """Each event's JSON text as a typed record."""
+    records.register(spark)
+    table(spark, sf_dir, "events").createOrReplaceTempView("packetloom_events")
+    return spark.sql(f"SELECT event_id, r.nth, r.k FROM packetloom_events, LATERAL {records.NAME}(props, 'k INT') r")
+
+
+@query("""SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS nth, turn, role,
+  md5(text) AS digest FROM conversations""")
+def payload_records_list(spark, sf_dir):
+    """Conversations as one JSON list each, and back to typed rows."""
+    records.register(spark)
+    c = table(spark, sf_dir, "conversations")
+    steps = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    c.groupBy("conv_id").agg(F.to_json(steps).alias("payload")).createOrReplaceTempView("packetloom_payloads")
+    found = spark.sql(
+        f"SELECT conv_id, r.* FROM packetloom_payloads, LATERAL {records.NAME}(payload, 'turn BIGINT, role STRING, text STRING') r"
+    )
+    return found.select("conv_id", "nth", "turn", "role", F.md5("text").alias("digest"))
+
+
 # --- groups and health ---
 
 
@@ -357,6 +388,17 @@ def stream_stats(spark, sf_dir):
     return streamlog.stream_stats(views.stream_log(spark, sf_dir))
 
 
+@query(DELIVERED + " SELECT stream_key, grp, pending, consumers, last_delivered_id FROM groups")
+def kept_groups(spark, sf_dir):
+    """Group statistics kept over three batches; acknowledgements come a batch later."""
+    d = deliveries(spark, sf_dir)
+    store = keptstats.group_store(spark, shared_folder(spark, "kept-groups"), fanout=2)
+    for batch in range(4):
+        acked = d.where((F.col("id_ms") % 3 == batch - 1) & F.col("acked")) if batch else None
+        keptstats.add_deliveries(store, batch, d.where(F.col("id_ms") % 3 == batch), acked)
+    return keptstats.group_stats(store)
+
+
 def _health_inputs(spark, sf_dir):
     """Suppliers as streams (every ninth absent, every seventh trimmed to nothing).
 

@@ -43,3 +43,9 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Removes a folder and all in it; False where there is none."""
     system, place = _system(spark, path)
     return system.exists(place) and system.delete(place, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Makes an empty file, with the folders above it."""
+    system, place = _system(spark, path)
+    system.create(place, True).close()
