@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -48,4 +49,18 @@ def shared_folder(spark, label):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="packetloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark) -> int:
+    """Removes the folders that ``shared_folder`` named in this process; gives their number.
+
+    Call it once nothing that was read from them is used any more.
+    """
+    from packetloom.sources import folders
+
+    gone = sum(folders.remove(spark, path) for path in _made)
+    _made.clear()
+    return gone

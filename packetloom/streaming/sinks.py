@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packetloom.functions.ids import prefixed
 from packetloom.operators import outbox, routing, streamlog
-from packetloom.sources import stores, topics
+from packetloom.sources import folders, stores, topics
 
 
 def _write_batch(rows, folder, batch_id, *parts):
@@ -69,9 +69,12 @@ def replica_sink(path: str, prefix: str = "", rejects: str | None = None, arriva
     return run
 
 
-def outbox_sink(folder: str, open_writer, stamp_s: str = "stamp_s", ttl_s: int = outbox.DEFAULT_TTL_S):
+def outbox_sink(folder: str, open_writer, stamp_s: str = "stamp_s", ttl_s: int = outbox.DEFAULT_TTL_S,
+                sweep_every: int | None = None):
     """Write the content, send it, write markers for what was acknowledged.
 
+    With ``sweep_every``, every so many batches what expired by the newest stamp is swept.
+
     Input: topic, key, value and the write time. What fails stays without a
     marker; ``resync`` sends it again. The send result is written down before
     markers are derived, so they always agree.
@@ -84,7 +87,12 @@ def outbox_sink(folder: str, open_writer, stamp_s: str = "stamp_s", ttl_s: int =
             F.lit(ttl_s).cast("bigint").alias("ttl_s"),
         )
         _write_batch(content.withColumn("expires", _hour("written_at")), f"{folder}/content", batch_id, "expires")
-        _send(spark, _read(spark, f"{folder}/content", batch_id), folder, str(batch_id), open_writer, ttl_s)
+        written = _read(spark, f"{folder}/content", batch_id)
+        _send(spark, written, folder, str(batch_id), open_writer, ttl_s)
+        if sweep_every and batch_id % sweep_every == sweep_every - 1:
+            newest = written.agg(F.max("written_at")).first()[0]
+            if newest is not None:
+                sweep_outbox(spark, folder, newest)
 
     return run
 
@@ -108,6 +116,9 @@ def resync(spark, folder: str, label: str, open_writer, as_of: int, ttl_s: int =
     ``ttl_s`` is the life of the markers it writes. Content and markers lie by the hour
     they expire, so only hours that are over at ``as_of`` are not read.
     """
+    if not stores.exists(spark, f"{folder}/content"):
+        # all of it expired and was swept
+        return outbox.sync_counts(spark.createDataFrame([], "acked boolean"))
     content = outbox.unsynced(
         _not_over(_read(spark, f"{folder}/content"), as_of),
         _not_over(_markers(spark, folder, label), as_of), as_of,
@@ -119,7 +130,9 @@ def resync(spark, folder: str, label: str, open_writer, as_of: int, ttl_s: int =
 
 def _markers(spark, folder, label):
     """Markers of the stream and of the other resync runs."""
-    marks = _read(spark, f"{folder}/markers")
+    place = f"{folder}/markers"
+    schema = "key string, marked_at long, ttl_s long, batch_id string, expires long"
+    marks = _read(spark, place) if stores.exists(spark, place) else spark.createDataFrame([], schema)
     again = f"{folder}/resync/markers"
     if stores.exists(spark, again):
         others = _read(spark, again).where(F.col("batch_id").cast("string") != label)
@@ -128,6 +141,37 @@ def _markers(spark, folder, label):
     return marks
 
 
+GRACE_S = 3600
+
+
+def sweep_outbox(spark, folder: str, as_of: int, grace_s: int = GRACE_S) -> int:
+    """Removes what expired more than ``grace_s`` before ``as_of``; gives the folders removed.
+
+    Content and markers lie by the hour they expire, so whole hours go, without reading them.
+    The grace is for readers that began before: a resync of that time still finds its files.
+    Batches of which no content is left lose their attempts as well.
+    """
+    over = (as_of - grace_s) // 3600
+    gone = 0
+    for part in ("content", "markers", "resync/markers"):
+        for batch in folders.children(spark, f"{folder}/{part}"):
+            at = f"{folder}/{part}/{batch}"
+            hours = [n for n in folders.children(spark, at) if n.startswith("expires=")]
+            old = [n for n in hours if 0 <= int(n[8:]) < over]
+            if not hours or not batch.startswith("batch_id="):
+                continue
+            if len(old) == len(hours):
+                gone += folders.remove(spark, at)
+            else:
+                gone += sum(folders.remove(spark, f"{at}/{n}") for n in old)
+    for part, of in (("attempts", "content"), ("resync/attempts", "resync/markers")):
+        kept = set(folders.children(spark, f"{folder}/{of}"))
+        for batch in folders.children(spark, f"{folder}/{part}"):
+            if batch.startswith("batch_id=") and batch not in kept:
+                gone += folders.remove(spark, f"{folder}/{part}/{batch}")
+    return gone
+
+
 def publish_sink(folder: str, open_writer, base: str, field=None, values=(), stamp: str = "stamp"):
     """Validate, filter, publish; settled outcomes per batch under ``folder``.
 
