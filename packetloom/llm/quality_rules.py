@@ -90,22 +90,21 @@ def _bare(words):
     return F.transform(words, lambda w: F.rtrim(F.lower(w), F.lit(MARKS)))
 
 
-def _word_counts(words, vocabulary):
-    """How often each word of ``vocabulary`` stands in a list, marks behind it aside."""
+def _known_words(words, vocabulary):
+    """The words of ``vocabulary`` in a list, marks behind them aside, as one line."""
     if not vocabulary:
-        return F.array().cast("array<bigint>")
+        return F.lit("")
     known = F.filter(_bare(words), lambda w: w.isin(vocabulary))
-    line = F.concat(F.lit(" "), F.array_join(known, "  "), F.lit(" "))
-
-    def count(line):
-        return F.array(
-            *(
-                ((F.char_length(line) - F.char_length(F.replace(line, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long")
-                for w in vocabulary
-            )
-        )
+    return F.concat(F.lit(" "), F.array_join(known, "  "), F.lit(" "))
+
 
-    return _let(line, count)
+def _word_counts(vocabulary):
+    """How often each word of ``vocabulary`` stands in the column ``line``: w0, w1, ..."""
+    line = F.col("line")
+    return [
+        ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit(f" {w} "), F.lit("")))) / (len(w.encode()) + 2)).cast("long").alias(f"w{k}")
+        for k, w in enumerate(vocabulary)
+    ]
 
 
 def common_words(docs, text_col="text", lang_col="lang"):
@@ -146,6 +145,7 @@ def measured(docs, vocabulary, id_col="doc_id", text_col="text", lang_col="lang"
     rows = rows.withColumn("solid", F.regexp_replace("rest", SPACES, ""))
     text, words = F.col("text"), F.col("words")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
+    rows = rows.withColumn("line", _known_words(F.col("words"), vocabulary))
     counted = rows.select(
         "id", "lang",
         F.size(words).cast("long").alias("n_words"),
@@ -157,13 +157,12 @@ def measured(docs, vocabulary, id_col="doc_id", text_col="text", lang_col="lang"
         (F.char_length(text) - F.char_length("rest")).cast("long").alias("lower"),
         _only(F.col("solid"), "A-Z").alias("upper"), _only(F.col("solid"), "0-9").alias("digits"),
         _only(F.col("solid"), MARKS).alias("marks"),
-        _word_counts(words, vocabulary).alias("common"),
+        *_word_counts(vocabulary),
     )
     others = F.col("word_chars") - F.col("lower") - F.col("upper") - F.col("digits") - F.col("marks") - F.col("n_symbols")
-    classes = F.array(
-        "lower", "upper", "digits", "marks", "n_symbols", others, F.col("n_chars") - F.col("word_chars")
-    )
-    return counted.withColumn("classes", classes).drop("lower", "upper", "digits", "marks")
+    classes = ["lower", "upper", "digits", "marks", "n_symbols", others, F.col("n_chars") - F.col("word_chars")]
+    kept = [c for c in counted.columns if c not in ("lower", "upper", "digits", "marks")]
+    return counted.select(*kept, *((F.col(c) if isinstance(c, str) else c).alias(f"c{k}") for k, c in enumerate(classes)))
 
 
 CLASSES = 7
@@ -174,8 +173,8 @@ def references(counts, languages, vocabulary):
 
     One row per language reaches the driver.
     """
-    sums = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(CLASSES)]
-    sums += [F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(vocabulary))]
+    sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(CLASSES)]
+    sums += [F.sum(f"w{k}").alias(f"w{k}") for k in range(len(vocabulary))]
     known = counts.filter(F.col("lang").isin(list(languages)) & (F.col("n_words") >= LEAST_WORDS))
     rows = known.groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).collect()
     return {
@@ -184,30 +183,20 @@ def references(counts, languages, vocabulary):
     }
 
 
-def word_bins(own_words, vocabulary, counts, total):
-    """Counts of a language's own common words, then of all other words."""
-    own = [counts[vocabulary.index(w)] for w in own_words]
-    return [*own, total - reduce(lambda a, b: a + b, own)]
-
-
-def distance(bins, reference):
-    """Jensen-Shannon distance (0..1) of a histogram column and a fixed one; null if empty."""
+def distance(shares, reference):
+    """Jensen-Shannon distance (0..1) of a histogram, columns that add up to 1, and a fixed
+    one; null if the shares are."""
     total = float(sum(reference))
-    fixed = F.array(*(F.lit(x / total) for x in reference))
-
-    def term(a, m):
-        return F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
-
-    def both(a, b):
-        m = (a + b) / 2
-        return (term(a, m) + term(b, m)) / 2
-
-    def compare(mine):
-        size = F.aggregate(mine, F.lit(0).cast("long"), lambda a, b: a + b)
-        parts = F.zip_with(mine, fixed, lambda a, b: both(F.try_divide(a.cast("double"), size), b))
-        return F.when(size > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, b: a + b))))
-
-    return _let(bins, compare)
+    out = F.lit(0.0)
+    for p, fixed in zip(shares, reference):
+        q = fixed / total
+        if not q:
+            # what only one side has counts in full
+            out = out + p
+            continue
+        more = F.when(p > 0, p * F.log2(p / ((p + q) / 2))).when(p.isNotNull(), F.lit(0.0))
+        out = out + more + q * F.log2(q / ((p + q) / 2))
+    return F.sqrt(F.greatest(out / 2, F.lit(0.0) * out))
 
 
 def without_chance(found, bins, size):
@@ -234,17 +223,30 @@ def judged(docs, id_col="doc_id", text_col="text", lang_col="lang"):
     vocabulary = sorted({w for words in languages.values() for w in words})
     counts = saved(measured(docs, vocabulary, id_col, text_col, lang_col), "rule-counts")
     known = references(counts, languages, vocabulary)
-    common = F.col("common")
-    classes, words = [], []
-    for lang, (by_class, total, by_word) in sorted(known.items()):
-        own = word_bins(languages[lang], vocabulary, [common[k] for k in range(len(vocabulary))], F.col("n_words"))
-        classes.append(distance(F.col("classes"), by_class))
-        far = distance(F.array(*own), word_bins(languages[lang], vocabulary, by_word, total))
-        words.append(without_chance(far, len(own), F.col("n_words")))
-    rated = F.col("lang").isNull() | F.col("lang").isin(list(known))
-    class_distance, word_distance = (F.when(rated, _nearest(found)) for found in (classes, words))
+    # step by step, in projections of their own: no value is worked out twice
+    own = {lang: [vocabulary.index(w) for w in languages[lang]] for lang in sorted(known)}
+    rows = counts.select(
+        "*", *(F.try_divide(F.col(f"c{k}").cast("double"), F.col("n_chars")).alias(f"cs{k}") for k in range(CLASSES)),
+        *(F.try_divide(F.col(f"w{k}").cast("double"), F.col("n_words")).alias(f"ws{k}") for k in range(len(vocabulary))),
+    )
+    rows = rows.select(
+        "*", *(F.greatest(F.lit(0.0), 1 - reduce(lambda a, b: a + b, [F.col(f"ws{k}") for k in at])).alias(f"rest{n}") for n, at in enumerate(own.values())),
+    )
+    far = []
+    for n, (lang, at) in enumerate(own.items()):
+        by_class, total, by_word = known[lang]
+        bins = [by_word[k] for k in at]
+        far.append(distance([F.col(f"cs{k}") for k in range(CLASSES)], by_class).alias(f"class{n}"))
+        far.append(distance([*(F.col(f"ws{k}") for k in at), F.col(f"rest{n}")], [*bins, total - sum(bins)]).alias(f"word{n}"))
+    rows = rows.select("id", "lang", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *far)
+    judgeable = F.col("lang").isNull() | F.col("lang").isin(list(known))
+    near = (
+        _nearest([F.col(f"class{n}") for n in range(len(own))]),
+        _nearest([without_chance(F.col(f"word{n}"), len(at) + 1, F.col("n_words")) for n, at in enumerate(own.values())]),
+    )
+    class_distance, word_distance = (F.when(judgeable, found) for found in near)
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
-    rated = counts.select(
+    rated = rows.select(
         "*", failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance")
     )
     odd_classes = (F.col("n_chars") >= LEAST_CHARS) & (F.col("class_distance") > MOST_CLASS_DISTANCE)

@@ -59,7 +59,9 @@ def test_distance_against_numpy(spark):
     df = spark.createDataFrame([(mine,), ([0, 0, 0, 0],)], "bins array<long>")
     from pyspark.sql import functions as F
 
-    got = [r[0] for r in df.select(rules.distance(F.col("bins"), reference)).collect()]
+    size = F.aggregate("bins", F.lit(0).cast("long"), lambda a, b: a + b)
+    shares = [F.try_divide(F.col("bins")[k].cast("double"), size) for k in range(4)]
+    got = [r[0] for r in df.select(rules.distance(shares, reference)).collect()]
     assert abs(got[0] - math.sqrt((kl(p) + kl(q)) / 2)) < 1e-12
     assert got[1] is None
 
