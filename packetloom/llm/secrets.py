@@ -103,6 +103,9 @@ def trigram_query(pattern):
     return sorted(best, key=sorted)
 
 
+MATCHES_TOGETHER = 256
+
+
 def find(text, rule, order):
     """A rule's matches in a text column: array of (begin, order, end), in code points.
 
@@ -118,7 +121,6 @@ def find(text, rule, order):
         lambda b, m: F.struct(F.char_length(b).alias("gap"), m["size"].alias("size"), m["tested"].alias("tested")),
     )
     none = F.array().cast("array<struct<begin:int,order:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
     def step(acc, p):
         begin = acc["at"] + p["gap"]
@@ -127,7 +129,23 @@ def find(text, rule, order):
         kept = F.when(p["tested"] >= rule.least, F.array_append(acc["found"], span)).otherwise(acc["found"])
         return F.struct(end.alias("at"), kept.alias("found"))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(parts, start, step, lambda acc: acc["found"])).otherwise(none)
+    def spans(blocks):
+        # where each block begins, then inside the blocks: appending copies a block, not all matches
+        length = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, p: n + p["gap"] + p["size"]))
+        starts = F.aggregate(length, F.array(F.lit(0)), lambda at, n: F.array_append(at, F.element_at(at, -1) + n))
+        return F.transform(F.array(starts), lambda at: F.flatten(F.transform(
+            blocks,
+            lambda b, k: F.aggregate(
+                b, F.struct(F.get(at, k).alias("at"), none.alias("found")), step, lambda acc: acc["found"]
+            ),
+        )))[0]
+
+    def blocks_of(every):
+        last = F.floor((F.size(every) - 1) / MATCHES_TOGETHER).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(every, k * MATCHES_TOGETHER + 1, F.lit(MATCHES_TOGETHER)))
+
+    found = F.transform(F.transform(F.array(parts), blocks_of), spans)[0]
+    return F.when(text.rlike(rule.pattern), found).otherwise(none)
 
 
 def trigrams_in(text, trigrams):

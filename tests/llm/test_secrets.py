@@ -78,3 +78,13 @@ def test_query_against_a_plain_search(spark, docs_dir):
 def test_no_python_in_the_plan(spark, docs_dir):
     plan = queries.op3_secret_scan(spark, docs_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the matches and not with their square; spans over many blocks are right."""
+    n = 40_000
+    text = " ".join(f"token=abcdefgh{k}" for k in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "token=abcdefgh")], "doc_id long, text string")
+    found = {r.doc_id: r.found for r in secrets.secret_spans(docs).collect()}
+    assert [tuple(s) for s in found[1]] == plain(text) and len(found[1]) == n
+    assert [tuple(s) for s in found[2]] == [(0, 0, 14)]
