@@ -7,12 +7,13 @@ token offset of a document in that order, inverted through the demand, is its
 training position, and the mix is sorted by position in ranges. A source whose target
 exceeds its size is passed several times, the last pass in part.
 
-Offsets are running sums over a whole source. They are cut into ``BUCKETS`` ranges of
-the MD5, so no task holds a source: sums per range first, then offsets of ranges.
+Offsets are running sums over a whole source. They are cut into ranges of the MD5, more
+with the documents, so no task holds a source: sums per range first, then offsets of ranges.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import pairwise
 
 from pyspark.sql import Window as W
@@ -22,7 +23,7 @@ from packetloom.llm.common import WORD, saved, text_of
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
-BUCKETS = 4096
+RANGE_ROWS = 4096
 # (time, weight) knots for the sources, repeating in source order: early, level, late.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.6, 1.2), (1.0, 1.2)))
 
@@ -36,29 +37,48 @@ def source_targets(sizes, weights=WEIGHTS, most=MOST_PASSES):
 
     Targets share the sum of all sizes by weight. None exceeds ``most`` times its size;
     what is cut off goes to the others by weight, so that in the end every target is
-    min(most * size, level * weight) for one common level. One row per source only, so
-    the windows over all sources are small.
+    min(most * size, level * weight) for one common level. There may be any number of
+    sources: they are numbered, and filled in the order of their room, by ranges.
     """
-    everything = W.partitionBy()
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    nth = F.row_number().over(by_name) - 1
+    nth = _in_ranges(sizes.withColumn("unknown", F.col("source").isNull()), ["unknown", "source"], {"one": F.lit(1).cast("long")}, "mix-sources")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("nth") % len(weights) + 1).cast("int"))
-    full = W.orderBy("room", "nth")
     t = (
-        sizes.withColumn("nth", nth)
+        nth.withColumn("nth", F.col("one_ahead"))
         .withColumn("weight", weight.cast("long"))
         .withColumn("cap", F.col("source_size") * most)
         .withColumn("room", F.col("cap").cast("double") / F.col("weight").cast("double"))
-        .withColumn("total", F.sum("source_size").over(everything))
-        .withColumn("before", F.sum("cap").over(full) - F.col("cap"))
-        .withColumn("rest", F.sum("weight").over(everything) - F.sum("weight").over(full) + F.col("weight"))
-        .withColumn("here", (F.col("total") - F.col("before")).cast("double") / F.col("rest").cast("double"))
-        .withColumn("level", F.min(F.when(F.col("room") >= F.col("here"), F.struct("room", "nth", "here"))).over(everything))
+        .select("src", "source_size", "nth", "weight", "cap", "room")
     )
-    target = F.least(F.col("cap").cast("double"), F.col("level.here") * F.col("weight").cast("double"))
+    t = _in_ranges(t, ["room", "nth"], {"cap": F.col("cap"), "weight": F.col("weight"), "size": F.col("source_size")}, "mix-targets")
+    here = (F.col("size_sum") - F.col("cap_ahead")).cast("double") / (F.col("weight_sum") - F.col("weight_ahead")).cast("double")
+    level = t.withColumn("here", here).filter("room >= here").agg(F.min(F.struct("room", "nth", "here")).alias("level")).select("level.here").first()[0]
+    target = F.least(F.col("cap").cast("double"), F.lit(level).cast("double") * F.col("weight").cast("double"))
     return t.select("src", "source_size", "nth", target.alias("target"))
 
 
+def _in_ranges(rows, order, sums, label):
+    """``rows`` with, for each of ``sums`` (name -> column), the sum over all rows that come
+    before in ``order`` (``name_ahead``) and over all rows (``name_sum``).
+
+    The rows are written in ranges of the order; sums run inside a range, and one row for
+    each range carries what lies before it.
+    """
+    part = F.spark_partition_id().alias("part")
+    placed = saved(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", part), label)
+    every = W.partitionBy().orderBy("part")
+    ranges = placed.groupBy("part").agg(*(F.sum(c).alias(f"{n}_all") for n, c in sums.items()))
+    ranges = ranges.select(
+        "part",
+        *((F.sum(f"{n}_all").over(every) - F.col(f"{n}_all")).alias(f"{n}_before") for n in sums),
+        *(F.sum(f"{n}_all").over(W.partitionBy()).alias(f"{n}_sum") for n in sums),
+    )
+    inside = W.partitionBy("part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    out = placed.join(ranges, "part")
+    return out.withColumns(
+        {f"{n}_ahead": F.col(f"{n}_before") + F.sum(c).over(inside) - c for n, c in sums.items()}
+    ).drop("part", *(f"{n}_before" for n in sums))
+
+
 def demand_time(part, knots):
     """The time by which a schedule has asked for ``part`` (0..1) of its tokens."""
     pieces, done = [], 0.0
@@ -91,6 +111,8 @@ def schedule(
     an empty table gives no rows.
     """
     source = F.col(source_col).cast("string")
+    # digits of the MD5 that make ranges of ``RANGE_ROWS`` rows of one source, were it the only one
+    digits = max(3, math.ceil(math.log(max(1, docs.count() / RANGE_ROWS), 16)))
     kept = [F.struct(*docs.columns).alias("row")] if carry else []
     md5 = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     rows = saved(
@@ -99,7 +121,7 @@ def schedule(
             F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), source)).alias("src"),
             word_count(text_col).alias("size"), md5.alias("md5"),
             F.crc32(text_of(text_col).cast("binary")).alias("crc"),
-            F.conv(F.substring(md5, 1, 3), 16, 10).cast("int").alias("bucket"),
+            F.conv(F.substring(md5, 1, digits), 16, 10).cast("long").alias("bucket"),
             *kept,
         ),
         "mix-rows",

@@ -100,3 +100,26 @@ def test_odd_rows(spark):
     assert sorted(r["size"] for r in found) == [0, 0, 1, 2, 2, 200_000]
     assert mixing.mixed(docs).columns == docs.columns
     assert mixing.schedule(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_as_many_sources_as_documents(spark):
+    """Sources are numbered and levelled in ranges; the same as over all of them at once."""
+    rows = [(k, "w " * (k % 17 + 1), None if k == 5 else f"s{(k * 7919) % 1000:04d}") for k in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = {r.doc_id: r for r in mixing.schedule(docs).collect()}
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[n % 3] for n, s in enumerate(order)}
+    total, level, capped = sum(sizes.values()), None, set()
+    while True:
+        rest = [s for s in order if s not in capped]
+        level = (total - sum(3 * sizes[s] for s in capped)) / sum(weight[s] for s in rest)
+        over = {s for s in rest if 3 * sizes[s] < level * weight[s]}
+        if not over:
+            break
+        capped |= over
+    for k, _, source in rows:
+        assert abs(got[k].target - min(3 * sizes[source], level * weight[source])) < 1e-6
+        assert got[k].source_size == sizes[source]
