@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -71,6 +72,22 @@ def kv_table(spark, sf_dir):
     return spark.read.parquet(path).select("redis_db", "redis_key", "redis_value")
 
 
+@query(KV + """, latest AS (SELECT * FROM kv QUALIFY row_number() OVER (PARTITION BY redis_db, redis_key ORDER BY arrival DESC) = 1)
+SELECT CAST(c_custkey % 16 AS INT) AS redis_db, 'cust:' || c_custkey AS redis_key, CASE WHEN l.redis_key IS NOT NULL THEN coalesce(l.redis_value, '') END AS redis_value
+FROM customer c LEFT JOIN latest l ON l.redis_key = 'cust:' || c_custkey AND l.redis_db = c_custkey % 16""")
+def bucketed_lookup(spark, sf_dir):
+    """Customers looked up in the latest values; both tables lie in the same buckets."""
+    tag = uuid.uuid4().hex
+    held, asked = f"packetloom_held_{tag}", f"packetloom_asked_{tag}"
+    pairs = keyvalues.latest_per_key(replication.kv(spark, sf_dir)).select("redis_db", "redis_key", "redis_value")
+    stores.write_bucketed(pairs, held, keyvalues.KEY, 8, bloom=["redis_key"])
+    customers = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 16).cast("int").alias("redis_db"), F.concat(F.lit("cust:"), F.col("c_custkey").cast("string")).alias("redis_key")
+    )
+    stores.write_bucketed(customers, asked, keyvalues.KEY, 8)
+    return stores.lookup_bucketed(spark.table(asked), held, keyvalues.KEY)
+
+
 def _kv_changes(spark, sf_dir):
     """Changes of keys, some of them deletions."""
     pairs = replication.kv(spark, sf_dir).drop("key_type")

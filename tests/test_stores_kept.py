@@ -173,3 +173,32 @@ def test_payload_records(spark):
 
 def test_dates_of_the_log(spark):
     assert _log(spark, [("a", DAY, 0)]).first().log_date == date(1970, 1, 2)
+
+
+def test_buckets_join_without_a_shuffle(spark):
+    rows = spark.range(5000).select((F.col("id") % 4).cast("int").alias("redis_db"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("redis_key"))
+    keys = ["redis_db", "redis_key"]
+    stores.write_bucketed(rows.withColumn("redis_value", F.col("redis_key")), "held_b", keys, 4, bloom=["redis_key"])
+    stores.write_bucketed(rows.where("redis_db = 1").unionByName(rows.limit(1).withColumn("redis_key", F.lit("none"))), "asked_b", keys, 4)
+    found = stores.lookup_bucketed(spark.table("asked_b"), "held_b", keys)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    got = {r.redis_key: r.redis_value for r in found.collect()}
+    assert len(got) == 1251 and got["none"] is None and got["k1"] == "k1"
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    rows = spark.range(40_000).select(F.lit(0).alias("redis_db"), F.md5(F.col("id").cast("string")).alias("redis_key"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scanned = {}
+        for name, bloom in (("plain", []), ("bloomed", ["redis_key"])):
+            # sorted by another column: statistics say nothing about the key
+            stores.write_bucketed(rows, f"held_{name}", ["v"], 1, bloom=bloom, row_group_bytes=100_000)
+            one = spark.table(f"held_{name}").where(F.col("redis_key") == F.md5(F.lit("77")))
+            assert [r.v for r in one.collect()] == [77]
+            leaf = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+            scanned[name] = leaf.metrics().apply("numOutputRows").value()
+        assert scanned["plain"] == 40_000 and scanned["bloomed"] < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
