@@ -17,7 +17,7 @@ from packetloom.plans.replication import CONFLICT, CONFLICT_COLUMNS, ENTRY, FROM
 from packetloom.plans.reports import KEPT, messages
 from packetloom.plans.views import table, with_sql
 from packetloom.session import shared_folder
-from packetloom.sources import exports, kvruns, sessionfiles, stores, topics
+from packetloom.sources import exports, kvruns, logstream, sessionfiles, stores, topics
 from packetloom.streaming import fanout, metrics, runs, sinks, stateful
 
 # Workers get the writers below with the plan and need no installed package.
@@ -536,6 +536,22 @@ def stream_discovery(spark, sf_dir):
     return spark.read.parquet(folder).select("stream_key", F.col("batch_id").cast("bigint"))
 
 
+@query(LOG + " SELECT stream_key, message_id, value_cents, TRUE AS within FROM stream_log")
+def stream_admitted(spark, sf_dir):
+    """The log by row-limited micro-batches, restarted after each; every entry once."""
+    folder = shared_folder(spark, "admitted")
+    log = views.stream_log(spark, sf_dir).select(*ENTRY, "arrival")
+    limit = log.count() // 3 + 7
+    for part in _two_parts(spark, log, "arrival"):
+        for _ in range(2):
+            stream = logstream.read_admitted(spark, part, log.schema, f"{folder}/progress", limit)
+            runs.start(stream, stateful.to_folder(f"{folder}/out"), f"{folder}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    most = F.max("n").alias("most")
+    within = out.groupBy("batch_id").agg(F.count("*").alias("n")).agg(most).first()["most"] <= limit
+    return out.select(*ENTRY, F.lit(within).alias("within"))
+
+
 def _flaky_sink(out, failures):
     """Fails the first ``failures`` times it is called."""
     left = [failures]
