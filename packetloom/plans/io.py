@@ -261,11 +261,11 @@ def _two_parts(spark, df, order):
 
 
 def _run(spark, df, order, sink, over=None):
-    """Streams both parts through ``over`` into ``sink``, with a restart in between."""
+    """Streams both parts through ``over``, which keeps state, into ``sink``, with a restart in between."""
     checkpoint = shared_folder(spark, "checkpoint")
     for path in _two_parts(spark, df, order):
         stream = runs.read_stream(spark, path, df.schema)
-        runs.start(over(stream) if over else stream, sink, checkpoint).awaitTermination()
+        runs.start(over(stream) if over else stream, sink, checkpoint, keyed=over is not None).awaitTermination()
 
 
 def _replicated(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from packetloom.operators.streamlog import positions
+from packetloom.session import keyed_state
 from packetloom.sources.stores import exists
 
 # Seconds between micro-batches.
@@ -54,12 +55,17 @@ def read_topic(spark, servers: str, pattern: str, start: str = "earliest", max_o
     return reader.option("maxOffsetsPerTrigger", max_offsets).load() if max_offsets else reader.load()
 
 
-def start(stream: DataFrame, fn, checkpoint: str, every_seconds: float | None = None, name: str | None = None):
+def start(stream: DataFrame, fn, checkpoint: str, every_seconds: float | None = None, name: str | None = None,
+          keyed: bool = False):
     """Run ``fn(batch, batch_id)`` for every micro-batch.
 
     The source position moves on only after ``fn`` returns. Without
-    ``every_seconds`` the query takes what is there and ends.
+    ``every_seconds`` the query takes what is there and ends. ``keyed`` is for the
+    streams of ``stateful``, which need the RocksDB state store.
     """
+    if keyed:
+        with keyed_state(stream.sparkSession):
+            return start(stream, fn, checkpoint, every_seconds, name)
     writer = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)

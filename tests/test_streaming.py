@@ -264,3 +264,23 @@ def test_observed_counts(spark):
     df = spark.range(10).select((F.col("id") > 2).alias("ok"))
     observed(df, seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "errors": 3}
+
+
+def test_keyed_streams_under_the_default_state_store(spark):
+    """A session that sets no state store runs them, and keeps its own setting."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, plain = spark.conf.get(name), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    src, checkpoint = shared_folder(spark, "src"), shared_folder(spark, "cp")
+    frames_out, batches_out = shared_folder(spark, "out"), shared_folder(spark, "out")
+    put(spark, [("d", "s", i, 0, t, samples(i)) for i, t in enumerate([0, 4, 8, 12])], SCHEMA, src)
+    spark.conf.set(name, plain)
+    try:
+        stream = runs.read_stream(spark, src, spark.read.parquet(src).schema)
+        runs.start(stateful.session_frames(stream, KEYS), stateful.to_folder(frames_out), f"{checkpoint}/f", keyed=True).awaitTermination()
+        found = stateful.batches(stream.select("device", "seq"), ["device"], size=2)
+        runs.start(found, stateful.to_folder(batches_out), f"{checkpoint}/b", keyed=True).awaitTermination()
+        assert spark.conf.get(name) == plain
+    finally:
+        spark.conf.set(name, before)
+    assert [r.frame_id for r in spark.read.parquet(frames_out).collect()] == [0]
+    assert sorted((r.batch_no, r.seq) for r in spark.read.parquet(batches_out).collect()) == [(0, 0), (0, 1), (1, 2), (1, 3)]
