@@ -17,7 +17,7 @@ from packetloom.plans.replication import CONFLICT, CONFLICT_COLUMNS, ENTRY, FROM
 from packetloom.plans.reports import KEPT, messages
 from packetloom.plans.views import table, with_sql
 from packetloom.session import shared_folder
-from packetloom.sources import exports, kvruns, logstream, sessionfiles, stores, topics
+from packetloom.sources import exports, folders, kvruns, logstream, sessionfiles, smallfiles, stores, topics
 from packetloom.streaming import fanout, metrics, runs, sinks, stateful
 
 # Workers get the writers below with the plan and need no installed package.
@@ -203,19 +203,25 @@ def json_export(spark, sf_dir):
     return back.select("doc_id", F.md5("text").alias("digest"), "lang")
 
 
+# Bytes of the table for each task that reads its documents back from files.
+_FILES_TASK = 16 << 20
+
+
 def _document_files(spark, sf_dir):
-    """Every document as a file of its own, with a line end behind the text."""
+    """Every document as a file of its own, with a line end behind the text; where they
+    are, and in how many tasks to read them."""
     path = shared_folder(spark, "document-files")
     d = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    d.select("doc_id", "text").write.partitionBy("doc_id").text(path)
-    return f"{path}/*/*.txt"
+    tasks = max(spark.sparkContext.defaultParallelism, folders.size(spark, f"{sf_dir}/documents.parquet") // _FILES_TASK)
+    return smallfiles.write_small_files(d, path, "doc_id", "text"), tasks
 
 
 @query("""SELECT octet_length(encode(text)) + 1 AS length, md5(text || chr(10)) AS digest, 'bed:file:7' AS key FROM documents
 WHERE octet_length(encode(text)) < 4000""")
 def binary_files(spark, sf_dir):
     """Documents as files, read back as messages up to a size."""
-    out = topics.file_messages(spark, _document_files(spark, sf_dir), "files", 7, device="bed", limit=4000)
+    path, tasks = _document_files(spark, sf_dir)
+    out = topics.file_messages(spark, path, "files", 7, device="bed", limit=4000, tasks=tasks)
     name = F.split("key", ":")[1]
     key = F.when(name.rlike("^part-.*[.]txt$"), F.replace("key", name, F.lit("file")))
     return out.select(
@@ -227,14 +233,16 @@ def binary_files(spark, sf_dir):
 WHERE octet_length(encode(text)) < 20971520""")
 def binary_files_whole(spark, sf_dir):
     """Documents as files, read back as messages up to the operator's own size limit."""
-    out = topics.file_messages(spark, _document_files(spark, sf_dir), "files", 7)
+    path, tasks = _document_files(spark, sf_dir)
+    out = topics.file_messages(spark, path, "files", 7, tasks=tasks)
     return out.select(F.octet_length("value").alias("length"), F.md5("value").alias("digest"))
 
 
 @query("""SELECT CASE WHEN octet_length(encode(text)) < 4000 THEN 'ok' ELSE 'too_large' END AS verdict,
   CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents""")
 def file_verdicts(spark, sf_dir):
-    return topics.read_files(spark, _document_files(spark, sf_dir), limit=4000).select("verdict", "length")
+    path, tasks = _document_files(spark, sf_dir)
+    return topics.read_files(spark, path, limit=4000, tasks=tasks).select("verdict", "length")
 
 
 @query(LOG + """ SELECT CASE WHEN characteristic = 'click' THEN 'clicks' ELSE 'rest' END AS topic,

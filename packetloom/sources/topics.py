@@ -102,13 +102,19 @@ def transform_messages(messages: DataFrame, fn, value: str = "value") -> DataFra
     return out.select(*messages.columns, "_t.result", "_t.error")
 
 
-def read_files(spark, path: str, limit: int = MAX_MESSAGE_BYTES) -> DataFrame:
+def _files(spark, path, tasks):
+    files = spark.read.format("binaryFile").load(path)
+    return files if tasks is None else files.coalesce(tasks)
+
+
+def read_files(spark, path: str, limit: int = MAX_MESSAGE_BYTES, tasks: int | None = None) -> DataFrame:
     """Files as (path, name, length, verdict); the contents are not read.
 
     The verdict is ``ok`` or ``too_large``; empty files are skipped, Spark's file
-    source does not list them. ``file_messages`` reads the accepted ones.
+    source does not list them. ``file_messages`` reads the accepted ones. Spark counts
+    a small file as 4 MB and makes a task of a few; ``tasks`` is the most that are made.
     """
-    files = spark.read.format("binaryFile").load(path)
+    files = _files(spark, path, tasks)
     return files.select(
         "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length",
         F.when(F.col("length") > limit, "too_large").otherwise("ok").alias("verdict"),
@@ -116,12 +122,13 @@ def read_files(spark, path: str, limit: int = MAX_MESSAGE_BYTES) -> DataFrame:
 
 
 def file_messages(spark, path: str, topic: str, epoch_s: int, device: str | None = None,
-                  limit: int = MAX_MESSAGE_BYTES) -> DataFrame:
+                  limit: int = MAX_MESSAGE_BYTES, tasks: int | None = None) -> DataFrame:
     """Accepted files as messages keyed ``{device or 'file'}:{name}:{epoch_s}``.
 
     The size conditions are pushed to the source, so an oversized file is never read.
+    ``tasks`` as in ``read_files``.
     """
-    files = spark.read.format("binaryFile").load(path)
+    files = _files(spark, path, tasks)
     ok = files.where((F.col("length") > 0) & (F.col("length") <= limit))
     name = F.element_at(F.split("path", "/"), -1)
     return ok.select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from packetloom.operators import streamlog
 from packetloom.session import shared_folder
-from packetloom.sources import exports, stores, topics
+from packetloom.sources import exports, folders, smallfiles, stores, topics
 
 
 def folder(spark, name):
@@ -200,3 +200,19 @@ def test_one_changed_key_rewrites_one_bucket(spark, tmp_path):
     assert len({p.rsplit("/", 1)[0] for p in gone}) == 1
     found = {(r.redis_db, r.redis_key): r.redis_value for r in spark.read.parquet(path).collect()}
     assert len(found) == 100 and found[0, "k7"] == "new" and found[1, "k7"] == "v"
+
+
+def test_small_files_one_for_each_name(spark):
+    """No folder for each file, a bounded number of reading tasks, and the bytes that went in."""
+    path = folder(spark, "small")
+    rows = [(k, "é\n" * (k % 3)) for k in range(60)] + [(7, "again")]
+    df = spark.createDataFrame(rows, "id bigint, text string").repartition(1)
+    where = smallfiles.write_small_files(df, path, "id", "text")
+    got = {r.key.split(":")[1]: bytes(r.value) for r in topics.file_messages(spark, where, "t", 5, tasks=2).collect()}
+    want = {f"part-{k}.txt": f"{t}\n".encode() for k, t in rows[:60]}
+    want["part-7.txt"] += b"again\n"
+    assert got.keys() == want.keys() and all(sorted(got[k].split(b"\n")) == sorted(want[k].split(b"\n")) for k in want)
+    assert topics.read_files(spark, where, tasks=2).rdd.getNumPartitions() == 2
+    assert folders.children(spark, path) == ["0"]
+    nothing = smallfiles.write_small_files(df.where("id < 0"), folder(spark, "none"), "id", "text")
+    assert not nothing.startswith(path)
