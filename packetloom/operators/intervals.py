@@ -9,8 +9,6 @@ for the entries that come out.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +28,16 @@ def numbered(log: DataFrame, keys=("stream_key",), order=("id_ms", "id_seq"), wi
     return running_number(chunked, keys, list(order), "pos").drop("chunk")
 
 
+def _by_key(intervals: DataFrame, keys) -> DataFrame:
+    """Dealt by key to as many tasks as a shuffle has.
+
+    Intervals shuffle to a few bytes a row, so the planner would merge millions of them into
+    one task, where every sort and sum of the sweep holds them at once.
+    """
+    n = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return intervals.repartition(n, *keys)
+
+
 def of_positions(rows: DataFrame, keys, pos: str = "pos", width: int = CHUNK_ROWS) -> DataFrame:
     """The positions of some rows as intervals (keys, lo, hi); repeated ones count once.
 
@@ -41,7 +49,7 @@ def of_positions(rows: DataFrame, keys, pos: str = "pos", width: int = CHUNK_ROW
     one = cut.distinct()
     run = F.col("_p") - F.row_number().over(Window.partitionBy(*keys, "_c").orderBy("_p"))
     runs = one.withColumn("_r", run).groupBy(*keys, "_c", "_r").agg(F.min("_p").alias("lo"), F.max("_p").alias("hi"))
-    return merged(runs.drop("_c", "_r"), keys)
+    return merged(_by_key(runs.drop("_c", "_r"), keys), keys)
 
 
 def merged(intervals: DataFrame, keys) -> DataFrame:
@@ -63,12 +71,14 @@ def minus(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     keys = list(keys)
 
     def ends(some, side):
-        return [
-            some.select(*keys, F.col("lo").alias("at"), F.lit(1 * (side == 0)).alias("a"), F.lit(1 * (side == 1)).alias("b")),
-            some.select(*keys, (F.col("hi") + 1).alias("at"), F.lit(-1 * (side == 0)).alias("a"), F.lit(-1 * (side == 1)).alias("b")),
-        ]
-
-    points = reduce(DataFrame.unionByName, [*ends(left, 0), *ends(right, 1)]).groupBy(*keys, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        # one row for each end, from one pass over the intervals
+        at = F.explode(F.array(
+            F.struct(F.col("lo").alias("at"), F.lit(1 * (side == 0)).alias("a"), F.lit(1 * (side == 1)).alias("b")),
+            F.struct((F.col("hi") + 1).alias("at"), F.lit(-1 * (side == 0)).alias("a"), F.lit(-1 * (side == 1)).alias("b")),
+        ))
+        return some.select(*keys, at.alias("_e")).select(*keys, "_e.at", "_e.a", "_e.b")
+
+    points = _by_key(ends(left, 0).unionByName(ends(right, 1)), keys).groupBy(*keys, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     along = Window.partitionBy(*keys).orderBy("at")
     swept = points.select(
         *keys, F.col("at").alias("lo"), (F.lead("at").over(along) - 1).alias("hi"),

@@ -88,3 +88,12 @@ def test_empty(spark):
     assert intervals.merged(none, KEYS).count() == 0
     assert _got(intervals.minus(some, none, KEYS)) == {"a": [(0, 3)]}
     assert intervals.minus(none, some, KEYS).count() == 0
+
+
+def test_sweep_is_dealt_by_key(spark):
+    """Intervals are a few bytes each; their tasks are not merged into one."""
+    ones = spark.range(400).select((F.col("id") % 50).alias("k"), F.col("id").alias("lo"), (F.col("id") + 100).alias("hi"))
+    for found in (intervals.minus(ones, ones.where("lo % 3 = 0"), ["k"]), intervals.of_positions(ones.select("k", F.col("lo").alias("pos")), ["k"])):
+        tasks = found.select("k", F.spark_partition_id().alias("task")).distinct()
+        assert tasks.select("task").distinct().count() > 1
+        assert tasks.groupBy("k").count().where("count > 1").count() == 0
