@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime, timezone
 
 import pytest
@@ -7,7 +8,7 @@ from test_packets import SCHEMA, random_sessions, samples
 
 from packetloom.operators import streamlog
 from packetloom.operators.packets import TRIGGER_ORDER
-from packetloom.session import shared_folder
+from packetloom.session import ROCKSDB, keyed_state, shared_folder
 from packetloom.streaming import runs, sinks, stateful
 
 KEYS = ["device", "session"]
@@ -284,3 +285,27 @@ def test_keyed_streams_under_the_default_state_store(spark):
         spark.conf.set(name, before)
     assert [r.frame_id for r in spark.read.parquet(frames_out).collect()] == [0]
     assert sorted((r.batch_no, r.seq) for r in spark.read.parquet(batches_out).collect()) == [(0, 0), (0, 1), (1, 2), (1, 3)]
+
+
+def test_threads_that_start_keyed_streams_keep_their_store(spark):
+    """A thread that is done does not take the store from another, nor leaves it behind."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, plain = spark.conf.get(name), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    left, seen = threading.Event(), []
+
+    def other():
+        with keyed_state(spark):
+            left.wait(20)
+            seen.append(spark.conf.get(name))
+
+    spark.conf.set(name, plain)
+    try:
+        with keyed_state(spark):
+            thread = threading.Thread(target=other)
+            thread.start()
+            thread.join(1)
+        left.set()
+        thread.join()
+        assert seen == [ROCKSDB] and spark.conf.get(name) == plain
+    finally:
+        spark.conf.set(name, before)
