@@ -50,10 +50,27 @@ _ODD = np.uint32(0x9E3779B1)
 _SALT = np.uint32(0x85EBCA6B)
 _WORD = np.uint64(0xD6E8FEB86659FD93)
 _MOST = 1 << 20
-_UP = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(_MOST, _WORD)]), dtype=np.uint64)
-_DOWN = np.cumprod(
-    np.concatenate([np.ones(1, np.uint64), np.full(_MOST, pow(int(_WORD), -1, 1 << 64), np.uint64)]), dtype=np.uint64
-)
+
+
+class _Powers:
+    """Powers of a number modulo 2^64, made where they are used: only the number goes out
+    with a task, which would else carry megabytes of them."""
+
+    def __init__(self, base):
+        self.base, self.made = base, np.ones(1, np.uint64)
+
+    def __reduce__(self):
+        return _Powers, (self.base,)
+
+    def first(self, n):
+        if n > len(self.made):
+            more = np.full(max(n, 2 * len(self.made)), self.base, np.uint64)
+            more[0] = 1
+            self.made = np.cumprod(more, dtype=np.uint64)
+        return self.made[:n]
+
+
+_UP, _DOWN = _Powers(int(_WORD)), _Powers(pow(int(_WORD), -1, 1 << 64))
 
 
 class Code:
@@ -161,11 +178,11 @@ def _words(symbols):
     """A 64-bit number of the word before every symbol, as far as it stands there."""
     n = len(symbols)
     plain = symbols.astype(np.uint64) + np.uint64(1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(plain * _UP[:n], dtype=np.uint64)])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(plain * _UP.first(n), dtype=np.uint64)])
     space = (symbols == 32) | ((symbols >= 9) & (symbols <= 13)) | (symbols == END)
     index = np.arange(n, dtype=np.int64)
     begin = np.maximum.accumulate(np.where(np.concatenate([[True], space[:-1]]), index, 0))
-    return (total[:-1] - total[begin]) * _DOWN[begin]
+    return (total[:-1] - total[begin]) * _DOWN.first(n)[begin]
 
 
 def pair_keys(symbols, place):

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from packetloom.llm import lm, queries
 from packetloom.llm import mixing_lm as model
@@ -163,3 +164,13 @@ def test_all_training_folds_are_counted_and_splits_do_not_matter(spark):
     assert all(abs(one[i] - many[i]) < 1e-6 * abs(one[i]) for i in one)
     per_byte = [one[of[2][k]] / len(passage[f]) for k, f in enumerate(passage)]
     assert per_byte[1] > 1.25 * per_byte[0]  # logs are below 0
+
+
+def test_tasks_carry_no_tables():
+    """What goes out with every task stays small, also once the tables were used here."""
+    symbols = np.frombuffer(b" ab ab", np.uint8).astype(np.int16)
+    words = model._words(symbols)
+    assert words[2] == words[5] != 0 and words[3] != words[2]
+    model.contexts_of([np.frombuffer(b"ab c" * 100_000, np.uint8)])
+    for run in (lm._corpus_counts, lm._pair_counts(4), lm._merged, lm._requests(4), lm._answers):
+        assert len(cloudpickle.dumps(run)) < 200_000
