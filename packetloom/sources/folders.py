@@ -20,6 +20,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(place))
 
 
+def matching(spark: SparkSession, glob: str) -> list[tuple[str, str]]:
+    """(URI, path as Spark's sources write it) of the folders that match a glob."""
+    system, place = _system(spark, glob)
+    found = [status.getPath() for status in system.globStatus(place) or [] if status.isDirectory()]
+    return [(path.toUri().toString(), path.toString()) for path in found]
+
+
 def is_done(spark: SparkSession, path: str) -> bool:
     """A write job has committed the folder."""
     system, _ = _system(spark, path)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.functions.payloads import MAX_MESSAGE_BYTES
+from packetloom.sources import smallfiles
 
 # Workers get these functions with the plan and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -102,19 +103,22 @@ def transform_messages(messages: DataFrame, fn, value: str = "value") -> DataFra
     return out.select(*messages.columns, "_t.result", "_t.error")
 
 
-def _files(spark, path, tasks):
-    files = spark.read.format("binaryFile").load(path)
-    return files if tasks is None else files.coalesce(tasks)
+def _files(spark, path, tasks, limit=None, contents=True):
+    if tasks is None:
+        return spark.read.format("binaryFile").load(path)
+    return smallfiles.read_folders(spark, path, tasks, limit, contents)
 
 
 def read_files(spark, path: str, limit: int = MAX_MESSAGE_BYTES, tasks: int | None = None) -> DataFrame:
     """Files as (path, name, length, verdict); the contents are not read.
 
     The verdict is ``ok`` or ``too_large``; empty files are skipped, Spark's file
-    source does not list them. ``file_messages`` reads the accepted ones. Spark counts
-    a small file as 4 MB and makes a task of a few; ``tasks`` is the most that are made.
+    source does not list them. ``file_messages`` reads the accepted ones. For very many
+    files in folders, give the glob of the folders and the number of ``tasks`` that list and
+    read them (``smallfiles.read_folders``): Spark would list them all on the driver, count
+    a small file as 4 MB and make a task of a few.
     """
-    files = _files(spark, path, tasks)
+    files = _files(spark, path, tasks, contents=False)
     return files.select(
         "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length",
         F.when(F.col("length") > limit, "too_large").otherwise("ok").alias("verdict"),
@@ -128,7 +132,7 @@ def file_messages(spark, path: str, topic: str, epoch_s: int, device: str | None
     The size conditions are pushed to the source, so an oversized file is never read.
     ``tasks`` as in ``read_files``.
     """
-    files = _files(spark, path, tasks)
+    files = _files(spark, path, tasks, limit)
     ok = files.where((F.col("length") > 0) & (F.col("length") <= limit))
     name = F.element_at(F.split("path", "/"), -1)
     return ok.select(

@@ -216,3 +216,25 @@ def test_small_files_one_for_each_name(spark):
     assert folders.children(spark, path) == ["0"]
     nothing = smallfiles.write_small_files(df.where("id < 0"), folder(spark, "none"), "id", "text")
     assert not nothing.startswith(path)
+
+
+def test_folders_of_small_files_are_read_in_the_tasks(spark, tmp_path, monkeypatch):
+    """Several folders of a writing task, read as Spark's own source reads them, without its list of files."""
+    monkeypatch.setattr(smallfiles, "FOLDER_FILES", 4)
+    monkeypatch.setattr(smallfiles, "BATCH_BYTES", 10)
+    path = folder(spark, "small")
+    rows = [(k, "x" * k) for k in range(10)]
+    where = smallfiles.write_small_files(spark.createDataFrame(rows, "id bigint, text string").repartition(1), path, "id", "text")
+    assert folders.children(spark, f"{path}/0") == ["0", "1", "2"]
+
+    def plain(df):
+        return sorted((r.key, bytes(r.value)) for r in df.collect())
+
+    many = topics.file_messages(spark, where, "t", 5, limit=8, tasks=3)
+    assert many.rdd.getNumPartitions() == 3 and not many.inputFiles()
+    assert plain(many) == plain(topics.file_messages(spark, where, "t", 5, limit=8)) and many.count() == 8
+    for name, size in (("empty.bin", 0), ("_hidden", 3), (".dot", 3), ("a b%20.bin", 3), ("large.bin", 4)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    odd = [topics.read_files(spark, str(tmp_path), limit=3, tasks=n).collect() for n in (None, 2)]
+    assert sorted(map(tuple, odd[0])) == sorted(map(tuple, odd[1])) and len(odd[0]) == 2
+    assert topics.read_files(spark, f"{tmp_path}/none/*", tasks=2).count() == 0
