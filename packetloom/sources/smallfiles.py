@@ -2,7 +2,7 @@
 
 Spark's own writer opens, checks and renames a folder for every value that it partitions
 by, and on some file systems starts a process for each; that takes tens of milliseconds a
-file. Here a task writes its files to one folder, staged and moved into place as a whole
+file. Here a task writes its files to folders of its own, staged and moved into place as a whole
 once all tasks are done. A task that fails, or is lost and runs again, leaves nothing behind.
 
 Spark's binary file source lists all files on the driver and takes most of a millisecond to
