@@ -8,7 +8,8 @@ then added, and it scores every document in the pass that also counts the docume
 
 The counted pairs are a written table in ranges of their key, as many as the training
 bytes ask for. Documents go by in groups of about ``GROUP`` bytes: a group asks every range
-for the contexts that it has, and is scored with what comes back.
+for the pairs that it has. A range works out the log odds of its contexts once and answers
+every group with those along the group's pairs, a byte for each bit of their code.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ RANGE_BYTES = 1 << 22
 MOST_PAIRS = 1 << 21
 # Bytes of texts, and so much for each text, that are scored together.
 GROUP, EACH = 1 << 24, 16
+# Pairs that a range looks up at a time.
+ASKED = 1 << 18
 # Distinct words that a task counts before it hands them on.
 MOST_WORDS = 1_000_000
 
@@ -111,11 +114,15 @@ def _code(counts):
 
 
 def _packed(values):
-    return pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True)
+    """Numbers as compressed bytes, all first bytes before all second ones and so on."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
 
 
 def _unpacked(data, n, kind=np.int64):
-    return np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), kind)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, size * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
 
 
 def _packed_keys(keys):
@@ -242,56 +249,85 @@ def _texts(docs):
     return _sliced(pa.ipc.open_stream(docs))
 
 
+def _keys(docs):
+    """The distinct pairs of a group's texts, sorted."""
+    return model.keys_of(t for part in _texts(docs) for t in byte_views(part.column("text")))
+
+
 def _requests(bits):
     def run(batches):
         for batch in batches:
             for grp, docs in zip(batch.column("grp").to_pylist(), batch.column("docs")):
-                texts = (t for part in _texts(docs.as_buffer()) for t in byte_views(part.column("text")))
-                found = model.contexts_of(texts)
-                rows = ((k, grp, b - a, _packed_keys(found[a:b])) for k, a, b in _cuts(found, bits, 55))
-                yield from _batches(["range", "grp", "n", "contexts"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()], rows)
+                found = _keys(docs.as_buffer())
+                rows = ((k, grp, b - a, _packed_keys(found[a:b])) for k, a, b in _cuts(found, bits, 64))
+                yield from _batches(["range", "grp", "n", "keys"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()], rows)
+
+    return run
+
+
+def _asked(table):
+    """(groups, their sorted pairs) of a range's requests, about ``ASKED`` pairs at a time."""
+    groups, wanted, size = [], [], 0
+    for grp, n, data in zip(table.column("grp").to_pylist(), table.column("n").to_pylist(), table.column("keys")):
+        groups.append(grp)
+        wanted.append(_unpacked_keys(data.as_buffer(), n))
+        size += n
+        if size > ASKED:
+            yield groups, wanted
+            groups, wanted, size = [], [], 0
+    if groups:
+        yield groups, wanted
+
+
+def _answers(counts):
+    """The log odds of a range along the pairs that groups ask for, a row per group that any
+    of them are not 0 for."""
+    names, kinds = ["range", "grp", "n", "odds"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+
+    def run(asked, table):
+        rows = []
+        if asked.num_rows and table.num_rows:
+            nth, known = table.column("range")[0].as_py(), model.Known(_code(counts), *_pairs_in(table)[0])
+            for groups, wanted in _asked(asked):
+                odds, length = known.along(np.concatenate(wanted))
+                ends = np.cumsum(length)[np.cumsum([len(keys) for keys in wanted]) - 1]
+                for grp, a, b in zip(groups, [0, *ends[:-1].tolist()], ends.tolist()):
+                    if odds[a:b].any():
+                        rows.append((nth, grp, b - a, _packed(odds[a:b])))
+        if not rows:
+            return pa.schema(list(zip(names, kinds))).empty_table()
+        return pa.Table.from_batches([_batch(names, kinds, rows)])
 
     return run
 
 
-def _answers(asked, table):
-    """The pairs of a range in the contexts that groups ask for, a row per group."""
-    rows, names, kinds = [], ["grp", "n", "keys", "counts"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    if asked.num_rows and table.num_rows:
-        [(keys, counts)] = _pairs_in(table)
-        contexts = keys >> np.uint64(9)
-        for grp, n, data in zip(*(asked.column(c).to_pylist() for c in ("grp", "n", "contexts"))):
-            want = _unpacked_keys(data, n)
-            first, last = (np.searchsorted(contexts, want, side) for side in ("left", "right"))
-            has = last > first
-            first, many = first[has], (last - first)[has]
-            if len(first):
-                at = np.repeat(first, many) + model.places(many)
-                rows.append((grp, len(at), _packed_keys(keys[at]), _packed(counts[at])))
-    if not rows:
-        return pa.schema(list(zip(names, kinds))).empty_table()
-    return pa.Table.from_batches([_batch(names, kinds, rows)])
-
-
-def with_known(groups, table, bits, run, schema):
-    """``run(group's record batches, Known's keys and counts)`` for every group."""
-    asked = groups.mapInArrow(lean(_requests(bits)), "range int, grp long, n int, contexts binary")
+def _along(code, keys, bits, answers):
+    """The log odds along a group's pairs from the answers of the ranges."""
+    ends = np.cumsum(code.length.take(model.pairs_at(keys)), dtype=np.int64)
+    odds = np.zeros(int(ends[-1]) if len(ends) else 0, np.int8)
+    begin = {k: int(ends[a - 1]) if a else 0 for k, a, _ in _cuts(keys, bits, 64)}
+    for k, n, data in zip(answers.column("range").to_pylist(), answers.column("n").to_pylist(), answers.column("odds")):
+        odds[begin[k] : begin[k] + n] = _unpacked(data.as_buffer(), n, np.int8)
+    return model.Along(code, keys, odds)
+
+
+def with_known(groups, table, bits, counts, run, schema):
+    """``run(group's number and record batches, the log odds along its pairs)`` for every group."""
+    asked = groups.mapInArrow(lean(_requests(bits)), "range int, grp long, n int, keys binary")
     found = asked.groupBy("range").cogroup(table.groupBy("range")).applyInArrow(
-        lean(_answers), "grp long, n int, keys binary, counts binary"
+        lean(_answers(counts)), "range int, grp long, n int, odds binary"
     )
 
     def each(docs, answers):
-        keys, counts = map(np.concatenate, zip((np.zeros(0, np.uint64), np.zeros(0, np.int64)), *_pairs_in(answers)))
-        keys, counts = model.summed(keys, counts)
         grp, data = docs.column("grp")[0].as_py(), docs.column("docs")[0].as_buffer()
-        return pa.Table.from_batches(run(grp, _texts(data), keys, counts))
+        return pa.Table.from_batches(run(grp, _texts(data), _along(_code(counts), _keys(data), bits, answers)))
 
     return groups.groupBy("grp").cogroup(found.groupBy("grp")).applyInArrow(lean(each), schema)
 
 
 def _learned(counts):
-    def run(grp, batches, keys, known):
-        mixer, bits = model.Mixer(_code(counts), model.Known(_code(counts), keys, known)), 0
+    def run(grp, batches, along):
+        mixer, bits = model.Mixer(_code(counts), along), 0
         for batch in batches:
             texts = byte_views(batch.column("text"))
             mixer.score(texts, learn=True)
@@ -314,7 +350,7 @@ def mixing_weights(rows, table, bits, counts):
     weights, do not depend on how the input is split.
     """
     dealt = rows.withColumn("hash", F.xxhash64("id", "text")).repartition(1 << max(0, bits - 4), "hash")
-    learned = with_known(grouped(dealt.sortWithinPartitions("hash", "id", "text")), table, bits, _learned(counts), "place int, weighted double, bits double")
+    learned = with_known(grouped(dealt.sortWithinPartitions("hash", "id", "text")), table, bits, counts, _learned(counts), "place int, weighted double, bits double")
     rows = learned.groupBy("place").agg((F.sum("weighted") / F.sum("bits")).alias("weight")).collect()
     out = np.full(model.GATES * model.INPUTS, model.START_WEIGHT)
     for r in rows:
@@ -323,9 +359,9 @@ def mixing_weights(rows, table, bits, counts):
 
 
 def _scores(counts, shared):
-    def run(grp, batches, keys, pair_counts):
+    def run(grp, batches, along):
         weights, known = shared.value
-        mixer, row = model.Mixer(_code(counts), model.Known(_code(counts), keys, pair_counts), weights), itertools.count()
+        mixer, row = model.Mixer(_code(counts), along, weights), itertools.count()
         for batch in batches:
             texts = byte_views(batch.column("text"))
             score = mixer.score(texts) / math.log(10)
@@ -388,7 +424,7 @@ def scored(docs, id_col="doc_id", text_col="text", folds=FOLDS, held=HELD, for_w
     kind = docs.schema[id_col].dataType.simpleString()
     passed = saved(
         with_known(
-            grouped(rows), table, bits, _scores(counts, spark.sparkContext.broadcast((weights, known))),
+            grouped(rows), table, bits, counts, _scores(counts, spark.sparkContext.broadcast((weights, known))),
             f"row long, id {kind}, n_tokens long, n_known long, logs double, score double, rare array<struct<word:binary,n:long>>",
         ),
         "lm-scores",

@@ -9,9 +9,10 @@ are not in the counts, and go on adapting from block to block inside every text
 scored. The bits add up to the log probability of the text.
 
 What is counted over a corpus are (context, symbol) pairs with 64-bit keys, so their
-number follows the corpus; they are kept in ranges of the key. Texts are scored in groups,
-each with the pairs of its own contexts (``Known``). The arrays of ``SLOTS`` counts are the
-form of the model for a few texts in memory.
+number follows the corpus; they are kept in ranges of the key. A range's pairs give the
+log odds of its contexts (``Known``). Texts are scored in groups, each with the log odds
+along its own pairs (``Along``). The arrays of ``SLOTS`` counts are the form of the model
+for a few texts in memory.
 """
 
 from __future__ import annotations
@@ -107,14 +108,15 @@ class Code:
         depth = np.arange(len(of)) - (ends - length).take(of)
         return of, (pairs * self.width).take(of) + depth
 
-    def bits(self, pairs):
-        """(symbol of each bit, salt of its node, -1 or 1, depth) of a run of pairs."""
+    def bits(self, pairs, salted=True):
+        """(symbol of each bit, salt of its node, -1 or 1, depth) of a run of pairs; the salts
+        are None if they are not asked for."""
         length = self.length.take(pairs)
         ends = np.cumsum(length)
         of = np.repeat(np.arange(len(pairs)), length)
         depth = np.arange(int(ends[-1]), dtype=np.int32) - (ends - length).astype(np.int32).take(of)
         at = (pairs * self.width).take(of) + depth
-        return of, self.node.take(at), self.sign.take(at), depth
+        return of, self.node.take(at) if salted else None, self.sign.take(at), depth
 
 
 def _tree(weights):
@@ -213,7 +215,8 @@ def summed(keys, counts):
     """Sorted keys without repeats, and the sums of their counts."""
     if not len(keys):
         return keys, counts
-    order = np.argsort(keys)
+    # the keys are sorted runs, one after the other, which a stable sort merges
+    order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(counts[order], first)
@@ -255,21 +258,26 @@ class Pairs:
                 self.add(*distinct(key[new]))
 
 
-def contexts_of(texts):
-    """The distinct contexts of texts, sorted: pair keys without the symbol."""
+def keys_of(texts):
+    """The distinct pair keys of texts, sorted."""
     parts, waiting = [], 0
     for group in _groups(texts):
         stream = np.concatenate([part for part, _ in group])
         place = places(np.array([len(part) for part, _ in group]))
-        parts += [distinct(key >> np.uint64(9))[0] for key in pair_keys(stream, place)]
+        parts += [distinct(key)[0] for key in pair_keys(stream, place)]
         waiting += sum(map(len, parts[-INPUTS:]))
         if waiting > COUNTED * 8:
             parts, waiting = [distinct(np.concatenate(parts))[0]], 0
     return distinct(np.concatenate([np.zeros(0, np.uint64), *parts]))[0]
 
 
+def contexts_of(texts):
+    """The distinct contexts of texts, sorted: pair keys without the symbol."""
+    return distinct(keys_of(texts) >> np.uint64(9))[0]
+
+
 class Known:
-    """Log odds of the nodes that the pairs of a group's contexts have passed.
+    """Log odds of the nodes that the pairs of some contexts have passed.
 
     ``keys`` and ``counts`` are all pairs of the corpus in those contexts, sorted.
     """
@@ -284,7 +292,7 @@ class Known:
         starts = np.flatnonzero(begins)
         cuts = [*starts[np.searchsorted(starts, np.arange(0, len(keys), TOGETHER), 'right') - 1].tolist(), len(keys)] if len(keys) else []
         for a, b in itertools.pairwise(dict.fromkeys(cuts)):
-            of, at = code.steps(_pair(keys[a:b]))
+            of, at = code.steps(pairs_at(keys[a:b]))
             node, order = np.unique(rank[a:b][of] << 8 | code.inner[at], return_inverse=True)
             n, one = counts[a:b].astype(np.float64)[of], code.sign[at] > 0
             ones = np.bincount(order, weights=n * one, minlength=len(node))
@@ -293,27 +301,70 @@ class Known:
             odds.append(log_odds(np.stack([every - ones, ones], axis=1).ravel()))
         self.nodes, self.odds = np.concatenate(nodes), np.concatenate(odds)
 
-    def places(self, keys):
-        """(odds, start): a pair's odds along its code begin at ``start`` of ``odds``."""
-        found, back = np.unique(keys, return_inverse=True)
-        context = found >> np.uint64(9)
-        rank = np.searchsorted(self.contexts, context)
-        pairs = _pair(found)
+    def along(self, keys):
+        """(odds, length): the odds along the code of every pair, one after the other, and how
+        many they are for each."""
+        pairs = pairs_at(keys)
         length = self.code.length.take(pairs).astype(np.int64)
-        start = np.cumsum(length) - length
         odds = np.zeros(int(length.sum()), np.int8)
         if len(self.contexts):
-            rank = np.minimum(rank, len(self.contexts) - 1)
-            seen = self.contexts[rank] == context
-            of, at = self.code.steps(pairs)
-            want = np.flatnonzero(seen[of])
-            node = rank[of[want]] << 8 | self.code.inner[at[want]]
+            context = keys >> np.uint64(9)
+            rank = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+            seen = np.flatnonzero(self.contexts[rank] == context)
+            of, at = self.code.steps(pairs[seen])
+            node = rank[seen][of] << 8 | self.code.inner[at]
             where = np.minimum(np.searchsorted(self.nodes, node), len(self.nodes) - 1)
+            begin = (np.cumsum(length) - length)[seen]
+            want = begin[of] + places(length[seen])
             odds[want] = np.where(self.nodes[where] == node, self.odds[where], 0)
-        return odds, start[back]
+        return odds, length
+
+    def places(self, keys):
+        """(odds, start): a pair's odds along its code begin at ``start`` of ``odds``."""
+        found, back = np.unique(keys, return_inverse=True)
+        odds, length = self.along(found)
+        return odds, (np.cumsum(length) - length)[back]
 
 
-def _pair(keys):
+class Along:
+    """Log odds along the code of a group's own pairs, found by a hash of the pair's key.
+
+    ``keys`` are distinct; ``odds`` are as ``Known.along`` gives them.
+    """
+
+    def __init__(self, code, keys, odds):
+        # a pair that is not among them finds odds of 0 behind all others
+        self.odds = np.concatenate([odds, np.zeros(code.width, np.int8)])
+        length = code.length.take(pairs_at(keys))
+        start = np.cumsum(length, dtype=np.int64) - length
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
+        at = self._bucket(keys)
+        order = np.argsort(at, kind="stable")
+        self.keys = np.append(keys[order], np.uint64(0))
+        self.start = np.append(start[order], len(odds))
+        many = np.bincount(at, minlength=1 << 64 - int(self.shift))
+        self.first = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+
+    def _bucket(self, keys):
+        return (keys * _WORD >> self.shift).astype(np.int64)
+
+    def places(self, keys):
+        """(odds, start): a pair's odds along its code begin at ``start`` of ``odds``."""
+        bucket = self._bucket(keys)
+        at = self.first.take(bucket)
+        other = np.flatnonzero(self.keys.take(at) != keys)
+        end = self.first.take(bucket[other] + 1)
+        while len(other):
+            on = at[other] + 1
+            gone = on >= end
+            at[other] = np.where(gone, len(self.keys) - 1, on)
+            left = ~gone
+            left[left] = self.keys.take(on[left]) != keys[other[left]]
+            other, end = other[left], end[left]
+        return self.odds, self.start.take(at)
+
+
+def pairs_at(keys):
     """Symbol before * SYMBOLS + symbol of pair keys."""
     return ((keys >> np.uint64(9) & np.uint64(511)) * np.uint64(SYMBOLS) + (keys & np.uint64(511))).astype(np.int64)
 
@@ -341,7 +392,7 @@ def pair_counts(texts):
 def places(lengths):
     """Positions 0, 1, ... in each of several runs."""
     ends = np.cumsum(lengths)
-    return np.arange(int(ends[-1])) - np.repeat(ends - lengths, lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
 def _add(table, code, group):
@@ -388,7 +439,7 @@ class Mixer:
 
     def __init__(self, code, odds, weights=None):
         self.code = code
-        self.known = odds if isinstance(odds, Known) else None
+        self.known = odds if isinstance(odds, (Known, Along)) else None
         self.odds = None if self.known else [odds[_BASE[k] : _BASE[k + 1]] for k in range(INPUTS)]
         self.weights = np.full((GATES, INPUTS), START_WEIGHT, np.float32) if weights is None else weights.astype(np.float32)
         self.squared = np.full((GATES, INPUTS), 1e-4, np.float64)
@@ -434,7 +485,7 @@ class Mixer:
         return total
 
     def _block(self, pairs, keys, sizes, own, lanes, learn):
-        of, salt, sign, depth = self.code.bits(pairs)
+        of, salt, sign, depth = self.code.bits(pairs, salted=not self.known)
         per_symbol = np.concatenate([[0], np.cumsum(self.code.length[pairs])])
         edges = per_symbol[np.concatenate([[0], np.cumsum(sizes)])]
         bits = np.diff(edges)

@@ -174,3 +174,33 @@ def test_tasks_carry_no_tables():
     model.contexts_of([np.frombuffer(b"ab c" * 100_000, np.uint8)])
     for run in (lm._corpus_counts, lm._pair_counts(4), lm._merged, lm._requests(4), lm._answers):
         assert len(cloudpickle.dumps(run)) < 200_000
+
+
+def test_a_range_answers_along_the_pairs_asked_for():
+    """However many pairs a context has, a group gets the log odds of those that it asked for."""
+    rnd = random.Random(8)
+    texts = [as_bytes("".join("ab" + rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3000)))]
+    counts = model.pair_counts(texts)
+    code = model.Code(counts)
+    pairs = model.Pairs(1 << 20)
+    pairs.add_texts(texts)
+    keys, n = pairs.total()
+    wanted = model.keys_of([as_bytes("abq")]), model.keys_of([as_bytes("QQ##"), as_bytes("abab")])
+    table = lm.pa.table({"range": [0], "n": [len(keys)], "keys": [lm._packed_keys(keys)], "counts": [lm._packed(n)]})
+    asked = lm.pa.table({"grp": [5, 9], "n": [*map(len, wanted)], "keys": [*map(lm._packed_keys, wanted)]})
+    answers = lm._answers(counts.tobytes())(asked, table)
+    assert sorted(answers["grp"].to_pylist()) == [5, 9]
+    known = model.Known(code, keys, n)
+    for grp, own in zip((5, 9), wanted):
+        [row] = [r for r in answers.to_pylist() if r["grp"] == grp]
+        assert row["n"] == code.length[model.pairs_at(own)].sum()
+        along = lm._along(code, own, 0, answers.filter(lm.pa.array([g == grp for g in answers["grp"].to_pylist()])))
+        some = rnd.choices(own.tolist(), k=50)
+        for found, start, of, first in [(*along.places(np.array(some, np.uint64)), *known.places(np.array(some, np.uint64)))]:
+            for k, a, b in zip(some, start, first):
+                m = int(code.length[model.pairs_at(np.array([k], np.uint64))][0])
+                assert (found[a : a + m] == of[b : b + m]).all()
+        # a pair that the group did not ask for has no odds
+        odds, [at] = along.places(np.array([12345 << 18 | 97 << 9 | 98], np.uint64))
+        assert not odds[at : at + code.width].any()
+    assert model.Along(code, own[:0], np.zeros(0, np.int8)).places(own)[1].tolist() == [0] * len(own)
