@@ -30,8 +30,6 @@ WORDS_EACH, MOST_LANGUAGES = 20, 32
 LEAST_DOCS = 20
 SYMBOLS = "#*$%&|<>"
 MARKS = ".,;:!?"
-# A word without the marks behind it.
-BARE = r"[^\x20\x09-\x0D]*[^\x20\x09-\x0D" + MARKS + "]"
 FEWEST_WORDS = 50
 REPEAT_PERCENT = 50
 WINDOW = 3
@@ -53,6 +51,13 @@ def _only(text, inside):
     return F.char_length(F.regexp_replace(text, f"[^{inside}]+", "")).cast("long")
 
 
+def words_in(text):
+    """The words of a text, cut at one character: a pattern would be tried at every one."""
+    for space in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(text, " ", -1), "")
+
+
 def repeated_words(words):
     """Words that lie in a window of three words found at least twice in the list."""
 
@@ -114,12 +119,15 @@ def common_words(docs, text_col="text", lang_col="lang"):
     more, those with at least ``LEAST_DOCS``; without a language column all documents are of
     one. So the driver gets a bounded number of rows.
     """
-    words = F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(BARE), F.lit(0))
-    rows = docs.select(_language(docs, lang_col).alias("lang"), words.alias("words"))
-    rows = rows.filter(F.col("lang").isNotNull() & (F.size("words") >= LEAST_WORDS))
-    # an empty word stands for the document itself
-    seen = F.explode(F.array_union(F.array(F.lit("")), F.array_distinct("words")))
-    counts = rows.select("lang", seen.alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    words = F.transform(words_in(F.lower(text_of(text_col))), lambda w: F.rtrim(w, F.lit(MARKS)))
+    # an empty word stands for the document itself, and is what a word of marks leaves
+    seen = _let(words, lambda found: F.when(
+        F.size(F.array_remove(found, "")) >= LEAST_WORDS, F.array_union(F.array(F.lit("")), found)
+    ))
+    rows = docs.filter(_language(docs, lang_col).isNotNull())
+    # the planner adds filters on what a plain explode reads, which cut every text once more
+    rows = rows.select(_language(docs, lang_col).alias("lang"), F.explode_outer(seen).alias("word"))
+    counts = rows.filter(F.col("word").isNotNull()).groupBy("lang", "word").agg(F.count("*").alias("n"))
     # the empty word is in every document, so it is always first
     order = W.partitionBy("lang").orderBy(F.col("n").desc(), F.col("word"))
     best = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= WORDS_EACH + 1)
@@ -139,7 +147,7 @@ def measured(docs, vocabulary, id_col="doc_id", text_col="text", lang_col="lang"
     """The counts of every document that rules and references are made of."""
     rows = docs.select(
         F.col(id_col).alias("id"), _language(docs, lang_col).alias("lang"), text_of(text_col).alias("text")
-    ).withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    ).withColumn("words", words_in(F.col("text")))
     # the whole text is gone through once for letters; what is left is small
     rows = rows.withColumn("rest", F.regexp_replace("text", "[a-z]+", ""))
     rows = rows.withColumn("solid", F.regexp_replace("rest", SPACES, ""))

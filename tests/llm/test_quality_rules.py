@@ -111,3 +111,29 @@ def test_no_language_column(spark):
     rows = [(k, _prose(ITALIAN, k)) for k in range(30)] + [(99, "")]
     got = rules.judged(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == 31 and all(r.word_distance < rules.MOST_WORD_DISTANCE for r in got if r.doc_id != 99)
+
+
+def test_words_are_cut_without_a_pattern(spark):
+    """Words as the pattern finds them, and no plan that tries a pattern at every character."""
+    texts = ["", " ", "a", "\ta\n\nb\x0bc\x0cd\re  ", "\x1ca\x1f b\xa0c d e \x85", "x, .; y.z? ,.,", None, "$1 \\ .|("]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = docs.select("text", rules.words_in(rules.F.col("text")).alias("words")).collect()
+    assert [r.words for r in found] == [None if t is None else re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    measured = rules.measured(docs.selectExpr("1L AS doc_id", "text"), ["a"])
+    assert "regexp_extract_all" not in measured._jdf.queryExecution().toString()
+
+
+def test_common_words_without_their_marks(spark):
+    rnd = random.Random(2)
+    words = ["Alpha,", "beta", "beta.", "GAMMA?!", "a.b", "...", "Σίσυφος", "ß;", ",x"]
+    texts = [rnd.choice([" ", "\n", "\t "]).join(rnd.choice(words) for _ in range(rnd.randrange(40, 90))) for _ in range(120)]
+    want = Counter()
+    docs = 0
+    for t in texts:
+        bare = re.findall(r"[^\x20\x09-\x0D]*[^\x20\x09-\x0D.,;:!?]", t.lower())
+        if len(bare) >= rules.LEAST_WORDS:
+            want.update(set(bare))
+            docs += 1
+    assert 20 <= docs < 120
+    rows = spark.createDataFrame([("de", t) for t in texts] + [(None, t) for t in texts], "lang string, text string")
+    assert rules.common_words(rows) == {"de": sorted(want, key=lambda w: (-want[w], w))}
