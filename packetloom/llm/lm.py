@@ -6,10 +6,11 @@ which no longer has heavy keys. The model of :mod:`packetloom.llm.mixing_lm` is
 on most training documents, its weights are learned on the rest of them, whose counts are
 then added, and it scores every document in the pass that also counts the document's tokens.
 
-The counted pairs are a written table in ranges of their key, as many as the training
-bytes ask for. Documents go by in groups of about ``GROUP`` bytes: a group asks every range
-for the pairs that it has. A range works out the log odds of its contexts once and answers
-every group with those along the group's pairs, a byte for each bit of their code.
+Documents go by in groups of about ``GROUP`` bytes, those that weights are learned on in
+groups of their own. A group's pairs and their counts go to ranges of the key, as many as the
+training bytes ask for; they are at once what is counted and what is asked for. A range adds
+them up, works out the log odds of its contexts, and answers every group with those along the
+group's pairs, a byte for each bit of their code. The answers are a written table.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
+from packetloom.llm import common
 from packetloom.llm import mixing_lm as model
-from packetloom.llm.common import byte_views, id_fold, lean, saved, text_of
+from packetloom.llm.common import byte_views, id_fold, saved, text_of
 
 FOLDS, HELD, FOR_WEIGHTS = 7, 2, 3
 DICTIONARY = 200_000
@@ -43,6 +46,9 @@ ASKED = 1 << 18
 # Distinct words that a task counts before it hands them on.
 MOST_WORDS = 1_000_000
 
+# Blocks of symbols come and go: their memory is kept from one to the next.
+lean = functools.partial(common.lean, keep=64 << 20)
+
 
 def _sliced(batches):
     for batch in batches:
@@ -190,6 +196,7 @@ def _merged(table):
     """Adds up the rows of a range."""
     keys, counts = map(np.concatenate, zip(*_pairs_in(table)))
     keys, counts = model.summed(keys, counts)
+    keys, counts = keys[counts > 0], counts[counts > 0]
     row = (table.column("range")[0].as_py(), len(keys), _packed_keys(keys), _packed(counts))
     return pa.Table.from_batches(
         [_batch(["range", "n", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()], [row])]
@@ -202,46 +209,48 @@ def range_bits(texts):
     return max(4, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
 
 
-def pair_table(texts, bits, more=None):
-    """All (context, symbol) pairs of ``texts`` with their counts, one row per range;
-    those of the pair table ``more`` are added."""
+def pair_table(texts, bits):
+    """All (context, symbol) pairs of ``texts`` with their counts, one row per range."""
     partial = texts.mapInArrow(lean(_pair_counts(bits)), _PAIRS)
-    if more is not None:
-        partial = partial.unionByName(more)
     return saved(partial.groupBy("range").applyInArrow(lean(_merged), _PAIRS), "lm-pairs")
 
 
-def _grouped(batches):
-    """(id, text) -> (grp, docs): rows in groups of about ``GROUP`` bytes."""
-    part, nth, held, size = TaskContext.get().partitionId(), itertools.count(), [], 0
+def _grouped(learn):
+    """(id, text, counted) -> (grp, docs): rows in groups of about ``GROUP`` bytes. Groups
+    that weights are learned on have odd numbers."""
 
-    def out():
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
-            for one in held:
-                file.write_batch(one)
-        row = (part << 20 | next(nth), sink.getvalue().to_pybytes())
-        return _batch(["grp", "docs"], [pa.int64(), pa.binary()], [row])
+    def run(batches):
+        part, nth, held, size = TaskContext.get().partitionId(), itertools.count(), [], 0
 
-    for batch in batches:
-        sizes = np.array([len(t) for t in byte_views(batch.column("text"))], np.int64) + EACH
-        begin = 0
-        for k, n in enumerate(sizes.tolist()):
-            if size and size + n > GROUP:
-                if k > begin:
-                    held.append(batch.slice(begin, k - begin))
-                yield out()
-                begin, held, size = k, [], 0
-            size += n
-        if len(sizes) > begin:
-            held.append(batch.slice(begin))
-    if held:
-        yield out()
+        def out():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
+                for one in held:
+                    file.write_batch(one)
+            row = ((part << 20 | next(nth)) << 1 | learn, sink.getvalue().to_pybytes())
+            return _batch(["grp", "docs"], [pa.int64(), pa.binary()], [row])
+
+        for batch in batches:
+            sizes = np.array([len(t) for t in byte_views(batch.column("text"))], np.int64) + EACH
+            begin = 0
+            for k, n in enumerate(sizes.tolist()):
+                if size and size + n > GROUP:
+                    if k > begin:
+                        held.append(batch.slice(begin, k - begin))
+                    yield out()
+                    begin, held, size = k, [], 0
+                size += n
+            if len(sizes) > begin:
+                held.append(batch.slice(begin))
+        if held:
+            yield out()
+
+    return run
 
 
-def grouped(rows):
-    """Rows (id, text) as a written table of groups, the same whenever it is read."""
-    return saved(rows.select("id", "text").mapInArrow(lean(_grouped), "grp long, docs binary"), "lm-groups")
+def grouped(rows, learn):
+    """Rows (id, text, counted) as a written table of groups, the same whenever it is read."""
+    return saved(rows.select("id", "text", "counted").mapInArrow(lean(_grouped(int(learn))), "grp long, docs binary"), "lm-groups")
 
 
 def _texts(docs):
@@ -249,18 +258,37 @@ def _texts(docs):
     return _sliced(pa.ipc.open_stream(docs))
 
 
+def _by_use(docs):
+    """The texts of a group that are counted, and those that are not."""
+    counted, others = [], []
+    for part in _texts(docs):
+        for text, use in zip(byte_views(part.column("text")), part.column("counted").to_pylist()):
+            (counted if use else others).append(text)
+    return counted, others
+
+
 def _keys(docs):
     """The distinct pairs of a group's texts, sorted."""
-    return model.keys_of(t for part in _texts(docs) for t in byte_views(part.column("text")))
+    return model.distinct(np.concatenate([model.keys_of(texts) for texts in _by_use(docs)]))[0]
+
+
+def _counted(docs):
+    """The same, and how often the counted texts have them."""
+    pairs = model.Pairs(MOST_PAIRS)
+    for times, texts in zip((1, 0), _by_use(docs)):
+        pairs.add_texts(texts, times)
+    return pairs.total()
 
 
 def _requests(bits):
+    names, kinds = ["range", "grp", "n", "keys", "counts"], [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
     def run(batches):
         for batch in batches:
             for grp, docs in zip(batch.column("grp").to_pylist(), batch.column("docs")):
-                found = _keys(docs.as_buffer())
-                rows = ((k, grp, b - a, _packed_keys(found[a:b])) for k, a, b in _cuts(found, bits, 64))
-                yield from _batches(["range", "grp", "n", "keys"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()], rows)
+                keys, counts = _counted(docs.as_buffer())
+                rows = ((k, grp, b - a, _packed_keys(keys[a:b]), _packed(counts[a:b])) for k, a, b in _cuts(keys, bits, 64))
+                yield from _batches(names, kinds, rows)
 
     return run
 
@@ -311,18 +339,38 @@ def _along(code, keys, bits, answers):
     return model.Along(code, keys, odds)
 
 
-def with_known(groups, table, bits, counts, run, schema):
+_ODDS = "learn boolean, range int, grp long, n int, odds binary"
+
+
+def _range(counts):
+    """A range's answers: to the groups that weights are learned on by the pairs of the
+    other groups (``learn``), and to every group by all pairs."""
+
+    def run(table):
+        odd = pc.equal(pc.bit_wise_and(table.column("grp"), 1), 1)
+        out = []
+        for learn, asked, used in ((True, table.filter(odd), table.filter(pc.invert(odd))), (False, table, table)):
+            found = _answers(counts)(asked, _merged(used) if used.num_rows else used)
+            out.append(found.add_column(0, "learn", pa.array([learn] * found.num_rows, pa.bool_())))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def odds_table(groups, bits, counts):
+    """The log odds along every group's pairs, a row per group and range, written."""
+    asked = groups.mapInArrow(lean(_requests(bits)), "range int, grp long, n int, keys binary, counts binary")
+    return saved(asked.groupBy("range").applyInArrow(lean(_range(counts)), _ODDS), "lm-odds")
+
+
+def with_known(groups, odds, bits, counts, run, schema):
     """``run(group's number and record batches, the log odds along its pairs)`` for every group."""
-    asked = groups.mapInArrow(lean(_requests(bits)), "range int, grp long, n int, keys binary")
-    found = asked.groupBy("range").cogroup(table.groupBy("range")).applyInArrow(
-        lean(_answers(counts)), "range int, grp long, n int, odds binary"
-    )
 
     def each(docs, answers):
         grp, data = docs.column("grp")[0].as_py(), docs.column("docs")[0].as_buffer()
         return pa.Table.from_batches(run(grp, _texts(data), _along(_code(counts), _keys(data), bits, answers)))
 
-    return groups.groupBy("grp").cogroup(found.groupBy("grp")).applyInArrow(lean(each), schema)
+    return groups.groupBy("grp").cogroup(odds.drop("learn").groupBy("grp")).applyInArrow(lean(each), schema)
 
 
 def _learned(counts):
@@ -343,14 +391,16 @@ def _learned(counts):
     return run
 
 
-def mixing_weights(rows, table, bits, counts):
-    """Weights learned in every group of ``rows``, averaged by the bytes seen.
+def dealt(rows, bits):
+    """Rows dealt and ordered by a hash of id and text, so that the groups, and with them the
+    weights learned in them, do not depend on how the input is split."""
+    rows = rows.withColumn("hash", F.xxhash64("id", "text")).repartition(1 << max(0, bits - 4), "hash")
+    return rows.sortWithinPartitions("hash", "id", "text")
 
-    Rows are dealt and ordered by a hash of id and text, so the groups, and with them the
-    weights, do not depend on how the input is split.
-    """
-    dealt = rows.withColumn("hash", F.xxhash64("id", "text")).repartition(1 << max(0, bits - 4), "hash")
-    learned = with_known(grouped(dealt.sortWithinPartitions("hash", "id", "text")), table, bits, counts, _learned(counts), "place int, weighted double, bits double")
+
+def mixing_weights(groups, odds, bits, counts):
+    """Weights learned in every group, averaged by the bytes seen."""
+    learned = with_known(groups, odds, bits, counts, _learned(counts), "place int, weighted double, bits double")
     rows = learned.groupBy("place").agg((F.sum("weighted") / F.sum("bits")).alias("weight")).collect()
     out = np.full(model.GATES * model.INPUTS, model.START_WEIGHT)
     for r in rows:
@@ -417,14 +467,17 @@ def scored(docs, id_col="doc_id", text_col="text", folds=FOLDS, held=HELD, for_w
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known = dictionary(words)
     bits = range_bits(training)
-    table = pair_table(training.filter(F.col("fold") != for_weights).select("text"), bits)
-    last = training.filter(F.col("fold") == for_weights)
-    weights = mixing_weights(last, table, bits, counts)
-    table = pair_table(last.select("text"), bits, table)
+    rows = rows.withColumn("counted", F.col("fold") != held)
+    # fold and weights' fold may be the same: such documents are not learned from
+    learn = (F.col("fold") == for_weights) & F.col("counted")
+    last = grouped(dealt(rows.filter(learn), bits), learn=True)
+    groups = grouped(rows.filter(~learn), learn=False).unionByName(last)
+    odds = odds_table(groups, bits, counts)
+    weights = mixing_weights(last, odds.filter("learn"), bits, counts)
     kind = docs.schema[id_col].dataType.simpleString()
     passed = saved(
         with_known(
-            grouped(rows), table, bits, counts, _scores(counts, spark.sparkContext.broadcast((weights, known))),
+            groups, odds.filter("not learn"), bits, counts, _scores(counts, spark.sparkContext.broadcast((weights, known))),
             f"row long, id {kind}, n_tokens long, n_known long, logs double, score double, rare array<struct<word:binary,n:long>>",
         ),
         "lm-scores",

@@ -17,6 +17,7 @@ for a few texts in memory.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import itertools
 
@@ -49,8 +50,20 @@ LIMIT = 11.5
 _BASE = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 _ODD = np.uint32(0x9E3779B1)
 _SALT = np.uint32(0x85EBCA6B)
-_WORD = np.uint64(0xD6E8FEB86659FD93)
+_WORD, _OTHER = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _MOST = 1 << 20
+# Symbols whose keys are hashed at a time, so that they stay near the processor.
+TILE = 1 << 14
+# The bits of the last 0, 1, ... symbols of a context.
+_FIELDS = np.array([(1 << 9 * k) - 1 for k in range(max(ORDERS) + 1)], np.uint64)
+# Odds lie in rows of so many bits, the last row of a pair filled up with 0.
+ROW = 4
+# Rows of a pair whose bits have gates of their own, and one for all others.
+_NTH = DEPTHS // ROW + 1
+# The gate of (row, bit, whether the longest context was seen).
+_GATES = np.minimum(np.arange(_NTH * ROW), DEPTHS - 1).reshape(_NTH, ROW, 1) * 2 + np.arange(2)
+# The log of 2 as arrays of bits have it.
+_LOG_2 = float(np.log(np.full(64, 2, np.float32))[0])
 
 
 class _Powers:
@@ -99,6 +112,11 @@ class Code:
                 inner[before, s, :n] = [k for k, _ in path]
                 sign[before, s, :n] = [bit for _, bit in path]
         self.node, self.inner, self.sign = (node * _SALT).ravel(), inner.ravel(), sign.ravel()
+        self.most = -(-self.width // ROW)
+        self.rows = -(-self.length // ROW)
+        signs = np.zeros((SYMBOLS**2, self.most * ROW), np.int8)
+        signs[:, : self.width] = sign.reshape(SYMBOLS**2, self.width)
+        self.signs = signs.ravel().view(f"u{ROW}")
 
     def steps(self, pairs):
         """(pair of each bit, place of the bit in the code's arrays) of a run of pairs."""
@@ -191,23 +209,41 @@ def pair_keys(symbols, place):
     """Per predictor a 64-bit key of (context, symbol): 46 bits of a hash of the context,
     the symbol before, the symbol. The symbol before is part of every context, so contexts
     are told apart by 55 bits; a context's keys stand together when sorted."""
-    pairs = pairs_of(symbols, place)
-    before, low = pairs // SYMBOLS, pairs % SYMBOLS
-    low = (before << 9 | low).astype(np.uint64)
-    back, packed = [], np.zeros(len(symbols), np.uint64)
-    for k in range(1, max(ORDERS) + 1):
-        s = np.zeros(len(symbols), np.uint64)
-        s[k:] = symbols[: len(symbols) - min(k, len(symbols))].astype(np.uint64) + np.uint64(1)
-        s[place < k] = 0
-        packed = packed | s << np.uint64(9 * (k - 1))
-        if k in ORDERS:
-            back.append(packed)
-    out = []
-    for k, x in enumerate([*back, _words(symbols)]):
-        x = x + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        x = (x ^ x >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
-        x = (x ^ x >> np.uint64(29)) * np.uint64(0xC4CEB9FE1A85EC53)
-        out.append((x ^ x >> np.uint64(32)) & ~np.uint64(0x3FFFF) | low)
+    n = len(symbols)
+    plain = symbols.astype(np.uint64)
+    low = np.full(n, END, np.uint64)
+    low[1:] = plain[:-1]
+    one = np.zeros(n, np.uint64)
+    np.add(plain[:-1], np.uint64(1), out=one[1:])
+    low[place == 0] = END
+    low <<= np.uint64(9)
+    low |= plain
+    # the last 5 symbols, 9 bits each, the last one lowest; shorter contexts are their low bits
+    two = one.copy()
+    two[1:] |= one[:-1] << np.uint64(9)
+    packed = two.copy()
+    packed[2:] |= two[:-2] << np.uint64(18)
+    packed[4:] |= one[:-4] << np.uint64(36)
+    head = np.flatnonzero(place < max(ORDERS))
+    packed[head] &= _FIELDS[place[head]]
+    words = _words(symbols)
+    out, spare = [np.empty(n, np.uint64) for _ in range(INPUTS)], np.empty(min(n, TILE), np.uint64)
+    for begin in range(0, n, TILE):
+        tile = slice(begin, begin + TILE)
+        for k, x in enumerate(whole[tile] for whole in out):
+            y = spare[: len(x)]
+            if k < len(ORDERS):
+                np.bitwise_and(packed[tile], _FIELDS[ORDERS[k]], out=x)
+            else:
+                x[:] = words[tile]
+            x += np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            x ^= np.right_shift(x, np.uint64(32), out=y)
+            x *= np.uint64(0xFF51AFD7ED558CCD)
+            x ^= np.right_shift(x, np.uint64(29), out=y)
+            x *= np.uint64(0xC4CEB9FE1A85EC53)
+            x ^= np.right_shift(x, np.uint64(32), out=y)
+            x &= ~np.uint64(0x3FFFF)
+            x |= low[tile]
     return out
 
 
@@ -215,8 +251,7 @@ def summed(keys, counts):
     """Sorted keys without repeats, and the sums of their counts."""
     if not len(keys):
         return keys, counts
-    # the keys are sorted runs, one after the other, which a stable sort merges
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(counts[order], first)
@@ -248,24 +283,31 @@ class Pairs:
         self.parts, self.waiting = [(keys, counts)], 0
         return keys, counts
 
-    def add_texts(self, texts):
-        for group in _groups(texts):
-            stream = np.concatenate([part for part, _ in group])
-            sizes = [len(part) for part, _ in group]
-            place = places(np.array(sizes))
+    def add_texts(self, texts, times=1):
+        for keys in _keys_in(texts):
+            found, counts = distinct(keys)
+            self.add(found, counts * times)
+
+
+def _keys_in(texts):
+    """The pair keys of texts, some ``COUNTED`` symbols of one predictor at a time."""
+    for group in _groups(texts):
+        stream = np.concatenate([part for part, _ in group])
+        sizes = [len(part) for part, _ in group]
+        place = places(np.array(sizes))
+        keys = pair_keys(stream, place)
+        if any(skip for _, skip in group):
             new = place >= np.repeat([skip for _, skip in group], sizes)
-            for key in pair_keys(stream, place):
-                self.add(*distinct(key[new]))
+            keys = [key[new] for key in keys]
+        yield from keys
 
 
 def keys_of(texts):
     """The distinct pair keys of texts, sorted."""
     parts, waiting = [], 0
-    for group in _groups(texts):
-        stream = np.concatenate([part for part, _ in group])
-        place = places(np.array([len(part) for part, _ in group]))
-        parts += [distinct(key)[0] for key in pair_keys(stream, place)]
-        waiting += sum(map(len, parts[-INPUTS:]))
+    for keys in _keys_in(texts):
+        parts.append(distinct(keys)[0])
+        waiting += len(parts[-1])
         if waiting > COUNTED * 8:
             parts, waiting = [distinct(np.concatenate(parts))[0]], 0
     return distinct(np.concatenate([np.zeros(0, np.uint64), *parts]))[0]
@@ -329,39 +371,86 @@ class Known:
 class Along:
     """Log odds along the code of a group's own pairs, found by a hash of the pair's key.
 
-    ``keys`` are distinct; ``odds`` are as ``Known.along`` gives them.
+    ``keys`` are sorted and distinct; ``odds`` are as ``Known.along`` gives them. The first 8
+    stand beside the key as one number, so a pair is one place in memory; the others, of
+    the few pairs with longer codes, lie in rows of ``ROW``.
     """
 
     def __init__(self, code, keys, odds):
-        # a pair that is not among them finds odds of 0 behind all others
-        self.odds = np.concatenate([odds, np.zeros(code.width, np.int8)])
+        self.code = code
         length = code.length.take(pairs_at(keys))
-        start = np.cumsum(length, dtype=np.int64) - length
-        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
-        at = self._bucket(keys)
-        order = np.argsort(at, kind="stable")
-        self.keys = np.append(keys[order], np.uint64(0))
-        self.start = np.append(start[order], len(odds))
-        many = np.bincount(at, minlength=1 << 64 - int(self.shift))
-        self.first = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
-
-    def _bucket(self, keys):
-        return (keys * _WORD >> self.shift).astype(np.int64)
+        ends = np.cumsum(length, dtype=np.int64)
+        short = np.minimum(length, 8)
+        at = np.repeat(np.arange(0, 8 * len(keys), 8), short) + places(short)
+        from_ = np.repeat(ends - length, short) + places(short)
+        first = np.zeros(8 * len(keys), np.int8)
+        first[at] = odds[from_]
+        first = first.view(np.uint64)
+        # the rows beyond the first 8 odds; a pair that has none finds odds of 0 behind all others
+        far = np.flatnonzero(length > 8)
+        self.far, rest = keys[far], length[far] - 8
+        many = -(-rest // ROW)
+        self.far_rows = np.append(np.cumsum(many) - many, many.sum())
+        beyond = np.zeros((int(many.sum()) + code.most) * ROW, np.int8)
+        beyond[np.repeat(self.far_rows[:-1] * ROW, rest) + places(rest)] = odds[np.repeat(ends[far] - rest, rest) + places(rest)]
+        self.beyond = beyond.view(f"u{ROW}")
+        # keys that find their place taken go to a second table, the few that do so again to a list
+        self.tables = []
+        for factor in (_WORD, _OTHER):
+            bits = len(keys).bit_length() + 1
+            shift = np.uint64(64 - bits)
+            bucket = (keys * factor >> shift).astype(np.int64)
+            # written here, so that it may lie in large pages
+            table = np.empty((1 << bits, 2), np.uint64)
+            table.fill(0)
+            table[bucket, 0] = keys
+            has = table[bucket, 0] == keys
+            table[bucket[has], 1] = first[has]
+            self.tables.append((factor, shift, table.view(np.complex128).ravel()))
+            keys, first = keys[~has], first[~has]
+        self.rest, self.rest_first = np.append(keys, np.uint64(2**64 - 1)), np.append(first, np.uint64(0))
+
+    def first(self, keys):
+        """The first 8 odds of every pair, as one number."""
+        out = left = None
+        for factor, shift, table in self.tables:
+            bucket = keys * factor
+            bucket >>= shift
+            found = table.take(bucket.view(np.int64), mode="clip").view(np.uint64).reshape(-1, 2)
+            other = np.flatnonzero(found[:, 0] != keys)
+            if out is None:
+                out = found[:, 1].copy()
+            else:
+                out[left] = found[:, 1]
+            left, keys = other if left is None else left[other], keys[other]
+            if not len(left):
+                return out
+        at = np.searchsorted(self.rest, keys)
+        out[left] = np.where(self.rest[at] == keys, self.rest_first[at], np.uint64(0))
+        return out
+
+    def further(self, keys, many):
+        """``many`` rows of odds of every pair behind its first 8, one pair after the other."""
+        at = np.searchsorted(self.far, keys)
+        known = np.append(self.far, ~np.uint64(0))[at] == keys
+        return self.beyond[np.repeat(np.where(known, self.far_rows[at], self.far_rows[-1]), many) + places(many)]
+
+    def rows(self, keys, pairs):
+        """(rows, pairs with more than 8 odds): two rows for every pair, then their others."""
+        far = np.flatnonzero(self.code.rows.take(pairs) > 2)
+        return np.concatenate([self.first(keys).view(f"u{ROW}"), self.further(keys[far], self.code.rows.take(pairs[far]) - 2)]), far
 
     def places(self, keys):
         """(odds, start): a pair's odds along its code begin at ``start`` of ``odds``."""
-        bucket = self._bucket(keys)
-        at = self.first.take(bucket)
-        other = np.flatnonzero(self.keys.take(at) != keys)
-        end = self.first.take(bucket[other] + 1)
-        while len(other):
-            on = at[other] + 1
-            gone = on >= end
-            at[other] = np.where(gone, len(self.keys) - 1, on)
-            left = ~gone
-            left[left] = self.keys.take(on[left]) != keys[other[left]]
-            other, end = other[left], end[left]
-        return self.odds, self.start.take(at)
+        pairs, width = pairs_at(keys), max(2, self.code.most) * ROW
+        rows, far = self.rows(keys, pairs)
+        odds = np.zeros((len(keys) + 1, width), np.int8)
+        odds[:-1, :8] = rows[: 2 * len(keys)].view(np.int8).reshape(-1, 8)
+        many = self.code.rows.take(pairs[far]) - 2
+        at = np.repeat(far * width + 8, many * ROW) + places(many * ROW)
+        odds.ravel()[at] = rows[2 * len(keys) :].view(np.int8)
+        some = odds.any(axis=1)
+        return odds[np.append(np.flatnonzero(some), len(keys))].ravel(), np.where(some, np.cumsum(some) - 1, some.sum())[:-1] * width
 
 
 def pairs_at(keys):
@@ -439,7 +528,7 @@ class Mixer:
 
     def __init__(self, code, odds, weights=None):
         self.code = code
-        self.known = odds if isinstance(odds, (Known, Along)) else None
+        self.known = odds if isinstance(odds, Along) else None
         self.odds = None if self.known else [odds[_BASE[k] : _BASE[k + 1]] for k in range(INPUTS)]
         self.weights = np.full((GATES, INPUTS), START_WEIGHT, np.float32) if weights is None else weights.astype(np.float32)
         self.squared = np.full((GATES, INPUTS), 1e-4, np.float64)
@@ -472,27 +561,28 @@ class Mixer:
             stream = np.concatenate(parts)
             place = places(lengths)
             pairs = pairs_of(stream, place)
+            starts = np.cumsum(lengths) - lengths + skip
             if self.known:
-                self.odds, keys = zip(*map(self.known.places, pair_keys(stream, place)))
+                wide, far = zip(*(self.known.rows(key, pairs) for key in pair_keys(stream, place)))
+                more = self.code.rows.take(pairs[far[0]]) - 2
+                mixed = functools.partial(self._rows, wide, pairs, far[0], np.cumsum(more) - more)
             else:
                 keys = contexts(stream, place)
-            starts = np.cumsum(lengths) - lengths + skip
+                mixed = lambda pick, *more: self._block(pairs[pick], [key[pick] for key in keys], *more)
             for block in range(0, int((lengths - skip).max()), BLOCK):
                 here = np.flatnonzero(lengths - skip > block)
                 n = np.minimum((lengths - skip)[here] - block, BLOCK)
                 pick = np.repeat(starts[here] + block, n) + places(n)
-                total[live[here]] += self._block(pairs[pick], [key[pick] for key in keys], n, own, live[here], learn)
+                total[live[here]] += mixed(pick, n, own, live[here], learn)
         return total
 
     def _block(self, pairs, keys, sizes, own, lanes, learn):
-        of, salt, sign, depth = self.code.bits(pairs, salted=not self.known)
+        of, salt, sign, depth = self.code.bits(pairs)
         per_symbol = np.concatenate([[0], np.cumsum(self.code.length[pairs])])
         edges = per_symbol[np.concatenate([[0], np.cumsum(sizes)])]
         bits = np.diff(edges)
         inputs = [
-            self.odds[k].take(
-                keys[k].take(of) + depth if self.known else slots(keys[k], of, salt, SLOT_BITS[k]), mode="clip"
-            ).astype(np.float32) / np.float32(STEPS)
+            self.odds[k].take(slots(keys[k], of, salt, SLOT_BITS[k]), mode="clip").astype(np.float32) / np.float32(STEPS)
             for k in range(INPUTS)
         ]
         gate = np.minimum(depth, DEPTHS - 1) * 2 + (inputs[-2] != 0)
@@ -514,3 +604,61 @@ class Mixer:
                 self.squared[:, k] += g * g
                 self.weights[:, k] += (RATE * g / np.sqrt(self.squared[:, k])).astype(np.float32)
         return result
+
+    def _rows(self, wide, pairs, far, further, pick, sizes, own, lanes, learn):
+        """As ``_block``, for the symbols ``pick`` of a stream whose odds are in rows: two for
+        every symbol, then, from ``further`` on, the others of the symbols ``far``. Bits beyond
+        a code's end have a sign and odds of 0."""
+        pair = pairs.take(pick)
+        many = self.code.rows.take(pair)
+        ends = np.cumsum(many, dtype=np.int64)
+        symbols = np.concatenate([[0], np.cumsum(sizes)])
+        bits = np.add.reduceat(self.code.length.take(pair), symbols[:-1])
+        edges = np.concatenate([[0], ends])[symbols]
+        rows = np.diff(edges)
+        begin = edges[:-1] * ROW
+        of = np.repeat(np.arange(len(pick)), many)
+        nth = np.arange(len(of)) - (ends - many).take(of)
+        at = pick.take(of) * 2 + nth
+        beyond = np.flatnonzero(nth > 1)
+        if len(beyond):
+            at[beyond] = 2 * len(pairs) + further[np.searchsorted(far, pick[of[beyond]])] + nth[beyond] - 2
+        odds = [w.take(at, mode="clip").view(np.int8) for w in wide]
+        inputs = [x.astype(np.float32) for x in odds]
+        for x in inputs:
+            x /= np.float32(STEPS)
+        sign = self.code.signs.take((pair * self.code.most).take(of) + nth, mode="clip").view(np.int8).astype(np.float32)
+        # all bits set where the longest context was seen
+        seen = (odds[-2] != 0).view(np.int8).astype(np.int32)
+        np.negative(seen, out=seen)
+        # the weights of each (predictor, lane, nth row, bit) where it was not seen, and what changes where it was
+        nth = np.minimum(nth, _NTH - 1)
+        apart = np.ascontiguousarray(self.weights.T)[:, None, _GATES] + own[lanes].T[:, :, None, None, None]
+        plain, change = np.ascontiguousarray(apart[..., 0]).view(np.int32), np.ascontiguousarray(apart[..., 1]).view(np.int32)
+        change ^= plain
+        at = np.repeat(np.arange(len(lanes)) * _NTH, rows) + nth
+        z = None
+        for k in range(INPUTS):
+            part, other = (t[k].view(np.complex128).ravel().take(at, mode="clip").view(np.int32) for t in (change, plain))
+            part &= seen
+            part ^= other
+            part = part.view(np.float32)
+            part *= inputs[k]
+            z = part if z is None else np.add(z, part, out=z)
+        z *= sign
+        np.clip(z, -LIMIT, LIMIT, out=z)
+        e = np.exp(np.negative(z, out=z), out=z)
+        e1 = e + np.float32(1)
+        gain = np.divide(e, e1, out=e)
+        gain *= sign
+        # a bit beyond the end adds the log of 2
+        result = _LOG_2 * (rows * ROW - bits) - np.add.reduceat(np.log(e1, out=e1), begin, dtype=np.float64)
+        gate = _GATES[nth, :, 0].ravel() - seen if learn else None
+        for k in range(INPUTS):
+            pull = np.multiply(gain, inputs[k], out=inputs[k])
+            own[lanes, k] += OWN_RATE * np.add.reduceat(pull, begin) / np.sqrt(bits)
+            if learn:
+                g = np.bincount(gate, weights=pull, minlength=GATES)
+                self.squared[:, k] += g * g
+                self.weights[:, k] += (RATE * g / np.sqrt(self.squared[:, k])).astype(np.float32)
+        return result

@@ -204,3 +204,69 @@ def test_a_range_answers_along_the_pairs_asked_for():
         odds, [at] = along.places(np.array([12345 << 18 | 97 << 9 | 98], np.uint64))
         assert not odds[at : at + code.width].any()
     assert model.Along(code, own[:0], np.zeros(0, np.int8)).places(own)[1].tolist() == [0] * len(own)
+
+
+def plain_score(code, along, weights, text):
+    """The log probability of a text of less than a stretch, a bit after the other."""
+    symbols = model.symbols_of(text)
+    place = np.arange(len(symbols))
+    pairs = model.pairs_of(symbols, place)
+    odds = []
+    for keys in model.pair_keys(symbols, place):
+        flat, start = along.places(keys)
+        odds.append([flat[a : a + code.length[p]] for a, p in zip(start, pairs)])
+    own, total = np.zeros(model.INPUTS), 0.0
+    for begin in range(0, len(symbols), model.BLOCK):
+        pull, bits = np.zeros(model.INPUTS), 0
+        for i in range(begin, min(begin + model.BLOCK, len(symbols))):
+            for depth in range(code.length[pairs[i]]):
+                x = np.array([o[i][depth] / model.STEPS for o in odds])
+                sign = code.sign[pairs[i] * code.width + depth]
+                gate = min(depth, model.DEPTHS - 1) * 2 + (x[-2] != 0)
+                e = math.exp(-np.clip(sign * ((weights[gate] + own) * x).sum(), -model.LIMIT, model.LIMIT))
+                total -= math.log1p(e)
+                pull += e / (1 + e) * sign * x
+                bits += 1
+        own += model.OWN_RATE * pull / math.sqrt(bits)
+    return total
+
+
+def test_odds_in_rows_mix_as_bit_after_bit():
+    """Also codes of more than 8 and of more than 12 bits, pairs that were not asked for, long texts."""
+    rnd = random.Random(9)
+    common = lambda n: "".join(rnd.choice("aaaaaaaabbbbccd ") for _ in range(n))
+    rare = [f"{common(40)}{chr(33 + k)}{chr(90 - k % 20)}" for k in range(60)]
+    texts = [as_bytes(t) for t in [common(20_000), *rare, "".join(rare), "", "Q"]]
+    counts = model.pair_counts(texts[:40])
+    code = model.Code(counts)
+    assert code.width > 12
+    pairs = model.Pairs(1 << 20)
+    pairs.add_texts(texts[:40])
+    known, keys = model.Known(code, *pairs.total()), model.keys_of(texts[30:])
+    along = model.Along(code, keys, known.along(keys)[0])
+    every = [k for t in texts for k in model.pair_keys(model.symbols_of(t), np.arange(len(t) + 1))]
+    assert max(code.length[model.pairs_at(np.concatenate(every))]) > 8
+    weights = np.random.default_rng(1).normal(0.3, 0.1, (model.GATES, model.INPUTS))
+    some = texts[25:]
+    found = model.Mixer(code, along, weights).score(some)
+    assert np.allclose(found, [plain_score(code, along, weights, t) for t in some], rtol=1e-5)
+
+
+def test_pairs_of_a_group_are_counted_and_asked_for_at_once(spark, monkeypatch):
+    """A range answers by the pairs of the other groups where weights are learned, else by all;
+    texts that are not counted ask only."""
+    texts = {0: [("abab abab", True), ("zq zq", False)], 1: [("abzq", True)]}
+    counts = model.pair_counts([as_bytes(t) for some in texts.values() for t, _ in some])
+    docs = lambda rows: next(iter(spark.createDataFrame([(0, *r) for r in rows], "id int, text string, counted boolean").coalesce(1).mapInArrow(lm._grouped(0), "grp long, docs binary").collect())).docs
+    groups = lm.pa.table({"grp": [*texts], "docs": lm.pa.array([bytes(docs(rows)) for rows in texts.values()], lm.pa.binary())})
+    asked = lm.pa.Table.from_batches(lm._requests(0)(groups.to_batches()))
+    answers = lm._range(counts.tobytes())(asked).to_pylist()
+    code = model.Code(counts)
+    for learn, grp, used in ((True, 1, ["abab abab"]), (False, 0, ["abab abab", "abzq"]), (False, 1, ["abab abab", "abzq"])):
+        pairs = model.Pairs(1 << 20)
+        pairs.add_texts([as_bytes(t) for t in used])
+        own = model.keys_of([as_bytes(t) for t, _ in texts[grp]])
+        want, _ = model.Known(code, *pairs.total()).along(own)
+        [row] = [r for r in answers if (r["learn"], r["grp"]) == (learn, grp)]
+        assert (lm._unpacked(row["odds"], row["n"], np.int8) == want).all()
+    assert len(answers) == 3
