@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 
 _made: list[str] = []
 _setting = threading.RLock()
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ARROW_BYTES = 8 << 20
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -29,7 +31,7 @@ def local_session(app="packetloom", cpus="8", shuffle_partitions="8", **conf):
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # small test tables: keep all cores busy after a shuffle
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        .config(PROVIDER, ROCKSDB)
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
@@ -38,22 +40,34 @@ def local_session(app="packetloom", cpus="8", shuffle_partitions="8", **conf):
     return spark
 
 
+def _keyed_settings(spark):
+    """What a query with keyed state runs with: its rows may hold many packets, so that Arrow
+    batches are limited by their bytes too. A session that asks for less keeps its limit."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    value = spark.conf.get(name).removesuffix("b")
+    small = value.isdigit() and 0 < int(value) <= ARROW_BYTES
+    return {PROVIDER: ROCKSDB} | ({} if small else {name: f"{ARROW_BYTES}b"})
+
+
 @contextmanager
 def keyed_state(spark):
-    """Queries started inside keep their state in RocksDB, whatever the session's store is.
+    """Queries started inside keep their state in RocksDB, whatever the session's store is, and
+    hand Python ``ARROW_BYTES`` at once.
 
-    A query takes the setting when it starts; the session has its own again afterwards.
+    A query takes the settings when it starts; the session has its own again afterwards.
     Threads that share the session start their queries one at a time, or one would give the
-    setting back under another.
+    settings back under another.
     """
-    name = "spark.sql.streaming.stateStore.providerClass"
     with _setting:
-        before = spark.conf.get(name, None)
-        spark.conf.set(name, ROCKSDB)
+        settings = _keyed_settings(spark)
+        before = {name: spark.conf.get(name, None) for name in settings}
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         try:
             yield
         finally:
-            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+            for name, value in before.items():
+                spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def shared_folder(spark, label):

@@ -4,8 +4,9 @@ Packets travel to their session in chunk rows: each input partition sorts the pa
 that it has and packs up to ``CHUNK_PACKETS`` of a session into one row, so a hot device
 sends a few wide rows. The handler of a session holds one row of counters and fewer than a
 frame's rows that wait. It orders the packets of a micro-batch by ``order``; one that comes
-after later packets were processed counts as lost, so limit the intake (``runs``) where a
-device can send more in a micro-batch than a task should hold.
+after later packets were processed counts as lost. Of a session's packets a task holds some
+20 bytes each; their samples go to a file of the task beyond ``SAMPLE_BYTES``, and frames are
+given ``TOGETHER`` packets at a time. Limit the intake (``runs``) where that is too much.
 
 A session ends when a packet comes more than ``idle_s`` after the one before, or when the
 watermark has passed that time without one; then its state is removed. Control rows end
@@ -15,6 +16,7 @@ parts of it, see ``EVENTS``. Needs a state store with several column families (R
 from __future__ import annotations
 
 import sys
+import tempfile
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ from packetloom.operators.packets import COLUMNS_PER_PACKET, CYCLE, LOST_VALUE,
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_PACKETS = 512
+# Packets that a handler turns into frames at once; bytes of samples that it holds in memory.
+TOGETHER, SAMPLE_BYTES = 2048, 16 << 20
 # What a control row does: ``stop`` drops the rows that wait, ``reset`` also shuts the start
 # gate, ``start`` forgets the last trigger line and the losses.
 EVENTS = ("stop", "reset", "start")
@@ -80,13 +84,34 @@ def _pack(keys):
     return run
 
 
-def _unpack(parts):
-    """The packets of chunk rows, in order: at, ms, trig, event, samples."""
-    kinds = {"at": np.int64, "ms": np.int64, "trig": np.int32, "event": np.int8, "samples": np.int32}
-    found = {name: np.concatenate([np.frombuffer(x, kind) for x in parts[name]]) for name, kind in kinds.items()}
-    found["samples"] = found["samples"].reshape(-1, SAMPLES)
-    order = np.argsort(found["at"], kind="stable")
-    return [found[name][order] for name in kinds]
+class _Intake:
+    """The packets of chunk rows, in order. Samples of more than ``SAMPLE_BYTES`` lie in a file
+    of the task, which has no name and goes with it."""
+
+    KINDS = {"at": np.int64, "ms": np.int64, "trig": np.int32, "event": np.int8}
+
+    def __init__(self, tables):
+        parts, held, size, file = {name: [] for name in self.KINDS}, [], 0, None
+        for table in tables:
+            for name, kind in self.KINDS.items():
+                parts[name] += [np.frombuffer(x, kind) for x in table[name]]
+            held += table["samples"].tolist()
+            size += sum(map(len, table["samples"]))
+            if size > SAMPLE_BYTES:
+                file = file or tempfile.TemporaryFile()
+                file.writelines(held)
+                held, size = [], SAMPLE_BYTES
+        if file:
+            file.writelines(held)
+            file.flush()
+        flat = np.memmap(file, np.int32, "r") if file else np.frombuffer(b"".join(held), np.int32)
+        self._samples = flat.reshape(-1, SAMPLES)
+        found = {name: np.concatenate(x) for name, x in parts.items()}
+        self._order = np.argsort(found["at"], kind="stable")
+        self.at, self.ms, self.trig, self.event = (found[name][self._order] for name in self.KINDS)
+
+    def samples(self, begin, end):
+        return np.asarray(self._samples[self._order[begin:end]])
 
 
 def steps_lost(pos, prev, mode):
@@ -117,6 +142,8 @@ def _put(state, rows):
 
 
 def _lists(frame):
+    if not (frame == _NO_SAMPLE).any():
+        return frame.tolist()
     return [[None if x == _NO_SAMPLE else x for x in row] for row in frame.tolist()]
 
 
@@ -191,7 +218,8 @@ class SessionFrames(StatefulProcessor):
         return waiting[:0]
 
     def handleInputRows(self, key, rows, timerValues):
-        at, ms, trig, event, samples = _unpack(pd.concat(list(rows)))
+        intake = _Intake(rows)
+        at, ms, event = intake.at, intake.ms, intake.event
         state, waiting = self._load()
         held, out = state and state["last_ms"], []
         pause = np.zeros(len(at), bool)
@@ -203,8 +231,12 @@ class SessionFrames(StatefulProcessor):
         for cut in [*cuts, len(at)]:
             if state is None:
                 state = self._fresh(int(at[begin]) if begin < len(at) else int(at[-1]))
-            if cut > begin:
-                waiting = self._advance(state, waiting, trig[begin:cut], samples[begin:cut], out)
+            for a in range(begin, cut, TOGETHER):
+                b = min(a + TOGETHER, cut)
+                waiting = self._advance(state, waiting, intake.trig[a:b], intake.samples(a, b), out)
+                if len(out) >= TOGETHER // COLUMNS_PER_PACKET:
+                    yield self._table(key, out)
+                    out = []
             if cut == len(at):
                 break
             if pause[cut]:

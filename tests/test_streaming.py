@@ -1,6 +1,8 @@
 import threading
 from datetime import datetime, timezone
 
+import numpy as np
+import pandas as pd
 import pytest
 from model import Assembler
 from pyspark.sql import functions as F
@@ -309,3 +311,56 @@ def test_threads_that_start_keyed_streams_keep_their_store(spark):
         assert seen == [ROCKSDB] and spark.conf.get(name) == plain
     finally:
         spark.conf.set(name, before)
+
+
+def _chunks(rows):
+    """Chunk rows as a handler gets them: one table for each list of packets (at, trig, samples)."""
+    for part in rows:
+        at, trig, packets = zip(*part)
+        columns = {
+            "at": np.array(at, np.int64), "ms": np.zeros(len(at), np.int64), "trig": np.array(trig, np.int32),
+            "event": np.full(len(at), -1, np.int8), "samples": np.array(packets, np.int32),
+        }
+        yield pd.DataFrame({name: [x.tobytes()] for name, x in columns.items()})
+
+
+def test_a_long_session_comes_out_in_parts(monkeypatch):
+    """A handler gives frames a few at a time, and its samples wait in a file; frames are the same."""
+    class State:
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            return self.value or []
+
+        def update(self, value):
+            self.value = value
+
+        put = update
+
+        def clear(self):
+            self.value = None
+
+    monkeypatch.setattr(stateful, "TOGETHER", 16)
+    monkeypatch.setattr(stateful, "SAMPLE_BYTES", 4096)
+    turns = [(k, _turn(k), samples(k)) for k in range(300) if k % 7 != 3]
+    parts = [turns[a::5] for a in range(5)]
+    names = [f.split(" ")[0] for f in stateful._OUTPUT.split(", ")]
+    handler = stateful.SessionFrames(["device"], "reference", None, names)
+    handler.session, handler.waiting = State(), State()
+    handler._load = lambda: (None, np.zeros((0, stateful.ROW_WIDTH), np.int32))
+    tables = list(handler.handleInputRows(("d",), _chunks(parts), None))
+    machine = Assembler("reference")
+    for k, t, s in turns:
+        machine.feed(k, t, s)
+    got = [r for table in tables for r in table[table["kind"] == "frame"].itertuples()]
+    assert [r.frame for r in got] == machine.frames and [r.frame_id for r in got] == list(range(len(got)))
+    assert len(tables) > 5 and max(map(len, tables)) < 30
+
+
+def test_keyed_queries_limit_arrow_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with keyed_state(spark):
+        assert int(spark.conf.get(name).removesuffix("b")) <= 8 << 20
+    assert spark.conf.get(name) == before
